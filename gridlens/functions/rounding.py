@@ -141,3 +141,18 @@ def sql_py_mean(expr: str, nd: int = 2, dp_in: int = 2) -> str:
          f"WHEN {exact_tie} THEN (CASE WHEN {q} % 2 = 0 THEN {q} ELSE {q} + 1 END) "
          f"WHEN {above} THEN {q} + 1 ELSE {q} END)")
     return f"(CASE WHEN {n} > 0 THEN CAST({k} AS DOUBLE) / {float(10 ** nd)!r} END)"
+
+
+def exact_mean(x: Column | str, dp_in: int = 2) -> Column:
+    """Aggregate: unrounded mean from the exact unit sum, one IEEE division
+    (order-free, so identical on every engine and partitioning)."""
+    x = F.col(x) if isinstance(x, str) else x
+    u = _units(x, dp_in)
+    n = F.count(u)
+    return F.when(n > 0, F.sum(u).cast("double") / (n.cast("double") * F.lit(float(10 ** dp_in))))
+
+
+def sql_exact_mean(expr: str, dp_in: int = 2) -> str:
+    u = _sql_units(expr, dp_in)
+    return (f"(CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
+            f"(CAST(count({u}) AS DOUBLE) * {float(10 ** dp_in)!r}) END)")
