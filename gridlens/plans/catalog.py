@@ -447,3 +447,204 @@ def q_upsert_merge(spark, sf_dir):
     return m.select(utc_iso("period_utc").alias("period_utc"), "respondent", "metric_type",
                     "value_mwh", utc_iso("ingested_at_utc").alias("ingested_at_utc"),
                     F.col("winner").alias("seq"))
+
+
+# ------------------------------------------------------------------ scenarios
+
+from gridlens.operators import scenarios as SC  # noqa: E402
+
+_SC_VALUES = ", ".join(f"('{l}', {i + 1}, {rm!r}, {na!r})"
+                       for i, (l, rm, na) in enumerate(SC.DEFAULT_SCENARIOS))
+_SC_ROWS = ("scr", f"""SELECT c.*, s.scenario, s.scenario_order, s.rm, s.na
+    FROM ba_duck_curve_hourly c,
+         (VALUES {_SC_VALUES}) s(scenario, scenario_order, rm, na)""")
+_SC_APPLIED = ("sca", f"""SELECT scenario, scenario_order, period_utc, respondent, demand_mwh,
+        {R('(solar_mwh * rm)', 2)} AS solar_mwh, {R('(wind_mwh * rm)', 2)} AS wind_mwh,
+        {R('(nuclear_mwh * na)', 2)} AS nuclear_mwh,
+        {R('(demand_mwh - solar_mwh * rm - wind_mwh * rm)', 2)} AS net_load_mwh,
+        {R('(demand_mwh - solar_mwh * rm - wind_mwh * rm - nuclear_mwh * na)', 2)}
+            AS residual_load_after_nuclear_mwh
+    FROM scr""")
+
+
+@register("apply_scenario", O.with_views(f"""
+SELECT scenario, CAST(scenario_order AS INTEGER) AS scenario_order,
+       {O.ts_text('period_utc')} AS period_utc, respondent, demand_mwh, solar_mwh, wind_mwh,
+       nuclear_mwh, net_load_mwh, residual_load_after_nuclear_mwh FROM sca""",
+    "ba_duck_curve_hourly", extra=[_SC_ROWS, _SC_APPLIED]))
+def q_apply_scenario(spark, sf_dir):
+    return _curve_text(SC.scenario_curves(curve(spark, sf_dir), with_baseline=False))
+
+
+_SC_ALL = ("scall", """SELECT 'baseline' AS scenario, 0 AS scenario_order, period_utc, respondent,
+        demand_mwh, solar_mwh, wind_mwh, nuclear_mwh, net_load_mwh, residual_load_after_nuclear_mwh
+    FROM ba_duck_curve_hourly
+    UNION ALL SELECT * FROM sca""")
+
+
+def _summary_sql(src: str) -> str:
+    u = "CAST(round_even(({x}) * 100.0, 0) AS BIGINT)"
+    share = (f"CASE WHEN sum({u.format(x='demand_mwh')}) <> 0 THEN "
+             + R(f"(CAST(sum({u.format(x='solar_mwh + wind_mwh')}) AS DOUBLE) / "
+                 f"CAST(sum({u.format(x='demand_mwh')}) AS DOUBLE))", 4)
+             + " ELSE 0.0 END")
+    return f"""
+SELECT scenario, CAST(scenario_order AS INTEGER) AS scenario_order, respondent, count(*) AS hours,
+       {R('max(demand_mwh)', 1)} AS peak_demand_mwh,
+       {R('min(net_load_mwh)', 1)} AS min_net_load_mwh,
+       {R('coalesce(max(ramp), 0.0)', 1)} AS max_hourly_ramp_mwh,
+       {R('max(residual_load_after_nuclear_mwh)', 1)} AS peak_residual_mwh,
+       count(CASE WHEN net_load_mwh < 0 THEN 1 END) AS curtailment_hours,
+       {share} AS renewable_share
+FROM (SELECT *, abs(net_load_mwh - lag(net_load_mwh) OVER
+        (PARTITION BY scenario, respondent ORDER BY period_utc)) AS ramp FROM {src})
+GROUP BY scenario, scenario_order, respondent"""
+
+
+@register("scenario_summary", O.with_views(_summary_sql("sca"), "ba_duck_curve_hourly",
+                                           extra=[_SC_ROWS, _SC_APPLIED]))
+def q_scenario_summary(spark, sf_dir):
+    return SC.scenario_summary(SC.scenario_curves(curve(spark, sf_dir), with_baseline=False))
+
+
+@register("scenario_compare", O.with_views(_summary_sql("scall"), "ba_duck_curve_hourly",
+                                           extra=[_SC_ROWS, _SC_APPLIED, _SC_ALL]))
+def q_scenario_compare(spark, sf_dir):
+    return SC.scenario_compare(curve(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ dispatch
+
+from gridlens.operators import dispatch as DP  # noqa: E402
+
+_UNITS = DP.fleet()
+_NU = len(_UNITS)
+_TOTAL_CAP = sum(c for _, c, _ in _UNITS)
+
+
+def _dbl(v: float) -> str:
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+def _sql_fold(pick: int) -> str:
+    terms = " + ".join(
+        f"(CASE WHEN (id >> {_NU - 1 - i}) & 1 = 1 THEN {_dbl(u[pick])} ELSE {_dbl(0.0)} END)"
+        for i, u in enumerate(_UNITS))
+    return f"({_dbl(0.0)} + {terms})"
+
+
+def _sql_obj(cost: str, cap: str, t: str = "target_load") -> str:
+    return f"({cost} + {DP.DEFAULT_PENALTY!r} * (({t} - {cap}) * ({t} - {cap})))"
+
+
+_TARGETS_HOURLY = ("th", f"""SELECT period_utc, respondent,
+        {R(f'(abs(residual_load_after_nuclear_mwh) % {_TOTAL_CAP!r})', 1)} AS target_load
+    FROM ba_duck_curve_hourly""")
+_TARGETS = ("tg", "SELECT DISTINCT target_load FROM th")
+_SUBSETS = ("subsets", f"""SELECT id AS commitment, lpad(bin(id), {_NU}, '0') AS bits,
+        {_sql_fold(1)} AS capacity, {_sql_fold(2)} AS cost
+    FROM range({2 ** _NU}) t(id)""")
+_SCORED = ("scored", f"""SELECT t.target_load, s.*,
+        {R(_sql_obj('s.cost', 's.capacity', 't.target_load'), 6)} AS objective
+    FROM tg t, subsets s""")
+_BEST = ("best", """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER
+        (PARTITION BY target_load ORDER BY objective, commitment) AS rn FROM scored) WHERE rn = 1""")
+_DISPATCH = [_TARGETS_HOURLY, _TARGETS, _SUBSETS, _SCORED, _BEST]
+_NAMES = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN (commitment >> {_NU - 1 - i}) & 1 = 1 THEN '{u[0]}' END"
+    for i, u in enumerate(_UNITS)) + ")"
+_REPORT_COLS = (f"bits, {_NAMES} AS committed, {R('capacity', 2)} AS served_capacity, "
+                f"{R('cost', 2)} AS commit_cost, objective")
+
+
+def _targets(spark, sf_dir):
+    return DP.hourly_targets(curve(spark, sf_dir), _TOTAL_CAP)
+
+
+@register("best_commitment", O.with_views(
+    "SELECT target_load, commitment, bits, capacity, cost, objective FROM best",
+    "ba_duck_curve_hourly", extra=_DISPATCH))
+def q_best_commitment(spark, sf_dir):
+    return DP.best_commitment(spark, _targets(spark, sf_dir))
+
+
+@register("commitment_report", O.with_views(f"SELECT target_load, {_REPORT_COLS} FROM best",
+                                            "ba_duck_curve_hourly", extra=_DISPATCH))
+def q_commitment_report(spark, sf_dir):
+    return DP.commitment_report(DP.best_commitment(spark, _targets(spark, sf_dir)))
+
+
+@register("dispatch_hourly", O.with_views(f"""
+SELECT {O.ts_text('th.period_utc')} AS period_utc, th.respondent, th.target_load, {_REPORT_COLS}
+FROM th JOIN best USING (target_load)""", "ba_duck_curve_hourly", extra=_DISPATCH))
+def q_dispatch_hourly(spark, sf_dir):
+    return _curve_text(DP.dispatch_hourly(spark, _targets(spark, sf_dir)))
+
+
+_QUBO = ("qubo", f"""SELECT t.target_load, a.i, a.j,
+        CASE WHEN a.i = a.j THEN a.cost_i + {DP.DEFAULT_PENALTY!r} * (a.cap_i * a.cap_i - 2.0 * t.target_load * a.cap_i)
+             ELSE {DP.DEFAULT_PENALTY!r} * a.cap_i * a.cap_j END AS q,
+        {DP.DEFAULT_PENALTY!r} * t.target_load * t.target_load AS const
+    FROM tg t, (SELECT u.idx AS i, v.idx AS j, u.capacity AS cap_i, v.capacity AS cap_j,
+                       u.cost AS cost_i
+                FROM (VALUES {', '.join(f"({i}, {_dbl(c)}, {_dbl(k)})" for i, (_, c, k) in enumerate(_UNITS))})
+                         u(idx, capacity, cost),
+                     (VALUES {', '.join(f"({i}, {_dbl(c)}, {_dbl(k)})" for i, (_, c, k) in enumerate(_UNITS))})
+                         v(idx, capacity, cost)) a""")
+
+
+@register("qubo_terms", O.with_views("SELECT target_load, i, j, q, const FROM qubo",
+                                     "ba_duck_curve_hourly", extra=[_TARGETS_HOURLY, _TARGETS, _QUBO]))
+def q_qubo_terms(spark, sf_dir):
+    return DP.qubo_terms(_targets(spark, sf_dir))
+
+
+@register("commitment_cost", O.with_views(f"""
+SELECT b.target_load, b.bits, {R('sum(q.q) + max(q.const)', 6)} AS qubo_objective, b.objective
+FROM best b JOIN qubo q ON q.target_load = b.target_load
+WHERE (b.commitment >> ({_NU - 1} - q.i)) & 1 = 1 AND (b.commitment >> ({_NU - 1} - q.j)) & 1 = 1
+GROUP BY b.target_load, b.bits, b.objective""", "ba_duck_curve_hourly", extra=_DISPATCH + [_QUBO]))
+def q_commitment_cost(spark, sf_dir):
+    """x^T Q x + const of each optimum, from the long-form QUBO; equals the closed form."""
+    t = _targets(spark, sf_dir)
+    best = DP.best_commitment(spark, t)
+    q = DP.qubo_terms(t)
+    n = _NU
+    on = F.expr(f"(shiftright(commitment, {n - 1} - i) & 1) = 1 "
+                f"AND (shiftright(commitment, {n - 1} - j) & 1) = 1")
+    j = best.join(q, "target_load").where(on)
+    return j.groupBy("target_load", "bits", "objective").agg(
+        py_round(F.sum("q") + F.max("const"), 6).alias("qubo_objective")).select(
+        "target_load", "bits", "qubo_objective", "objective")
+
+
+@register("commitment_gap", O.with_views(f"""
+SELECT e.target_load, e.bits AS optimum_bits, c.bits AS candidate_bits,
+       e.objective AS optimum_objective,
+       {R(_sql_obj('c.cost', 'c.capacity', 'e.target_load'), 6)} AS candidate_objective,
+       (e.commitment = c.commitment OR abs({R(_sql_obj('c.cost', 'c.capacity', 'e.target_load'), 6)}
+            - e.objective) < 1e-6) AS optimum_recovered
+FROM best e JOIN (SELECT target_load, commitment, bits, capacity, cost FROM (
+        SELECT t.target_load, s.*, row_number() OVER (PARTITION BY t.target_load ORDER BY
+            {R(_sql_obj('s.cost', 's.capacity', 'round_even(t.target_load, 0)'), 6)}, s.commitment) AS rn
+        FROM tg t, subsets s) WHERE rn = 1) c USING (target_load)""",
+    "ba_duck_curve_hourly", extra=_DISPATCH))
+def q_commitment_gap(spark, sf_dir):
+    """Candidate = the commitment solved on the whole-number target grid; is it
+    still optimal at the exact target?"""
+    t = _targets(spark, sf_dir).select("target_load").distinct()
+    coarse = t.withColumn("coarse_load", F.rint("target_load"))
+    solved = DP.best_commitment(spark, coarse, target_col="coarse_load").select(
+        F.col("target_load").alias("coarse_load"), "commitment")
+    cand = coarse.join(solved, "coarse_load").select("target_load", "commitment")
+    return DP.commitment_gap(spark, cand, DP.best_commitment(spark, t))
+
+
+@register("topk_commitments", O.with_views(f"""
+SELECT target_load, commitment, bits, objective FROM (
+    SELECT *, row_number() OVER (PARTITION BY target_load ORDER BY objective, commitment) AS rk
+    FROM (SELECT *, row_number() OVER (PARTITION BY target_load
+                     ORDER BY abs(target_load - capacity), commitment) AS sr FROM scored)
+    WHERE sr <= 16) WHERE rk = 1""", "ba_duck_curve_hourly", extra=_DISPATCH))
+def q_topk_commitments(spark, sf_dir):
+    return DP.topk_commitments(spark, _targets(spark, sf_dir), k=16)
