@@ -2,12 +2,14 @@
 
 Strict like the reference: a missing or unparsable field aborts the job
 (ANSI casts raise on junk; NULLs are turned into errors with ``raise_error``).
-The ingest stamp is one literal for the whole batch.
+The ingest stamp is one literal for the whole batch; ``keep`` passes extra
+columns (e.g. arrival order) through unchanged.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +45,8 @@ def _stamp(ingested_at_utc: dt.datetime) -> Column:
     return F.lit(ingested_at_utc).cast("timestamp").alias("ingested_at_utc")
 
 
-def normalize_region(records: DataFrame, *, ingested_at_utc: dt.datetime) -> DataFrame:
+def normalize_region(records: DataFrame, *, ingested_at_utc: dt.datetime,
+                     keep: Sequence[str] = ()) -> DataFrame:
     return records.select(
         parse_hour_utc("period").alias("period_utc"),
         text("respondent").alias("respondent"),
@@ -51,10 +54,11 @@ def normalize_region(records: DataFrame, *, ingested_at_utc: dt.datetime) -> Dat
         text("type").alias("metric_type"),
         text("type-name").alias("metric_name"),
         parse_double("value").alias("value_mwh"),
-        _stamp(ingested_at_utc))
+        _stamp(ingested_at_utc), *keep)
 
 
-def normalize_fuel(records: DataFrame, *, ingested_at_utc: dt.datetime) -> DataFrame:
+def normalize_fuel(records: DataFrame, *, ingested_at_utc: dt.datetime,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """Negative generation is kept."""
     return records.select(
         parse_hour_utc("period").alias("period_utc"),
@@ -63,10 +67,11 @@ def normalize_fuel(records: DataFrame, *, ingested_at_utc: dt.datetime) -> DataF
         text("fueltype").alias("fuel_type"),
         text("type-name").alias("fuel_name"),
         parse_double("value").alias("generation_mwh"),
-        _stamp(ingested_at_utc))
+        _stamp(ingested_at_utc), *keep)
 
 
-def normalize_outage(records: DataFrame, *, ingested_at_utc: dt.datetime) -> DataFrame:
+def normalize_outage(records: DataFrame, *, ingested_at_utc: dt.datetime,
+                     keep: Sequence[str] = ()) -> DataFrame:
     return records.select(
         parse_date("period").alias("period_date"),
         text("facility").alias("facility"),
@@ -74,4 +79,4 @@ def normalize_outage(records: DataFrame, *, ingested_at_utc: dt.datetime) -> Dat
         parse_double("capacity").alias("capacity_mw"),
         parse_double("outage").alias("outage_mw"),
         parse_double("percentOutage").alias("percent_outage"),
-        _stamp(ingested_at_utc))
+        _stamp(ingested_at_utc), *keep)

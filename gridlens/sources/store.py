@@ -132,12 +132,14 @@ def upsert(spark: SparkSession, data_dir: str, dataset: str, new_rows: DataFrame
     merged = last_arrival(rows, [*keys], ARRIVAL)
     merged = merged.select(*cols, *[c for c in parts if c not in cols])
     stage = staging_path(spark, data_dir)
-    (merged.repartition(*[F.col(c) for c in parts])
+    # rebalance: hash by partition values, but AQE splits an oversized (hot)
+    # partition over several tasks/files instead of funnelling it into one.
+    (merged.hint("rebalance", *parts)
      .sortWithinPartitions(*parts, *keys)
      .write.mode("overwrite").partitionBy(*parts).parquet(stage))
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(_read_schema(dataset)).parquet(stage)
     (staged.select(*cols, *[c for c in parts if c not in cols])
-     .repartition(*[F.col(c) for c in parts])
+     .hint("rebalance", *parts)
      .sortWithinPartitions(*parts, *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
