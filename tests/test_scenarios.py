@@ -6,18 +6,23 @@ from gridlens.operators.curve import load_columns
 
 
 def structured_curve(spark, days, respondent="DEMO"):
-    """Duck-shaped hourly series from spark.range: daytime solar, sinusoidal wind with
-    hash noise, flat nuclear. Values carry two decimals like stored grid data."""
+    """Duck-shaped hourly series from spark.range: daytime solar with a daily cloud
+    factor, diurnal wind with a daily level, flat nuclear, hash noise throughout.
+    Values carry two decimals like stored grid data."""
     h = F.col("id")
     hod = (h % 24).cast("double")
     noise = (F.abs(F.xxhash64(h)) % 1000).cast("double") / 1000.0
-    solar = F.greatest(F.sin(F.lit(3.141592653589793) * (hod - 6) / 12.0), F.lit(0.0)) * 12500.0
+    day = F.floor(h / 24)
+    cloud = F.lit(0.35) + F.lit(0.65) * (F.abs(F.xxhash64(day)) % 1000).cast("double") / 1000.0
+    level = (F.abs(F.xxhash64(day + 7919)) % 1000).cast("double") / 1000.0
+    daylight = F.greatest(F.sin(F.lit(3.141592653589793) * (hod - 6) / 12.0), F.lit(0.0))
     df = spark.range(days * 24).select(
         (F.lit("2025-04-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=h.cast("int"))).alias("period_utc"),
         F.lit(respondent).alias("respondent"),
         F.round(22000 + 5200 * F.exp(-0.5 * ((hod - 19) / 2.6) ** 2) + 300 * noise, 2).alias("demand_mwh"),
-        F.round(solar * (0.8 + 0.2 * noise), 2).alias("solar_mwh"),
-        F.round(2600 + 500 * F.cos(F.lit(3.141592653589793) * (hod - 3) / 12.0) + 400 * noise, 2).alias("wind_mwh"),
+        F.round(daylight * cloud * 12500.0 + daylight * 60 * noise, 2).alias("solar_mwh"),
+        F.round(2600 + 500 * F.cos(F.lit(3.141592653589793) * (hod - 3) / 12.0)
+                + 900 * level + 150 * noise, 2).alias("wind_mwh"),
         F.round(2250 + 15 * noise, 2).alias("nuclear_mwh"))
     return load_columns(df)
 
