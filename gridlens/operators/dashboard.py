@@ -18,10 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import exact_sum, py_mean, py_round
+from gridlens.functions.rounding import exact_sum, finish_means, mean_parts, py_mean, py_round
 from gridlens.functions.timefmt import local_hour, respondent_timezone, utc_iso
 from gridlens.operators.windows import hourly_ramp
 from gridlens.schemas import CHART_TIMEZONE
+from gridlens.session import checkpoint_dir
 
 
 class SelectionError(ValueError):
@@ -119,16 +120,29 @@ def hour_spine(keys: DataFrame) -> DataFrame:
     return keys.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
 
 
+def fill_hours(hourly: DataFrame, keys: Sequence[str], fields: Sequence[str],
+               default: Column | None = None) -> DataFrame:
+    """All 24 hours per key from per-(key, hour) rows, without a join or a second
+    pass over the input: the (at most 24) hours of a key are gathered into a map,
+    then the key is exploded over 0..23 and each hour looked up (missing ->
+    ``default``, NULL when not given)."""
+    by_key = hourly.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col("hour"), F.struct(*[F.col(f) for f in fields])))).alias("_h"))
+    spread = by_key.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    got = F.try_element_at(F.col("_h"), F.col("hour"))
+    out = [(got[f] if default is None else F.coalesce(got[f], default)).alias(f) for f in fields]
+    return spread.select(*keys, "hour", *out)
+
+
 def duck_profile(curve_slice: DataFrame) -> DataFrame:
     """Mean per local hour (respondent's zone) of the six curve series, rounded to 2.
 
     All 24 hours per respondent; an hour without rows has NULL fields."""
     local = curve_slice.withColumn(
         "hour", local_hour("period_utc", respondent_timezone("respondent")))
-    means = local.groupBy("respondent", "hour").agg(
-        *[py_mean(src, 2).alias(name) for name, src in PROFILE_FIELDS.items()])
-    spine = hour_spine(curve_slice.select("respondent").distinct())
-    return spine.join(means, ["respondent", "hour"], "left")
+    means = finish_means(local.groupBy("respondent", "hour").agg(
+        *[mean_parts(src).alias(name) for name, src in PROFILE_FIELDS.items()]), list(PROFILE_FIELDS))
+    return fill_hours(means, ["respondent"], list(PROFILE_FIELDS))
 
 
 CHART_FIELDS = {"demand": "demand_mwh", "net_load": "net_load_mwh",
@@ -172,10 +186,9 @@ def mix_profile(fuel_rows: DataFrame) -> DataFrame:
     local = fuel_rows.withColumn(
         "hour", local_hour("period_utc", respondent_timezone("respondent")))
     keys = ["respondent", "fuel_type", "fuel_name"]
-    means = local.groupBy(*keys, "hour").agg(py_mean("generation_mwh", 2).alias("mean_mwh"))
-    spine = hour_spine(fuel_rows.select(*keys).distinct())
-    return (spine.join(means, [*keys, "hour"], "left")
-            .select(*keys, "hour", F.coalesce(F.col("mean_mwh"), F.lit(0.0)).alias("generation_mwh")))
+    means = finish_means(local.groupBy(*keys, "hour").agg(
+        mean_parts("generation_mwh").alias("generation_mwh")), ["generation_mwh"])
+    return fill_hours(means, keys, ["generation_mwh"], default=F.lit(0.0))
 
 
 def mix_profile_arrays(mix: DataFrame) -> DataFrame:
@@ -244,11 +257,12 @@ def summary_cards(curve_slice: DataFrame) -> DataFrame:
     two rows), mean nuclear; rounded to 2. One window pass, one aggregation."""
     ramps = hourly_ramp(curve_slice.select("respondent", "period_utc", "demand_mwh",
                                            "net_load_mwh", "nuclear_mwh"))
-    return ramps.groupBy("respondent").agg(
+    cards = ramps.groupBy("respondent").agg(
         py_round(F.max("demand_mwh"), 2).alias("peak_demand_mwh"),
         py_round(F.min("net_load_mwh"), 2).alias("minimum_net_load_mwh"),
         py_round(F.coalesce(F.max("ramp_mwh"), F.lit(0.0)), 2).alias("steepest_hourly_ramp_mwh"),
-        py_mean("nuclear_mwh", 2).alias("average_nuclear_mwh"))
+        mean_parts("nuclear_mwh").alias("average_nuclear_mwh"))
+    return finish_means(cards, ["average_nuclear_mwh"])
 
 
 # ---------------------------------------------------------------- payload
@@ -260,11 +274,15 @@ def dashboard_payload(curve: DataFrame, fuel: DataFrame, outage: DataFrame, regi
                       start, end, respondents: Sequence[str] | None = None) -> DataFrame:
     """One JSON document per respondent with every dashboard block.
 
-    Each block is a per-respondent aggregate joined on ``respondent``; the fleet
+    Runs one eager job (the checkpoint of the curve slice).  Each block is a
+    per-respondent aggregate joined on ``respondent``; the fleet
     outage context (identical for all respondents, bounded by the number of days
     in the range) is attached as a scalar subquery, so nothing is cross joined.
     """
-    cs = date_range_slice(curve, start, end, respondents)
+    # The curve slice feeds three blocks: compute it once and cut its lineage with a
+    # reliable checkpoint in the shared checkpoint folder (hourly grain, so small).
+    checkpoint_dir(curve.sparkSession)
+    cs = date_range_slice(curve, start, end, respondents).checkpoint(eager=True)
     fs = fuel_slice(fuel, start, end, respondents)
 
     prof = duck_profile(cs)
