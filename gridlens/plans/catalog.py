@@ -600,9 +600,10 @@ def q_qubo_terms(spark, sf_dir):
 
 
 @register("commitment_cost", O.with_views(f"""
-SELECT b.target_load, b.bits, {R('sum(q.q) + max(q.const)', 6)} AS qubo_objective, b.objective
+SELECT b.target_load, b.bits,
+       {R('coalesce(sum(CASE WHEN (b.commitment >> (' + str(_NU - 1) + ' - q.i)) & 1 = 1 AND (b.commitment >> (' + str(_NU - 1) + ' - q.j)) & 1 = 1 THEN q.q ELSE 0.0 END), 0.0) + max(q.const)', 6)} AS qubo_objective,
+       b.objective
 FROM best b JOIN qubo q ON q.target_load = b.target_load
-WHERE (b.commitment >> ({_NU - 1} - q.i)) & 1 = 1 AND (b.commitment >> ({_NU - 1} - q.j)) & 1 = 1
 GROUP BY b.target_load, b.bits, b.objective""", "ba_duck_curve_hourly", extra=_DISPATCH + [_QUBO]))
 def q_commitment_cost(spark, sf_dir):
     """x^T Q x + const of each optimum, from the long-form QUBO; equals the closed form."""
@@ -612,9 +613,10 @@ def q_commitment_cost(spark, sf_dir):
     n = _NU
     on = F.expr(f"(shiftright(commitment, {n - 1} - i) & 1) = 1 "
                 f"AND (shiftright(commitment, {n - 1} - j) & 1) = 1")
-    j = best.join(q, "target_load").where(on)
+    j = best.join(q, "target_load")  # N^2 terms per target, N capped
+    xqx = F.sum(F.when(on, F.col("q")).otherwise(F.lit(0.0)))
     return j.groupBy("target_load", "bits", "objective").agg(
-        py_round(F.sum("q") + F.max("const"), 6).alias("qubo_objective")).select(
+        py_round(xqx + F.max("const"), 6).alias("qubo_objective")).select(
         "target_load", "bits", "qubo_objective", "objective")
 
 

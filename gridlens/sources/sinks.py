@@ -34,7 +34,7 @@ def export_duck_curve_csv(curve: DataFrame, path: str, *, respondent: str) -> in
 
 def write_scenario_csv(summary: DataFrame, path: str) -> None:
     """Header ``scenario`` + six fields, one row per scenario (catalogue order)."""
-    (summary.orderBy("scenario_order").select("scenario", *SCENARIO_FIELDS)
+    (summary.orderBy("scenario_order", "respondent").select("scenario", *SCENARIO_FIELDS)
      .coalesce(1).write.mode("overwrite").option("header", True).csv(path))
 
 
