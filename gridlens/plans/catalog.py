@@ -10,14 +10,14 @@ engines.
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from gridlens.functions.rounding import exact_mean, py_round
 from gridlens.functions.rounding import sql_exact_mean as XM
 from gridlens.functions.rounding import sql_exact_sum as XS
@@ -26,6 +26,10 @@ from gridlens.functions.rounding import sql_py_round as R
 from gridlens.functions.timefmt import iso_offset, respondent_timezone, utc_iso
 from gridlens.operators import curve as C
 from gridlens.operators import dashboard as D
+from gridlens.operators import dispatch as DP
+from gridlens.operators import forecast as FC
+from gridlens.operators import scenarios as SC
+from gridlens.operators.windows import hourly_ramp, series_window
 from gridlens.plans import oracle as O
 from gridlens.sources import fixtures as X
 from gridlens.sources import normalize as N
@@ -321,15 +325,10 @@ _RAMP = ("rp", """SELECT *, abs(net_load_mwh - lag(net_load_mwh, 1) OVER
 SELECT {O.ts_text('period_utc')} AS period_utc, respondent, ramp_mwh FROM rp""",
     "ba_duck_curve_hourly", extra=[_SLICE, _RAMP]))
 def q_hourly_ramp(spark, sf_dir):
-    r = windows_ramp(_slice(spark, sf_dir))
+    r = hourly_ramp(_slice(spark, sf_dir))
     return _curve_text(r.select("period_utc", "respondent", "ramp_mwh"))
 
 
-def windows_ramp(df):
-    from gridlens.operators.windows import hourly_ramp
-    return hourly_ramp(df)
-
-
 @register("summary_cards", O.with_views(f"""
 SELECT respondent, {R('max(demand_mwh)', 2)} AS peak_demand_mwh,
        {R('min(net_load_mwh)', 2)} AS minimum_net_load_mwh,
@@ -451,7 +450,6 @@ def q_upsert_merge(spark, sf_dir):
 
 # ------------------------------------------------------------------ scenarios
 
-from gridlens.operators import scenarios as SC  # noqa: E402
 
 _SC_VALUES = ", ".join(f"('{l}', {i + 1}, {rm!r}, {na!r})"
                        for i, (l, rm, na) in enumerate(SC.DEFAULT_SCENARIOS))
@@ -515,7 +513,6 @@ def q_scenario_compare(spark, sf_dir):
 
 # ------------------------------------------------------------------ dispatch
 
-from gridlens.operators import dispatch as DP  # noqa: E402
 
 _UNITS = DP.fleet()
 _NU = len(_UNITS)
@@ -654,9 +651,8 @@ def q_topk_commitments(spark, sf_dir):
 
 # ------------------------------------------------------------------ forecast
 
-from gridlens.operators import forecast as FC  # noqa: E402
 
-_TWO_PI = f"{2.0 * __import__('math').pi!r}"
+_TWO_PI = f"{2.0 * math.pi!r}"
 _LONG = ("ls", """SELECT respondent, 'solar' AS series, period_utc, solar_mwh AS y FROM ba_duck_curve_hourly
     UNION ALL SELECT respondent, 'wind', period_utc, wind_mwh FROM ba_duck_curve_hourly""")
 _W = "PARTITION BY respondent, series ORDER BY period_utc"
@@ -704,7 +700,6 @@ def q_calendar_features(spark, sf_dir):
 SELECT respondent, series, {O.ts_text('period_utc')} AS period_utc, y, lag_1, lag_24 FROM ft""",
     "ba_duck_curve_hourly", extra=_FC[:2]))
 def q_lag_features(spark, sf_dir):
-    from gridlens.operators.windows import series_window
     w = series_window(FC.SERIES_KEYS)
     ls = FC.long_series(curve(spark, sf_dir))
     return _curve_text(ls.select("respondent", "series", "period_utc", "y",
@@ -716,7 +711,6 @@ def q_lag_features(spark, sf_dir):
 SELECT respondent, series, {O.ts_text('period_utc')} AS period_utc, roll_24 FROM ft""",
     "ba_duck_curve_hourly", extra=_FC[:2]))
 def q_rolling_mean_24(spark, sf_dir):
-    from gridlens.operators.windows import series_window
     w = series_window(FC.SERIES_KEYS)
     ls = FC.long_series(curve(spark, sf_dir))
     return _curve_text(ls.select("respondent", "series", "period_utc",

@@ -70,13 +70,22 @@ def _read_schema(dataset: str) -> T.StructType:
                                   T.StructField("month", T.StringType())])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs_path(spark, path)
     return fs.exists(hpath)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs_path(spark, path)
+    fs.delete(hpath, True)
+
+
 def scan_table(spark: SparkSession, data_dir: str, dataset: str, *, with_partitions_cols=False,
                months: tuple[str, str] | None = None) -> DataFrame:
     """Declared schema, partition values read as text (``month=04`` stays ``"04"``);
@@ -143,7 +152,9 @@ def upsert(spark: SparkSession, data_dir: str, dataset: str, new_rows: DataFrame
      .sortWithinPartitions(*parts, *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
-    return staged.count()
+    count = staged.count()
+    _remove(spark, stage)  # the staged copy is only needed until the overwrite commits
+    return count
 
 
 def register_views(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
