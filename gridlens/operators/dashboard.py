@@ -252,12 +252,15 @@ def coverage(curve_slice: DataFrame) -> DataFrame:
         F.min("period_utc").alias("start"), F.max("period_utc").alias("end"))
 
 
-def summary_cards(curve_slice: DataFrame) -> DataFrame:
+def summary_cards(curve_slice: DataFrame, with_coverage: bool = False) -> DataFrame:
     """Peak demand, minimum net load, steepest row-to-row ramp (0.0 with fewer than
-    two rows), mean nuclear; rounded to 2. One window pass, one aggregation."""
+    two rows), mean nuclear; rounded to 2. One window pass, one aggregation
+    (optionally carrying the coverage columns in the same aggregation)."""
     ramps = hourly_ramp(curve_slice.select("respondent", "period_utc", "demand_mwh",
                                            "net_load_mwh", "nuclear_mwh"))
-    cards = ramps.groupBy("respondent").agg(
+    extra = [F.count(F.lit(1)).alias("hourly_rows"), F.min("period_utc").alias("start"),
+             F.max("period_utc").alias("end")] if with_coverage else []
+    cards = ramps.groupBy("respondent").agg(*extra,
         py_round(F.max("demand_mwh"), 2).alias("peak_demand_mwh"),
         py_round(F.min("net_load_mwh"), 2).alias("minimum_net_load_mwh"),
         py_round(F.coalesce(F.max("ramp_mwh"), F.lit(0.0)), 2).alias("steepest_hourly_ramp_mwh"),
@@ -305,11 +308,10 @@ def dashboard_payload(curve: DataFrame, fuel: DataFrame, outage: DataFrame, regi
             F.col("capacity_mw").alias("capacityMw"), F.col("outage_mw").alias("outageMw"),
             F.col("available_mw").alias("availableMw")))).alias("days"))).scalar()
 
-    cards = summary_cards(cs)
-    cov = coverage(cs)
+    cards = summary_cards(cs, with_coverage=True)
     fresh = freshness(_respondent_filter(region, respondents))
 
-    doc = (cov.join(cards, "respondent").join(prof_items, "respondent")
+    doc = (cards.join(prof_items, "respondent")
            .join(mix_items, "respondent", "left").join(fresh, "respondent", "left"))
     payload = F.struct(
         F.col("respondent"),
