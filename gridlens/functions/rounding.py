@@ -21,10 +21,11 @@ _SPLIT = 134217729.0  # 2^27 + 1, Dekker's splitter for doubles
 
 
 def py_round(x: Column | str, n: int) -> Column:
-    """Spark Column equal to Python ``round(x, n)`` for doubles."""
+    """Spark Column equal to Python ``round(x, n)`` for doubles (``x``: column name or Column)."""
     if not 0 <= n <= 11:
         raise ValueError("py_round supports 0..11 decimals")
-    x = F.col(x) if isinstance(x, str) else x
+    if isinstance(x, str):
+        return F.expr(round_text(_quote(x), n, SPARK))
     x = x.cast("double")
     s = float(10 ** n)
     y = x * F.lit(s)
@@ -44,22 +45,8 @@ def sql_py_round(expr: str, n: int) -> str:
     """DuckDB SQL text computing the same value as :func:`py_round`.
 
     ``expr`` should be a column name or a parenthesised expression; it is
-    repeated several times in the output.
-    """
-    if not 0 <= n <= 11:
-        raise ValueError("sql_py_round supports 0..11 decimals")
-    s = f"{float(10 ** n)!r}"
-    x = f"CAST({expr} AS DOUBLE)"
-    y = f"({x} * {s})"
-    c = f"({x} * {_SPLIT!r})"
-    hi = f"({c} - ({c} - {x}))"
-    lo = f"({x} - {hi})"
-    err = f"(({hi} * {s} - {y}) + {lo} * {s})"
-    fl = f"floor({y})"
-    half = f"(({y} - {fl}) = 0.5)"
-    return (f"((CASE WHEN {half} AND {err} > 0 THEN {fl} + 1.0 "
-            f"WHEN {half} AND {err} < 0 THEN {fl} "
-            f"ELSE round_even({y}, 0) END) / {s})")
+    repeated several times in the output."""
+    return round_text(expr, n, DUCK)
 
 
 # ---------------------------------------------------------------------------
@@ -73,136 +60,178 @@ def sql_py_round(expr: str, n: int) -> str:
 # exact decimal tie resolves like Python's ``round(statistics.mean(v), nd)``:
 # by where the double nearest the tie lies (above -> up, below -> down, exactly
 # on it -> even), found with the same Dekker product error as above.
+#
+# The expressions are generated as SQL text for both engines from one template
+# (``dialect`` = "spark" or "duckdb"), so the Spark side costs one JVM call per
+# expression instead of one per operator node.
 
 
-def _units(x: Column, dp_in: int) -> Column:
-    return F.rint(x.cast("double") * F.lit(float(10 ** dp_in))).cast("long")
+class _Dialect:
+    def __init__(self, name: str):
+        self.name = name
 
+    def dbl(self, v: float) -> str:
+        return f"{float(v)!r}D" if self.name == "spark" else f"CAST({float(v)!r} AS DOUBLE)"
 
-def exact_sum(x: Column | str, dp_in: int = 2) -> Column:
-    """Aggregate: order-independent sum of values with at most ``dp_in`` decimals."""
-    x = F.col(x) if isinstance(x, str) else x
-    return F.sum(_units(x, dp_in)).cast("double") / F.lit(float(10 ** dp_in))
+    def rint(self, e: str) -> str:
+        return f"rint({e})" if self.name == "spark" else f"round_even({e}, 0)"
 
+    def floor(self, e: str) -> str:
+        return f"CAST(floor({e}) AS DOUBLE)"
 
-def py_mean(x: Column | str, nd: int = 2, dp_in: int = 2) -> Column:
-    """Aggregate: ``round(mean(x), nd)`` with Python semantics, exact and order-free."""
-    if not 0 <= nd <= dp_in <= 6:
-        raise ValueError("need 0 <= nd <= dp_in <= 6")
-    x = F.col(x) if isinstance(x, str) else x
-    u = _units(x, dp_in)
-    s, n = F.sum(u), F.count(u)
-    big_n = n * F.lit(10 ** (dp_in - nd))
-    r = F.pmod(s, big_n)
-    q = ((s - r).cast("double") / big_n.cast("double")).cast("long")
-    d = float(2 * 10 ** nd)
-    m = (q * 2 + 1).cast("double")
-    t = m / F.lit(d)                      # double nearest the tie (q + 1/2) / 10^nd
-    p = t * F.lit(d)
-    c = t * F.lit(_SPLIT)
-    hi = c - (c - t)
-    lo = t - hi
-    err = (hi * F.lit(d) - p) + lo * F.lit(d)
-    above = F.when(p != m, p > m).otherwise(err > 0)
-    exact_tie = (p == m) & (err == 0)
-    k = (F.when(r * 2 < big_n, q)
-         .when(r * 2 > big_n, q + 1)
-         .when(exact_tie, F.when(F.pmod(q, F.lit(2)) == 0, q).otherwise(q + 1))
-         .when(above, q + 1)
-         .otherwise(q))
-    return F.when(n > 0, k.cast("double") / F.lit(float(10 ** nd)))
-
-
-def _sql_units(expr: str, dp_in: int) -> str:
-    return f"CAST(round_even(CAST({expr} AS DOUBLE) * {float(10 ** dp_in)!r}, 0) AS BIGINT)"
+    def pmod(self, a: str, b: str) -> str:
+        return f"pmod({a}, {b})" if self.name == "spark" else f"((({a} % {b}) + {b}) % {b})"
 
+    def idiv(self, a: str, b: str) -> str:
+        return f"({a} div {b})" if self.name == "spark" else f"({a} // {b})"
 
-def sql_exact_sum(expr: str, dp_in: int = 2) -> str:
-    return f"(CAST(sum({_sql_units(expr, dp_in)}) AS DOUBLE) / {float(10 ** dp_in)!r})"
 
+SPARK, DUCK = _Dialect("spark"), _Dialect("duckdb")
 
-def sql_py_mean(expr: str, nd: int = 2, dp_in: int = 2) -> str:
-    u = _sql_units(expr, dp_in)
-    s, n = f"sum({u})", f"count({u})"
+
+def round_text(expr: str, n: int, d: _Dialect) -> str:
+    """``round(expr, n)`` with Python semantics as SQL text (expr is repeated)."""
+    if not 0 <= n <= 11:
+        raise ValueError("supports 0..11 decimals")
+    s = d.dbl(10 ** n)
+    x = f"CAST({expr} AS DOUBLE)"
+    y = f"({x} * {s})"
+    c = f"({x} * {d.dbl(_SPLIT)})"
+    hi = f"({c} - ({c} - {x}))"
+    lo = f"({x} - {hi})"
+    err = f"(({hi} * {s} - {y}) + {lo} * {s})"
+    fl = d.floor(y)
+    half = f"(({y} - {fl}) = {d.dbl(0.5)})"
+    return (f"((CASE WHEN {half} AND {err} > 0 THEN {fl} + {d.dbl(1.0)} "
+            f"WHEN {half} AND {err} < 0 THEN {fl} ELSE {d.rint(y)} END) / {s})")
+
+
+def units_text(expr: str, dp_in: int, d: _Dialect) -> str:
+    return f"CAST({d.rint(f'CAST({expr} AS DOUBLE) * {d.dbl(10 ** dp_in)}')} AS BIGINT)"
+
+
+def mean_round_text(s: str, n: str, nd: int, dp_in: int, d: _Dialect) -> str:
+    """``round(S / (n 10^dp_in), nd)`` from an exact unit sum ``s`` and count ``n``."""
+    if not 0 <= nd <= dp_in <= 6:
+        raise ValueError("need 0 <= nd <= dp_in <= 6")
     big_n = f"({n} * {10 ** (dp_in - nd)})"
-    r = f"((({s} % {big_n}) + {big_n}) % {big_n})"
-    q = f"(({s} - {r}) // {big_n})"
-    d = f"{float(2 * 10 ** nd)!r}"
+    r = d.pmod(s, big_n)
+    q = d.idiv(f"({s} - {r})", big_n)
+    dd = d.dbl(2 * 10 ** nd)
     m = f"CAST({q} * 2 + 1 AS DOUBLE)"
-    t = f"({m} / {d})"
-    p = f"({t} * {d})"
-    c = f"({t} * {_SPLIT!r})"
+    t = f"({m} / {dd})"
+    p = f"({t} * {dd})"
+    c = f"({t} * {d.dbl(_SPLIT)})"
     hi = f"({c} - ({c} - {t}))"
     lo = f"({t} - {hi})"
-    err = f"(({hi} * {d} - {p}) + {lo} * {d})"
+    err = f"(({hi} * {dd} - {p}) + {lo} * {dd})"
     above = f"(CASE WHEN {p} <> {m} THEN {p} > {m} ELSE {err} > 0 END)"
     exact_tie = f"({p} = {m} AND {err} = 0)"
     k = (f"(CASE WHEN {r} * 2 < {big_n} THEN {q} WHEN {r} * 2 > {big_n} THEN {q} + 1 "
-         f"WHEN {exact_tie} THEN (CASE WHEN {q} % 2 = 0 THEN {q} ELSE {q} + 1 END) "
+         f"WHEN {exact_tie} THEN (CASE WHEN {d.pmod(q, '2')} = 0 THEN {q} ELSE {q} + 1 END) "
          f"WHEN {above} THEN {q} + 1 ELSE {q} END)")
-    return f"(CASE WHEN {n} > 0 THEN CAST({k} AS DOUBLE) / {float(10 ** nd)!r} END)"
+    return f"(CASE WHEN {n} > 0 THEN CAST({k} AS DOUBLE) / {d.dbl(10 ** nd)} END)"
 
 
-def exact_mean(x: Column | str, dp_in: int = 2) -> Column:
-    """Aggregate: unrounded mean from the exact unit sum, one IEEE division
-    (order-free, so identical on every engine and partitioning)."""
-    x = F.col(x) if isinstance(x, str) else x
-    u = _units(x, dp_in)
-    n = F.count(u)
-    return F.when(n > 0, F.sum(u).cast("double") / (n.cast("double") * F.lit(float(10 ** dp_in))))
+def _quote(col: str) -> str:
+    return "`" + col.replace("`", "``") + "`"
 
 
-def sql_exact_mean(expr: str, dp_in: int = 2) -> str:
-    u = _sql_units(expr, dp_in)
-    return (f"(CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
-            f"(CAST(count({u}) AS DOUBLE) * {float(10 ** dp_in)!r}) END)")
+def py_round_expr(sql: str, n: int) -> Column:
+    """Python-equal rounding of a Spark SQL expression text (may contain aggregates)."""
+    return F.expr(round_text(f"({sql})", n, SPARK))
+
 
+def exact_sum(x: Column | str, dp_in: int = 2) -> Column:
+    """Aggregate: order-independent sum of values with at most ``dp_in`` decimals."""
+    if isinstance(x, str):
+        u = units_text(_quote(x), dp_in, SPARK)
+        return F.expr(f"CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)}")
+    return F.sum(_units(x, dp_in)).cast("double") / F.lit(float(10 ** dp_in))
 
-# Two-step form of ``py_mean`` for wide aggregations: ``mean_parts`` inside
-# ``agg`` (exact unit sum and count), then ``finish_means`` as a chain of small
-# projections.  Each step only references the previous step's columns, and
-# Catalyst does not inline a non-trivial alias that is used twice, so the
-# expression stays linear in size instead of repeating whole subtrees.
 
-def mean_parts(x: Column | str, dp_in: int = 2) -> Column:
-    x = F.col(x) if isinstance(x, str) else x
-    u = _units(x, dp_in)
-    return F.struct(F.sum(u).alias("s"), F.count(u).alias("n"))
+def _units(x: Column, dp_in: int) -> Column:
+    return F.rint(x.cast("double") * F.lit(float(10 ** dp_in))).cast("long")
+
+
+def py_mean(x: str, nd: int = 2, dp_in: int = 2) -> Column:
+    """Aggregate over a column name: ``round(mean(x), nd)`` with Python semantics,
+    exact and order-free."""
+    u = units_text(_quote(x), dp_in, SPARK)
+    return F.expr(mean_round_text(f"sum({u})", f"count({u})", nd, dp_in, SPARK))
+
+
+def exact_mean(x: str, dp_in: int = 2) -> Column:
+    """Aggregate: unrounded mean from the exact unit sum, one IEEE division
+    (order-free, so identical on every engine and partitioning)."""
+    u = units_text(_quote(x), dp_in, SPARK)
+    return F.expr(f"CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
+                  f"(CAST(count({u}) AS DOUBLE) * {SPARK.dbl(10 ** dp_in)}) END")
+
+
+def mean_parts(x: str, dp_in: int = 2) -> Column:
+    """Aggregate: struct(exact unit sum ``s``, count ``n``); finish with :func:`finish_means`."""
+    u = units_text(_quote(x), dp_in, SPARK)
+    return F.expr(f"named_struct('s', sum({u}), 'n', count({u}))")
 
 
 def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
-    """Replace each ``mean_parts`` struct column in ``cols`` by ``round(mean, nd)``."""
+    """Replace each :func:`mean_parts` struct column in ``cols`` by ``round(mean, nd)``.
+
+    Written as a chain of small projections (a let-chain): each step only
+    references the previous step's columns, and Catalyst does not inline a
+    non-trivial alias used more than once, so the generated code stays linear
+    instead of repeating the tie arithmetic's subtrees."""
     if not 0 <= nd <= dp_in <= 6:
         raise ValueError("need 0 <= nd <= dp_in <= 6")
-    d = float(2 * 10 ** nd)
-    scale = 10 ** (dp_in - nd)
+    d = SPARK
+    dd, split = d.dbl(2 * 10 ** nd), d.dbl(_SPLIT)
     steps = [
-        lambda c: {"s": F.col(c)["s"], "n": F.col(c)["n"], "bign": F.col(c)["n"] * F.lit(scale)},
-        lambda c: {"r": F.pmod(F.col(f"_{c}_s"), F.col(f"_{c}_bign"))},
-        lambda c: {"q": ((F.col(f"_{c}_s") - F.col(f"_{c}_r")).cast("double")
-                         / F.col(f"_{c}_bign").cast("double")).cast("long")},
-        lambda c: {"m": (F.col(f"_{c}_q") * 2 + 1).cast("double")},
-        lambda c: {"t": F.col(f"_{c}_m") / F.lit(d)},
-        lambda c: {"p": F.col(f"_{c}_t") * F.lit(d), "c": F.col(f"_{c}_t") * F.lit(_SPLIT)},
-        lambda c: {"hi": F.col(f"_{c}_c") - (F.col(f"_{c}_c") - F.col(f"_{c}_t"))},
-        lambda c: {"lo": F.col(f"_{c}_t") - F.col(f"_{c}_hi")},
-        lambda c: {"err": (F.col(f"_{c}_hi") * F.lit(d) - F.col(f"_{c}_p"))
-                          + F.col(f"_{c}_lo") * F.lit(d)},
+        [("s", "{c}.s"), ("n", "{c}.n"), ("bn", f"{{c}}.n * {10 ** (dp_in - nd)}")],
+        [("r", "pmod({s}, {bn})")],
+        [("q", "({s} - {r}) div {bn}")],
+        [("m", "CAST({q} * 2 + 1 AS DOUBLE)")],
+        [("t", f"{{m}} / {dd}")],
+        [("p", f"{{t}} * {dd}"), ("cc", f"{{t}} * {split}")],
+        [("hi", "{cc} - ({cc} - {t})")],
+        [("err", f"({{hi}} * {dd} - {{p}}) + ({{t}} - {{hi}}) * {dd}")],
     ]
+    final = ("CASE WHEN {n} > 0 THEN CAST((CASE WHEN {r} * 2 < {bn} THEN {q} "
+             "WHEN {r} * 2 > {bn} THEN {q} + 1 "
+             "WHEN {p} = {m} AND {err} = 0 THEN (CASE WHEN pmod({q}, 2) = 0 THEN {q} ELSE {q} + 1 END) "
+             "WHEN (CASE WHEN {p} <> {m} THEN {p} > {m} ELSE {err} > 0 END) THEN {q} + 1 "
+             f"ELSE {{q}} END) AS DOUBLE) / {d.dbl(10 ** nd)} END")
+    keep = list(df.columns)
+
+    def names(c):
+        return {k: _quote(f"__{c}_{k}") for k in
+                ("s", "n", "bn", "r", "q", "m", "t", "p", "cc", "hi", "err")} | {"c": _quote(c)}
+
+    temps = []
     for step in steps:
-        df = df.select("*", *[e.alias(f"_{c}_{k}") for c in cols for k, e in step(c).items()])
-
-    def k(c):
-        q, r, n2 = F.col(f"_{c}_q"), F.col(f"_{c}_r") * 2, F.col(f"_{c}_bign")
-        p, m, err = F.col(f"_{c}_p"), F.col(f"_{c}_m"), F.col(f"_{c}_err")
-        above = F.when(p != m, p > m).otherwise(err > 0)
-        exact_tie = (p == m) & (err == 0)
-        kk = (F.when(r < n2, q).when(r > n2, q + 1)
-              .when(exact_tie, F.when(F.pmod(q, F.lit(2)) == 0, q).otherwise(q + 1))
-              .when(above, q + 1).otherwise(q))
-        return F.when(F.col(f"_{c}_n") > 0, kk.cast("double") / F.lit(float(10 ** nd)))
-
-    tmp = [f"_{c}_{k}" for c in cols for k in
-           ("s", "n", "bign", "r", "q", "m", "t", "p", "c", "hi", "lo", "err")]
-    return df.select(*[k(c).alias(c) if c in cols else F.col(c) for c in df.columns
-                       if c not in tmp])
+        exprs = ["*"]
+        for c in cols:
+            nm = names(c)
+            for k, tmpl in step:
+                exprs.append(f"{tmpl.format(**nm)} AS {nm[k]}")
+                temps.append(f"__{c}_{k}")
+        df = df.selectExpr(*exprs)
+    out = [f"{final.format(**names(c))} AS {_quote(c)}" if c in cols else _quote(c) for c in keep]
+    return df.selectExpr(*out)
+
+
+# DuckDB twins ---------------------------------------------------------------
+
+def sql_exact_sum(expr: str, dp_in: int = 2) -> str:
+    return f"(CAST(sum({units_text(expr, dp_in, DUCK)}) AS DOUBLE) / {DUCK.dbl(10 ** dp_in)})"
+
+
+def sql_py_mean(expr: str, nd: int = 2, dp_in: int = 2) -> str:
+    u = units_text(expr, dp_in, DUCK)
+    return mean_round_text(f"sum({u})", f"count({u})", nd, dp_in, DUCK)
+
+
+def sql_exact_mean(expr: str, dp_in: int = 2) -> str:
+    u = units_text(expr, dp_in, DUCK)
+    return (f"(CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
+            f"(CAST(count({u}) AS DOUBLE) * {DUCK.dbl(10 ** dp_in)}) END)")

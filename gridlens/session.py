@@ -17,6 +17,9 @@ _CORE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # Python call-site capture for error context costs a JVM round-trip per
+    # Column call while plans are built; batch jobs do not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import py_round
+from gridlens.functions.rounding import py_round, py_round_expr
 from gridlens.functions.timefmt import hour_text
 
 # Fixed adapter values.
@@ -69,7 +69,7 @@ def region_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = (_events(spark, sf_dir)
            .where(F.col("event_type") == F.lit(DEMAND_EVENT))
            .groupBy("period_utc", "respondent")
-           .agg(py_round(F.sum("value") * F.lit(DEMAND_SCALE), 2).alias("value_mwh"),
+           .agg(py_round_expr(f"sum(value) * {DEMAND_SCALE!r}D", 2).alias("value_mwh"),
                 F.max("ts").alias("ingested_at_utc")))
     return _with_name(agg).select(
         "period_utc", "respondent", "respondent_name",
@@ -90,7 +90,7 @@ def fuel_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """grid_fuel_hourly: generation = sum(value) per (hour, respondent, fuel)."""
     agg = (_fuel_events(spark, sf_dir)
            .groupBy("period_utc", "respondent", "fuel_type", "fuel_name")
-           .agg(py_round(F.sum("value"), 2).alias("generation_mwh"),
+           .agg(py_round_expr("sum(value)", 2).alias("generation_mwh"),
                 F.max("ts").alias("ingested_at_utc")))
     return _with_name(agg).select(
         "period_utc", "respondent", "respondent_name", "fuel_type", "fuel_name",
@@ -137,7 +137,7 @@ def region_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_name(ev).select(
         "period_utc", "respondent", "respondent_name",
         F.lit("D").alias("metric_type"), F.lit("Demand").alias("metric_name"),
-        py_round(F.col("value") * F.lit(DEMAND_SCALE), 2).alias("value_mwh"),
+        py_round_expr(f"value * {DEMAND_SCALE!r}D", 2).alias("value_mwh"),
         F.col("ts").alias("ingested_at_utc"),
         (F.col("event_id") % 2).alias("batch"),
         F.col("event_id").alias("seq"))
@@ -165,13 +165,13 @@ def outage_facility_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (F.col("l_quantity") * F.col("l_discount")).alias("out"),
                 (shipped + F.expr("INTERVAL 28 YEARS")).alias("stamp"))
              .groupBy("period_date", "l_suppkey")
-             .agg(py_round(F.sum("l_quantity"), 2).alias("capacity_mw"),
-                  py_round(F.sum("out"), 2).alias("outage_mw"),
+             .agg(py_round_expr("sum(l_quantity)", 2).alias("capacity_mw"),
+                  py_round_expr("sum(out)", 2).alias("outage_mw"),
                   F.max("stamp").alias("ingested_at_utc")))
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("facility_name"))
     pct = F.when(F.col("capacity_mw") != 0,
-                 py_round(F.lit(100.0) * F.col("outage_mw") / F.col("capacity_mw"), 2))
+                 py_round_expr("100.0D * outage_mw / capacity_mw", 2))
     return (daily.join(sup, "l_suppkey", "left")
             .select("period_date", F.col("l_suppkey").cast("string").alias("facility"),
                     "facility_name", "capacity_mw", "outage_mw",
