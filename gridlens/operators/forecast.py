@@ -111,16 +111,22 @@ def fit_forecast(design: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
+    from concurrent.futures import ThreadPoolExecutor
+
     check_sample_counts(design)
     names = list(series or SERIES)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    models = {}
-    for name in names:  # bounded: one fit per target series, each over all respondents
+
+    def fit(name):
         train = assembler.transform(design.where((F.col("series") == name) & F.col("is_train")))
         gbt = GBTRegressor(featuresCol="features", labelCol="y", maxDepth=max_depth,
                            stepSize=step_size, maxIter=max_iter, seed=seed, maxBins=64)
-        models[name] = gbt.fit(train)
-    return models
+        return gbt.fit(train)
+
+    # One fit per target series (a fixed, small set), each distributed over all
+    # respondents' samples; the fits are independent, so their jobs run side by side.
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return dict(zip(names, pool.map(fit, names)))
 
 
 def predict_clip(design: DataFrame, models: dict) -> DataFrame:
