@@ -107,3 +107,30 @@ def test_ingest_month_checks():
         check_month(dt.date(2025, 4, 1), dt.date(2025, 5, 1))
     with pytest.raises(ValueError, match="end must be on or after start"):
         check_month(dt.date(2025, 4, 5), dt.date(2025, 4, 1))
+
+
+def test_dashboard_request_over_the_store(spark, workdir):
+    from gridlens.operators.dashboard import SelectionError
+    from gridlens.plans.dashboard import authorities_request, dashboard_request
+    data = os.path.join(workdir, "data")
+    with pytest.raises(SelectionError) as err:
+        dashboard_request(spark, data)
+    assert err.value.status == 503
+    landed = os.path.join(workdir, "landed")
+    _land_month(landed)
+    ingest_month(spark, data, landed, respondent="CISO", start=dt.date(2025, 4, 1),
+                 end=dt.date(2025, 4, 30), ingested_at_utc=dt.datetime(2025, 5, 1, tzinfo=dt.UTC))
+    doc = dashboard_request(spark, data, "CISO", "2025-04-01", "2025-04-01")
+    assert doc["coverage"]["hourlyRows"] == 3
+    assert doc["summary"]["peakDemandMwh"] == 102.0
+    assert doc["outageContext"]["maximumOutageMw"] == 1207.7
+    assert doc["freshness"] == "2025-05-01T00:00:00Z"
+    with pytest.raises(SelectionError) as err:
+        dashboard_request(spark, data, "CISO", "2025-04-02", "2025-04-01")
+    assert err.value.status == 400
+    with pytest.raises(SelectionError) as err:
+        dashboard_request(spark, data, "CISO", "2025-04-10", "2025-04-11")
+    assert err.value.status == 404
+    assert authorities_request(spark, data) == [
+        {"respondent": "CISO", "start": "2025-04-01T00:00:00Z", "end": "2025-04-01T02:00:00Z",
+         "timezone": "America/Los_Angeles"}]
