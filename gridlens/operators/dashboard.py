@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import exact_sum, finish_means, mean_parts, py_mean, py_round
+from gridlens.functions.rounding import exact_sum, finish_means, mean_parts, py_round
 from gridlens.functions.timefmt import local_hour, respondent_timezone, utc_iso
 from gridlens.operators.windows import hourly_ramp
 from gridlens.schemas import CHART_TIMEZONE
@@ -115,11 +115,6 @@ PROFILE_FIELDS = {
 }
 
 
-def hour_spine(keys: DataFrame) -> DataFrame:
-    """Each key row repeated for hours 0..23 (a generator, no join)."""
-    return keys.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-
-
 def fill_hours(hourly: DataFrame, keys: Sequence[str], fields: Sequence[str],
                default: Column | None = None) -> DataFrame:
     """All 24 hours per key from per-(key, hour) rows, without a join or a second

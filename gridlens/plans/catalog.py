@@ -764,3 +764,27 @@ def q_forecast_renewables(spark, sf_dir):
     m = FC.forecast_renewables(curve(spark, sf_dir))
     return m.select("respondent", "series", "n_train", "n_test", "rmse_model",
                     "rmse_persistence", "mae_model", "skill_score")
+
+
+_FUEL_ARRIVALS = ("farr", """SELECT period_utc, respondent,
+        CASE event_type WHEN 'click' THEN 'SUN' WHEN 'error' THEN 'NUC' WHEN 'signup' THEN 'COL'
+                        WHEN 'view' THEN 'WND' END AS fuel_type,
+        value AS generation_mwh, ts AS ingested_at_utc, event_id % 2 AS batch, event_id AS seq
+    FROM ev WHERE event_type IN ('click', 'error', 'signup', 'view')""")
+
+
+@register("last_arrival", O.with_views(f"""
+SELECT {O.ts_text('period_utc')} AS period_utc, respondent, fuel_type, generation_mwh,
+       {O.iso('ingested_at_utc')} AS ingested_at_utc, seq
+FROM (SELECT *, row_number() OVER (PARTITION BY period_utc, respondent, fuel_type
+                                   ORDER BY batch DESC, seq DESC) AS rn FROM farr)
+WHERE rn = 1""", "ev", extra=[_FUEL_ARRIVALS]))
+def q_last_arrival(spark, sf_dir):
+    """Latest fuel record per (hour, respondent, fuel) over two interleaved landings."""
+    arr = X.fuel_arrivals(spark, sf_dir).select(
+        "period_utc", "respondent", "fuel_type", "generation_mwh", "ingested_at_utc", "batch",
+        "seq", F.col("seq").alias("winner"))
+    m = S.last_arrival(arr, ["period_utc", "respondent", "fuel_type"], ["batch", "seq"])
+    return m.select(utc_iso("period_utc").alias("period_utc"), "respondent", "fuel_type",
+                    "generation_mwh", utc_iso("ingested_at_utc").alias("ingested_at_utc"),
+                    F.col("winner").alias("seq"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import py_round, py_round_expr
+from gridlens.functions.rounding import py_round_expr
 from gridlens.functions.timefmt import hour_text
 
 # Fixed adapter values.
