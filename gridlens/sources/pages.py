@@ -53,13 +53,18 @@ def page_completeness(pages: DataFrame) -> DataFrame:
 
 
 def request_slice(records: DataFrame, *, start: str, end: str,
-                  facets: dict[str, Sequence[str]] | None = None) -> DataFrame:
+                  facets: dict[str, Sequence[str]] | None = None,
+                  ordered: bool = True) -> DataFrame:
     """The selection the API applies for a request: facet IN lists, inclusive
-    period bounds (text compare on zero-padded ISO periods), period ascending."""
+    period bounds (text compare on zero-padded ISO periods), period ascending.
+
+    ``ordered=False`` skips the sort (a distributed range sort) where the order
+    is not needed, e.g. before a keyed merge that carries explicit arrival order."""
     out = records
     for name, values in (facets or {}).items():
         out = out.where(F.col(f"`{name}`").isin(list(values)))
-    return out.where(F.col("period").between(F.lit(start), F.lit(end))).orderBy("period")
+    out = out.where(F.col("period").between(F.lit(start), F.lit(end)))
+    return out.orderBy("period") if ordered else out
 
 
 def hourly_bounds(start, end) -> tuple[str, str]:
