@@ -22,17 +22,33 @@ def _required(c: str, parsed: Column) -> Column:
                   ).otherwise(parsed)
 
 
+# Fixed value: the shape the API's hourly periods take (``%Y-%m-%dT%H``; like
+# Python's strptime, month, day and hour may come without zero padding).
+HOUR_PERIOD_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}$"
+
+
 def parse_hour_utc(c: str) -> Column:
-    """``yyyy-MM-ddTHH`` as a UTC hour (session clock is UTC)."""
-    return _required(c, F.to_timestamp(F.col(f"`{c}`"), "yyyy-MM-dd'T'HH"))
+    """``yyyy-MM-ddTHH`` as a UTC hour (session clock is UTC); un-padded fields are
+    accepted and out-of-range values rejected, as ``strptime`` does."""
+    col = F.col(f"`{c}`")
+    parsed = F.when(col.rlike(HOUR_PERIOD_SHAPE), F.to_timestamp(col, "yyyy-M-d'T'H"))
+    return _required(c, parsed)
 
 
 def parse_date(c: str) -> Column:
     return _required(c, F.to_date(F.col(f"`{c}`"), "yyyy-MM-dd"))
 
 
+# Number text the way Python's ``float()`` reads it -- digit-group
+# underscores are allowed ("1_000"), Java's type suffixes are not ("12d", "3f").
+_DIGIT_UNDERSCORE = r"(?<=[0-9])_(?=[0-9])"
+_TYPE_SUFFIX = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]\s*$"
+
+
 def parse_double(c: str) -> Column:
-    return _required(c, F.col(f"`{c}`").cast("double"))
+    col = F.col(f"`{c}`")
+    cleaned = F.regexp_replace(col, _DIGIT_UNDERSCORE, "")
+    return _required(c, F.when(~col.rlike(_TYPE_SUFFIX), cleaned.cast("double")))
 
 
 def text(c: str) -> Column:

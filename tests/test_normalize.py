@@ -48,7 +48,29 @@ def test_normalize_is_strict(spark, value):
         normalize_region(df, ingested_at_utc=INGESTED_AT).collect()
 
 
-def test_bad_period_raises(spark):
+def test_unpadded_period_is_accepted(spark):
     df = _records(spark, RAW_REGION_FIELDS, [("2025-4-1T1", "CISO", "x", "D", "Demand", "1")])
+    assert normalize_region(df, ingested_at_utc=INGESTED_AT).first().period_utc == dt.datetime(2025, 4, 1, 1)
+
+
+@pytest.mark.parametrize("period", ["2025-04-01T24", "2025-13-01T00", "2025-04-01T001", "2025-04-01 01"])
+def test_bad_period_raises(spark, period):
+    df = _records(spark, RAW_REGION_FIELDS, [(period, "CISO", "x", "D", "Demand", "1")])
+    with pytest.raises(Exception):
+        normalize_region(df, ingested_at_utc=INGESTED_AT).collect()
+
+
+@pytest.mark.parametrize("text,value", [("1_000", 1000.0), (" 12 ", 12.0), ("1e3", 1000.0), ("-3", -3.0)])
+def test_number_text_like_python_float(spark, text, value):
+    assert float(text) == value
+    df = _records(spark, RAW_REGION_FIELDS, [("2025-04-01T01", "CISO", "x", "D", "Demand", text)])
+    assert normalize_region(df, ingested_at_utc=INGESTED_AT).first().value_mwh == value
+
+
+@pytest.mark.parametrize("text", ["12d", "3.5F"])
+def test_java_suffixes_are_rejected(spark, text):
+    with pytest.raises(ValueError):
+        float(text)
+    df = _records(spark, RAW_REGION_FIELDS, [("2025-04-01T01", "CISO", "x", "D", "Demand", text)])
     with pytest.raises(Exception):
         normalize_region(df, ingested_at_utc=INGESTED_AT).collect()
