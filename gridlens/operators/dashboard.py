@@ -15,10 +15,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import exact_sum, finish_means, mean_parts, py_round
+from gridlens.functions.rounding import exact_mean, exact_sum, finish_means, mean_parts, py_round
 from gridlens.functions.timefmt import local_hour, respondent_timezone, utc_iso
 from gridlens.operators.windows import hourly_ramp
 from gridlens.schemas import CHART_TIMEZONE
@@ -144,13 +144,18 @@ CHART_FIELDS = {"demand": "demand_mwh", "net_load": "net_load_mwh",
                 "residual_after_nuclear": "residual_load_after_nuclear_mwh"}
 
 
-def chart_profile(curve: DataFrame, timezone: str = CHART_TIMEZONE) -> DataFrame:
+def chart_profile(curve: DataFrame, timezone: str = CHART_TIMEZONE,
+                  dp_in: int | None = 2) -> DataFrame:
     """Unrounded mean per local hour of demand, net and residual; one zone for all
     respondents (Pacific by default); no date filter. Hours without rows are absent:
-    call :func:`require_full_profile` to enforce the reference's failure."""
-    local = curve.withColumn("hour", local_hour("period_utc", timezone))
+    call :func:`require_full_profile` to enforce the reference's failure.
+
+    With ``dp_in`` (values carry at most that many decimals) the mean comes from the
+    exact unit sum, so it does not depend on partitioning; ``None`` uses ``avg``."""
+    local = curve.withColumn("hour", local_hour("period_utc", timezone).cast("bigint"))
+    mean = (lambda src: exact_mean(src, dp_in)) if dp_in is not None else F.avg
     return local.groupBy("respondent", "hour").agg(
-        *[F.avg(src).alias(name) for name, src in CHART_FIELDS.items()],
+        *[mean(src).alias(name) for name, src in CHART_FIELDS.items()],
         F.count(F.lit(1)).alias("rows"))
 
 
@@ -199,7 +204,6 @@ def stacked_mix(mix: DataFrame) -> DataFrame:
 
     The stacking window is partitioned by (respondent, hour): a partition holds one
     row per fuel type, so it stays tiny at any data size."""
-    from pyspark.sql import Window
     clamped = mix.withColumn("clamped_mwh", F.greatest(F.col("generation_mwh"), F.lit(0.0)))
     w = (Window.partitionBy("respondent", "hour").orderBy("fuel_type", "fuel_name")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import exact_mean, py_round
+from gridlens.functions.rounding import py_round
 from gridlens.functions.rounding import sql_exact_mean as XM
 from gridlens.functions.rounding import sql_exact_sum as XS
 from gridlens.functions.rounding import sql_py_mean as M
@@ -208,11 +208,7 @@ _CHART_M = ("cm", f"""SELECT respondent,
 
 
 def _chart(spark, sf_dir):
-    local = curve(spark, sf_dir).withColumn(
-        "hour", D.local_hour("period_utc", D.CHART_TIMEZONE).cast("bigint"))
-    return local.groupBy("respondent", "hour").agg(
-        *[exact_mean(src).alias(n) for n, src in D.CHART_FIELDS.items()],
-        F.count(F.lit(1)).alias("rows"))
+    return D.chart_profile(curve(spark, sf_dir))
 
 
 @register("chart_profile", O.with_views(
