@@ -104,6 +104,13 @@ def check_sample_counts(design: DataFrame, minimum: int = MIN_SAMPLES) -> None:
         raise ValueError("need at least ~3 days of hourly data to forecast")
 
 
+# The booster settings of the reference (depth 4, learning rate
+# 0.08, 300 rounds) plus its histogram booster's defaults that Spark does not
+# share (255 bins per feature, at least 20 samples per leaf).
+MAX_BINS = 255
+MIN_SAMPLES_LEAF = 20
+
+
 def fit_forecast(design: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
                  step_size: float = 0.08, seed: int = 0,
                  series: Sequence[str] | None = None) -> dict:
@@ -120,7 +127,8 @@ def fit_forecast(design: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
     def fit(name):
         train = assembler.transform(design.where((F.col("series") == name) & F.col("is_train")))
         gbt = GBTRegressor(featuresCol="features", labelCol="y", maxDepth=max_depth,
-                           stepSize=step_size, maxIter=max_iter, seed=seed, maxBins=64)
+                           stepSize=step_size, maxIter=max_iter, seed=seed, maxBins=MAX_BINS,
+                           minInstancesPerNode=MIN_SAMPLES_LEAF)
         return gbt.fit(train)
 
     # One fit per target series (a fixed, small set), each distributed over all
