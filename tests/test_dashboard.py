@@ -89,3 +89,15 @@ def test_stacked_mix_bands(spark):
     assert rows["SUN"].lower_mwh == 0.0 and rows["SUN"].upper_mwh == 3000.0
     assert rows["WND"].lower_mwh == 3000.0 and rows["WND"].upper_mwh == 5500.0
     assert rows["WND"].axis_max_mwh == 10000
+
+
+def test_local_hours_follow_daylight_saving(spark):
+    # 2025-03-09 is the spring-forward day in Pacific time: 02:00 local does not exist
+    rows = [(dt.datetime(2025, 3, 9, h), "CISO", 100.0 + h, 0.0, 0.0, 0.0, 100.0 + h, 100.0 + h)
+            for h in (9, 10, 11)]
+    curve = spark.createDataFrame(rows, CURVE_SCHEMA)
+    prof = {r.hour: r.demand for r in D.duck_profile(curve).collect() if r.demand is not None}
+    assert prof == {1: 109.0, 3: 110.0, 4: 111.0}
+    # a respondent without a mapped zone stays on UTC
+    erco = curve.withColumn("respondent", F.lit("ERCO"))
+    assert {r.hour for r in D.duck_profile(erco).collect() if r.demand is not None} == {9, 10, 11}
