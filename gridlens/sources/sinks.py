@@ -33,9 +33,12 @@ def export_duck_curve_csv(curve: DataFrame, path: str, *, respondent: str) -> in
 
 
 def write_scenario_csv(summary: DataFrame, path: str) -> None:
-    """Header ``scenario`` + six fields, one row per scenario (catalogue order)."""
-    (summary.orderBy("scenario_order", "respondent").select("scenario", *SCENARIO_FIELDS)
-     .coalesce(1).write.mode("overwrite").option("header", True).csv(path))
+    """One CSV per respondent (``<path>/respondent=X/``) with the header ``scenario`` +
+    six fields and one row per scenario in catalogue order (baseline first)."""
+    (summary.select("respondent", "scenario_order", "scenario", *SCENARIO_FIELDS)
+     .coalesce(1).sortWithinPartitions("respondent", "scenario_order")
+     .drop("scenario_order")
+     .write.mode("overwrite").option("header", True).partitionBy("respondent").csv(path))
 
 
 def write_forecast_json(metrics: DataFrame, path: str) -> None:

@@ -14,9 +14,9 @@ def test_scenario_csv_and_dispatch_json(spark, workdir):
     summary = SC.scenario_compare(structured_curve(spark, 3))
     out = os.path.join(workdir, "scen")
     sinks.write_scenario_csv(summary, out)
-    rows = list(csv.reader(open(glob.glob(os.path.join(out, "*.csv"))[0])))
+    rows = list(csv.reader(open(glob.glob(os.path.join(out, "respondent=DEMO", "*.csv"))[0])))
     assert rows[0] == ["scenario", *sinks.SCENARIO_FIELDS]
-    assert rows[1][0] == "baseline" and len(rows) == 1 + 1 + len(SC.DEFAULT_SCENARIOS)
+    assert [r[0] for r in rows[1:]] == ["baseline", *[l for l, _, _ in SC.DEFAULT_SCENARIOS]]
     t = spark.createDataFrame([(15.4,)], "target_load double")
     res = DP.commitment_report(DP.best_commitment(spark, t))
     out2 = os.path.join(workdir, "disp")
