@@ -21,10 +21,15 @@ from gridlens.session import checkpoint_dir
 from gridlens.sources import store as S
 
 
-def page_stream(spark: SparkSession, landing: str, route: str) -> DataFrame:
+def page_stream(spark: SparkSession, landing: str, route: str,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed page files as a stream; ``max_files_per_trigger`` bounds a micro-batch
+    (each file is one page of at most 5,000 records)."""
     _, fields, _, _ = ROUTES[route]
-    return (spark.readStream.schema(page_schema(list(fields))).option("multiLine", True)
-            .json(landing)
+    reader = spark.readStream.schema(page_schema(list(fields))).option("multiLine", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return (reader.json(landing)
             .select(F.col("_metadata.file_path").alias("file"), "response"))
 
 
@@ -36,7 +41,8 @@ def _flatten(pages: DataFrame) -> DataFrame:
 
 def start_ingest_stream(spark: SparkSession, landing: str, data_dir: str, route: str, *,
                         name: str | None = None, available_now: bool = True,
-                        ingested_at_utc: dt.datetime | None = None):
+                        ingested_at_utc: dt.datetime | None = None,
+                        max_files_per_trigger: int | None = None):
     """Start the stream; returns the StreamingQuery."""
     dataset, _, normalizer, _ = ROUTES[route]
     stamp = ingested_at_utc or dt.datetime.now(dt.UTC)
@@ -47,7 +53,8 @@ def start_ingest_stream(spark: SparkSession, landing: str, data_dir: str, route:
         S.upsert(spark, data_dir, dataset, typed, batch=int(epoch_id))
 
     name = name or f"ingest_{route}"
-    writer = (page_stream(spark, landing, route).writeStream.foreachBatch(merge)
+    writer = (page_stream(spark, landing, route, max_files_per_trigger)
+              .writeStream.foreachBatch(merge)
               .option("checkpointLocation", f"{checkpoint_dir(spark)}/streams/{name}")
               .queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

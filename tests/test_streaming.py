@@ -15,7 +15,8 @@ def test_file_stream_upserts_landed_pages(spark, workdir):
     land_pages(landing, [rec(0, 1), rec(1, 2), rec(0, 5)], page_size=2)
     data = os.path.join(workdir, "data")
     q = start_ingest_stream(spark, landing, data, "region", name="t_stream",
-                            ingested_at_utc=dt.datetime(2025, 5, 1, tzinfo=dt.UTC))
+                            ingested_at_utc=dt.datetime(2025, 5, 1, tzinfo=dt.UTC),
+                            max_files_per_trigger=1)  # one page per micro-batch
     q.awaitTermination(120)
     rows = {r.period_utc.hour: r.value_mwh for r in S.scan_table(spark, data, "grid_region_hourly").collect()}
-    assert rows == {0: 5.0, 1: 2.0}  # later page wins for hour 0
+    assert rows == {0: 5.0, 1: 2.0}  # the later page (later micro-batch) wins for hour 0
