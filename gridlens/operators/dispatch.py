@@ -159,13 +159,24 @@ def hourly_targets(curve: DataFrame, total_capacity: float) -> DataFrame:
         .alias("target_load"))
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several consumers: a reliable checkpoint in the shared
+    checkpoint folder (one eager job; lineage cut, survives executor loss)."""
+    from gridlens.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def dispatch_hourly(spark: SparkSession, targets: DataFrame, units=None,
-                    penalty: float = DEFAULT_PENALTY) -> DataFrame:
+                    penalty: float = DEFAULT_PENALTY, materialize: bool = True) -> DataFrame:
     """Best commitment for every hourly target row.
 
     Solved once per distinct target, then joined back on the target value; AQE
     broadcasts the solved table when its measured size is small and splits a
-    skewed target value otherwise."""
+    skewed target value otherwise.  The targets feed both sides, so by default
+    they are computed once (:func:`reuse`) instead of twice from the raw input."""
+    if materialize:
+        targets = reuse(targets)
     best = commitment_report(best_commitment(spark, targets, units=units, penalty=penalty), units)
     return targets.join(best, "target_load", "inner")
 

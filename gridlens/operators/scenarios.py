@@ -51,21 +51,26 @@ def catalogue(scenarios: Sequence[tuple[str, float, float]] | Mapping | None = N
     return out
 
 
-def _scenario_array(scenarios) -> F.Column:
-    return F.array(*[F.struct(F.lit(label).alias("scenario"), F.lit(i + 1).alias("scenario_order"),
+def _scenario_array(scenarios, with_baseline: bool = False) -> F.Column:
+    entries = [(BASELINE, 0, 1.0, 1.0, True)] if with_baseline else []
+    entries += [(label, i + 1, rm, na, False) for i, (label, rm, na) in enumerate(scenarios)]
+    return F.array(*[F.struct(F.lit(label).alias("scenario"), F.lit(order).alias("scenario_order"),
                               F.lit(rm).alias("renewable_multiplier"),
-                              F.lit(na).alias("nuclear_availability"))
-                     for i, (label, rm, na) in enumerate(scenarios)])
+                              F.lit(na).alias("nuclear_availability"),
+                              F.lit(base).alias("is_baseline"))
+                     for label, order, rm, na, base in entries])
 
 
-def scenario_rows(curve: DataFrame, scenarios=None) -> DataFrame:
-    """Every hourly row once per scenario, with its multipliers (a generator, not a join)."""
-    return (curve.withColumn("_sc", F.explode(_scenario_array(catalogue(scenarios))))
-            .select("*", "_sc.*").drop("_sc"))
+def scenario_rows(curve: DataFrame, scenarios=None, *, with_baseline: bool = False) -> DataFrame:
+    """Every hourly row once per scenario (and once as the baseline), with its
+    multipliers -- a generator over a literal array, not a join."""
+    arr = _scenario_array(catalogue(scenarios), with_baseline)
+    return curve.withColumn("_sc", F.explode(arr)).select("*", "_sc.*").drop("_sc")
 
 
 def apply_scenario(rows: DataFrame, renewable_multiplier=None, nuclear_availability=None) -> DataFrame:
-    """Scale and recompute. Multipliers are numbers or column names (per-row values)."""
+    """Scale and recompute. Multipliers are numbers or column names (per-row values).
+    Rows flagged ``is_baseline`` keep their stored values (the baseline is not re-rounded)."""
     rm = F.col("renewable_multiplier") if renewable_multiplier is None else (
         F.col(renewable_multiplier) if isinstance(renewable_multiplier, str) else F.lit(float(renewable_multiplier)))
     na = F.col("nuclear_availability") if nuclear_availability is None else (
@@ -74,22 +79,23 @@ def apply_scenario(rows: DataFrame, renewable_multiplier=None, nuclear_availabil
     wind = F.col("wind_mwh") * rm
     nuclear = F.col("nuclear_mwh") * na
     net = F.col("demand_mwh") - solar - wind
-    return (rows.withColumn("net_load_mwh", py_round(net, 2))
-                .withColumn("residual_load_after_nuclear_mwh", py_round(net - nuclear, 2))
-                .withColumn("solar_mwh", py_round(solar, 2))
-                .withColumn("wind_mwh", py_round(wind, 2))
-                .withColumn("nuclear_mwh", py_round(nuclear, 2)))
+    new = {"net_load_mwh": py_round(net, 2),
+           "residual_load_after_nuclear_mwh": py_round(net - nuclear, 2),
+           "solar_mwh": py_round(solar, 2), "wind_mwh": py_round(wind, 2),
+           "nuclear_mwh": py_round(nuclear, 2)}
+    keep = F.col("is_baseline") if "is_baseline" in rows.columns else F.lit(False)
+    out = [(F.when(keep, F.col(c)).otherwise(new[c]).alias(c) if c in new else F.col(c))
+           for c in rows.columns]
+    out += [e.alias(c) for c, e in new.items() if c not in rows.columns]
+    return rows.select(*out)
 
 
 def scenario_curves(curve: DataFrame, scenarios=None, *, with_baseline: bool = True) -> DataFrame:
-    """Baseline rows (as stored, order 0) plus every scenario's recomputed rows."""
+    """Baseline rows (as stored, order 0) plus every scenario's recomputed rows, from
+    one pass over ``curve``."""
     cols = curve.columns
-    sc = apply_scenario(scenario_rows(curve, scenarios)).select(
-        "scenario", "scenario_order", *cols)
-    if not with_baseline:
-        return sc
-    base = curve.select(F.lit(BASELINE).alias("scenario"), F.lit(0).alias("scenario_order"), *cols)
-    return base.unionByName(sc)
+    rows = apply_scenario(scenario_rows(curve, scenarios, with_baseline=with_baseline))
+    return rows.select("scenario", "scenario_order", *cols)
 
 
 def _units(c) -> F.Column:

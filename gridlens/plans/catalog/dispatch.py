@@ -101,7 +101,7 @@ FROM best b JOIN qubo q ON q.target_load = b.target_load
 GROUP BY b.target_load, b.bits, b.objective""", "ba_duck_curve_hourly", extra=_DISPATCH + [_QUBO]))
 def q_commitment_cost(spark, sf_dir):
     """x^T Q x + const of each optimum, from the long-form QUBO; equals the closed form."""
-    t = _targets(spark, sf_dir)
+    t = DP.reuse(_targets(spark, sf_dir).select("target_load").distinct())
     best = DP.best_commitment(spark, t)
     q = DP.qubo_terms(t)
     n = _NU
@@ -128,7 +128,7 @@ FROM best e JOIN (SELECT target_load, commitment, bits, capacity, cost FROM (
 def q_commitment_gap(spark, sf_dir):
     """Candidate = the commitment solved on the whole-number target grid; is it
     still optimal at the exact target?"""
-    t = _targets(spark, sf_dir).select("target_load").distinct()
+    t = DP.reuse(_targets(spark, sf_dir).select("target_load").distinct())
     coarse = t.withColumn("coarse_load", F.rint("target_load"))
     solved = DP.best_commitment(spark, coarse, target_col="coarse_load").select(
         F.col("target_load").alias("coarse_load"), "commitment")
