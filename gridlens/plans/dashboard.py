@@ -9,7 +9,6 @@ driver.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
@@ -19,12 +18,6 @@ from gridlens.operators.curve import duck_curve
 from gridlens.sources import store as S
 
 
-def _months(start: dt.date, end: dt.date) -> tuple[str, str]:
-    """Year/month partition range of a selection; the half-open UTC end (end + 1 day
-    at 00:00) never reaches into the next month's partition."""
-    return f"{start:%Y%m}", f"{end:%Y%m}"
-
-
 def _require_store(spark: SparkSession, data_dir: str) -> None:
     if not S._exists(spark, S.dataset_path(data_dir, "grid_region_hourly")):
         raise D.SelectionError(503, "data has not been ingested yet")
@@ -34,7 +27,7 @@ def dashboard_request(spark: SparkSession, data_dir: str, respondent: str = "CIS
                       start="2025-04-01", end="2025-04-30") -> dict:
     _require_store(spark, data_dir)
     start, end = D.check_selection(respondent, start, end)
-    months = _months(start, end)
+    months = S.month_range(start, end)
     region = S.scan_table(spark, data_dir, "grid_region_hourly")  # freshness: not date-filtered
     fuel = S.scan_table(spark, data_dir, "grid_fuel_hourly", months=months)
     outage = S.scan_table(spark, data_dir, "nuclear_facility_daily", months=months)

@@ -157,9 +157,24 @@ def upsert(spark: SparkSession, data_dir: str, dataset: str, new_rows: DataFrame
     return count
 
 
-def register_views(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
-    """Temp views over the stored tables plus the ``ba_duck_curve_hourly`` view."""
-    views = {name: scan_table(spark, data_dir, name) for name in DATASETS}
+def month_range(start, end) -> tuple[str, str]:
+    """Year/month partition bounds (``YYYYMM``) of an inclusive date range; the
+    half-open UTC end of an hourly slice (end + 1 day, 00:00) never reaches into
+    the next month's partition."""
+    import datetime as dt
+    start = start if isinstance(start, dt.date) else dt.date.fromisoformat(str(start))
+    end = end if isinstance(end, dt.date) else dt.date.fromisoformat(str(end))
+    return f"{start:%Y%m}", f"{end:%Y%m}"
+
+
+def register_views(spark: SparkSession, data_dir: str, start=None, end=None) -> dict[str, DataFrame]:
+    """Temp views over the stored tables plus the ``ba_duck_curve_hourly`` view.
+
+    With ``start``/``end`` (dates) every view is restricted to the year/month
+    partitions of that range, so the scans prune partitions instead of listing and
+    reading the whole history; period filters on the views still apply on top."""
+    months = month_range(start, end) if start is not None and end is not None else None
+    views = {name: scan_table(spark, data_dir, name, months=months) for name in DATASETS}
     views["ba_duck_curve_hourly"] = duck_curve(views["grid_region_hourly"],
                                                views["grid_fuel_hourly"])
     for name, df in views.items():

@@ -134,3 +134,14 @@ def test_dashboard_request_over_the_store(spark, workdir):
     assert authorities_request(spark, data) == [
         {"respondent": "CISO", "start": "2025-04-01T00:00:00Z", "end": "2025-04-01T02:00:00Z",
          "timezone": "America/Los_Angeles"}]
+
+
+def test_views_prune_month_partitions(spark, workdir):
+    rows = [(dt.datetime(2025, m, 3, 5), "CISO", "n", "SUN", "Solar", float(m), STAMP) for m in (3, 4, 5)]
+    S.upsert(spark, workdir, "grid_fuel_hourly", _fuel(spark, rows))
+    views = S.register_views(spark, workdir, "2025-04-01", "2025-04-30")
+    got = views["grid_fuel_hourly"]
+    assert [r.generation_mwh for r in got.collect()] == [4.0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "202504" in plan
+    assert S.register_views(spark, workdir)["grid_fuel_hourly"].count() == 3
