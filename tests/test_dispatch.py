@@ -73,3 +73,12 @@ def test_gap_and_topk(spark):
 def test_fleet_size_is_capped():
     with pytest.raises(ValueError):
         DP.fleet([("u", 1.0, 1.0)] * (DP.MAX_UNITS + 1))
+
+
+def test_dispatch_hourly_same_with_or_without_reuse(spark):
+    rows = [(f"2025-04-01 {h:02d}:00:00", "CISO", t) for h, t in enumerate([15.4, 1.0, 15.4, 6.0, 27.9])]
+    targets = spark.createDataFrame(rows, "period_utc string, respondent string, target_load double")
+    a = sorted(map(tuple, DP.dispatch_hourly(spark, targets).collect()))
+    b = sorted(map(tuple, DP.dispatch_hourly(spark, targets, materialize=False).collect()))
+    assert a == b and len(a) == 5
+    assert {r[0]: r[3] for r in a}[15.4] == "1110000"

@@ -145,3 +145,14 @@ def test_views_prune_month_partitions(spark, workdir):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "202504" in plan
     assert S.register_views(spark, workdir)["grid_fuel_hourly"].count() == 3
+
+
+def test_last_arrival_with_a_hot_key(spark):
+    # one key holds a third of all rows, spread over many partitions
+    hot = [("hot", i % 3, i, float(i)) for i in range(3000)]
+    cold = [(f"k{i}", 0, i, float(i)) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "key string, batch int, seq int, v double").repartition(16)
+    got = {r.key: r.v for r in S.last_arrival(df, ["key"], ["batch", "seq"]).collect()}
+    assert len(got) == 6001
+    assert got["hot"] == float(max(i for i in range(3000) if i % 3 == 2))
+    assert got["k5999"] == 5999.0
