@@ -156,3 +156,13 @@ def test_last_arrival_with_a_hot_key(spark):
     assert len(got) == 6001
     assert got["hot"] == float(max(i for i in range(3000) if i % 3 == 2))
     assert got["k5999"] == 5999.0
+
+
+def test_upsert_touches_only_its_partitions(spark, workdir):
+    april = [(dt.datetime(2025, 4, 1, h), "CISO", "n", "SUN", "Solar", 1.0, STAMP) for h in range(3)]
+    may = [(dt.datetime(2025, 5, 1, h), "CISO", "n", "SUN", "Solar", 2.0, STAMP) for h in range(2)]
+    assert S.upsert(spark, workdir, "grid_fuel_hourly", _fuel(spark, april)) == 3
+    assert S.upsert(spark, workdir, "grid_fuel_hourly", _fuel(spark, may)) == 2  # touched rows only
+    rows = S.scan_table(spark, workdir, "grid_fuel_hourly").collect()
+    assert sorted((r.period_utc.month, r.generation_mwh) for r in rows) == [
+        (4, 1.0), (4, 1.0), (4, 1.0), (5, 2.0), (5, 2.0)]

@@ -20,3 +20,21 @@ def test_file_stream_upserts_landed_pages(spark, workdir):
     q.awaitTermination(120)
     rows = {r.period_utc.hour: r.value_mwh for r in S.scan_table(spark, data, "grid_region_hourly").collect()}
     assert rows == {0: 5.0, 1: 2.0}  # the later page (later micro-batch) wins for hour 0
+
+
+def test_stream_resumes_from_its_checkpoint(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    rec = lambda h, v: {"period": f"2025-04-02T{h:02d}", "respondent": "CISO",
+                        "respondent-name": "Cal", "type": "D", "type-name": "Demand",
+                        "value": str(v)}
+    land_pages(os.path.join(landing, "a"), [rec(0, 1)], page_size=1)
+    data = os.path.join(workdir, "data")
+    stamp = dt.datetime(2025, 5, 1, tzinfo=dt.UTC)
+    start_ingest_stream(spark, landing + "/*", data, "region", name="t_resume",
+                        ingested_at_utc=stamp).awaitTermination(120)
+    land_pages(os.path.join(landing, "b"), [rec(0, 7), rec(5, 3)], page_size=2)
+    # a restarted query with the same name resumes from its checkpoint: only new files
+    start_ingest_stream(spark, landing + "/*", data, "region", name="t_resume",
+                        ingested_at_utc=stamp).awaitTermination(120)
+    rows = {r.period_utc.hour: r.value_mwh for r in S.scan_table(spark, data, "grid_region_hourly").collect()}
+    assert rows == {0: 7.0, 5: 3.0}
