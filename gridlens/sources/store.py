@@ -34,7 +34,15 @@ DATASETS = {
     "nuclear_facility_daily": (OUTAGE_SCHEMA, OUTAGE_KEYS, "period_date", False),
 }
 
-ARRIVAL = ["batch", "page", "pos"]
+# Arrival order of a row: ingest run (batch), landed page file (zero-padded
+# offsets sort in page order inside a request folder; folders break ties between
+# requests), page offset, position inside the page.
+ARRIVAL = ["batch", "file", "page", "pos"]
+_ARRIVAL_TYPES = {"batch": "long", "file": "string", "page": "long", "pos": "long"}
+
+
+def _arrival_default(c: str) -> F.Column:
+    return F.lit("" if _ARRIVAL_TYPES[c] == "string" else 0).cast(_ARRIVAL_TYPES[c])
 
 
 def last_arrival(rows: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> DataFrame:
@@ -114,8 +122,8 @@ def upsert(spark: SparkSession, data_dir: str, dataset: str, new_rows: DataFrame
            *, batch: int | None = None) -> int:
     """Merge ``new_rows`` into the dataset; returns the row count of the touched partitions.
 
-    ``new_rows`` carry arrival columns ``page`` and ``pos`` (and optionally
-    ``batch``); without them, rows are taken as one arrival in table order of the
+    ``new_rows`` carry arrival columns ``file``, ``page`` and ``pos`` (and
+    optionally ``batch``); without them, rows are taken as one arrival in table order of the
     key (ties then resolve arbitrarily, as for any unordered input)."""
     schema, keys, _, _ = DATASETS[dataset]
     cols = [f.name for f in schema.fields]
@@ -123,18 +131,20 @@ def upsert(spark: SparkSession, data_dir: str, dataset: str, new_rows: DataFrame
     new = new_rows
     for c in ARRIVAL:
         if c not in new.columns:
-            new = new.withColumn(c, F.lit(0).cast("long"))
+            new = new.withColumn(c, _arrival_default(c))
     if batch is not None:
         new = new.withColumn("batch", F.lit(batch).cast("long"))
-    new = with_partitions(new.select(*cols, *[F.col(c).cast("long") for c in ARRIVAL]), dataset)
+    new = with_partitions(new.select(*cols, *[F.col(c).cast(_ARRIVAL_TYPES[c]).alias(c)
+                                              for c in ARRIVAL]), dataset)
     path = dataset_path(data_dir, dataset)
     if _exists(spark, path):
         touched = new.select(*parts).distinct()
         old = (scan_table(spark, data_dir, dataset, with_partitions_cols=True)
                .join(touched, parts, "left_semi")  # dynamic partition pruning on the scan
                .withColumn("batch", F.lit(-1).cast("long"))
-               .withColumn("page", F.lit(0).cast("long"))
-               .withColumn("pos", F.lit(0).cast("long")))
+               .withColumn("file", _arrival_default("file"))
+               .withColumn("page", _arrival_default("page"))
+               .withColumn("pos", _arrival_default("pos")))
         rows = old.unionByName(new)
     else:
         rows = new

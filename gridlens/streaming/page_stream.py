@@ -49,7 +49,7 @@ def start_ingest_stream(spark: SparkSession, landing: str, data_dir: str, route:
 
     def merge(batch_df: DataFrame, epoch_id: int) -> None:
         recs = _flatten(batch_df)
-        typed = normalizer(recs, ingested_at_utc=stamp, keep=["page", "pos"])
+        typed = normalizer(recs, ingested_at_utc=stamp, keep=["file", "page", "pos"])
         S.upsert(spark, data_dir, dataset, typed, batch=int(epoch_id))
 
     name = name or f"ingest_{route}"

@@ -38,3 +38,17 @@ def test_stream_resumes_from_its_checkpoint(spark, workdir):
                         ingested_at_utc=stamp).awaitTermination(120)
     rows = {r.period_utc.hour: r.value_mwh for r in S.scan_table(spark, data, "grid_region_hourly").collect()}
     assert rows == {0: 7.0, 5: 3.0}
+
+
+def test_two_requests_in_one_micro_batch_resolve_by_folder(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    rec = lambda v: {"period": "2025-04-03T00", "respondent": "CISO",
+                     "respondent-name": "Cal", "type": "D", "type-name": "Demand", "value": str(v)}
+    # same key, same page offset in two request folders landed together
+    land_pages(os.path.join(landing, "req-2025-05-01"), [rec(1)], page_size=1)
+    land_pages(os.path.join(landing, "req-2025-05-02"), [rec(2)], page_size=1)
+    data = os.path.join(workdir, "data")
+    start_ingest_stream(spark, landing + "/*", data, "region", name="t_two_folders",
+                        ingested_at_utc=dt.datetime(2025, 5, 2, tzinfo=dt.UTC)).awaitTermination(120)
+    rows = [r.value_mwh for r in S.scan_table(spark, data, "grid_region_hourly").collect()]
+    assert rows == [2.0]  # the later request folder wins, every run
