@@ -49,7 +49,8 @@ def page_completeness(pages: DataFrame) -> DataFrame:
                  F.sum(F.size("data")).cast("long").alias("landed"),
                  F.max(F.col("total").cast("long")).alias("total"),
                  F.min(F.size("data")).alias("smallest_page"))
-            .withColumn("complete", (F.col("landed") >= F.col("total"))))
+            .withColumn("complete", F.col("landed") >= F.col("total"))
+            .withColumn("loop_stopped", F.col("complete") | (F.col("smallest_page") == 0)))
 
 
 def request_slice(records: DataFrame, *, start: str, end: str,

@@ -21,11 +21,16 @@ def test_page_completeness(spark, workdir):
     land_pages(full, [{"period": str(i)} for i in range(5)], page_size=2)
     short = os.path.join(workdir, "short")
     land_pages(short, [{"period": str(i)} for i in range(3)], page_size=2, total=7)
+    empty = os.path.join(workdir, "empty")
+    land_pages(empty, [{"period": str(i)} for i in range(2)], page_size=2, total=9)
+    with open(os.path.join(empty, "offset=000000000002.json"), "w") as fh:
+        fh.write('{"response": {"total": "9", "data": []}}')  # the API ran dry early
     pages = read_page_files(spark, workdir + "/*", ["period"])
-    got = {os.path.basename(r.request): (r.landed, r.total, r.complete)
+    got = {os.path.basename(r.request): (r.landed, r.total, r.complete, r.loop_stopped)
            for r in page_completeness(pages).collect()}
-    assert got["full"] == (5, 5, True)
-    assert got["short"] == (3, 7, False)
+    assert got["full"] == (5, 5, True, True)
+    assert got["short"] == (3, 7, False, False)  # the fetch loop would have asked for more
+    assert got["empty"] == (2, 9, False, True)   # an empty page ends the loop short of total
 
 
 def test_request_slice_bounds_and_facets(spark):
