@@ -33,7 +33,7 @@ from gridlens.llm.components import connected_components
 
 BINS, ROWS = 128, 4
 SKETCH_BITS, SAMPLE = 1024, 512
-BLOCK_ROWS = 256
+BLOCK_ROWS, TASK_ROWS = 256, 8192
 
 _MULTIPLIERS = [np.uint64(0x9FB21C651E98DF25 + 2 * i * 0xD1342543DE82EF95 & (1 << 64) - 1 | 1) for i in range(64)]
 _REFILL = np.argsort(np.random.default_rng(20).random((BINS, BINS)), axis=1)
@@ -170,29 +170,40 @@ def _compare(n_a, n_b, low_a, high_a, low_b, high_b, percent: int):
     return near, differing * 2.0 ** level / np.maximum(n_a + n_b, 1)
 
 
-def _bucket_pairs(percent: int, best: int):
-    """Inside one block of a bucket: each class's best few partners of another component."""
+def _cell_pairs(percent: int, best: int):
+    """In each cell (a pair of blocks of a bucket): every class's best few partners of another component."""
     def run(table: pa.Table) -> pa.Table:
-        rows = {name: table.column(name).to_numpy() for name in ("id", "label", "n_shingles", "part", "part_a", "part_b")}
+        rows = {name: table.column(name).to_numpy() for name in ("id", "label", "n_shingles", "part", "band", "part_a", "part_b")}
         sketch = {x: np.frombuffer(b"".join(table.column(x).to_pylist()), dtype=np.uint64).reshape(len(rows["id"]), -1)
                   for x in ("low", "high")}
-        left = np.flatnonzero(rows["part"] == rows["part_a"])
-        right = np.flatnonzero(rows["part"] == rows["part_b"])
-        out_a, out_b, cut = [], [], []
-        for i in left:
-            others = right[rows["label"][right] != rows["label"][i]]
-            if not len(others):
+        order = np.lexsort((rows["part"], rows["part_b"], rows["part_a"], rows["band"]))
+        rows = {name: x[order] for name, x in rows.items()}
+        sketch = {name: x[order] for name, x in sketch.items()}
+        new = np.zeros(len(order), dtype=bool)
+        for name in ("band", "part_a", "part_b"):
+            new[1:] |= rows[name][1:] != rows[name][:-1]
+        edges = [0, *np.flatnonzero(new), len(order)]
+        found = {"a": [], "b": [], "band": [], "more": []}
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            split = low + int(np.searchsorted(rows["part"][low:high], rows["part_a"][low], side="right"))
+            left = slice(low, split)
+            right = left if rows["part_a"][low] == rows["part_b"][low] else slice(split, high)
+            ids, labels, n = rows["id"], rows["label"], rows["n_shingles"]
+            near, ratio = _compare(n[left, None], n[None, right], sketch["low"][left, None], sketch["high"][left, None],
+                                   sketch["low"][None, right], sketch["high"][None, right], percent)
+            near &= labels[left, None] != labels[None, right]
+            many = near.sum(axis=1)
+            if not many.any():
                 continue
-            near, ratio = _compare(rows["n_shingles"][i:i + 1], rows["n_shingles"][others],
-                                   sketch["low"][i:i + 1], sketch["high"][i:i + 1],
-                                   sketch["low"][others], sketch["high"][others], percent)
-            others, ratio = others[near], ratio[near]
-            chosen = others[np.argsort(ratio, kind="stable")[:best]]
-            out_a += [rows["id"][i]] * len(chosen)
-            out_b += list(rows["id"][chosen])
-            cut += [len(others) > best] * len(chosen)
-        a, b = np.array(out_a, dtype=np.int64), np.array(out_b, dtype=np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": np.array(cut, dtype=bool)})
+            rank = np.argsort(np.argsort(np.where(near, ratio, np.inf), axis=1, kind="stable"), axis=1)
+            i, j = np.nonzero(near & (rank < best))
+            a, b = ids[left][i], ids[right][j]
+            found["a"].append(np.minimum(a, b))
+            found["b"].append(np.maximum(a, b))
+            found["band"].append(np.full(len(i), rows["band"][low]))
+            found["more"].append(many[i] > best)
+        joined = {x: np.concatenate(v) if v else np.zeros(0, dtype=bool if x == "more" else np.int64) for x, v in found.items()}
+        return pa.table(joined)
     return run
 
 
@@ -254,20 +265,22 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 5, percent: int
     nearest = sifted.groupBy("b").agg(F.min_by("a", F.struct("ratio", "a")).alias("a"))
     checked = staged(_confirmed(nearest, sets, percent), "checked")
 
-    best = 4
+    labels = staged(connected_components(checked.where("linked")), "labels")
+    best, open_ = 4, members
     while True:
-        labels = staged(connected_components(checked.where("linked")), "labels")
-        placed = members.select("band", "id").join(labels, "id", "left").select(
+        placed = open_.select("band", "id").join(labels, "id", "left").select(
             "band", "id", F.coalesce("label", "id").alias("label"))
-        mixed = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                           F.count("*").alias("size")).where("x < y")
-        pairs = staged(_mixed_pairs(placed, mixed, sketches, percent, best), "pairs")
-        fresh = staged(pairs.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti"), "fresh")
-        state = pairs.agg(F.max("more").alias("more")).first()
-        if fresh.isEmpty() and not state["more"]:
+        pairs = staged(_mixed_pairs(placed, sketches, percent, best), "pairs")
+        fresh = pairs.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
+        confirmed = staged(_confirmed(fresh, sets, percent), "confirmed")
+        checked = checked.union(confirmed)
+        if not confirmed.where("linked").isEmpty():
+            labels = staged(connected_components(checked.where("linked")), "labels")
+        # a bucket whose pairs were all given is settled; the others are looked at again, for more pairs
+        unsettled = pairs.where("more").select("band").distinct()
+        if unsettled.isEmpty():
             break
-        if not fresh.isEmpty():
-            checked = staged(checked.union(_confirmed(fresh, sets, percent)), "checked")
+        open_ = staged(open_.select("band", "id").join(unsettled, "band", "left_semi"), "open")
         best *= 4
     classes = classes.join(labels, "id", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("label", "id").alias("class_label"))
@@ -277,16 +290,18 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 5, percent: int
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _mixed_pairs(placed: DataFrame, mixed: DataFrame, sketches: DataFrame, percent: int, best: int) -> DataFrame:
+def _mixed_pairs(placed: DataFrame, sketches: DataFrame, percent: int, best: int) -> DataFrame:
     """Pairs between components from the buckets that still hold several.
 
-    A bucket is dealt into blocks of BLOCK_ROWS rows on average and every pair of blocks is one
-    group, so no group grows with the bucket.
+    A bucket is dealt into blocks of BLOCK_ROWS rows on average and every pair of blocks is a
+    cell, so no task's share grows with a bucket; cells are put together to bins of TASK_ROWS.
     """
-    parts = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    rows = placed.join(mixed.select("band", parts.alias("parts")), "band").join(sketches, "id").withColumn(
-        "part", F.expr("cast(pmod(xxhash64(id, 5), parts) as int)"))
-    first = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    cells = first.withColumn("part_a", F.least("part", "other")).withColumn("part_b", F.greatest("part", "other"))
-    return cells.select("band", "part_a", "part_b", "part", "id", "label", "n_shingles", "low", "high").groupBy(
-        "band", "part_a", "part_b").applyInArrow(_bucket_pairs(percent, best), "a long, b long, more boolean")
+    mixed = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).where(
+        "x < y").select("band", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts"))
+    rows = placed.join(mixed, "band").withColumn("part", F.expr("cast(pmod(xxhash64(id, 5), parts) as int)")).withColumn(
+        "other", F.explode(F.expr("sequence(0, parts - 1)")))
+    cells = staged(rows.select("band", "id", "label", "part", F.least("part", "other").alias("part_a"),
+                               F.greatest("part", "other").alias("part_b")), "cells")
+    bins = max(1, -(-cells.count() // TASK_ROWS))
+    return cells.join(sketches, "id").withColumn("bin", F.expr(f"pmod(xxhash64(band, part_a, part_b), {bins})")).groupBy(
+        "bin").applyInArrow(_cell_pairs(percent, best), "a long, b long, band long, more boolean")
