@@ -142,37 +142,41 @@ def py_round_expr(sql: str, n: int) -> Column:
     return F.expr(round_text(f"({sql})", n, SPARK))
 
 
-def exact_sum(x: Column | str, dp_in: int = 2) -> Column:
-    """Aggregate: order-independent sum of values with at most ``dp_in`` decimals."""
-    if isinstance(x, str):
-        u = units_text(_quote(x), dp_in, SPARK)
-        return F.expr(f"CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)}")
-    return F.sum(_units(x, dp_in)).cast("double") / F.lit(float(10 ** dp_in))
+def rest_text(expr: str, dp_in: int, d: _Dialect) -> str:
+    """What ``expr`` has beyond ``dp_in`` decimals: exactly 0.0 for values that have no more."""
+    x, s = f"CAST({expr} AS DOUBLE)", d.dbl(10 ** dp_in)
+    return f"({x} - {d.rint(f'{x} * {s}')} / {s})"
+
 
+def exact_sum(x: str, dp_in: int = 2) -> Column:
+    """Aggregate: sum of a column, order-independent for values with at most ``dp_in`` decimals.
 
-def _units(x: Column, dp_in: int) -> Column:
-    return F.rint(x.cast("double") * F.lit(float(10 ** dp_in))).cast("long")
+    Whole units and what lies beyond them are summed apart, so further decimals count too."""
+    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
+    return F.expr(f"CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)} + sum({e})")
 
 
 def py_mean(x: str, nd: int = 2, dp_in: int = 2) -> Column:
-    """Aggregate over a column name: ``round(mean(x), nd)`` with Python semantics,
-    exact and order-free."""
-    u = units_text(_quote(x), dp_in, SPARK)
-    return F.expr(mean_round_text(f"sum({u})", f"count({u})", nd, dp_in, SPARK))
+    """Aggregate over a column name: ``round(mean(x), nd)`` with Python semantics."""
+    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
+    mean = f"((CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)} + sum({e})) / CAST(count({u}) AS DOUBLE))"
+    return F.expr(f"CASE WHEN count({u}) > 0 THEN CASE WHEN sum({e}) = 0 THEN "
+                  f"{mean_round_text(f'sum({u})', f'count({u})', nd, dp_in, SPARK)} "
+                  f"ELSE {round_text(mean, nd, SPARK)} END END")
 
 
 def exact_mean(x: str, dp_in: int = 2) -> Column:
-    """Aggregate: unrounded mean from the exact unit sum, one IEEE division
-    (order-free, so identical on every engine and partitioning)."""
-    u = units_text(_quote(x), dp_in, SPARK)
+    """Aggregate: unrounded mean from the exact unit sum and the rest beyond it; for values
+    with at most ``dp_in`` decimals one IEEE division, identical on every partitioning."""
+    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
     return F.expr(f"CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
-                  f"(CAST(count({u}) AS DOUBLE) * {SPARK.dbl(10 ** dp_in)}) END")
+                  f"(CAST(count({u}) AS DOUBLE) * {SPARK.dbl(10 ** dp_in)}) + sum({e}) / CAST(count({u}) AS DOUBLE) END")
 
 
 def mean_parts(x: str, dp_in: int = 2) -> Column:
-    """Aggregate: struct(exact unit sum ``s``, count ``n``); finish with :func:`finish_means`."""
-    u = units_text(_quote(x), dp_in, SPARK)
-    return F.expr(f"named_struct('s', sum({u}), 'n', count({u}))")
+    """Aggregate: struct(exact unit sum ``s``, count ``n``, rest beyond the units ``e``); finish with :func:`finish_means`."""
+    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
+    return F.expr(f"named_struct('s', sum({u}), 'n', count({u}), 'e', sum({e}))")
 
 
 def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
@@ -187,7 +191,8 @@ def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
     d = SPARK
     dd, split = d.dbl(2 * 10 ** nd), d.dbl(_SPLIT)
     steps = [
-        [("s", "{c}.s"), ("n", "{c}.n"), ("bn", f"{{c}}.n * {10 ** (dp_in - nd)}")],
+        [("s", "{c}.s"), ("n", "{c}.n"), ("e", "{c}.e"), ("bn", f"{{c}}.n * {10 ** (dp_in - nd)}"),
+         ("avg", f"(CAST({{c}}.s AS DOUBLE) / {d.dbl(10 ** dp_in)} + {{c}}.e) / CAST({{c}}.n AS DOUBLE)")],
         [("r", "pmod({s}, {bn})")],
         [("q", "({s} - {r}) div {bn}")],
         [("m", "CAST({q} * 2 + 1 AS DOUBLE)")],
@@ -196,7 +201,7 @@ def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
         [("hi", "{cc} - ({cc} - {t})")],
         [("err", f"({{hi}} * {dd} - {{p}}) + ({{t}} - {{hi}}) * {dd}")],
     ]
-    final = ("CASE WHEN {n} > 0 THEN CAST((CASE WHEN {r} * 2 < {bn} THEN {q} "
+    final = ("CASE WHEN {n} > 0 AND {e} <> 0 THEN " + round_text("{avg}", nd, d) + " WHEN {n} > 0 THEN CAST((CASE WHEN {r} * 2 < {bn} THEN {q} "
              "WHEN {r} * 2 > {bn} THEN {q} + 1 "
              "WHEN {p} = {m} AND {err} = 0 THEN (CASE WHEN pmod({q}, 2) = 0 THEN {q} ELSE {q} + 1 END) "
              "WHEN (CASE WHEN {p} <> {m} THEN {p} > {m} ELSE {err} > 0 END) THEN {q} + 1 "
@@ -205,7 +210,7 @@ def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
 
     def names(c):
         return {k: _quote(f"__{c}_{k}") for k in
-                ("s", "n", "bn", "r", "q", "m", "t", "p", "cc", "hi", "err")} | {"c": _quote(c)}
+                ("s", "n", "e", "avg", "bn", "r", "q", "m", "t", "p", "cc", "hi", "err")} | {"c": _quote(c)}
 
     temps = []
     for step in steps:
@@ -222,16 +227,19 @@ def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
 
 # DuckDB twins ---------------------------------------------------------------
 
-def sql_exact_sum(expr: str, dp_in: int = 2) -> str:
-    return f"(CAST(sum({units_text(expr, dp_in, DUCK)}) AS DOUBLE) / {DUCK.dbl(10 ** dp_in)})"
+# Written apart from the Spark side: sums are exact DECIMAL sums of six decimals, and a mean is one division.
 
+def _decimal_sum(expr: str) -> str:
+    return f"CAST(CAST(sum(CAST({expr} AS DECIMAL(38, 6))) * 1000000 AS HUGEINT) AS DOUBLE)"
 
-def sql_py_mean(expr: str, nd: int = 2, dp_in: int = 2) -> str:
-    u = units_text(expr, dp_in, DUCK)
-    return mean_round_text(f"sum({u})", f"count({u})", nd, dp_in, DUCK)
+
+def sql_exact_sum(expr: str, dp_in: int = 2) -> str:
+    return f"({_decimal_sum(expr)} / 1000000.0::DOUBLE)"
 
 
 def sql_exact_mean(expr: str, dp_in: int = 2) -> str:
-    u = units_text(expr, dp_in, DUCK)
-    return (f"(CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
-            f"(CAST(count({u}) AS DOUBLE) * {DUCK.dbl(10 ** dp_in)}) END)")
+    return f"(CASE WHEN count({expr}) > 0 THEN {_decimal_sum(expr)} / (CAST(count({expr}) AS DOUBLE) * 1000000.0::DOUBLE) END)"
+
+
+def sql_py_mean(expr: str, nd: int = 2, dp_in: int = 2) -> str:
+    return round_text(sql_exact_mean(expr), nd, DUCK)

@@ -7,7 +7,7 @@ group key with map-side partial aggregation) and only finished rows leave it.
 Missing-hour rules differ on purpose (kept from the reference):
 * ``duck_profile``: an hour without rows keeps only ``hour`` (other fields NULL);
 * ``mix_profile``: an hour without rows is 0.0;
-* ``chart_profile``: an hour without rows is an error (``require_full_profile``).
+* ``chart_profile``: an hour without rows is an error (``full_profile``).
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from gridlens.functions.rounding import exact_mean, exact_sum, finish_means, mea
 from gridlens.functions.timefmt import local_hour, respondent_timezone, utc_iso
 from gridlens.operators.windows import hourly_ramp
 from gridlens.schemas import CHART_TIMEZONE
-from gridlens.session import checkpoint_dir
 
 
 class SelectionError(ValueError):
@@ -144,30 +143,21 @@ CHART_FIELDS = {"demand": "demand_mwh", "net_load": "net_load_mwh",
                 "residual_after_nuclear": "residual_load_after_nuclear_mwh"}
 
 
-def chart_profile(curve: DataFrame, timezone: str = CHART_TIMEZONE,
-                  dp_in: int | None = 2) -> DataFrame:
+def chart_profile(curve: DataFrame, timezone: str = CHART_TIMEZONE) -> DataFrame:
     """Unrounded mean per local hour of demand, net and residual; one zone for all
     respondents (Pacific by default); no date filter. Hours without rows are absent:
-    call :func:`require_full_profile` to enforce the reference's failure.
-
-    With ``dp_in`` (values carry at most that many decimals) the mean comes from the
-    exact unit sum, so it does not depend on partitioning; ``None`` uses ``avg``."""
+    :func:`full_profile` makes them a failure, as in the reference."""
     local = curve.withColumn("hour", local_hour("period_utc", timezone).cast("bigint"))
-    mean = (lambda src: exact_mean(src, dp_in)) if dp_in is not None else F.avg
     return local.groupBy("respondent", "hour").agg(
-        *[mean(src).alias(name) for name, src in CHART_FIELDS.items()],
+        *[exact_mean(src).alias(name) for name, src in CHART_FIELDS.items()],
         F.count(F.lit(1)).alias("rows"))
 
 
-def require_full_profile(profile: DataFrame) -> DataFrame:
-    """Raise unless every respondent has all 24 hours (one small aggregate job)."""
-    short = (profile.groupBy("respondent").agg(F.count(F.lit(1)).alias("hours"))
-             .where(F.col("hours") < 24).limit(1).collect())
-    if short:
-        raise ValueError(f"No duck-curve rows for some local hours of {short[0]['respondent']}")
-    if profile.isEmpty():
-        raise ValueError("No duck-curve rows found")
-    return profile
+def full_profile(profile: DataFrame) -> DataFrame:
+    """The profile, which fails when it is computed if a respondent lacks one of the 24 hours."""
+    hours = F.count(F.lit(1)).over(Window.partitionBy("respondent"))
+    message = F.concat(F.lit("some local hour of "), "respondent", F.lit(" has no rows: "), hours.cast("string"), F.lit(" of 24"))
+    return profile.withColumn("hour", F.when(hours == 24, F.col("hour")).otherwise(F.raise_error(message)))
 
 
 def profile_bounds(profile: DataFrame) -> DataFrame:
@@ -276,15 +266,13 @@ def dashboard_payload(curve: DataFrame, fuel: DataFrame, outage: DataFrame, regi
                       start, end, respondents: Sequence[str] | None = None) -> DataFrame:
     """One JSON document per respondent with every dashboard block.
 
-    Runs one eager job (the checkpoint of the curve slice).  Each block is a
+    No job runs while the plan is built.  Each block is a
     per-respondent aggregate joined on ``respondent``; the fleet
     outage context (identical for all respondents, bounded by the number of days
     in the range) is attached as a scalar subquery, so nothing is cross joined.
     """
-    # The curve slice feeds three blocks: compute it once and cut its lineage with a
-    # reliable checkpoint in the shared checkpoint folder (hourly grain, so small).
-    checkpoint_dir(curve.sparkSession)
-    cs = date_range_slice(curve, start, end, respondents).checkpoint(eager=True)
+    # The curve slice feeds two blocks, whose equal exchanges Spark runs once.
+    cs = date_range_slice(curve, start, end, respondents)
     fs = fuel_slice(fuel, start, end, respondents)
 
     prof = duck_profile(cs)

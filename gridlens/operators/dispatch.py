@@ -15,7 +15,7 @@ computed for every distinct target of an hourly table:
 2. ``frontier``: for a fixed capacity, the objective only depends on cost, so
    only the cheapest commitment per distinct capacity can win (first index on
    ties) -- a partial aggregation keyed by capacity.
-3. The frontier (at most 2^N rows; N is capped) reaches every target row as one
+3. The frontier (one row per distinct capacity) reaches every target row as one
    scalar-subquery array, and ``aggregate`` scans it per target inside the JVM.
    Targets are deduplicated before and joined back after, so work grows with
    the number of distinct targets, and no target x commitment pairs are ever
@@ -45,14 +45,14 @@ DEFAULT_UNITS = [
     ("Peaker", 2.0, 55.0),
 ]
 DEFAULT_PENALTY = 10.0
-MAX_UNITS = 16  # 2^16 commitments: the frontier array stays small enough to ship as a literal
+MAX_UNITS = 62  # a commitment is one long
 OBJECTIVE_DECIMALS = 6
 
 
 def fleet(units: Sequence[tuple[str, float, float]] | None = None):
     units = [(str(n), float(c), float(k)) for n, c, k in (units or DEFAULT_UNITS)]
     if not 1 <= len(units) <= MAX_UNITS:
-        raise ValueError(f"fleet must have 1..{MAX_UNITS} units")
+        raise ValueError(f"fleet must have 1..{MAX_UNITS} units, whose bits fit a long")
     return units
 
 
@@ -152,31 +152,19 @@ def commitment_report(best: DataFrame, units=None) -> DataFrame:
         py_round("cost", 2).alias("commit_cost"), "objective")
 
 
-def hourly_targets(curve: DataFrame, total_capacity: float) -> DataFrame:
-    """One target per curve hour: |residual load| folded into the fleet size, 1 decimal."""
+def hourly_targets(curve: DataFrame, unit_mwh: float = 1.0) -> DataFrame:
+    """One target per curve hour: |residual load| in units of ``unit_mwh``, 1 decimal."""
     return curve.select("period_utc", "respondent", py_round(
-        F.abs(F.col("residual_load_after_nuclear_mwh")) % F.lit(float(total_capacity)), 1)
-        .alias("target_load"))
-
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once for several consumers: a reliable checkpoint in the shared
-    checkpoint folder (one eager job; lineage cut, survives executor loss)."""
-    from gridlens.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+        F.abs(F.col("residual_load_after_nuclear_mwh")) / F.lit(float(unit_mwh)), 1).alias("target_load"))
 
 
 def dispatch_hourly(spark: SparkSession, targets: DataFrame, units=None,
-                    penalty: float = DEFAULT_PENALTY, materialize: bool = True) -> DataFrame:
+                    penalty: float = DEFAULT_PENALTY) -> DataFrame:
     """Best commitment for every hourly target row.
 
     Solved once per distinct target, then joined back on the target value; AQE
     broadcasts the solved table when its measured size is small and splits a
-    skewed target value otherwise.  The targets feed both sides, so by default
-    they are computed once (:func:`reuse`) instead of twice from the raw input."""
-    if materialize:
-        targets = reuse(targets)
+    skewed target value otherwise."""
     best = commitment_report(best_commitment(spark, targets, units=units, penalty=penalty), units)
     return targets.join(best, "target_load", "inner")
 
@@ -202,22 +190,26 @@ def commitment_gap(spark: SparkSession, candidates: DataFrame, optimum: DataFram
         .alias("optimum_recovered"))
 
 
-def topk_commitments(spark: SparkSession, targets: DataFrame, score: str = "closeness", k: int = 16,
+def closeness(target: Column, subset: Column) -> Column:
+    """-|T - capacity|: the default score of a commitment for a target."""
+    return -F.abs(target - subset["capacity"])
+
+
+def topk_commitments(spark: SparkSession, targets: DataFrame, score=closeness, k: int = 16,
                      units=None, penalty: float = DEFAULT_PENALTY) -> DataFrame:
     """Keep the ``k`` best-scored commitments per target, then the cheapest of them.
 
-    Score ``closeness``: -|T - capacity| (ties by index). Every commitment is a
-    candidate (the array holds all 2^N, N capped), ranked per target in the JVM."""
+    ``score(target, subset)`` gives a column from the target and a commitment's struct (capacity,
+    cost, commitment); higher is better, ties go to the smaller index.  Every
+    commitment is a candidate, ranked per distinct target in the JVM."""
     units = fleet(units)
     n = len(units)
-    if score != "closeness":
-        raise ValueError("supported score: closeness")
     arr = commitments(spark, units).select(
         F.collect_list(F.struct("capacity", "cost", "commitment"))).scalar()
     distinct = targets.select("target_load").distinct()
     t = F.col("target_load")
     ranked = F.array_sort(F.transform(F.col("_subsets"), lambda s: F.struct(
-        F.abs(t - s["capacity"]).alias("dist"), s["commitment"].alias("commitment"),
+        (-score(t, s)).alias("rank"), s["commitment"].alias("commitment"),
         s["capacity"].alias("capacity"), s["cost"].alias("cost"))))
     top = F.slice(ranked, 1, k)
     pick = _best_of(F.transform(top, lambda s: F.struct(
@@ -229,6 +221,24 @@ def topk_commitments(spark: SparkSession, targets: DataFrame, score: str = "clos
                        F.col("b.obj").alias("objective"))
 
 
+def qubo_objective(commitment: Column, target: Column, units=None, penalty: float = DEFAULT_PENALTY) -> Column:
+    """x^T Q x + const of a commitment, summed in its own row over the unit pairs."""
+    units = fleet(units)
+    n, p = len(units), F.lit(float(penalty))
+    pairs = F.array(*[F.struct(F.lit(n - 1 - i).alias("i"), F.lit(n - 1 - j).alias("j"), F.lit(ui[1]).alias("cap_i"),
+                               F.lit(uj[1]).alias("cap_j"), F.lit(ui[2]).alias("cost_i"))
+                      for i, ui in enumerate(units) for j, uj in enumerate(units)])
+
+    def add(total, u):
+        both = (F.call_function("shiftright", commitment, u["i"]).bitwiseAND(F.lit(1)) == 1) & (
+            F.call_function("shiftright", commitment, u["j"]).bitwiseAND(F.lit(1)) == 1)
+        q = F.when(u["i"] == u["j"], u["cost_i"] + p * (u["cap_i"] * u["cap_i"] - F.lit(2.0) * target * u["cap_i"])) \
+             .otherwise(p * u["cap_i"] * u["cap_j"])
+        return total + F.when(both, q).otherwise(F.lit(0.0))
+
+    return F.aggregate(pairs, F.lit(0.0), add) + p * target * target
+
+
 def qubo_terms(targets: DataFrame, units=None, penalty: float = DEFAULT_PENALTY) -> DataFrame:
     """Long-form QUBO per distinct target: (target_load, i, j, q) plus const = P T^2.
 

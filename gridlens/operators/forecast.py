@@ -8,7 +8,8 @@ first ``int(n * (1 - test_frac))`` samples of a series train, the rest test.
 
 ``fit_forecast`` trains one gradient-boosted tree model per target series
 (solar, wind) on the training samples of *all* respondents with Spark ML, so a
-fit is one distributed job whatever the number of respondents; predictions are
+fit is one distributed job whatever the number of respondents.  Targets and levels are
+scaled per series, so each is forecast as well as if fitted alone; predictions are
 floored at 0 and scored per (respondent, series).
 
 skill = 1 - RMSE_model / RMSE_persistence (NaN when the baseline RMSE is 0).
@@ -17,6 +18,7 @@ skill = 1 - RMSE_model / RMSE_persistence (NaN when the baseline RMSE is 0).
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -24,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.operators.windows import lag_col, row_index, series_window
+from gridlens.session import checkpoint_dir
 
 LAG_SHORT, LAG_DAY = 1, 24
 MIN_SAMPLES = 48
 SERIES = {"solar": "solar_mwh", "wind": "wind_mwh"}
 FEATURES = ["hour_sin", "hour_cos", "dow", "doy_sin", "doy_cos", "lag_1", "lag_24", "roll_24"]
 SERIES_KEYS = ["respondent", "series"]
+UNITS = 100.0  # hundredths
 
 
 def long_series(curve: DataFrame, series: dict[str, str] | None = None) -> DataFrame:
@@ -53,21 +57,26 @@ def calendar_features(df: DataFrame, ts: str = "period_utc") -> DataFrame:
               .withColumn("doy_cos", F.cos(F.lit(two_pi) * doy / F.lit(365.25))))
 
 
-def rolling_mean_24(w, dp_in: int | None = 2) -> F.Column:
-    """Mean of the 24 rows before. With ``dp_in`` the window sums exact integer
-    units (values carry at most ``dp_in`` decimals), so the result does not depend
-    on the order the engine adds the frame in."""
+def _units(c: str) -> F.Column:
+    return F.rint(F.col(c) * F.lit(UNITS)).cast("long")
+
+
+def _rest(c: str) -> F.Column:
+    """What a value has beyond whole units: exactly 0.0 for values of two decimals."""
+    return F.col(c) - F.rint(F.col(c) * F.lit(UNITS)) / F.lit(UNITS)
+
+
+def rolling_mean_24(w) -> F.Column:
+    """Mean of the 24 rows before.  Whole hundredths and what lies beyond them are summed
+    apart: for values of two decimals the result does not depend on the order the
+    engine adds the frame in, and further decimals count."""
     frame = w.rowsBetween(-LAG_DAY, -1)
-    if dp_in is None:
-        return F.avg("y").over(frame)
-    u = F.rint(F.col("y") * F.lit(float(10 ** dp_in))).cast("long")
-    n = F.count(u).over(frame)
-    return F.when(n > 0, F.sum(u).over(frame).cast("double")
-                  / (n.cast("double") * F.lit(float(10 ** dp_in))))
+    n = F.count("y").over(frame)
+    return F.when(n > 0, F.sum(_units("y")).over(frame).cast("double") / (n.cast("double") * F.lit(UNITS))
+                  + F.sum(_rest("y")).over(frame) / n.cast("double"))
 
 
-def design_matrix(series_rows: DataFrame, test_frac: float = 0.25,
-                  dp_in: int | None = 2) -> DataFrame:
+def design_matrix(series_rows: DataFrame, test_frac: float = 0.25) -> DataFrame:
     """Features, target ``y``, ``persistence`` and ``row_index`` from row 24 on, plus
     the chronological split (``sample_index``, ``n_samples``, ``split``, ``is_train``).
 
@@ -78,7 +87,7 @@ def design_matrix(series_rows: DataFrame, test_frac: float = 0.25,
              .withColumn("row_index", row_index(w))
              .withColumn("lag_1", lag_col("y", LAG_SHORT, w))
              .withColumn("lag_24", lag_col("y", LAG_DAY, w))
-             .withColumn("roll_24", rolling_mean_24(w, dp_in))
+             .withColumn("roll_24", rolling_mean_24(w))
              .withColumn("persistence", F.col("lag_24")))
     samples = feats.where(F.col("row_index") >= LAG_DAY)
     return chrono_split(samples, test_frac)
@@ -94,15 +103,10 @@ def chrono_split(samples: DataFrame, test_frac: float = 0.25) -> DataFrame:
 
 
 def check_sample_counts(design: DataFrame, minimum: int = MIN_SAMPLES) -> None:
-    """The reference refuses series with fewer than 48 samples (one small aggregate job)."""
-    short = (design.groupBy(*SERIES_KEYS).agg(F.max("n_samples").alias("n"))
-             .where(F.col("n") < minimum).limit(1).collect())
-    if short:
-        r = short[0]
-        raise ValueError(f"need at least ~3 days of hourly data to forecast "
-                         f"({r['respondent']}/{r['series']}: {r['n']} samples)")
-    if design.isEmpty():
-        raise ValueError("need at least ~3 days of hourly data to forecast")
+    """Raise unless some series has the ``minimum`` of samples (one small aggregate job)."""
+    longest = design.agg(F.max("n_samples")).first()[0] or 0
+    if longest < minimum:
+        raise ValueError(f"no series has {minimum} samples to fit on (the longest has {longest})")
 
 
 # The booster settings of the reference (depth 4, learning rate
@@ -111,21 +115,42 @@ def check_sample_counts(design: DataFrame, minimum: int = MIN_SAMPLES) -> None:
 MAX_BINS = 255
 MIN_SAMPLES_LEAF = 20
 
+_LEVEL_FEATURES = ["lag_1", "lag_24", "roll_24"]
+_MODEL_FEATURES = [f for f in FEATURES if f not in _LEVEL_FEATURES] + [f"{f}_rel" for f in _LEVEL_FEATURES] + ["series_no"]
+
+
+def model_rows(design: DataFrame, minimum: int = MIN_SAMPLES) -> DataFrame:
+    """Samples of the series long enough to fit, on a common scale.
+
+    Target and level features are divided by the series' mean absolute training value, a
+    number for the respondent lets trees tell series apart, and every series weighs as much as
+    the average one, so neither a small nor a short series is drowned by the others."""
+    train = design.where(F.col("is_train") & (F.col("n_samples") >= minimum))
+    levels = train.groupBy(*SERIES_KEYS).agg(F.avg(F.abs("y")).alias("level"), F.count("*").alias("n_fit"))
+    per_series = Window.partitionBy("series")
+    levels = levels.select(
+        *SERIES_KEYS, F.when(F.col("level") > 0, F.col("level")).otherwise(F.lit(1.0)).alias("level"),
+        (F.avg("n_fit").over(per_series) / F.col("n_fit")).alias("weight"),
+        F.row_number().over(per_series.orderBy("respondent")).cast("double").alias("series_no"))
+    rows = design.join(levels, SERIES_KEYS)
+    return rows.select("*", (F.col("y") / F.col("level")).alias("y_rel"),
+                       *((F.col(f) / F.col("level")).alias(f"{f}_rel") for f in _LEVEL_FEATURES))
 
-def fit_forecast(design: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
+
+def fit_forecast(rows: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
                  step_size: float = 0.08, seed: int = 0,
                  series: Sequence[str] | None = None) -> dict:
-    """Fit one boosted-tree regressor per series name on the training samples."""
+    """Fit one boosted-tree regressor per series name on the training samples of :func:`model_rows`."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    check_sample_counts(design)
+    checkpoint_dir(rows.sparkSession)  # boosting cuts its lineage there every ten rounds
     names = list(series or SERIES)
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    assembler = VectorAssembler(inputCols=_MODEL_FEATURES, outputCol="features")
 
     def fit(name):
-        train = assembler.transform(design.where((F.col("series") == name) & F.col("is_train")))
-        gbt = GBTRegressor(featuresCol="features", labelCol="y", maxDepth=max_depth,
+        train = assembler.transform(rows.where((F.col("series") == name) & F.col("is_train")))
+        gbt = GBTRegressor(featuresCol="features", labelCol="y_rel", weightCol="weight", maxDepth=max_depth,
                            stepSize=step_size, maxIter=max_iter, seed=seed, maxBins=MAX_BINS,
                            minInstancesPerNode=MIN_SAMPLES_LEAF)
         return gbt.fit(train)
@@ -136,38 +161,38 @@ def fit_forecast(design: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
         return dict(zip(names, pool.map(fit, names)))
 
 
-def predict_clip(design: DataFrame, models: dict) -> DataFrame:
-    """Test samples with (truth, prediction floored at 0, persistence baseline)."""
+def predict_clip(rows: DataFrame, models: dict) -> DataFrame:
+    """Test samples of :func:`model_rows` with (truth, prediction floored at 0, persistence baseline)."""
     from pyspark.ml.feature import VectorAssembler
 
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    assembler = VectorAssembler(inputCols=_MODEL_FEATURES, outputCol="features")
     out = None
     for name, model in models.items():
-        test = assembler.transform(design.where((F.col("series") == name) & ~F.col("is_train")))
-        pred = model.transform(test).select(
-            "respondent", "series", "period_utc", "sample_index",
-            F.col("y").alias("truth"),
-            F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"),
-            "persistence")
+        test = assembler.transform(rows.where((F.col("series") == name) & ~F.col("is_train")))
+        pred = clipped(model.transform(test).withColumn("prediction", F.col("prediction") * F.col("level")))
         out = pred if out is None else out.unionByName(pred)
     return out
 
 
+def clipped(predicted: DataFrame) -> DataFrame:
+    """(keys, truth, prediction floored at 0, persistence) of predicted samples."""
+    return predicted.select(
+        "respondent", "series", "period_utc", "sample_index", F.col("y").alias("truth"),
+        F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"), "persistence")
+
+
 def forecast_metrics(pred: DataFrame, design: DataFrame) -> DataFrame:
-    """rmse_model, rmse_persistence, mae_model, skill_score, n_train, n_test per series."""
+    """rmse_model, rmse_persistence, mae_model, skill_score, n_train, n_test per series.
+
+    Every series of ``design`` has a row; one without predictions (too short to fit) has null scores."""
     sizes = design.groupBy(*SERIES_KEYS).agg(
         F.max("split").alias("n_train"), (F.max("n_samples") - F.max("split")).alias("n_test"))
     m = pred.groupBy(*SERIES_KEYS).agg(
         F.sqrt(F.avg(F.pow(F.col("truth") - F.col("prediction"), 2))).alias("rmse_model"),
         F.sqrt(F.avg(F.pow(F.col("truth") - F.col("persistence"), 2))).alias("rmse_persistence"),
-        F.avg(F.abs(F.col("truth") - F.col("prediction"))).alias("mae_model"),
-        F.sort_array(F.collect_list(F.struct("sample_index", "prediction"))).alias("_p"),
-        F.sort_array(F.collect_list(F.struct("sample_index", "truth"))).alias("_t"))
-    m = (m.withColumn("skill_score", skill_score("rmse_model", "rmse_persistence"))
-          .withColumn("predictions", F.transform("_p", lambda x: x["prediction"]))
-          .withColumn("truth", F.transform("_t", lambda x: x["truth"]))
-          .drop("_p", "_t"))
-    return m.join(sizes, SERIES_KEYS)
+        F.avg(F.abs(F.col("truth") - F.col("prediction"))).alias("mae_model"))
+    return sizes.join(m, SERIES_KEYS, "left").withColumn("skill_score", F.when(
+        F.col("rmse_model").isNotNull(), skill_score("rmse_model", "rmse_persistence")))
 
 
 def skill_score(model_rmse: str, base_rmse: str) -> F.Column:
@@ -176,25 +201,36 @@ def skill_score(model_rmse: str, base_rmse: str) -> F.Column:
 
 
 def forecast_renewables(curve: DataFrame, *, test_frac: float = 0.25, **fit_kwargs) -> DataFrame:
-    """Both solar and wind for every respondent: metrics with prediction vectors."""
-    design = design_matrix(long_series(curve), test_frac).cache()
-    models = fit_forecast(design, **fit_kwargs)
-    return forecast_metrics(predict_clip(design, models), design)
+    """Solar and wind for every respondent: one row of metrics per series.
+
+    The samples are kept for the fit's rounds and released once the few metric rows are
+    written down; a series with fewer than 48 samples is reported without scores."""
+    design = design_matrix(long_series(curve), test_frac)
+    check_sample_counts(design)
+    rows = model_rows(design).persist()
+    try:
+        metrics = forecast_metrics(predict_clip(rows, fit_forecast(rows, **fit_kwargs)), design)
+        path = f"{checkpoint_dir(curve.sparkSession)}/forecast-{uuid.uuid4().hex}"
+        metrics.write.parquet(path)
+    finally:
+        rows.unpersist()
+    return curve.sparkSession.read.schema(metrics.schema).parquet(path)
 
 
-def persistence_metrics(design: DataFrame, dp_in: int = 2) -> DataFrame:
+def persistence_metrics(design: DataFrame) -> DataFrame:
     """RMSE and MAE of the persistence baseline on each series' test tail.
 
-    Differences are taken in exact integer units and summed as decimals, so the
+    Differences are taken in whole hundredths, summed as decimals, with what lies beyond
+    them added apart; for values of two decimals that part is exactly 0.0, so the
     result is the same on any engine and partitioning."""
-    s = float(10 ** dp_in)
-    d = (F.rint(F.col("y") * F.lit(s)).cast("long")
-         - F.rint(F.col("persistence") * F.lit(s)).cast("long"))
+    whole, rest = _units("y") - _units("persistence"), _rest("y") - _rest("persistence")
+    gap = whole / F.lit(UNITS)
     test = design.where(~F.col("is_train"))
+    n = F.count(F.lit(1)).cast("double")
     return test.groupBy(*SERIES_KEYS).agg(
         F.max("split").alias("n_train"),
         (F.max("n_samples") - F.max("split")).alias("n_test"),
-        F.sqrt(F.sum((d * d).cast("decimal(38,0)")).cast("double")
-               / (F.count(F.lit(1)).cast("double") * F.lit(s * s))).alias("rmse_persistence"),
-        (F.sum(F.abs(d)).cast("double") / (F.count(F.lit(1)).cast("double") * F.lit(s)))
-        .alias("mae_persistence"))
+        F.sqrt(F.sum((whole * whole).cast("decimal(38,0)")).cast("double") / (n * F.lit(UNITS * UNITS))
+               + F.sum(gap * rest * 2 + rest * rest) / n).alias("rmse_persistence"),
+        (F.sum(F.abs(whole)).cast("double") / (n * F.lit(UNITS))
+         + F.sum(F.abs(gap + rest) - F.abs(gap)) / n).alias("mae_persistence"))

@@ -4,17 +4,17 @@ A scenario scales solar and wind by ``renewable_multiplier`` and nuclear by
 ``nuclear_availability``, recomputes net and residual load from the unrounded
 values, then rounds each to 2 decimals.  The baseline is summarized as stored.
 
-All scenarios run in one pass: the (small, bounded) scenario catalogue is
+All scenarios run in one pass: the scenario catalogue (the caller's list) is
 attached to every hourly row by exploding a literal array, which is a map-side
-generator, so no join and no shuffle is needed until the one summary
-aggregation keyed by (scenario, respondent).
+generator, so no join is needed; the comparison takes the hour before on the base
+curve and shuffles nothing after the explode but partial sums.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.functions.rounding import py_round
@@ -29,7 +29,6 @@ DEFAULT_SCENARIOS = [
     ("2x renewables, nuclear 50%", 2.0, 0.5),
 ]
 BASELINE = "baseline"
-MAX_SCENARIOS = 256
 
 SUMMARY_FIELDS = ["hours", "peak_demand_mwh", "min_net_load_mwh", "max_hourly_ramp_mwh",
                   "peak_residual_mwh", "curtailment_hours", "renewable_share"]
@@ -46,8 +45,6 @@ def catalogue(scenarios: Sequence[tuple[str, float, float]] | Mapping | None = N
                       float(kw.get("nuclear_availability", 1.0)))
                      for label, kw in scenarios.items()]
     out = [(str(a), float(b), float(c)) for a, b, c in scenarios]
-    if len(out) > MAX_SCENARIOS:
-        raise ValueError(f"at most {MAX_SCENARIOS} scenarios per pass")
     return out
 
 
@@ -98,33 +95,53 @@ def scenario_curves(curve: DataFrame, scenarios=None, *, with_baseline: bool = T
     return rows.select("scenario", "scenario_order", *cols)
 
 
-def _units(c) -> F.Column:
-    return F.rint(c * F.lit(100.0)).cast("long")
+def _parts(c: F.Column) -> tuple[F.Column, F.Column]:
+    """Whole hundredths, and what lies beyond them (exactly 0.0 for values of two decimals)."""
+    units = F.rint(c * F.lit(100.0))
+    return units.cast("long"), c - units / F.lit(100.0)
 
 
 def scenario_summary(curves: DataFrame, keys: Sequence[str] = ("scenario", "scenario_order",
                                                                  "respondent")) -> DataFrame:
     """Grid-stress metrics per (scenario, respondent): one window pass for the
     row-adjacent ramp, then one aggregation.  Peaks/minimum/ramp round to 1,
-    share to 4 (0.0 when total demand is 0); sums are exact hundredths."""
+    share to 4 (0.0 when total demand is 0)."""
     part = [k for k in keys if k != "scenario_order"]
-    ramps = hourly_ramp(curves, partition=part)
-    renew = _units(F.col("solar_mwh") + F.col("wind_mwh"))
-    demand = _units(F.col("demand_mwh"))
+    return _summarise(hourly_ramp(curves, partition=part), keys)
+
+
+def _summarise(ramps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # sun and wind apart: their sum would carry rounding noise into the rest
+    parts = {c: _parts(F.col(c)) for c in ("solar_mwh", "wind_mwh", "demand_mwh")}
+    sums = [s for c, (units, rest) in parts.items()
+            for s in (F.sum(units).alias(f"_{c}_u"), F.sum(rest).alias(f"_{c}_r"))]
     agg = ramps.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("hours"),
         py_round(F.max("demand_mwh"), 1).alias("peak_demand_mwh"),
         py_round(F.min("net_load_mwh"), 1).alias("min_net_load_mwh"),
         py_round(F.coalesce(F.max("ramp_mwh"), F.lit(0.0)), 1).alias("max_hourly_ramp_mwh"),
         py_round(F.max("residual_load_after_nuclear_mwh"), 1).alias("peak_residual_mwh"),
-        F.count(F.when(F.col("net_load_mwh") < 0, 1)).alias("curtailment_hours"),
-        F.sum(renew).alias("_renew"), F.sum(demand).alias("_demand"))
-    share = F.when(F.col("_demand") != 0,
-                   py_round(F.col("_renew").cast("double") / F.col("_demand").cast("double"), 4)
-                   ).otherwise(F.lit(0.0))
-    return agg.withColumn("renewable_share", share).drop("_renew", "_demand")
+        F.count(F.when(F.col("net_load_mwh") < 0, 1)).alias("curtailment_hours"), *sums)
+    renew = (F.col("_solar_mwh_u") + F.col("_wind_mwh_u")).cast("double") / F.lit(100.0) + (
+        F.col("_solar_mwh_r") + F.col("_wind_mwh_r"))
+    demand = F.col("_demand_mwh_u").cast("double") / F.lit(100.0) + F.col("_demand_mwh_r")
+    share = F.when(demand != 0, py_round(renew / demand, 4)).otherwise(F.lit(0.0))
+    return agg.withColumn("renewable_share", share).drop(*(f"_{c}_{k}" for c in parts for k in "ur"))
 
 
 def scenario_compare(curve: DataFrame, scenarios=None) -> DataFrame:
-    """Baseline + each scenario -> one summary row per (scenario, respondent)."""
-    return scenario_summary(scenario_curves(curve, scenarios))
+    """Baseline + each scenario -> one summary row per (scenario, respondent).
+
+    The hour before is attached once, on the base curve by respondent; every scenario's ramp
+    is then the difference of two values computed in its own row, so only partial
+    aggregates are shuffled after the scenarios are exploded."""
+    before = Window.partitionBy("respondent").orderBy("period_utc")
+    inputs = ("demand_mwh", "solar_mwh", "wind_mwh", "net_load_mwh")
+    based = curve.select("*", *(F.lag(c).over(before).alias(f"_last_{c}") for c in inputs))
+    rows = scenario_rows(based, scenarios, with_baseline=True)
+    last = F.when(F.col("is_baseline"), F.col("_last_net_load_mwh")).otherwise(py_round(
+        F.col("_last_demand_mwh") - F.col("_last_solar_mwh") * F.col("renewable_multiplier")
+        - F.col("_last_wind_mwh") * F.col("renewable_multiplier"), 2))
+    ramps = apply_scenario(rows.withColumn("_last", last)).withColumn(
+        "ramp_mwh", F.abs(F.col("net_load_mwh") - F.col("_last")))
+    return _summarise(ramps, ("scenario", "scenario_order", "respondent"))

@@ -33,11 +33,6 @@ def lag_col(value: str, n: int, w) -> Column:
     return F.lag(F.col(value), n).over(w)
 
 
-def rolling_mean_before(value: str, n: int, w) -> Column:
-    """Mean of the ``n`` rows strictly before the current one (NULL for the first row)."""
-    return F.avg(F.col(value)).over(w.rowsBetween(-n, -1))
-
-
 def row_index(w) -> Column:
     """0-based position of the row in its series."""
     return F.row_number().over(w) - F.lit(1)

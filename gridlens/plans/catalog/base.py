@@ -40,16 +40,20 @@ def register(name: str, sql: str | None):
     return deco
 
 
-# The dashboard selection used by the catalogue: the whole events month
-# (2024-01-01 .. 2024-01-30, UTC days), i.e. every row of the fixture.
-DASH_START = "2024-01-01"
-DASH_END = "2024-01-30"
-SQL_LO = "TIMESTAMP '2024-01-01 00:00:00'"
-SQL_HI = "TIMESTAMP '2024-01-31 00:00:00'"
+# The selection of the slicing queries (UTC days, inclusive): part of the events month.
+DASH_START = "2024-01-04"
+DASH_END = "2024-01-17"
+SQL_LO = "TIMESTAMP '2024-01-04 00:00:00'"
+SQL_HI = "TIMESTAMP '2024-01-18 00:00:00'"
+FACET = "CISO"
+# And of the outage slice, out of a calendar of seven years.
+OUT_START = "2024-03-01"
+OUT_END = "2026-08-31"
 
 
-def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.duck_curve(X.region_hourly(spark, sf_dir), X.fuel_hourly(spark, sf_dir))
+def curve(spark: SparkSession, sf_dir: str, *days) -> DataFrame:
+    """The whole curve, or that of the given first and last UTC day."""
+    return C.duck_curve(X.region_hourly(spark, sf_dir, *days), X.fuel_hourly(spark, sf_dir, *days))
 
 
 def curve_text(df: DataFrame) -> DataFrame:
@@ -57,22 +61,23 @@ def curve_text(df: DataFrame) -> DataFrame:
 
 
 def dash_slice(spark, sf_dir):
-    return D.date_range_slice(curve(spark, sf_dir), DASH_START, DASH_END)
+    return D.date_range_slice(curve(spark, sf_dir, DASH_START, DASH_END), DASH_START, DASH_END)
 
 
-SLICE_CTE = ("sl", f"SELECT * FROM ba_duck_curve_hourly WHERE period_utc >= {SQL_LO} AND period_utc < {SQL_HI}")
-FUEL_SLICE_CTE = ("fsl", f"""SELECT period_utc, respondent, fuel_type, fuel_name, generation_mwh
-    FROM grid_fuel_hourly WHERE period_utc >= {SQL_LO} AND period_utc < {SQL_HI}""")
+def outage_slice_rows(spark, sf_dir):
+    return D.outage_slice(X.outage_facility_daily(spark, sf_dir, OUT_START, OUT_END), OUT_START, OUT_END)
+
 
-# Outage queries run over the whole shifted lineitem calendar (1995..2001 -> 2023..2029).
-OUT_START = "2023-01-01"
-OUT_END = "2029-12-31"
+_FUEL_COLUMNS = "period_utc, respondent, fuel_type, fuel_name, generation_mwh"
+SLICE_CTE = ("sl", f"SELECT * FROM ba_duck_curve_hourly WHERE period_utc >= {SQL_LO} AND period_utc < {SQL_HI}")
+FUEL_SLICE_CTE = ("fsl", f"""SELECT {_FUEL_COLUMNS} FROM grid_fuel_hourly
+    WHERE period_utc >= {SQL_LO} AND period_utc < {SQL_HI} AND respondent = '{FACET}'""")
 OUTAGE_SLICE_CTE = ("osl", f"""SELECT * FROM nuclear_facility_daily
     WHERE period_date >= DATE '{OUT_START}' AND period_date <= DATE '{OUT_END}'""")
-
-
-def outage_rows(spark, sf_dir):
-    return D.outage_slice(X.outage_facility_daily(spark, sf_dir), OUT_START, OUT_END)
+# The same names over everything, for the queries that select nothing.
+WHOLE_CTE = ("sl", "SELECT * FROM ba_duck_curve_hourly")
+FUEL_WHOLE_CTE = ("fsl", f"SELECT {_FUEL_COLUMNS} FROM grid_fuel_hourly")
+OUTAGE_WHOLE_CTE = ("osl", "SELECT * FROM nuclear_facility_daily")
 
 
 def date_text(c: str):

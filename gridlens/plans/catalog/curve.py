@@ -13,10 +13,7 @@ from gridlens.plans import oracle as O
 from gridlens.sources import fixtures as X
 from gridlens.plans.catalog.base import (
     register,
-    DASH_START,
-    DASH_END,
-    SQL_LO,
-    SQL_HI,
+    WHOLE_CTE,
     curve,
     curve_text,
 )
@@ -69,12 +66,12 @@ _PROFILE_COLS = list(D.PROFILE_FIELDS)
 @register("duck_profile", O.with_views(f"""
 SELECT spine.respondent, spine.hour, {', '.join(f"m.{n}" for n in _PROFILE_COLS)}
 FROM spine LEFT JOIN m USING (respondent, hour)""", "ba_duck_curve_hourly", extra=[
-    ("sl", f"SELECT * FROM ba_duck_curve_hourly WHERE period_utc >= {SQL_LO} AND period_utc < {SQL_HI}"),
+    WHOLE_CTE,
     ("m", f"""SELECT respondent, {O.local_hour('period_utc', O.tz('respondent'))} AS hour,
         {', '.join(f'{M(src, 2)} AS {n}' for n, src in D.PROFILE_FIELDS.items())}
         FROM sl GROUP BY 1, 2"""),
     ("spine", "SELECT respondent, CAST(h AS BIGINT) AS hour FROM (SELECT DISTINCT respondent FROM sl) r, range(24) t(h)"),
 ]))
 def q_duck_profile(spark, sf_dir):
-    cs = D.date_range_slice(curve(spark, sf_dir), DASH_START, DASH_END)
+    cs = curve(spark, sf_dir)
     return D.duck_profile(cs).withColumn("hour", F.col("hour").cast("bigint"))

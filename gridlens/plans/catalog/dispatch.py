@@ -9,6 +9,7 @@ from gridlens.functions.rounding import sql_py_round as R
 from gridlens.operators import dispatch as DP
 from gridlens.plans import oracle as O
 from gridlens.plans.catalog.base import register, curve, curve_text
+from gridlens.sources import fixtures as X
 
 
 _UNITS = DP.fleet()
@@ -52,7 +53,7 @@ _REPORT_COLS = (f"bits, {_NAMES} AS committed, {R('capacity', 2)} AS served_capa
 
 
 def _targets(spark, sf_dir):
-    return DP.hourly_targets(curve(spark, sf_dir), _TOTAL_CAP)
+    return DP.hourly_targets(X.fold_residual(curve(spark, sf_dir), _TOTAL_CAP))
 
 
 @register("best_commitment", O.with_views(
@@ -100,18 +101,10 @@ SELECT b.target_load, b.bits,
 FROM best b JOIN qubo q ON q.target_load = b.target_load
 GROUP BY b.target_load, b.bits, b.objective""", "ba_duck_curve_hourly", extra=_DISPATCH + [_QUBO]))
 def q_commitment_cost(spark, sf_dir):
-    """x^T Q x + const of each optimum, from the long-form QUBO; equals the closed form."""
-    t = DP.reuse(_targets(spark, sf_dir).select("target_load").distinct())
-    best = DP.best_commitment(spark, t)
-    q = DP.qubo_terms(t)
-    n = _NU
-    on = F.expr(f"(shiftright(commitment, {n - 1} - i) & 1) = 1 "
-                f"AND (shiftright(commitment, {n - 1} - j) & 1) = 1")
-    j = best.join(q, "target_load")  # N^2 terms per target, N capped
-    xqx = F.sum(F.when(on, F.col("q")).otherwise(F.lit(0.0)))
-    return j.groupBy("target_load", "bits", "objective").agg(
-        py_round(xqx + F.max("const"), 6).alias("qubo_objective")).select(
-        "target_load", "bits", "qubo_objective", "objective")
+    """x^T Q x + const of each optimum; equals the closed form."""
+    best = DP.best_commitment(spark, _targets(spark, sf_dir))
+    value = DP.qubo_objective(F.col("commitment"), F.col("target_load"))
+    return best.select("target_load", "bits", py_round(value, 6).alias("qubo_objective"), "objective")
 
 
 @register("commitment_gap", O.with_views(f"""
@@ -128,7 +121,7 @@ FROM best e JOIN (SELECT target_load, commitment, bits, capacity, cost FROM (
 def q_commitment_gap(spark, sf_dir):
     """Candidate = the commitment solved on the whole-number target grid; is it
     still optimal at the exact target?"""
-    t = DP.reuse(_targets(spark, sf_dir).select("target_load").distinct())
+    t = _targets(spark, sf_dir).select("target_load").distinct()
     coarse = t.withColumn("coarse_load", F.rint("target_load"))
     solved = DP.best_commitment(spark, coarse, target_col="coarse_load").select(
         F.col("target_load").alias("coarse_load"), "commitment")

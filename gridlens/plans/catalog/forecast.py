@@ -121,6 +121,48 @@ def q_persistence_metrics(spark, sf_dir):
     return FC.persistence_metrics(_design(spark, sf_dir))
 
 
+# The scoring operators with a prediction that both sides can compute: the latest value
+# carried on along the last day's change, which falls below zero often enough to test the floor.
+_PRED = ("prd", """SELECT respondent, series, period_utc, sample_index, n_samples, split, y AS truth, persistence,
+    greatest(2.0 * lag_1 - lag_24, 0.0) AS prediction FROM smp WHERE sample_index >= split""")
+
+
+def _predicted(spark, sf_dir):
+    d = _design(spark, sf_dir)
+    test = d.where(~F.col("is_train")).withColumn("prediction", F.lit(2.0) * F.col("lag_1") - F.col("lag_24"))
+    return FC.clipped(test), d
+
+
+@register("predict_clip", O.with_views(f"""
+SELECT respondent, series, {O.ts_text('period_utc')} AS period_utc, CAST(sample_index AS BIGINT) AS sample_index,
+       truth, prediction, persistence FROM prd""", "ba_duck_curve_hourly", extra=[*_FC, _PRED]))
+def q_predict_clip(spark, sf_dir):
+    return curve_text(_predicted(spark, sf_dir)[0].withColumn("sample_index", F.col("sample_index").cast("bigint")))
+
+
+_METRICS_SQL = """SELECT respondent, series, max(split) AS n_train, max(n_samples) - max(split) AS n_test,
+    sqrt(avg((truth - prediction) ** 2)) AS rmse_model, sqrt(avg((truth - persistence) ** 2)) AS rmse_persistence,
+    avg(abs(truth - prediction)) AS mae_model FROM prd GROUP BY respondent, series"""
+
+
+@register("forecast_metrics", O.with_views(f"""
+SELECT respondent, series, n_train, n_test, round(rmse_model, 6) AS rmse_model,
+       round(rmse_persistence, 6) AS rmse_persistence, round(mae_model, 6) AS mae_model
+FROM ({_METRICS_SQL})""", "ba_duck_curve_hourly", extra=[*_FC, _PRED]))
+def q_forecast_metrics(spark, sf_dir):
+    m = FC.forecast_metrics(*_predicted(spark, sf_dir))
+    return m.select("respondent", "series", "n_train", "n_test",
+                    *(F.round(c, 6).alias(c) for c in ("rmse_model", "rmse_persistence", "mae_model")))
+
+
+@register("skill_score", O.with_views(f"""
+SELECT respondent, series, round(CASE WHEN rmse_persistence > 0 THEN 1 - rmse_model / rmse_persistence
+       ELSE 'nan'::DOUBLE END, 9) AS skill_score FROM ({_METRICS_SQL})""", "ba_duck_curve_hourly", extra=[*_FC, _PRED]))
+def q_skill_score(spark, sf_dir):
+    m = FC.forecast_metrics(*_predicted(spark, sf_dir))
+    return m.select("respondent", "series", F.round("skill_score", 9).alias("skill_score"))
+
+
 @register("forecast_renewables", None)
 def q_forecast_renewables(spark, sf_dir):
     m = FC.forecast_renewables(curve(spark, sf_dir))

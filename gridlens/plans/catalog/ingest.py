@@ -13,7 +13,7 @@ from gridlens.sources import fixtures as X
 from gridlens.sources import normalize as N
 from gridlens.sources import pages as P
 from gridlens.sources import store as S
-from gridlens.plans.catalog.base import register, DASH_START, DASH_END, curve_text, date_text
+from gridlens.plans.catalog.base import register, DASH_START, DASH_END, FACET, curve_text, date_text
 
 
 # -- ingest transforms
@@ -28,12 +28,12 @@ _RAW_REGION = ("raw_region", """SELECT strftime(period_utc, '%Y-%m-%dT%H') AS pe
 
 @register("request_slice", O.with_views(f"""
 SELECT period, respondent, "respondent-name", "type", "type-name", "value" FROM raw_region
-WHERE respondent IN ('CISO', 'ERCO') AND period BETWEEN '{DASH_START}T00' AND '{DASH_END}T23'""",
+WHERE respondent IN ('CISO') AND period BETWEEN '{DASH_START}T00' AND '{DASH_END}T23'""",
     "grid_region_hourly", extra=[_RAW_REGION]))
 def q_request_slice(spark, sf_dir):
     lo, hi = P.hourly_bounds(DASH_START, DASH_END)
     return P.request_slice(X.raw_region_records(spark, sf_dir), start=lo, end=hi,
-                           facets={"respondent": ["CISO", "ERCO"]})
+                           facets={"respondent": [FACET]})
 
 
 @register("normalize_region", O.with_views(f"""

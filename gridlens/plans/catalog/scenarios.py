@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gridlens.functions.rounding import sql_exact_sum as XS
 from gridlens.functions.rounding import sql_py_round as R
 from gridlens.operators import scenarios as SC
 from gridlens.plans import oracle as O
@@ -38,11 +39,8 @@ _SC_ALL = ("scall", """SELECT 'baseline' AS scenario, 0 AS scenario_order, perio
 
 
 def _summary_sql(src: str) -> str:
-    u = "CAST(round_even(({x}) * 100.0, 0) AS BIGINT)"
-    share = (f"CASE WHEN sum({u.format(x='demand_mwh')}) <> 0 THEN "
-             + R(f"(CAST(sum({u.format(x='solar_mwh + wind_mwh')}) AS DOUBLE) / "
-                 f"CAST(sum({u.format(x='demand_mwh')}) AS DOUBLE))", 4)
-             + " ELSE 0.0 END")
+    share = (f"CASE WHEN {XS('demand_mwh')} <> 0 THEN "
+             + R(f"(({XS('solar_mwh')} + {XS('wind_mwh')}) / {XS('demand_mwh')})", 4) + " ELSE 0.0 END")
     return f"""
 SELECT scenario, CAST(scenario_order AS INTEGER) AS scenario_order, respondent, count(*) AS hours,
        {R('max(demand_mwh)', 1)} AS peak_demand_mwh,

@@ -45,8 +45,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "outage_agg": ((), f"""
         SELECT CAST(CAST(l_shipdate AS DATE) + INTERVAL 28 YEAR AS DATE) AS period_date,
                l_suppkey,
-               {R('sum(l_quantity)', 2)} AS capacity_mw,
-               {R('sum(l_quantity * l_discount)', 2)} AS outage_mw,
+               {R('(sum(l_quantity) * CAST(1.000371 AS DOUBLE))', 6)} AS capacity_mw,
+               {R('(sum(l_quantity * l_discount) * CAST(1.000371 AS DOUBLE))', 6)} AS outage_mw,
                max(l_shipdate + INTERVAL 28 YEAR) AS ingested_at_utc
         FROM lineitem GROUP BY 1, 2"""),
     "nuclear_facility_daily": (("outage_agg",), f"""

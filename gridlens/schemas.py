@@ -72,5 +72,3 @@ RESPONDENT_TIMEZONES = {"CISO": "America/Los_Angeles"}
 DEFAULT_TIMEZONE = "UTC"
 # Zone used by the chart profile for every respondent:
 CHART_TIMEZONE = "America/Los_Angeles"
-# Fuel codes the dashboard knows: COL NG NUC OIL OTH SUN WAT WND.
-KNOWN_FUELS = ["COL", "NG", "NUC", "OIL", "OTH", "SUN", "WAT", "WND"]

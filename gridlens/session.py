@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,16 +50,18 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set; only when it is unset
-    (local runs, tests) does it create a scratch folder and register it.
+    Uses the cluster's ``spark.checkpoint.dir`` when set.  Where it is unset, a
+    single-machine session (tests, the bench) gets a scratch folder of its own;
+    a cluster must name a folder that all executors share, so there it is an error.
     """
-    configured = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = sc.getCheckpointDir()
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            spark.sparkContext.setCheckpointDir(configured)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="gridlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
-        configured = spark.sparkContext.getCheckpointDir() or configured
+        if not configured and re.fullmatch(r"local(\[.*\])?", sc.master):
+            configured = tempfile.mkdtemp(prefix="gridlens-ckpt-")
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(configured)
+        configured = sc.getCheckpointDir() or configured
     return configured.rstrip("/")

@@ -12,6 +12,8 @@ DuckDB oracle see the same input.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ FUEL_EVENTS = {
     "signup": ("COL", "Coal"),
 }
 OUTAGE_SHIFT_MONTHS = 336  # 28 years
+OUTAGE_SCALE = 1.000371  # leaves six decimals, so that sums and means must carry more than hundredths
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,8 +49,20 @@ def _map(d: dict) -> F.Column:
     return F.create_map(*[F.lit(x) for kv in sorted(d.items()) for x in kv])
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def _days(df: DataFrame, column: str, start, end, years: int = 0) -> DataFrame:
+    """Rows whose raw stamp lies in the UTC days ``start`` to ``end``, moved back by ``years``.
+
+    The bounds are literals of the column's own type, so they reach the Parquet scan."""
+    if start is None:
+        return df
+    kind = df.schema[column].dataType.simpleString()
+    first, last = (dt.date.fromisoformat(str(d)) for d in (start, end))
+    low, high = (d.replace(year=d.year - years).isoformat() for d in (first, last + dt.timedelta(days=1)))
+    return df.where((F.col(column) >= F.lit(low).cast(kind)) & (F.col(column) < F.lit(high).cast(kind)))
+
+
+def _events(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    ev = _days(table(spark, sf_dir, "events"), "ts", start, end)
     ts = F.col("ts").cast("timestamp")  # zone-less in the file; the session clock is UTC
     return ev.select(
         F.col("event_id"),
@@ -64,9 +79,9 @@ def _with_name(df: DataFrame) -> DataFrame:
     return df.withColumn("respondent_name", F.try_element_at(_map(RESPONDENT_NAMES), F.col("respondent")))
 
 
-def region_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def region_hourly(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     """grid_region_hourly: demand = 4 x sum(purchase value) per (hour, respondent)."""
-    agg = (_events(spark, sf_dir)
+    agg = (_events(spark, sf_dir, start, end)
            .where(F.col("event_type") == F.lit(DEMAND_EVENT))
            .groupBy("period_utc", "respondent")
            .agg(py_round_expr(f"sum(value) * {DEMAND_SCALE!r}D", 2).alias("value_mwh"),
@@ -77,18 +92,18 @@ def region_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value_mwh", "ingested_at_utc")
 
 
-def _fuel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fuel_events(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     codes = _map({k: v[0] for k, v in FUEL_EVENTS.items()})
     names = _map({k: v[1] for k, v in FUEL_EVENTS.items()})
-    return (_events(spark, sf_dir)
+    return (_events(spark, sf_dir, start, end)
             .where(F.col("event_type").isin(list(FUEL_EVENTS)))
             .withColumn("fuel_type", F.try_element_at(codes, F.col("event_type")))
             .withColumn("fuel_name", F.try_element_at(names, F.col("event_type"))))
 
 
-def fuel_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fuel_hourly(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     """grid_fuel_hourly: generation = sum(value) per (hour, respondent, fuel)."""
-    agg = (_fuel_events(spark, sf_dir)
+    agg = (_fuel_events(spark, sf_dir, start, end)
            .groupBy("period_utc", "respondent", "fuel_type", "fuel_name")
            .agg(py_round_expr("sum(value)", 2).alias("generation_mwh"),
                 F.max("ts").alias("ingested_at_utc")))
@@ -151,30 +166,39 @@ def fuel_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 2).alias("batch"), F.col("event_id").alias("seq"))
 
 
-def outage_facility_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outage_facility_daily(spark: SparkSession, sf_dir: str, start=None, end=None, *, named: bool = True) -> DataFrame:
     """nuclear_facility_daily from lineitem: one row per (ship day, supplier).
 
     Aggregates lineitem first (partial aggregation, one row per facility-day),
-    then attaches the supplier name with a left join on the much smaller result.
+    then attaches the supplier name with a left join on the much smaller result;
+    ``named=False`` leaves the names (and the supplier table) out.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = _days(table(spark, sf_dir, "lineitem"), "l_shipdate", start, end, years=OUTAGE_SHIFT_MONTHS // 12)
     # Group on the raw ship day, then move the (far fewer) facility-days forward:
     # the calendar shift is one-to-one per day, so it commutes with the grouping.
     daily = (li.select(F.to_date("l_shipdate").alias("ship_day"), "l_suppkey", "l_quantity",
                        (F.col("l_quantity") * F.col("l_discount")).alias("out"),
                        F.col("l_shipdate").cast("timestamp").alias("shipped"))
              .groupBy("ship_day", "l_suppkey")
-             .agg(py_round_expr("sum(l_quantity)", 2).alias("capacity_mw"),
-                  py_round_expr("sum(out)", 2).alias("outage_mw"),
+             .agg(py_round_expr(f"sum(l_quantity) * {OUTAGE_SCALE!r}D", 6).alias("capacity_mw"),
+                  py_round_expr(f"sum(out) * {OUTAGE_SCALE!r}D", 6).alias("outage_mw"),
                   F.max("shipped").alias("last_shipped"))
              .select(F.add_months("ship_day", OUTAGE_SHIFT_MONTHS).alias("period_date"),
                      "l_suppkey", "capacity_mw", "outage_mw",
                      (F.col("last_shipped") + F.expr("INTERVAL 28 YEARS")).alias("ingested_at_utc")))
-    sup = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("facility_name"))
     pct = F.when(F.col("capacity_mw") != 0,
                  py_round_expr("100.0D * outage_mw / capacity_mw", 2))
-    return (daily.join(sup, "l_suppkey", "left")
-            .select("period_date", F.col("l_suppkey").cast("string").alias("facility"),
-                    "facility_name", "capacity_mw", "outage_mw",
-                    pct.alias("percent_outage"), "ingested_at_utc"))
+    measures = ["capacity_mw", "outage_mw", pct.alias("percent_outage"), "ingested_at_utc"]
+    facility = F.col("l_suppkey").cast("string").alias("facility")
+    if not named:
+        return daily.select("period_date", facility, *measures)
+    sup = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("facility_name"))
+    return daily.join(sup, "l_suppkey", "left").select("period_date", facility, "facility_name", *measures)
+
+
+def fold_residual(curve: DataFrame, capacity: float) -> DataFrame:
+    """The curve with |residual load| folded into a small fleet's range: the events stand for far more
+    load than seven units serve, and the dispatch queries want targets the fleet can meet."""
+    return curve.withColumn("residual_load_after_nuclear_mwh",
+                            F.abs(F.col("residual_load_after_nuclear_mwh")) % F.lit(float(capacity)))

@@ -3,7 +3,8 @@
 Each landed file is one page envelope ``{"response": {"total": "N", "data": [...]}}``
 (``total`` arrives as text).  Pages of one request live in one folder; the
 fetcher names files by zero-padded offset, so (file path, position in page) is
-the arrival order.  A page is capped by the API's page size (5,000 records), so
+the arrival order.  A page that cannot be parsed, or that lacks its envelope, fails the job:
+its records must not be lost in silence.  A page is capped by the API's page size (5,000 records), so
 one file is one bounded row before the explode.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.schemas import page_schema
@@ -25,13 +26,27 @@ def page_file_name(offset: int) -> str:
 
 def read_page_files(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
     """One row per page: request folder, file, total (text) and the record array."""
-    df = (spark.read.schema(page_schema(list(fields))).option("multiLine", True).json(path)
+    df = (spark.read.schema(page_schema(list(fields))).option("multiLine", True).option("mode", "FAILFAST").json(path)
           .select(F.col("_metadata.file_path").alias("file"), "response"))
     return df.select(
         F.regexp_extract("file", r"^(.*)/[^/]+$", 1).alias("request"),
         "file",
         F.col("response.total").alias("total"),
-        F.col("response.data").alias("data"))
+        page_records().alias("data"))
+
+
+def page_records() -> Column:
+    """The record array of a page's ``response``; a page without one fails the job."""
+    return F.coalesce("response.data", F.raise_error(
+        F.concat(F.lit("page without response.data: "), F.col("file"))).cast("void"))
+
+
+def check_complete(pages: DataFrame) -> None:
+    """Raise unless every request's pages reach the announced total or end with an empty page."""
+    short = page_completeness(pages).where(~F.coalesce("loop_stopped", F.lit(False))).limit(5).collect()
+    if short:
+        raise ValueError("incomplete landing: " + "; ".join(
+            f"{r['request']} has {r['landed']} of {r['total']} records" for r in short))
 
 
 def read_pages(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:

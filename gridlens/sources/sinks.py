@@ -1,13 +1,12 @@
 """File sinks: curve CSV export, scenario CSV, forecast and dispatch JSON.
 
-Each output is one small, bounded result (a single respondent's hours, one row
-per scenario, one record per series / target), so it is written as a single
-file with ``coalesce(1)``; the heavy work before it stays distributed.
+Results that grow with the data (a curve's hours, dispatch records) are written by as many
+tasks as hold them, in order from file to file; no sink pulls its input into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridlens.functions.timefmt import csv_text
@@ -27,25 +26,26 @@ def duck_curve_export_rows(curve: DataFrame, respondent: str) -> DataFrame:
 
 
 def export_duck_curve_csv(curve: DataFrame, path: str, *, respondent: str) -> int:
-    rows = duck_curve_export_rows(curve, respondent)
-    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return rows.count()
+    """Write the export; the row count is observed while writing, so the query runs once."""
+    seen = Observation("export")
+    duck_curve_export_rows(curve, respondent).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(
+        "overwrite").option("header", True).csv(path)
+    return int(seen.get["rows"])
 
 
 def write_scenario_csv(summary: DataFrame, path: str) -> None:
-    """One CSV per respondent (``<path>/respondent=X/``) with the header ``scenario`` +
-    six fields and one row per scenario in catalogue order (baseline first)."""
+    """One folder per respondent (``<path>/respondent=X/``) with one CSV: the header
+    ``scenario`` + six fields and one row per scenario in catalogue order (baseline first)."""
     (summary.select("respondent", "scenario_order", "scenario", *SCENARIO_FIELDS)
-     .coalesce(1).sortWithinPartitions("respondent", "scenario_order")
+     .repartition("respondent").sortWithinPartitions("respondent", "scenario_order")
      .drop("scenario_order")
      .write.mode("overwrite").option("header", True).partitionBy("respondent").csv(path))
 
 
 def write_forecast_json(metrics: DataFrame, path: str) -> None:
     """Per-series summary; prediction vectors are not written."""
-    (metrics.select("respondent", "series", *FORECAST_FIELDS)
-     .coalesce(1).write.mode("overwrite").json(path))
+    metrics.select("respondent", "series", *FORECAST_FIELDS).write.mode("overwrite").json(path)
 
 
 def write_dispatch_json(result: DataFrame, path: str) -> None:
-    result.coalesce(1).write.mode("overwrite").json(path)
+    result.write.mode("overwrite").json(path)

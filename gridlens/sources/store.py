@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlens.functions.timefmt import iso_offset
 from gridlens.operators.curve import duck_curve
 from gridlens.schemas import (FUEL_KEYS, FUEL_SCHEMA, OUTAGE_KEYS, OUTAGE_SCHEMA, REGION_KEYS,
                               REGION_SCHEMA)
@@ -192,6 +193,12 @@ def register_views(spark: SparkSession, data_dir: str, start=None, end=None) ->
     return views
 
 
+def read_duck_curve(curve: DataFrame, respondent: str) -> DataFrame:
+    """A respondent's curve in hour order, with the hours as ISO text."""
+    return (curve.where(F.col("respondent") == F.lit(respondent)).orderBy("period_utc")
+            .withColumn("period_utc", iso_offset("period_utc")))
+
+
 VIEW_ORDER = ["grid_region_hourly", "grid_fuel_hourly", "nuclear_facility_daily",
               "ba_duck_curve_hourly"]
 

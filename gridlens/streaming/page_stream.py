@@ -3,9 +3,10 @@ flattened, typed and merged with the same keyed upsert as the batch path.
 
 The micro-batch id is the arrival batch, so a page landed later wins over rows
 stored earlier; within a micro-batch, (page offset, position) orders arrivals.
-The stream's checkpoint lives in the shared checkpoint folder, so a restarted
-query resumes from its last committed batch (the upsert is idempotent for a
-replayed batch: the same rows win again).
+The caller names the stream's checkpoint folder, which must stay the same over
+restarts: a restarted application then resumes from the last committed batch (the
+upsert is idempotent for a replayed batch: the same rows win again).  Pages that cannot be
+parsed, or lack their envelope, fail the batch.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from gridlens.plans.ingest import ROUTES
 from gridlens.schemas import page_schema
-from gridlens.session import checkpoint_dir
 from gridlens.sources import store as S
+from gridlens.sources.pages import page_records
 
 
 def page_stream(spark: SparkSession, landing: str, route: str,
@@ -26,7 +27,7 @@ def page_stream(spark: SparkSession, landing: str, route: str,
     """Landed page files as a stream; ``max_files_per_trigger`` bounds a micro-batch
     (each file is one page of at most 5,000 records)."""
     _, fields, _, _ = ROUTES[route]
-    reader = spark.readStream.schema(page_schema(list(fields))).option("multiLine", True)
+    reader = spark.readStream.schema(page_schema(list(fields))).option("multiLine", True).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return (reader.json(landing)
@@ -34,20 +35,22 @@ def page_stream(spark: SparkSession, landing: str, route: str,
 
 
 def _flatten(pages: DataFrame) -> DataFrame:
-    recs = pages.select("file", F.posexplode("response.data").alias("pos", "rec"))
+    recs = pages.select("file", F.posexplode(page_records()).alias("pos", "rec"))
     return (recs.select("file", "pos", "rec.*")
             .withColumn("page", F.regexp_extract("file", r"offset=(\d+)", 1).cast("long")))
 
 
 def start_ingest_stream(spark: SparkSession, landing: str, data_dir: str, route: str, *,
-                        name: str | None = None, available_now: bool = True,
+                        checkpoint_location: str, name: str | None = None, available_now: bool = True,
                         ingested_at_utc: dt.datetime | None = None,
                         max_files_per_trigger: int | None = None):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery.
+
+    Every batch is stamped with the time it is merged, unless ``ingested_at_utc`` is given."""
     dataset, _, normalizer, _ = ROUTES[route]
-    stamp = ingested_at_utc or dt.datetime.now(dt.UTC)
 
     def merge(batch_df: DataFrame, epoch_id: int) -> None:
+        stamp = ingested_at_utc or dt.datetime.now(dt.UTC)
         recs = _flatten(batch_df)
         typed = normalizer(recs, ingested_at_utc=stamp, keep=["file", "page", "pos"])
         S.upsert(spark, data_dir, dataset, typed, batch=int(epoch_id))
@@ -55,7 +58,7 @@ def start_ingest_stream(spark: SparkSession, landing: str, data_dir: str, route:
     name = name or f"ingest_{route}"
     writer = (page_stream(spark, landing, route, max_files_per_trigger)
               .writeStream.foreachBatch(merge)
-              .option("checkpointLocation", f"{checkpoint_dir(spark)}/streams/{name}")
+              .option("checkpointLocation", checkpoint_location)
               .queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="30 seconds")

@@ -74,8 +74,8 @@ def test_rejects_reversed_range_and_empty_selection(spark, tables):
 
 def test_chart_profile_requires_every_hour(spark, tables):
     prof = D.chart_profile(tables[0])
-    with pytest.raises(ValueError):
-        D.require_full_profile(prof)
+    with pytest.raises(Exception, match="of 24"):
+        D.full_profile(prof).collect()
     b = D.profile_bounds(prof).first()
     assert b.y_min == 0.0 and b.y_max == pytest.approx(120.0 * 1.08)
 
@@ -101,3 +101,10 @@ def test_local_hours_follow_daylight_saving(spark):
     # a respondent without a mapped zone stays on UTC
     erco = curve.withColumn("respondent", F.lit("ERCO"))
     assert {r.hour for r in D.duck_profile(erco).collect() if r.demand is not None} == {9, 10, 11}
+
+
+def test_digits_beyond_hundredths_are_summed_before_rounding(spark):
+    rows = [(dt.date(2025, 4, 1), str(i), 100.004, 10.004) for i in range(100)]
+    df = spark.createDataFrame(rows, "period_date date, facility string, capacity_mw double, outage_mw double")
+    r = D.outage_daily(df).first()
+    assert (r.capacity_mw, r.outage_mw, r.available_mw) == (10000.4, 1000.4, 9000.0)

@@ -6,14 +6,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from gridlens.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas"]
-SKIP = {"forecast_renewables", "dashboard_payload"}  # model fit / eager checkpoint
+QUERIES = {name: q.fn for name, q in REGISTRY.items()}
+SKIP = {"forecast_renewables"}  # fits its models while it is built
 
 
 def _plan(df) -> str:
@@ -21,7 +22,7 @@ def _plan(df) -> str:
 
 
 def test_no_cross_joins_python_or_global_windows(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP:
             continue
         plan = _plan(fn(spark, SF))
@@ -32,11 +33,41 @@ def test_no_cross_joins_python_or_global_windows(spark):
 
 
 def test_keyed_merge_aggregates_before_the_shuffle(spark):
-    plan = _plan(E.queries()["upsert_merge"](spark, SF))
+    plan = _plan(QUERIES["upsert_merge"](spark, SF))
     # partial aggregation (map side) sits below the exchange on the key
     assert re.search(r"Aggregate\(keys?=\[period_utc.*functions=\[partial_max_by", plan)
 
 
 def test_dispatch_has_no_pairs(spark):
-    plan = _plan(E.queries()["dispatch_hourly"](spark, SF))
+    plan = _plan(QUERIES["dispatch_hourly"](spark, SF))
     assert "Subquery" in plan or "subquery" in plan  # frontier shipped as a scalar subquery
+
+
+def _scans(plan: str, table: str) -> int:
+    return len(re.findall(rf"Scan parquet[^\n]*{table}\.parquet|FileScan parquet[^\n]*{table}\.parquet", plan))
+
+
+def test_slices_push_their_bounds_to_the_scan(spark):
+    for name, column in (("date_range_slice", "ts"), ("fuel_slice", "ts"), ("outage_slice", "l_shipdate")):
+        plan = _plan(QUERIES[name](spark, SF))
+        pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*\]?", plan))
+        assert f"GreaterThanOrEqual({column}" in pushed and f"LessThan({column}" in pushed, (name, pushed)
+
+
+def test_slices_leave_rows_out(spark):
+    for part, whole in (("date_range_slice", "duck_curve"), ("fuel_slice", "normalize_fuel"),
+                        ("outage_slice", "normalize_outage"), ("request_slice", "demand_series")):
+        assert 0 < QUERIES[part](spark, SF).count() < QUERIES[whole](spark, SF).count(), part
+
+
+def test_outage_totals_read_no_names(spark):
+    for name in ("outage_daily", "outage_max", "dashboard_payload"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert _scans(plan, "lineitem") == 1 and _scans(plan, "supplier") == 0, name
+
+
+def test_scenarios_window_the_base_curve_only(spark):
+    plan = _plan(QUERIES["scenario_compare"](spark, SF))
+    assert plan.index("Generate") < plan.index("Window")  # printed from the top: the window lies below the explode
+    assert plan.count("Window ") == 1
+

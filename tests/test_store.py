@@ -102,8 +102,61 @@ def test_ingest_month_end_to_end_and_idempotent(spark, workdir):
     assert fresh == dt.datetime(2025, 5, 2)  # the later run replaced whole rows
 
 
+def _april(spark, workdir, landed):
+    return ingest_month(spark, os.path.join(workdir, "data"), landed, respondent="CISO", start=dt.date(2025, 4, 1),
+                        end=dt.date(2025, 4, 30), ingested_at_utc=dt.datetime(2025, 5, 1, tzinfo=dt.UTC))
+
+
+def _region(hour, value="1", **other):
+    return {"period": hour, "respondent": "CISO", "respondent-name": "Cal", "type": "D", "type-name": "Demand",
+            "value": value} | other
+
+
+@pytest.mark.parametrize("record", [_region(None), _region("soon"), _region("2025-04-01T00", None), _region("2025-04-01T00", "12d")])
+def test_a_bad_record_fails_the_ingest(spark, workdir, record):
+    landed = os.path.join(workdir, "landed")
+    _land_month(landed)
+    land_pages(os.path.join(landed, "region"), [_region("2025-04-01T00"), record], page_size=1)
+    with pytest.raises(Exception):
+        _april(spark, workdir, landed)
+
+
+def test_an_unpadded_period_is_ingested(spark, workdir):
+    landed = os.path.join(workdir, "landed")
+    _land_month(landed)
+    land_pages(os.path.join(landed, "region"), [_region("2025-04-01T00"), _region("2025-4-1T5"), _region("2025-5-1T0")], page_size=3)
+    got = _april(spark, workdir, landed).views["grid_region_hourly"].collect()
+    assert sorted(r.period_utc.hour for r in got if r.period_utc.day == 1) == [0, 2, 5]  # hour 2: the second page
+
+
+def test_incomplete_or_unreadable_landings_fail_before_anything_is_written(spark, workdir):
+    data = os.path.join(workdir, "data")
+    short = os.path.join(workdir, "short")
+    _land_month(short)
+    land_pages(os.path.join(short, "outage"), [{"period": "2025-04-01", "facility": "46", "facilityName": "B",
+               "capacity": "1", "outage": "1", "percentOutage": "1"}], total=9)
+    with pytest.raises(ValueError, match="1 of 9"):
+        _april(spark, workdir, short)
+    broken = os.path.join(workdir, "broken")
+    _land_month(broken)
+    page = sorted(os.listdir(os.path.join(broken, "region")))[0]
+    with open(os.path.join(broken, "region", page)) as file:
+        text = file.read()
+    with open(os.path.join(broken, "region", page), "w") as file:
+        file.write(text[:len(text) // 2])
+    with pytest.raises(Exception):
+        _april(spark, workdir, broken)
+    empty = os.path.join(workdir, "empty")
+    _land_month(empty)
+    with open(os.path.join(empty, "fuel", page), "w") as file:
+        file.write("{}")
+    with pytest.raises(Exception):
+        _april(spark, workdir, empty)
+    assert not os.path.exists(data)
+
+
 def test_ingest_month_checks():
-    with pytest.raises(ValueError, match="one calendar month"):
+    with pytest.raises(ValueError, match="one month per call"):
         check_month(dt.date(2025, 4, 1), dt.date(2025, 5, 1))
     with pytest.raises(ValueError, match="end must be on or after start"):
         check_month(dt.date(2025, 4, 5), dt.date(2025, 4, 1))
