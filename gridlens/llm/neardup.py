@@ -33,7 +33,7 @@ from gridlens.llm.components import connected_components
 
 BINS, ROWS = 128, 4
 SKETCH_BITS, SAMPLE = 1024, 512
-BLOCK_ROWS, TASK_ROWS = 256, 8192
+BLOCK_ROWS, TASK_ROWS, PAIRS_AT_ONCE = 2048, 8192, 1 << 17
 
 _MULTIPLIERS = [np.uint64(0x9FB21C651E98DF25 + 2 * i * 0xD1342543DE82EF95 & (1 << 64) - 1 | 1) for i in range(64)]
 _REFILL = np.argsort(np.random.default_rng(20).random((BINS, BINS)), axis=1)
@@ -184,24 +184,26 @@ def _cell_pairs(percent: int, best: int):
             new[1:] |= rows[name][1:] != rows[name][:-1]
         edges = [0, *np.flatnonzero(new), len(order)]
         found = {"a": [], "b": [], "band": [], "more": []}
+        ids, labels, n = rows["id"], rows["label"], rows["n_shingles"]
         for low, high in zip(edges[:-1], edges[1:], strict=True):
             split = low + int(np.searchsorted(rows["part"][low:high], rows["part_a"][low], side="right"))
-            left = slice(low, split)
-            right = left if rows["part_a"][low] == rows["part_b"][low] else slice(split, high)
-            ids, labels, n = rows["id"], rows["label"], rows["n_shingles"]
-            near, ratio = _compare(n[left, None], n[None, right], sketch["low"][left, None], sketch["high"][left, None],
-                                   sketch["low"][None, right], sketch["high"][None, right], percent)
-            near &= labels[left, None] != labels[None, right]
-            many = near.sum(axis=1)
-            if not many.any():
-                continue
-            rank = np.argsort(np.argsort(np.where(near, ratio, np.inf), axis=1, kind="stable"), axis=1)
-            i, j = np.nonzero(near & (rank < best))
-            a, b = ids[left][i], ids[right][j]
-            found["a"].append(np.minimum(a, b))
-            found["b"].append(np.maximum(a, b))
-            found["band"].append(np.full(len(i), rows["band"][low]))
-            found["more"].append(many[i] > best)
+            right = slice(low, split) if rows["part_a"][low] == rows["part_b"][low] else slice(split, high)
+            step = max(1, PAIRS_AT_ONCE // max(1, right.stop - right.start))
+            for at in range(low, split, step):
+                left = slice(at, min(at + step, split))
+                near, ratio = _compare(n[left, None], n[None, right], sketch["low"][left, None], sketch["high"][left, None],
+                                       sketch["low"][None, right], sketch["high"][None, right], percent)
+                near &= labels[left, None] != labels[None, right]
+                many = near.sum(axis=1)
+                if not many.any():
+                    continue
+                rank = np.argsort(np.argsort(np.where(near, ratio, np.inf), axis=1, kind="stable"), axis=1)
+                i, j = np.nonzero(near & (rank < best))
+                a, b = ids[left][i], ids[right][j]
+                found["a"].append(np.minimum(a, b))
+                found["b"].append(np.maximum(a, b))
+                found["band"].append(np.full(len(i), rows["band"][low]))
+                found["more"].append(many[i] > best)
         joined = {x: np.concatenate(v) if v else np.zeros(0, dtype=bool if x == "more" else np.int64) for x, v in found.items()}
         return pa.table(joined)
     return run
