@@ -19,7 +19,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,34 +138,46 @@ def upsert(spark: SparkSession, data_dir: str, dataset: str, new_rows: DataFrame
     new = with_partitions(new.select(*cols, *[F.col(c).cast(_ARRIVAL_TYPES[c]).alias(c)
                                               for c in ARRIVAL]), dataset)
     path = dataset_path(data_dir, dataset)
-    if _exists(spark, path):
-        touched = new.select(*parts).distinct()
-        old = (scan_table(spark, data_dir, dataset, with_partitions_cols=True)
-               .join(touched, parts, "left_semi")  # dynamic partition pruning on the scan
-               .withColumn("batch", F.lit(-1).cast("long"))
-               .withColumn("file", _arrival_default("file"))
-               .withColumn("page", _arrival_default("page"))
-               .withColumn("pos", _arrival_default("pos")))
-        rows = old.unionByName(new)
-    else:
-        rows = new
-    merged = last_arrival(rows, [*keys], ARRIVAL)
-    merged = merged.select(*cols, *[c for c in parts if c not in cols])
     stage = staging_path(spark, data_dir)
-    # rebalance: hash by partition values, but AQE splits an oversized (hot)
-    # partition over several tasks/files instead of funnelling it into one.
-    (merged.hint("rebalance", *parts)
-     .sortWithinPartitions(*parts, *keys)
-     .write.mode("overwrite").partitionBy(*parts).parquet(stage))
-    staged = spark.read.schema(_read_schema(dataset)).parquet(stage)
-    (staged.select(*cols, *[c for c in parts if c not in cols])
-     .hint("rebalance", *parts)
-     .sortWithinPartitions(*parts, *keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-    count = staged.count()
-    _remove(spark, stage)  # the staged copy is only needed until the overwrite commits
-    return count
+    try:
+        # the new rows are computed once; what they touch becomes literal bounds on the history
+        seen = Observation("new")
+        month = F.concat(F.col("year"), F.col("month"))
+        new.observe(seen, F.min(month).alias("first"), F.max(month).alias("last"), F.count(F.lit(1)).alias("rows")).write.parquet(f"{stage}/new")
+        got = seen.get
+        if not got.get("rows"):
+            return 0
+        rows = spark.read.schema(new.schema).parquet(f"{stage}/new")
+        if _exists(spark, path):
+            rows = stored_rows(spark, data_dir, dataset, rows.select(*parts).distinct(),
+                               (got["first"], got["last"])).unionByName(rows)
+        merged = last_arrival(rows, [*keys], ARRIVAL).select(*cols, *[c for c in parts if c not in cols])
+        # rebalance: hash by partition values, but AQE splits an oversized (hot)
+        # partition over several tasks/files instead of funnelling it into one.
+        (merged.hint("rebalance", *parts).sortWithinPartitions(*parts, *keys)
+         .write.partitionBy(*parts).parquet(f"{stage}/merged"))
+        kept = Observation("merged")
+        (spark.read.schema(_read_schema(dataset)).parquet(f"{stage}/merged")
+         .observe(kept, F.count(F.lit(1)).alias("rows"))
+         .select(*cols, *[c for c in parts if c not in cols])
+         .hint("rebalance", *parts).sortWithinPartitions(*parts, *keys)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+        return int(kept.get["rows"])
+    finally:
+        _remove(spark, stage)  # staged copies are only needed until the overwrite commits
+
+
+def stored_rows(spark: SparkSession, data_dir: str, dataset: str, touched: DataFrame, months: tuple[str, str]) -> DataFrame:
+    """Stored rows of the ``touched`` partitions, as arrivals older than any new one.
+
+    The months bound the scan as literal partition filters; within them only the
+    partitions that occur in ``touched`` are kept."""
+    return (scan_table(spark, data_dir, dataset, with_partitions_cols=True, months=months)
+            .join(touched, partition_columns(dataset), "left_semi")
+            .withColumn("batch", F.lit(-1).cast("long"))
+            .withColumn("file", _arrival_default("file"))
+            .withColumn("page", _arrival_default("page"))
+            .withColumn("pos", _arrival_default("pos")))
 
 
 def month_range(start, end) -> tuple[str, str]:

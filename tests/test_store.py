@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 
 import pytest
 from conftest import land_pages
@@ -219,3 +220,16 @@ def test_upsert_touches_only_its_partitions(spark, workdir):
     rows = S.scan_table(spark, workdir, "grid_fuel_hourly").collect()
     assert sorted((r.period_utc.month, r.generation_mwh) for r in rows) == [
         (4, 1.0), (4, 1.0), (4, 1.0), (5, 2.0), (5, 2.0)]
+
+
+def test_upsert_reads_only_the_months_it_touches(spark, workdir):
+    history = [(dt.datetime(2025, m, 3, 5), "CISO", "n", "SUN", "Solar", float(m), STAMP) for m in range(1, 13)]
+    assert S.upsert(spark, workdir, "grid_fuel_hourly", _fuel(spark, history)) == 12
+    touched = spark.createDataFrame([("CISO", "2025", "04")], "respondent string, year string, month string")
+    plan = S.stored_rows(spark, workdir, "grid_fuel_hourly", touched, ("202504", "202504"))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*202504", plan)
+    april = [(dt.datetime(2025, 4, 3, 5), "CISO", "n", "SUN", "Solar", 44.0, STAMP)]
+    assert S.upsert(spark, workdir, "grid_fuel_hourly", _fuel(spark, april)) == 1
+    got = {r.period_utc.month: r.generation_mwh for r in S.scan_table(spark, workdir, "grid_fuel_hourly").collect()}
+    assert got == {**{m: float(m) for m in range(1, 13)}, 4: 44.0}
+    assert S.upsert(spark, workdir, "grid_fuel_hourly", _fuel(spark, [])) == 0
