@@ -107,7 +107,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, *, blocks:
     vectors, queries = vectors.where(sound).select("vec_id", "v"), queries.where(sound).select("vec_id", "v").distinct()
     n_rows, n_queries = vectors.count(), queries.count()
     tall, wide = max(1, -(-n_queries // TILE_QUERIES)), max(1, -(-n_rows // TILE_ROWS))
-    rows = staged(vectors.withColumn("column", F.expr(f"cast(pmod(monotonically_increasing_id() * 2654435761, {wide}) as int)")), "vectors")
+    rows = staged(vectors.withColumn("column", F.expr(f"cast(pmod(xxhash64(monotonically_increasing_id()), {wide}) as int)")), "vectors")
     rows = rows.withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(tall - 1))))
     asked = queries.select(F.col("vec_id").alias("query_id"), "v", F.expr(f"cast(pmod(xxhash64(vec_id, v), {tall}) as int)").alias("line"))
 
