@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridlens.session import checkpoint_dir
 
 SPLIT_MODULUS = 5
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -31,11 +32,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     Later steps then start from files that every executor can read, so a lost
     executor costs only the tasks that ran on it, and a result used twice is
-    computed once.
+    computed once.  The shuffle files that led to it are no longer needed and go when
+    the write ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
