@@ -9,7 +9,10 @@ counts; pieces find their place in it by their rank among pieces of equal length
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from gridlens.llm.common import shuffle_width, staged
 
 CAPACITY, END_ID = 2048, 1
-CACHED_CHARS, CACHED_CHUNKS = 48, 400_000
+CACHED_CHARS, CACHED_CHUNKS = 32, 500_000
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -30,49 +34,58 @@ class ChunkTokenizer:
 
     The tokenizer's own splitting rule always starts a new token before a single space
     that stands between two non-space characters, so a text can be cut there, and each
-    distinct chunk is encoded once.
+    distinct chunk is encoded once.  Chunks are remembered without the space before them.
     """
 
     def __init__(self, path: str):
-        import re
-
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile(r"^\s|\s\s|\s$")
         self.cut = re.compile(r"(?<=\S) (?=\S)")
         self.known: dict[str, bytes] = {}
 
+    def _split(self, text: str) -> list[str]:
+        """The chunks of a text; a plain split at spaces, unless white space stands next to one."""
+        odd = text[:1].isspace() or text[-1:].isspace() or any(
+            f" {c}" in text or f"{c} " in text for c in set(text) if c.isspace())
+        return self.cut.split(text) if odd else text.split(" ")
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = []
-        for text in texts:
-            chunks = self.cut.split(text) if self.odd.search(text) else text.split(" ")
-            split.append([chunks[0], *(" " + c for c in chunks[1:])] if text else [])
-        fresh = {c for chunks in split for c in chunks} - self.known.keys()
-        new = list(fresh)
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        now = {c: np.array(e.ids, dtype="<u4").tobytes() for c, e in zip(new, coded, strict=True)}
-        if len(self.known) + len(now) > CACHED_CHUNKS:
-            look = {**{c: self.known[c] for chunks in split for c in chunks if c in self.known}, **now}
+        split = [self._split(t) for t in texts]
+        firsts = self._ids([chunks[0] for chunks in split])
+        for chunks in split:
+            del chunks[0]
+        new = list(set().union(*split) - self.known.keys())
+        full = len(self.known) + len(new) > CACHED_CHUNKS
+        look = self.known
+        look.update(zip(new, self._ids([" " + c for c in new]), strict=True))
+        find = look.__getitem__
+        out = [first + b"".join(map(find, chunks)) for first, chunks in zip(firsts, split, strict=True)]
+        if full:
             self.known = {}
         else:
-            look = self.known
-            look.update(now)
-        out = [b"".join([look[c] for c in chunks]) for chunks in split]
-        if look is self.known:
             for c in new:
                 if len(c) > CACHED_CHARS:
-                    del self.known[c]
+                    del look[c]
         return out
 
 
+_tokenizers: dict[str, ChunkTokenizer] = {}
+
+
+def _tokenizer(path: str) -> ChunkTokenizer:
+    """The process's tokenizer for a file: tasks of one worker share what it remembers."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if path not in _tokenizers:
+        _tokenizers[path] = ChunkTokenizer(path)
+    return _tokenizers[path]
+
+
 def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer, end = ChunkTokenizer(path), np.array([end_id], dtype="<u4").tobytes()
+        tokenizer, end = _tokenizer(path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             at, n = 0, batch.num_rows
