@@ -58,3 +58,27 @@ def test_leaks_are_found_and_clean_documents_are_not(spark, odd_docs, no_docs):
     assert contaminated(odd_docs, bench.where("false")).count() == 0
     itself = bench.where("item_id >= 100").selectExpr("item_id as doc_id", "text")
     assert {(r.doc_id, r.item_id) for r in contaminated(itself, bench).collect()} == {(100 + i, 100 + i) for i in range(30)}
+
+
+def _planted(spark, n_items, n_docs, seed=8):
+    """A benchmark, and documents of which each holds one of its items, copied or with a sixth of its words exchanged."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    common = ["the", "of", "and", "to", "in"]
+    text = lambda n: [rng.choice(common) if rng.random() < 0.4 else word() for _ in range(n)]
+    items = [text(rng.randint(15, 59)) for _ in range(n_items)]
+    docs = []
+    for i in range(n_docs):
+        words, item = text(rng.randint(100, 400)), list(items[i])
+        for _ in range(len(item) // 6 if i % 2 else 0):
+            item[rng.randrange(len(item) - 6)] = word()
+        at = rng.randrange(len(words))
+        words[at:at] = item
+        docs.append((i, " ".join(words)))
+    return (spark.createDataFrame(docs, "doc_id long, text string"),
+            spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+
+
+def test_paraphrases_are_found_in_a_larger_benchmark(spark):
+    docs, bench = _planted(spark, 900, 200)
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == {(i, i) for i in range(200)}
