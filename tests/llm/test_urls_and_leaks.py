@@ -82,3 +82,21 @@ def _planted(spark, n_items, n_docs, seed=8):
 def test_paraphrases_are_found_in_a_larger_benchmark(spark):
     docs, bench = _planted(spark, 900, 200)
     assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == {(i, i) for i in range(200)}
+
+
+def test_copies_are_found_where_items_outnumber_the_axes(spark):
+    docs, bench = _planted(spark, 3000, 200)
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == {(i, i) for i in range(200)}
+
+
+def test_common_words_among_rare_ones_are_found(spark):
+    """The item's cosine with every passage around it is next to nothing."""
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(40)]
+    rare = lambda: "".join(rng.choice("abcdefghij") for _ in range(12))
+    item = rng.sample(common, 15)
+    docs = [(i, " ".join(rng.sample(common, 40))) for i in range(1, 200)]
+    docs.append((0, " ".join([*(rare() for _ in range(100)), *item, *(rare() for _ in range(100))])))
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).where("doc_id = 0").collect()
+    assert [(r.first_word, r.end_word) for r in found] == [(100, 115)]
