@@ -19,6 +19,8 @@ from gridlens.llm.common import held_out, staged
 
 GRAM, HASHES, POSITION_BITS = 4, 3, 20
 TRAIN_ROWS, GRAMS_PER_LANGUAGE, LEAST_COUNT, LEAST_SHARE = 20_000, 1 << 16, 3, 0.1
+#: A language of fewer sampled rows keeps every n-gram, however rare.
+FEW_ROWS = 50
 UNDETERMINED = "und"
 
 
@@ -87,8 +89,10 @@ def _positions(grams: np.ndarray, i: int) -> np.ndarray:
 class LanguageFilters:
     """The sliced filters: ``rows`` holds, per position, 64 languages to a word."""
 
-    def __init__(self, languages: list[str], cells: list[tuple[int, int, int]]):
+    def __init__(self, languages: list[str], cells: list[tuple[int, int, int]], reach: list[float] | None = None):
         self.languages = languages
+        #: Per language, the share of n-grams that rows it was not learned from find in it (0 if there is but one row).
+        self.reach = reach or [1.0] * len(languages)
         words = max(1, -(-len(languages) // 64))
         self.rows = np.zeros((1 << POSITION_BITS, words), dtype=np.uint64)
         for position, word, mask in cells:
@@ -116,33 +120,52 @@ class LanguageFilters:
         return np.clip(out, 0.0, 1.0)
 
 
+def _quotas(rows: dict[str, int], most: int) -> dict[str, int]:
+    """Rows to take of each language: all where there are few, and equal parts of what is left of ``most`` from the others."""
+    quotas, left = {}, most
+    for i, lang in enumerate(sorted(rows, key=lambda x: (rows[x], x))):
+        quotas[lang] = max(1, min(rows[lang], left // (len(rows) - i)))
+        left -= quotas[lang]
+    return quotas
+
+
 def fit_filters(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageFilters:
     """Filters from about ``train_rows`` labelled, not held-out rows (fewer if there are fewer).
 
+    The sample is drawn per language, so that a language of few rows is learned from all of them.
     A language's filter holds its most frequent n-grams (65,536 at most) that occur three
-    times or more in the sample and at a tenth or more of the rate of the language
-    that uses them most.
+    times or more in the sample (once, below ``FEW_ROWS`` rows) and at a tenth or more of the rate of the
+    language that uses them most.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    total = labelled.count()
-    if total > train_rows:
-        labelled = labelled.where(F.expr("pmod(xxhash64(doc_id, 11), 1000000)") < int(1_000_000 * train_rows / total))
-    counts = labelled.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy(
-        "lang", "gram").agg(F.sum("n").alias("n"))
+    rows = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    spark, languages = docs.sparkSession, sorted(rows)
+    quotas = _quotas(rows, train_rows)
+    number = F.broadcast(spark.createDataFrame(
+        [(x, i, max(1, int(1_000_000 * quotas[x] / rows[x])), LEAST_COUNT if quotas[x] >= FEW_ROWS else 1)
+         for i, x in enumerate(languages)], "lang string, i int, share int, least int"))
+    if sum(rows.values()) > train_rows:
+        # the same row whatever the others are; two equal rows go together
+        labelled = labelled.join(number, "lang").where(F.expr("pmod(xxhash64(doc_id, text, 11), 1000000) < share"))
+    # each language in two halves, of which one tells how much of the other is known
+    halves = labelled.select(F.concat(F.expr("pmod(xxhash64(doc_id, text, 12), 2)"), "lang").alias("lang"), "text")
+    counts = halves.mapInArrow(_count, "lang string, gram long, n long").groupBy(
+        F.expr("substring(lang, 2)").alias("lang"), "gram").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("lang").startswith("0"), F.col("n")).otherwise(0)).alias("half"))
     counts = staged(counts, "grams")
     sizes = counts.groupBy("lang").agg(F.sum("n").alias("size"))
     rates = counts.join(sizes, "lang").withColumn("rate", F.col("n") / F.col("size"))
     top = rates.groupBy("gram").agg(F.max("rate").alias("top"))
-    chosen = rates.join(top, "gram").where((F.col("n") >= LEAST_COUNT) & (F.col("rate") >= LEAST_SHARE * F.col("top")))
+    chosen = rates.join(top, "gram").join(number, "lang").where((F.col("n") >= F.col("least")) & (F.col("rate") >= LEAST_SHARE * F.col("top")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= GRAMS_PER_LANGUAGE)
-    languages = sorted(r["lang"] for r in sizes.select("lang").collect())
-    number = docs.sparkSession.createDataFrame([(x, i) for i, x in enumerate(languages)], "lang string, i int")
-    cells = chosen.join(number, "lang").select(
+    chosen = staged(chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= GRAMS_PER_LANGUAGE), "chosen")
+    found = chosen.where("half > 0 and half < n").groupBy("lang").agg((F.sum("n") / F.first("size")).alias("reach"))
+    reach = {r["lang"]: r["reach"] for r in found.collect()}
+    cells = chosen.select(
         F.explode(F.array(*(_position(F.col("gram"), j) for j in range(HASHES)))).alias("position"),
         F.expr("i div 64").cast("int").alias("word"), F.expr("shiftleft(1L, i % 64)").alias("mask"))
     cells = cells.groupBy("position", "word").agg(F.bit_or("mask").alias("mask"))
-    return LanguageFilters(languages, [tuple(r) for r in cells.collect()])
+    return LanguageFilters(languages, [tuple(r) for r in cells.collect()], [reach.get(x, 0.0) for x in languages])
 
 
 def _predict(shared):

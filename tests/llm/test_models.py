@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridlens.llm import cotraining, langid, toxicity
 from gridlens.llm.common import held_out
 
@@ -32,6 +33,22 @@ def test_language_learns_from_nothing_held_out(docs):
     assert a.languages == b.languages and (a.rows == b.rows).all()
 
 
+def test_language_of_few_rows_is_learned_and_kept(spark, docs, monkeypatch):
+    """The table outgrows the sample, and only a few of its rows, or one, are labelled es."""
+    es = docs.where((F.col("lang") == "es") & ~held_out(F.col("doc_id")) & (F.length("text") > 300)).orderBy("doc_id")
+    for n in (5, 1):
+        few = [r.doc_id for r in es.limit(n).collect()]
+        rare = docs.withColumn("lang", F.when((F.col("lang") != "es") | F.col("doc_id").isin(few), F.col("lang")))
+        filters = langid.fit_filters(rare, train_rows=200)
+        assert filters.languages == ["de", "en", "es", "fr"]
+        monkeypatch.setattr(langid, "fit_filters", lambda d, filters=filters: filters)
+        kept = corpus_pipeline.identify_language(spark, docs, SF).where("lang = 'es'").count()
+        monkeypatch.undo()
+        clean = docs.where((F.col("lang") == "es") & F.col("text").rlike(r"\p{L}")).count()
+        got = langid.identify_languages(docs, filters, carry=["lang"]).where("lang = 'es' and lang_pred = 'es'").count()
+        assert kept >= 0.95 * clean and got >= (0.9 if n > 1 else 0.6) * clean, (n, kept, got, clean, filters.reach)
+
+
 def test_language_of_odd_rows(odd_docs, no_docs, docs):
     filters = langid.fit_filters(docs)
     rows = langid.identify_languages(odd_docs, filters, carry=odd_docs.columns).collect()
