@@ -1,9 +1,11 @@
 """Toxicity scores from a factorization machine over hashed terms.
 
-A text is the set of its distinct terms, hashed to 2^18 buckets; the buckets whose
-chi-square against the labels stands out in the training sample are the machine's inputs.  Linear
-weights add up single terms, and the inner products of the terms' factors add what only
-pairs of them say.  The machine is fitted by Spark ML; scoring is one pass over all texts.
+A text is the set of its distinct terms, hashed to 2^18 buckets; every bucket that enough rows of
+the training sample hold is an input.  The less a bucket's chi-square against the labels stands out, the
+smaller its value, which holds its weight down without leaving it out; terms of pairs that tell more than
+either term alone have the full value.  Linear weights add up single terms, and the inner products
+of the terms' factors add what only pairs of them say.  The machine is fitted by Spark ML; scoring
+is one pass over all texts.
 """
 
 from __future__ import annotations
@@ -13,15 +15,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.llm import kernels as K
 from gridlens.llm.common import held_out, staged
 
-BUCKET_BITS, INPUTS, FACTORS = 18, 2048, 4
-TRAIN_ROWS, LEAST_ROWS, LEAST_SQUARE, ROUNDS = 20_000, 3, 20.0, 80
+BUCKET_BITS, FACTORS = 18, 4
+TRAIN_ROWS, LEAST_ROWS, FULL_SQUARE, LEAST_VALUE, ROUNDS = 20_000, 3, 20.0, 0.01, 80
+#: Nats by which a pair must tell more than either of its terms: among 10^8 pairs, chance makes less than one.
+PAIR_NATS, PAIRS_AT_ONCE = 20.0, 4_000_000
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +67,64 @@ class FactorizationMachine:
         return 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
 
 
+def _nats(a: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """The bound of the chance (as -log) that ``a`` of ``n`` rows are 1 where ``share`` is usual."""
+    p, q = a / n, np.clip(share, 1e-9, 1 - 1e-9)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return n * (np.where(p > 0, p * np.log(p / q), 0.0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - q)), 0.0))
+
+
+def _telling_pairs(shared):
+    """Terms of the pairs of a class (first term modulo the classes) that tell more than either term alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, cuts, labels, share, classes = shared.value
+        size = np.diff(cuts)
+        terms, end, label = terms.astype(np.int64), np.repeat(cuts[1:], size), np.repeat(labels, size)
+        wide = np.int64(len(share))
+        for c in (int(x) for batch in batches for x in batch.column("id").to_pylist()):
+            at = np.flatnonzero(terms % classes == c)
+            size = end[at] - at - 1
+            first = np.repeat(at, size)
+            second = np.arange(len(first)) - np.repeat(np.cumsum(size) - size, size) + first + 1
+            pair, n = np.unique((terms[first] * wide + terms[second]) * 2 + label[first], return_counts=True)
+            pair, one = pair >> 1, pair & 1
+            heads = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))[:len(pair)]
+            if not len(heads):
+                continue
+            rows, ones = np.add.reduceat(n, heads), np.add.reduceat(n * one, heads)
+            keep = rows >= LEAST_ROWS
+            pair, rows, ones = pair[heads][keep], rows[keep], ones[keep]
+            a, b = share[pair // wide], share[pair % wide]
+            high, low = np.maximum(a, b), np.minimum(a, b)
+            p = ones / rows
+            told = (p > high) & (_nats(ones, rows, high) >= PAIR_NATS) | (p < low) & (_nats(ones, rows, low) >= PAIR_NATS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique([pair[told] // wide, pair[told] % wide]).astype(np.int64))], names=["term"])
+    return run
+
+
+def _paired(rows: DataFrame, buckets: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Which buckets are in a pair that tells more than either of its terms; rows: the bounded training sample."""
+    spark, found = rows.sparkSession, rows.toArrow()
+    place = np.full(1 << BUCKET_BITS, -1, dtype=np.int64)
+    place[buckets] = np.arange(len(buckets))
+    lists = found.column("buckets").combine_chunks()
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    terms = place[lists.flatten().to_numpy()]
+    row, terms = row[terms >= 0], terms[terms >= 0]
+    order = np.lexsort((terms, row))
+    row, terms = row[order], terms[order]
+    cuts = np.searchsorted(row, np.arange(len(lists) + 1))
+    size = np.diff(cuts)
+    classes = max(1, -(-int((size * (size - 1) // 2).sum()) // PAIRS_AT_ONCE))
+    label = found.column("label").to_numpy().astype(np.int64)
+    # every executor keeps this on its disk, so only four bytes a term are sent
+    shared = spark.sparkContext.broadcast((terms.astype(np.int32), cuts, label, share, classes))
+    out = np.zeros(len(buckets), dtype=bool)
+    told = spark.range(0, classes, 1, min(classes, 48)).mapInArrow(_telling_pairs(shared), "term long").distinct().toArrow()
+    out[told.column("term").to_numpy()] = True
+    return out
+
+
 def fit_machine(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> FactorizationMachine:
     """Fit on about ``train_rows`` labelled rows that are not held out (fewer if there are fewer).
 
@@ -89,15 +151,28 @@ def fit_machine(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     a, b = F.col("a"), F.col("b")
     zeros = n - ones
     square = F.pow(a * (zeros - b) - b * (ones - a), 2) * n / (ones * zeros * (a + b) * F.greatest(n - a - b, F.lit(1.0)))
-    told = counted.withColumn("square", square).where(F.col("square") >= LEAST_SQUARE)
-    chosen = [r["bucket"] for r in told.orderBy(F.desc("square"), "bucket").limit(INPUTS).collect()]
-    if not chosen:
+    table = counted.withColumn("square", square).orderBy("bucket").toArrow()
+    if not table.num_rows:
         return FactorizationMachine([], np.log(ones / zeros), np.zeros(0), np.zeros((0, FACTORS)))
-    inputs = CountVectorizerModel.from_vocabulary([str(b) for b in chosen], "terms", "features").setBinary(True)
-    data = inputs.transform(rows.select("label", F.col("buckets").cast("array<string>").alias("terms"))).select("label", "features")
+    buckets, squares, ones_, zeros_ = (table.column(c).to_numpy() for c in ("bucket", "square", "a", "b"))
+    value = np.clip(squares / FULL_SQUARE, LEAST_VALUE, 1.0)
+    value[_paired(rows, buckets, ones_ / (ones_ + zeros_))] = 1.0
+    chosen = buckets.tolist()
+    place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
+    place[buckets] = np.arange(len(buckets))
+    shared = docs.sparkSession.sparkContext.broadcast((place, value))
+
+    @F.udf(VectorUDT())
+    def features(held: list[int]):
+        places, values = shared.value
+        at = np.unique(places[np.array(held, dtype=np.int64)])
+        at = at[at >= 0]
+        return Vectors.sparse(len(values), at, values[at])
+
+    data = staged(rows.select("label", features("buckets").alias("features")), "inputs")
     model = FMClassifier(factorSize=FACTORS, maxIter=ROUNDS, stepSize=0.1, regParam=0.001, initStd=0.01, seed=7,
                          solver="adamW").fit(data)
-    return FactorizationMachine(chosen, model.intercept, model.linear.toArray(), model.factors.toArray())
+    return FactorizationMachine(chosen, model.intercept, model.linear.toArray() * value, model.factors.toArray() * value[:, None])
 
 
 def _score(shared):

@@ -80,6 +80,16 @@ def test_machine_learns_what_only_a_pair_says(spark):
     assert all((score[i] >= 0.5) == (i % 4 == 3) for i in ids)
 
 
+def test_machine_learns_pairs_whose_terms_say_nothing(spark):
+    """Each of the two terms is as common in toxic rows as in others: chi-square near zero."""
+    kinds = [("alpha beta", 1), ("insult", 1), *[("alpha", 0)] * 3, *[("beta", 0)] * 3]
+    rows = [(i, "filler " + kinds[i % 8][0], kinds[i % 8][1]) for i in range(1600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    machine = toxicity.fit_machine(df, df.select("doc_id", "label"))
+    score = {r.doc_id: r.score for r in toxicity.score_toxicity(df, machine, carry=["doc_id"]).collect()}
+    assert all((score[i] >= 0.5) == (label == 1) for i, _, label in rows)
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, labels):
     known = labels.select("doc_id", F.col("toxic").alias("label"))
     for fitted in (toxicity.fit_machine(odd_docs, known), toxicity.fit_machine(no_docs, known),
