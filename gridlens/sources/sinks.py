@@ -43,8 +43,8 @@ def write_scenario_csv(summary: DataFrame, path: str) -> None:
 
 
 def write_forecast_json(metrics: DataFrame, path: str) -> None:
-    """Per-series summary; prediction vectors are not written."""
-    metrics.select("respondent", "series", *FORECAST_FIELDS).write.mode("overwrite").json(path)
+    """Per-series summary; prediction vectors are not written.  Rebalanced, so that no part is empty."""
+    metrics.select("respondent", "series", *FORECAST_FIELDS).hint("rebalance").write.mode("overwrite").json(path)
 
 
 def write_dispatch_json(result: DataFrame, path: str) -> None:

@@ -1,6 +1,6 @@
 import os
 
-from conftest import land_pages
+from landing import land_pages
 
 from gridlens.sources.pages import page_completeness, read_page_files, read_pages, request_slice
 

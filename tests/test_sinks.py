@@ -32,5 +32,7 @@ def test_forecast_json_drops_vectors(spark, workdir):
         "rmse_persistence double, mae_model double, n_train long, n_test long, predictions array<double>")
     out = os.path.join(workdir, "fc")
     sinks.write_forecast_json(m, out)
-    rec = json.loads(open(glob.glob(os.path.join(out, "*.json"))[0]).readline())
+    parts = glob.glob(os.path.join(out, "*.json"))
+    assert all(os.path.getsize(p) for p in parts)
+    (rec,) = [json.loads(line) for p in parts for line in open(p)]
     assert "predictions" not in rec and rec["n_test"] == 4 and rec["skill_score"] == 0.5

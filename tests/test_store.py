@@ -3,7 +3,7 @@ import os
 import re
 
 import pytest
-from conftest import land_pages
+from landing import land_pages
 from pyspark.sql import functions as F
 
 from gridlens.plans.ingest import check_month, ingest_month

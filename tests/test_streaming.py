@@ -3,7 +3,7 @@ import os
 import subprocess
 import sys
 
-from conftest import land_pages
+from landing import land_pages
 
 from gridlens.sources import store as S
 from gridlens.streaming.page_stream import start_ingest_stream
