@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm import cotraining, decontamination, langid, sharding, toxicity, urlfilter
+from gridlens.llm import cotraining, decontamination, langid, lexical, linededup, sharding, toxicity, urlfilter
+from gridlens.llm.alignment import align_tokenizers
 from gridlens.llm.common import LlmQuery, held_out, table
 from gridlens.llm.neardup import near_duplicates
 from gridlens.llm.packing import pack_documents
@@ -14,6 +15,7 @@ from gridlens.llm.substrings import remove_repeats
 from gridlens.llm.topk import exact_top_k, quantised
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokenizers(table(spark, sf_dir, "documents"), TOKENIZER, PIECE_MODEL)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _TOPK_SQL = """
 WITH parts AS (
   SELECT row_number() OVER () AS row, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i
@@ -95,4 +111,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_near_duplicates": LlmQuery(op8_near_duplicates),
     "op9_quality": LlmQuery(op9_quality),
     "op10_toxicity": LlmQuery(op10_toxicity),
+    "op11_lexical_search": LlmQuery(op11_lexical_search, lexical.SQL),
+    "op12_tokenizer_alignment": LlmQuery(op12_tokenizer_alignment),
+    "op13_line_dedup": LlmQuery(op13_line_dedup, linededup.SQL),
 }
