@@ -28,11 +28,11 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from gridlens.llm import kernels as K
-from gridlens.llm.chunks import ChunkMemory, Columns, is_plain, objects
+from gridlens.llm.chunks import ChunkMemory, Columns, crosses, joined, objects
 from gridlens.llm.common import staged
 
-#: Bytes of text of a block of documents; new chunks are encoded in texts of about JOINED_BYTES.
-BLOCK_BYTES, JOINED_BYTES = 16 << 20, 32 << 10
+#: Bytes of text of a block of documents.
+BLOCK_BYTES = 16 << 20
 #: Groups with more links than this list each distinct pair once, with its number.
 MANY_LINKS = 64
 SPACE_MARK = "▁"
@@ -60,7 +60,7 @@ class Aligner:
         self.length_a, self.length_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         #: Chunks can be encoded apart only if no piece reaches over the place where they are cut.
-        self.parted = not any(x != SPACE_MARK == y for p in pieces for x, y in zip(p, p[1:]))
+        self.parted = not any(map(crosses, pieces))
         texts = [str(i).encode() for i in range(max(len(names), len(pieces)))]
         self.inner, self.end_a, self.end_b = (objects([t + mark for t in texts]) for mark in (b",", b"|", b";"))
         self.memory = ChunkMemory(self.chunks)
@@ -97,33 +97,21 @@ class Aligner:
     def chunks(self, chunks: list[bytes]) -> Columns:
         """What is kept of every chunk; ``bad`` marks those that a tokenizer does not spell."""
         out = [None] * len(chunks)
-        held, size = [], 0
-        for i, chunk in enumerate(chunks):
-            if is_plain(chunk):
-                held.append(i)
-                size += len(chunk)
-                if size > JOINED_BYTES:
-                    self._together(chunks, held, out)
-                    held, size = [], 0
-            else:
-                self._together(chunks, [i], out)
-        self._together(chunks, held, out)
+        for text in joined(chunks):
+            self._together(text, chunks, out)
         columns = list(zip(*out, strict=True)) if out else [()] * 8
         names = ["n_a", "n_b", "n_groups", "n_links", "bad"]
         kept = {name: np.array(x, dtype=np.int64) for name, x in zip(names, columns[:5], strict=True)}
         return kept | {name: objects(list(x)) for name, x in zip(("shape", "pairs", "times"), columns[5:], strict=True)}
 
-    def _together(self, chunks: list[bytes], which: list[int], out: list) -> None:
-        """Align several chunks as one text, or one by one where that text is not cut between them."""
-        if not which:
-            return
-        raw = b"".join([chunks[i] for i in which])
+    def _together(self, text, chunks: list[bytes], out: list) -> None:
+        """Align several chunks in one text (see ``joined``), or one by one where that text is not cut around them."""
+        raw, which, starts, ends = text
         found = self.groups(raw)
-        ends = np.cumsum([len(chunks[i]) for i in which])
-        if found is None or not np.isin(ends, found[4]).all():
+        if found is None or not np.isin(np.concatenate([starts[starts > 0], ends]), found[4]).all():
             if len(which) > 1:
-                for i in which:
-                    self._together(chunks, [i], out)
+                for alone in joined(chunks, which):
+                    self._together(alone, chunks, out)
             else:
                 out[which[0]] = (0, 0, 0, 0, 1, b"", b"", b"")
             return
@@ -143,22 +131,23 @@ class Aligner:
         inner = np.arange(len(group)) - np.repeat(np.cumsum(few) - few, few)
         pairs = (ids_a[first_a[group] + inner // count_b[group]] << 16 | ids_b[first_b[group] + inner % count_b[group]]).astype(
             np.uint32).tobytes()
-        edges = np.append(0, np.searchsorted(group_ends, ends) + 1)
-        at = [np.append(0, np.cumsum(x))[edges] for x in (count_a, count_b, links, few, count_a + count_b)]
-        sizes = [np.diff(x).tolist() for x in at[:3]]
+        low = np.where(starts > 0, np.searchsorted(group_ends, starts) + 1, 0)
+        high = np.searchsorted(group_ends, ends) + 1
+        sums = [np.append(0, np.cumsum(x)) for x in (count_a, count_b, links, few, count_a + count_b)]
+        sizes = [(x[high] - x[low]).tolist() for x in sums[:3]]
         large = np.flatnonzero(links > MANY_LINKS)
-        own = {int(np.searchsorted(edges, x, side="right")) - 1 for x in large.tolist()}
-        link_at, token_at = at[3].tolist(), at[4].tolist()
-        for k, (i, n_a, n_b, n_groups, n_links) in enumerate(zip(which, *sizes[:2], np.diff(edges).tolist(), sizes[2], strict=True)):
-            mine = pairs[4 * link_at[k]:4 * link_at[k + 1]]
-            many = _ones(link_at[k + 1] - link_at[k])
+        own = {int(np.searchsorted(high, x, side="right")) for x in large.tolist()}
+        spots = [x[y].tolist() for x in sums[3:] for y in (low, high)]
+        for k, (i, n_a, n_b, n_groups, n_links, first, last, begin, end) in enumerate(zip(
+                which, *sizes[:2], (high - low).tolist(), sizes[2], *spots, strict=True)):
+            mine, many = pairs[4 * first:4 * last], _ones(last - first)
             if k in own:
-                for x in large[(large >= edges[k]) & (large < edges[k + 1])].tolist():
+                for x in large[(large >= low[k]) & (large < high[k])].tolist():
                     (one, n_one), (two, n_two) = (np.unique(v, return_counts=True) for v in (
                         ids_a[first_a[x]:first_a[x] + count_a[x]], ids_b[first_b[x]:first_b[x] + count_b[x]]))
                     mine += (one[:, None] << 16 | two).astype(np.uint32).tobytes()
                     many += (n_one[:, None] * n_two).astype(np.uint32).tobytes()
-            out[i] = (n_a, n_b, n_groups, n_links, 0, b"".join(words[token_at[k]:token_at[k + 1]]), mine, many)
+            out[i] = (n_a, n_b, n_groups, n_links, 0, b"".join(words[begin:end]), mine, many)
 
     def texts(self, data: np.ndarray, offsets: np.ndarray):
         """Per text of a block: (n_a, n_b, n_groups, n_links), its written form, and its (text, pair, number) entries."""
@@ -205,7 +194,7 @@ class Aligner:
 
     def _one(self, text: bytes) -> Columns:
         out = [None]
-        self._together([text], [0], out)
+        self._together((text, [0], np.array([0]), np.array([len(text)])), [text], out)
         names = ["n_a", "n_b", "n_groups", "n_links", "bad"]
         return {n: np.array([x]) for n, x in zip(names, out[0][:5], strict=True)} | {
             n: objects([x]) for n, x in zip(("shape", "pairs", "times"), out[0][5:], strict=True)}

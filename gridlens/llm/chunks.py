@@ -1,21 +1,22 @@
 """Texts as runs of chunks that tokenizers treat apart, each distinct chunk worked on once.
 
-A text is cut before every single space that stands between two characters that are not white
-space.  Byte-level BPE files with the usual splitting rule always start a token there, and so do piece
-models in which no piece has a space mark behind another character.  A worker remembers what it
+A text is cut before a single space that stands between two characters that are not white
+space, before a mark such as a full stop that follows a letter, and before a letter that follows a lone line feed.
+Byte-level BPE files with the usual splitting rule always start a token there, and so do piece models
+in which no piece reaches over such a place (``crosses`` tells).  A worker remembers what it
 found for a chunk, so that most of a corpus costs a look-up by hash.  Looked-up chunks are joined
 and compared with the text, so equal hashes of different chunks cannot go unseen.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 from gridlens.llm import kernels as K
 
-REMEMBERED = 400_000
+REMEMBERED, JOINED_BYTES = 400_000, 3000
 
 Columns = dict[str, np.ndarray]
 
@@ -27,22 +28,40 @@ def objects(values: list) -> np.ndarray:
     return out
 
 
+_MARKS, _ASCII_LETTERS = (np.isin(np.arange(256), np.frombuffer(x, dtype=np.uint8)) for x in (
+    b".,;:!?)]}\"", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+#: Second bytes of the two-byte characters after 0xC3 that are letters (all but the signs for times and divided by).
+_LATIN_LETTERS = np.array([b >= 0x80 and b not in (0x97, 0xB7) for b in range(256)])
+
+
+def crosses(piece: str) -> bool:
+    """Whether a piece (with U+2581 for a space) reaches over a place at which texts are cut."""
+    return any(y == "\u2581" != x or x.isalpha() and ord(y) < 128 and _MARKS[ord(y)] or x == "\n" and y.isalpha()
+               for x, y in zip(piece, piece[1:]))
+
+
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where chunks start in a block of texts (every text that is not empty starts one)."""
     n = len(data)
-    if n < 3:
-        return np.unique(offsets[:-1][offsets[:-1] < offsets[1:]])
-    at = np.flatnonzero(data[1:-1] == 32) + 1
-    at = at[(data[at - 1] > 32) & (data[at + 1] > 32) & (data[at - 1] != 127) & (data[at + 1] != 127)]
-    at = at[~_wide_space(data, at + 1)]
-    for size in (2, 3):
-        back = np.maximum(at - size, 0)
-        at = at[~((data[at - 1] >= 128) & (data[back] >= 0xC0) & _wide_space(data, back))]
-    edge = np.zeros(n + 1, dtype=bool)
-    edge[offsets] = True
-    at = at[~edge[at] & ~edge[at + 1]]
-    rows = offsets[:-1][offsets[:-1] < offsets[1:]]
-    return np.unique(np.concatenate([at, rows]))
+    start = np.zeros(n + 1, dtype=bool)
+    if n > 2:
+        at = np.flatnonzero(data[1:-1] == 32) + 1
+        at = at[(data[at - 1] > 32) & (data[at + 1] > 32) & (data[at - 1] != 127) & (data[at + 1] != 127)]
+        at = at[~_wide_space(data, at + 1)]
+        for size in (2, 3):
+            back = np.maximum(at - size, 0)
+            at = at[~((data[at - 1] >= 128) & (data[back] >= 0xC0) & _wide_space(data, back))]
+        edge = np.zeros(n + 1, dtype=bool)
+        edge[offsets] = True
+        start[at[~edge[at + 1]]] = True
+        at = np.flatnonzero(_MARKS[data[2:]]) + 2
+        start[at[_ASCII_LETTERS[data[at - 1]] | (data[at - 2] == 0xC3) & _LATIN_LETTERS[data[at - 1]]]] = True
+        at = np.flatnonzero((data[1:-1] == 10) & (data[:-2] > 32) & (data[:-2] < 127)) + 2
+        at = at[at < n - 1]
+        start[at[_ASCII_LETTERS[data[at]] | (data[at] == 0xC3) & _LATIN_LETTERS[data[at + 1]]]] = True
+        start[offsets] = False
+    start[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(start)
 
 
 def _wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -54,10 +73,35 @@ def _wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
             | (a == 0xE3) & (b == 0x80) & (c == 0x80))
 
 
-def is_plain(chunk: bytes) -> bool:
-    """Whether chunks may be put together and still be cut where they meet."""
+#: Stands before a chunk that does not start with a space; both kinds of tokenizers end a token with it.
+LEAD, GLUE = b" a\n", b"\n"
+
+
+def _solid(chunk: bytes) -> bool:
+    """Whether neither end of the chunk (behind its first space) is white space or a control character."""
+    first = chunk[0] == 32
+    if len(chunk) > first and 32 < chunk[first] < 127 and 32 < chunk[-1] < 127:
+        return True
     text = chunk.decode()
-    return len(text) > 1 and text[0] == " " and all(c > " " and c != "\x7f" and not c.isspace() for c in (text[1], text[-1]))
+    return len(text) > first and all(c > " " and c != "\x7f" and not c.isspace() for c in (text[first], text[-1]))
+
+
+def joined(chunks: list[bytes], which: list[int] | None = None) -> Iterator[tuple[bytes, list[int], np.ndarray, np.ndarray]]:
+    """Texts of about JOINED_BYTES that start with a space: (text, numbers of the chunks in it, their starts, their ends)."""
+    spaced, bare = [], []
+    for i in range(len(chunks)) if which is None else which:
+        if which is None and _solid(chunks[i]):
+            (spaced if chunks[i][0] == 32 else bare).append(i)
+        else:
+            lead = b"" if chunks[i][0] == 32 else LEAD
+            yield lead + chunks[i], [i], np.array([len(lead)]), np.array([len(lead) + len(chunks[i])])
+    for group, lead, glue in ((spaced, b"", b""), (bare, LEAD, GLUE)):
+        lengths = np.array([len(chunks[i]) + len(glue) for i in group], dtype=np.int64)
+        part = np.cumsum(lengths) // JOINED_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(group)] if group else [0]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            ends = len(lead) + np.cumsum(lengths[a:b]) - len(glue)
+            yield lead + glue.join([chunks[i] for i in group[a:b]]), group[a:b], ends - lengths[a:b] + len(glue), ends
 
 
 class ChunkMemory:

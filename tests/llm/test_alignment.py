@@ -15,7 +15,7 @@ from gridlens.llm import kernels as K
 PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ALIGNER = A.aligner(*PATHS)
 PARTS = [" ", "  ", "\n", "a", "é", "日", "本", "☃", " the", "word", "▁", " ", "　", "\x00", "\x1c", "'s", "<s>", "🤦🏼", "ﬁ", "\t",
-         "<|endoftext|>", ".", "1", "​", " é", "\x7f", "\u0085", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"]
+         "<|endoftext|>", ".", "1", ",", "?\"", "Next", "\nNext", "×", "Ün", "word.", "…", "/", "<b>", "​", " é", "\x7f", "\u0085", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"]
 
 
 def groups(text):
