@@ -28,7 +28,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from gridlens.llm import kernels as K
-from gridlens.llm.chunks import ChunkMemory, Columns, crosses, joined, objects
+from gridlens.llm.chunks import ChunkMemory, Columns, crosses, joined, objects, token_bytes
 from gridlens.llm.common import staged
 
 #: Bytes of text of a block of documents.
@@ -38,13 +38,6 @@ MANY_LINKS = 64
 SPACE_MARK = "▁"
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-ins of byte-level BPE files: printable bytes are themselves, others follow U+0100 in order."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Aligner:
     """Aligns texts (each with a space before it) by the tokenizer files ``a`` and ``b``."""
 
@@ -53,15 +46,13 @@ class Aligner:
         self.a = Tokenizer.from_file(a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=b)
-        alphabet = byte_alphabet()
-        names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
-        self.bytes_a = objects([bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in names])
+        self.bytes_a = objects(token_bytes(self.a))
         self.bytes_b = objects([self._piece_bytes(i) for i in range(self.b.get_piece_size())])
         self.length_a, self.length_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         #: Chunks can be encoded apart only if no piece reaches over the place where they are cut.
         self.parted = not any(map(crosses, pieces))
-        texts = [str(i).encode() for i in range(max(len(names), len(pieces)))]
+        texts = [str(i).encode() for i in range(max(len(self.bytes_a), len(pieces)))]
         self.inner, self.end_a, self.end_b = (objects([t + mark for t in texts]) for mark in (b",", b"|", b";"))
         self.memory = ChunkMemory(self.chunks)
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+from tokenizers import Tokenizer
 
 from gridlens.llm import kernels as K
 
@@ -104,6 +105,20 @@ def joined(chunks: list[bytes], which: list[int] | None = None) -> Iterator[tupl
             yield lead + glue.join([chunks[i] for i in group[a:b]]), group[a:b], ends - lengths[a:b] + len(glue), ends
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The printable stand-ins of byte-level BPE files: printable bytes are themselves, others follow U+0100 in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def token_bytes(tokenizer: Tokenizer) -> list[bytes]:
+    """What each id of a byte-level BPE file decodes to (added tokens: their own text)."""
+    alphabet = byte_alphabet()
+    names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+    return [bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in names]
+
+
 class ChunkMemory:
     """What a worker knows of chunks: ``encode`` gives the columns of new ones, in order."""
 

@@ -10,66 +10,61 @@ counts; pieces find their place in it by their rank among pieces of equal length
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from gridlens.llm import kernels as K
+from gridlens.llm.chunks import ChunkMemory, Columns, joined, objects, token_bytes
 from gridlens.llm.common import shuffle_width, staged
 
 CAPACITY, END_ID = 2048, 1
-CACHED_CHARS, CACHED_CHUNKS = 32, 500_000
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
 class ChunkTokenizer:
-    """Token ids of whole texts from a byte-level BPE file, with a bounded memory of frequent chunks.
+    """Token ids of whole texts from a byte-level BPE file; each distinct chunk (see ``chunks``) is encoded once.
 
-    The tokenizer's own splitting rule always starts a new token before a single space
-    that stands between two non-space characters, so a text can be cut there, and each
-    distinct chunk is encoded once.  Chunks are remembered without the space before them.
-    """
+    New chunks are encoded in short texts, whose ids are parted where the chunks' decoded bytes end."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = re.compile(r"(?<=\S) (?=\S)")
-        self.known: dict[str, bytes] = {}
-
-    def _split(self, text: str) -> list[str]:
-        """The chunks of a text; a plain split at spaces, unless white space stands next to one."""
-        odd = text[:1].isspace() or text[-1:].isspace() or any(
-            f" {c}" in text or f"{c} " in text for c in set(text) if c.isspace())
-        return self.cut.split(text) if odd else text.split(" ")
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [self._split(t) for t in texts]
-        firsts = self._ids([chunks[0] for chunks in split])
-        for chunks in split:
-            del chunks[0]
-        new = list(set().union(*split) - self.known.keys())
-        full = len(self.known) + len(new) > CACHED_CHUNKS
-        look = self.known
-        look.update(zip(new, self._ids([" " + c for c in new]), strict=True))
-        find = look.__getitem__
-        out = [first + b"".join(map(find, chunks)) for first, chunks in zip(firsts, split, strict=True)]
-        if full:
-            self.known = {}
-        else:
-            for c in new:
-                if len(c) > CACHED_CHARS:
-                    del look[c]
-        return out
+        self.lengths = np.array([len(b) for b in token_bytes(self.tokenizer)])
+        self.memory = ChunkMemory(self._chunks)
+
+    def _ids(self, texts: list[str]) -> list[array]:
+        return [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _chunks(self, chunks: list[bytes]) -> Columns:
+        out: list[bytes | None] = [None] * len(chunks)
+        texts = list(joined(chunks))
+        for (raw, which, starts, ends), ids in zip(texts, self._ids([t[0].decode() for t in texts]), strict=True):
+            total = np.append(0, np.cumsum(self.lengths[np.frombuffer(ids, dtype=np.uint32)]))
+            low, high = np.searchsorted(total, starts), np.searchsorted(total, ends)
+            if total[-1] == len(raw) and (total[low] == starts).all() and (total[high] == ends).all():
+                coded = ids.tobytes()
+                for i, a, b in zip(which, low.tolist(), high.tolist(), strict=True):
+                    out[i] = coded[4 * a:4 * b]
+        left = [i for i, ids in enumerate(out) if ids is None]  # not parted as expected: each by itself
+        for i, ids in zip(left, self._ids([chunks[i].decode() for i in left]), strict=True):
+            out[i] = ids.tobytes()
+        return {"ids": objects(out)}
+
+    def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of a block."""
+        columns, rows, first = self.memory.look(data, offsets)
+        ids, edges = columns["ids"][rows].tolist(), first.tolist()
+        return [b"".join(ids[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        data, offsets = K.buffers(K.utf8_column(pa.array(texts, pa.string())))
+        return self.encode_block(data[offsets[0]:offsets[-1]], offsets - offsets[0])
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}
@@ -87,13 +82,10 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, end = _tokenizer(path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            at, n = 0, batch.num_rows
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-            while at < n:
-                stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 1 << 20)) + at)
+            ids = batch.column("doc_id")
+            for at, _, data, offsets in K.blocks(K.utf8_column(batch.column("text"))):
                 rows = []
-                for i, coded in enumerate(tokenizer.encode([t or "" for t in texts.slice(at, stop - at).to_pylist()]), at):
+                for i, coded in enumerate(tokenizer.encode_block(data, offsets), at):
                     coded += end
                     total = len(coded) // 4
                     for start in range(0, total, capacity):
@@ -104,7 +96,6 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
                     [ids.take(pa.array(i)), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)),
                      pa.array(part, pa.binary())],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
-                at = stop
     return run
 
 

@@ -27,10 +27,10 @@ def groups(text):
     spelt = [[table[i] for i in x] for table, x in zip((ALIGNER.bytes_a, ALIGNER.bytes_b), ids, strict=True)]
     if any(b"".join(x) != raw for x in spelt):
         return []
-    ends = [np.cumsum([len(t) for t in x]).tolist() for x in spelt]
+    ends = [{end: i for i, end in enumerate(np.cumsum([len(t) for t in x]).tolist(), 1)} for x in spelt]
     out, at = [], [0, 0]
-    for cut in sorted(set(ends[0]) & set(ends[1])):
-        stop = [e.index(cut) + 1 for e in ends]
+    for cut in sorted(ends[0].keys() & ends[1].keys()):
+        stop = [e[cut] for e in ends]
         out.append(tuple(ids[side][at[side]:stop[side]] for side in (0, 1)))
         at = stop
     return out
@@ -41,7 +41,12 @@ def written(found):
 
 
 def linked(found):
-    return Counter((a, b) for x, y in found for a in x for b in y)
+    out = Counter()
+    for x, y in found:
+        for a, n in Counter(x).items():
+            for b, m in Counter(y).items():
+                out[a, b] += n * m
+    return out
 
 
 def brute_force(texts):

@@ -14,7 +14,7 @@ WHOLE = Tokenizer.from_file(PATH)
 CHUNKED = ChunkTokenizer(PATH)
 
 
-PARTS = [*" \n\t\r\x0b\x1c\x85\xa0\u2003ab'sé1.日", "  ", "<|endoftext|>", "'s", " the"]
+PARTS = [",", "?\"", "Next", "\nNext", "×", "Ün", "word.", "…", "/", *" \n\t\r\x0b\x1c\x85\xa0\u2003ab'sé1.日", "  ", "<|endoftext|>", "'s", " the"]
 
 
 @settings(max_examples=300, deadline=None)
