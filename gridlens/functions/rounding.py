@@ -148,19 +148,38 @@ def rest_text(expr: str, dp_in: int, d: _Dialect) -> str:
     return f"({x} - {d.rint(f'{x} * {s}')} / {s})"
 
 
+# What lies beyond the units is summed as a whole number of 1e-12: whole-number sums are the same in every
+# order, so results have the same bits on any partitioning, and values of up to twelve decimals add up exactly.
+REST_SCALE = 1e12
+
+
+def rest_units_text(expr: str, dp_in: int, d: _Dialect) -> str:
+    return f"CAST({d.rint(f'{rest_text(expr, dp_in, d)} * {d.dbl(REST_SCALE)}')} AS BIGINT)"
+
+
+def rest_units(c: Column, dp_in: int = 2) -> Column:
+    """What a value has beyond ``dp_in`` decimals, in whole 1e-12; to be summed and divided by REST_SCALE."""
+    s = F.lit(float(10 ** dp_in))
+    return F.rint((c - F.rint(c * s) / s) * F.lit(REST_SCALE)).cast("long")
+
+
+def _rest_sum(x: str, dp_in: int) -> str:
+    return f"CAST(sum({rest_units_text(_quote(x), dp_in, SPARK)}) AS DOUBLE) / {SPARK.dbl(REST_SCALE)}"
+
+
 def exact_sum(x: str, dp_in: int = 2) -> Column:
-    """Aggregate: sum of a column, order-independent for values with at most ``dp_in`` decimals.
+    """Aggregate: sum of a column, with the same bits in every order.
 
     Whole units and what lies beyond them are summed apart, so further decimals count too."""
-    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
-    return F.expr(f"CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)} + sum({e})")
+    u = units_text(_quote(x), dp_in, SPARK)
+    return F.expr(f"CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)} + {_rest_sum(x, dp_in)}")
 
 
 def py_mean(x: str, nd: int = 2, dp_in: int = 2) -> Column:
     """Aggregate over a column name: ``round(mean(x), nd)`` with Python semantics."""
-    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
-    mean = f"((CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)} + sum({e})) / CAST(count({u}) AS DOUBLE))"
-    return F.expr(f"CASE WHEN count({u}) > 0 THEN CASE WHEN sum({e}) = 0 THEN "
+    u, rest = units_text(_quote(x), dp_in, SPARK), _rest_sum(x, dp_in)
+    mean = f"((CAST(sum({u}) AS DOUBLE) / {SPARK.dbl(10 ** dp_in)} + {rest}) / CAST(count({u}) AS DOUBLE))"
+    return F.expr(f"CASE WHEN count({u}) > 0 THEN CASE WHEN {rest} = 0 THEN "
                   f"{mean_round_text(f'sum({u})', f'count({u})', nd, dp_in, SPARK)} "
                   f"ELSE {round_text(mean, nd, SPARK)} END END")
 
@@ -168,17 +187,23 @@ def py_mean(x: str, nd: int = 2, dp_in: int = 2) -> Column:
 def exact_mean(x: str, dp_in: int = 2) -> Column:
     """Aggregate: unrounded mean from the exact unit sum and the rest beyond it; for values
     with at most ``dp_in`` decimals one IEEE division, identical on every partitioning."""
-    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
+    u = units_text(_quote(x), dp_in, SPARK)
     return F.expr(f"CASE WHEN count({u}) > 0 THEN CAST(sum({u}) AS DOUBLE) / "
-                  f"(CAST(count({u}) AS DOUBLE) * {SPARK.dbl(10 ** dp_in)}) + sum({e}) / CAST(count({u}) AS DOUBLE) END")
+                  f"(CAST(count({u}) AS DOUBLE) * {SPARK.dbl(10 ** dp_in)}) + {_rest_sum(x, dp_in)} / CAST(count({u}) AS DOUBLE) END")
 
 
 def mean_parts(x: str, dp_in: int = 2) -> Column:
-    """Aggregate: struct(exact unit sum ``s``, count ``n``, rest beyond the units ``e``); finish with :func:`finish_means`."""
-    u, e = units_text(_quote(x), dp_in, SPARK), rest_text(_quote(x), dp_in, SPARK)
+    """Aggregate: struct(unit sum ``s``, count ``n``, rest ``e`` in whole 1e-12), all whole numbers; finish with :func:`finish_means`."""
+    u, e = units_text(_quote(x), dp_in, SPARK), rest_units_text(_quote(x), dp_in, SPARK)
     return F.expr(f"named_struct('s', sum({u}), 'n', count({u}), 'e', sum({e}))")
 
 
+def merge_parts(x: str) -> Column:
+    """Aggregate: the :func:`mean_parts` of a union of groups, from those of the groups (null: an empty group)."""
+    c = _quote(x)
+    return F.expr(f"named_struct('s', sum({c}.s), 'n', coalesce(sum({c}.n), 0L), 'e', sum({c}.e))")
+
+
 def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
     """Replace each :func:`mean_parts` struct column in ``cols`` by ``round(mean, nd)``.
 
@@ -191,8 +216,9 @@ def finish_means(df, cols, nd: int = 2, dp_in: int = 2):
     d = SPARK
     dd, split = d.dbl(2 * 10 ** nd), d.dbl(_SPLIT)
     steps = [
-        [("s", "{c}.s"), ("n", "{c}.n"), ("e", "{c}.e"), ("bn", f"{{c}}.n * {10 ** (dp_in - nd)}"),
-         ("avg", f"(CAST({{c}}.s AS DOUBLE) / {d.dbl(10 ** dp_in)} + {{c}}.e) / CAST({{c}}.n AS DOUBLE)")],
+        [("s", "{c}.s"), ("n", "{c}.n"), ("e", "{c}.e"), ("bn", f"greatest({{c}}.n, 1L) * {10 ** (dp_in - nd)}"),
+         ("avg", f"CASE WHEN {{c}}.n > 0 THEN (CAST({{c}}.s AS DOUBLE) / {d.dbl(10 ** dp_in)} + CAST({{c}}.e AS DOUBLE) / {d.dbl(REST_SCALE)}) "
+                 "/ CAST({c}.n AS DOUBLE) END")],
         [("r", "pmod({s}, {bn})")],
         [("q", "({s} - {r}) div {bn}")],
         [("m", "CAST({q} * 2 + 1 AS DOUBLE)")],

@@ -18,8 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import exact_mean, exact_sum, finish_means, mean_parts, py_round
+from gridlens.functions.rounding import exact_mean, exact_sum, finish_means, mean_parts, merge_parts, py_round
 from gridlens.functions.timefmt import local_hour, respondent_timezone, utc_iso
+from gridlens.operators.curve import PIVOT_FUELS, load_columns
 from gridlens.operators.windows import hourly_ramp
 from gridlens.schemas import CHART_TIMEZONE
 
@@ -80,6 +81,12 @@ def date_range_slice(curve: DataFrame, start, end,
         (F.col("period_utc") >= lo) & (F.col("period_utc") < hi))
 
 
+def in_order(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows in the order in which the reference hands them out (a distributed range sort), for
+    results that are read in order; operators that go on computing leave it out."""
+    return rows.orderBy(*keys)
+
+
 def fuel_slice(fuel: DataFrame, start, end, respondents: Sequence[str] | None = None) -> DataFrame:
     lo, hi = utc_bounds(start, end)
     return (_respondent_filter(fuel, respondents)
@@ -259,58 +266,119 @@ def summary_cards(curve_slice: DataFrame, with_coverage: bool = False) -> DataFr
 
 # ---------------------------------------------------------------- payload
 
-OUTAGE_SCOPE = "U.S. nuclear fleet context"
+OUTAGE_SCOPE = "U.S. nuclear fleet context"  # fixed value: part of the document
+
+_FUELS = "array<struct<fuel_type:string,fuel_name:string,generation_mwh:double>>"
+
+
+def _fuel_entry() -> Column:
+    return F.struct("fuel_type", "fuel_name", F.col("generation_mwh").cast("double").alias("generation_mwh"))
+
+
+def grid_hours(region: DataFrame, fuel: DataFrame) -> DataFrame:
+    """One row per hour and respondent, from one read of each table: the curve's columns (null where
+    the hour has no curve row), the fuels, and the latest ingest stamp of the region rows."""
+    amount = F.when(F.col("metric_type") == "D", F.col("value_mwh"))
+    rows = region.select("period_utc", "respondent", amount.alias("demand_mwh"), F.col("ingested_at_utc").alias("fresh"),
+                         F.lit(None).cast(_FUELS)[0].alias("fuel")).unionByName(
+        fuel.select("period_utc", "respondent", F.lit(None).cast("double").alias("demand_mwh"),
+                    F.lit(None).cast("timestamp").alias("fresh"), _fuel_entry().alias("fuel")))
+    pivot = [F.sum(F.when(F.col("fuel.fuel_type") == code, F.col("fuel.generation_mwh")).otherwise(F.lit(0.0))).alias(name)
+             for name, code in PIVOT_FUELS.items()]
+    hours = rows.groupBy("period_utc", "respondent").agg(
+        F.max("demand_mwh").alias("demand_mwh"), *pivot, F.max("fresh").alias("fresh"), F.collect_list("fuel").alias("fuels"))
+    known = F.col("demand_mwh").isNotNull() & (F.size("fuels") > 0)
+    loads = load_columns(hours.withColumn("demand_mwh", F.when(known, F.col("demand_mwh"))))
+    return loads.select("period_utc", "respondent", *(F.when(known, F.col(c)).alias(c) for c in PROFILE_FIELDS.values()), "fresh", "fuels")
+
+
+def curve_hours(curve: DataFrame, fuel: DataFrame, region: DataFrame) -> DataFrame:
+    """The rows of :func:`grid_hours` for a curve that is at hand."""
+    empty = {**{c: "double" for c in PROFILE_FIELDS.values()}, "fresh": "timestamp", "fuel": _FUELS}
+
+    def part(df, **given):
+        none = lambda kind: F.lit(None).cast(kind)
+        return df.select("period_utc", "respondent", *(
+            given.get(c, none(kind)[0] if c == "fuel" else none(kind)).alias(c) for c, kind in empty.items()))
+
+    rows = part(curve, **{c: F.col(c) for c in PROFILE_FIELDS.values()}).unionByName(
+        part(fuel, fuel=_fuel_entry())).unionByName(part(region, fresh=F.col("ingested_at_utc")))
+    return rows.groupBy("period_utc", "respondent").agg(
+        *(F.max(c).alias(c) for c in PROFILE_FIELDS.values()), F.max("fresh").alias("fresh"), F.collect_list("fuel").alias("fuels"))
 
 
 def dashboard_payload(curve: DataFrame, fuel: DataFrame, outage: DataFrame, region: DataFrame,
                       start, end, respondents: Sequence[str] | None = None) -> DataFrame:
-    """One JSON document per respondent with every dashboard block.
-
-    No job runs while the plan is built.  Each block is a
-    per-respondent aggregate joined on ``respondent``; the fleet
-    outage context (identical for all respondents, bounded by the number of days
-    in the range) is attached as a scalar subquery, so nothing is cross joined.
-    """
-    # The curve slice feeds two blocks, whose equal exchanges Spark runs once.
-    cs = date_range_slice(curve, start, end, respondents)
-    fs = fuel_slice(fuel, start, end, respondents)
-
-    prof = duck_profile(cs)
-    prof_items = prof.groupBy("respondent").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("hour"), F.col("demand"), F.col("solar"), F.col("wind"), F.col("nuclear"),
-        F.col("net_load").alias("netLoad"),
-        F.col("residual_after_nuclear").alias("residualAfterNuclear")))).alias("duckCurveProfile"))
-
-    mix = mix_profile_arrays(mix_profile(fs))
-    mix_items = mix.groupBy("respondent").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("fuel_type").alias("fuelType"), F.col("fuel_name").alias("fuelName"),
-        F.col("values")))).alias("generationMixProfile"))
+    """:func:`dashboard_documents` of a curve that is at hand."""
+    return dashboard_documents(curve_hours(curve, fuel, region), outage, start, end, respondents)
+
+
+def dashboard_documents(hours: DataFrame, outage: DataFrame, start, end, respondents: Sequence[str] | None = None) -> DataFrame:
+    """(respondent, payload): one JSON document per respondent with curve rows in the range, with every dashboard block.
+
+    One pass over the hours: they are dealt by respondent, and every block comes out of one chain of
+    aggregates on that deal: per (respondent, local hour, fuel), where the curve counts as a fuel without a
+    name, then per fuel, then per respondent.  Means travel as whole-number sums, so steps add nothing to
+    them.  The fleet's outage context, the same for all, is written as text once.
+    No job runs while the plan is built."""
+    low, high = utc_bounds(start, end)
+    use = (F.col("period_utc") >= low) & (F.col("period_utc") < high)
+    rows = _respondent_filter(hours, respondents).withColumn("use", use)
+    net = F.when(F.col("use"), F.col("net_load_mwh"))
+    before = Window.partitionBy("respondent").orderBy("period_utc").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("ramp", F.abs(net - F.last(net, ignorenulls=True).over(before)))
+
+    # a record per fuel of an hour, and one (without a fuel) for its curve row
+    own = F.lit(None).cast(_FUELS)[0]
+    records = rows.withColumn("x", F.explode(F.concat(F.array(own), F.when(F.col("use"), F.col("fuels")).otherwise(F.array().cast(_FUELS)))))
+    is_curve = F.col("x").isNull()
+    mine = is_curve & F.col("use") & F.col("demand_mwh").isNotNull()
+    records = records.select(
+        "respondent", F.col("x.fuel_type").alias("fuel_type"), F.col("x.fuel_name").alias("fuel_name"), is_curve.alias("is_curve"),
+        local_hour("period_utc", respondent_timezone("respondent")).alias("hour"),
+        F.when(is_curve, F.col("fresh")).alias("fresh"), F.when(mine, F.col("period_utc")).alias("at"), F.when(mine, F.col("ramp")).alias("ramp"),
+        F.col("x.generation_mwh").alias("generation"), *(F.when(mine, F.col(c)).alias(n) for n, c in PROFILE_FIELDS.items()))
+
+    names = [*PROFILE_FIELDS, "generation"]
+    hourly = records.groupBy("respondent", "is_curve", "fuel_type", "fuel_name", "hour").agg(
+        *(mean_parts(n).alias(n) for n in names), mean_parts("nuclear").alias("all_nuclear"),
+        F.count("at").alias("rows"), F.min("at").alias("first"), F.max("at").alias("last"), F.max("fresh").alias("fresh"),
+        F.max("demand").alias("peak"), F.min("net_load").alias("low"), F.max("ramp").alias("ramp"))
+    hourly = finish_means(hourly, names)
+    cards = {"rows": F.sum, "first": F.min, "last": F.max, "fresh": F.max, "peak": F.max, "low": F.min, "ramp": F.max}
+    by_fuel = hourly.groupBy("respondent", "is_curve", "fuel_type", "fuel_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("hour", F.struct(*names)))).alias("h"),
+        merge_parts("all_nuclear").alias("all_nuclear"), *(f(c).alias(c) for c, f in cards.items()))
+    day = F.sequence(F.lit(0), F.lit(23))
+    shown = {"netLoad": "net_load", "residualAfterNuclear": "residual_after_nuclear"}
+    shown = {n: n for n in PROFILE_FIELDS if n not in shown.values()} | shown
+    profile = F.transform(day, lambda h: F.struct(h.alias("hour"), *(F.try_element_at("h", h)[src].alias(n) for n, src in shown.items())))
+    values = F.transform(day, lambda h: F.coalesce(F.try_element_at("h", h)["generation"], F.lit(0.0)))
+    docs = by_fuel.groupBy("respondent").agg(
+        F.max(F.when(F.col("is_curve"), profile)).alias("profile"),
+        F.array_sort(F.collect_list(F.when(~F.col("is_curve"), F.struct(
+            F.col("fuel_type").alias("fuelType"), F.col("fuel_name").alias("fuelName"), values.alias("values"))))).alias("mix"),
+        merge_parts("all_nuclear").alias("average"), *(f(c).alias(c) for c, f in cards.items())).where("rows > 0")
+    docs = finish_means(docs, ["average"])
 
     days = outage_daily(outage_slice(outage, start, end))
-    outage_ctx = days.agg(F.struct(
+    context = days.agg(F.to_json(F.struct(
         F.lit(OUTAGE_SCOPE).alias("scope"),
         py_round(F.coalesce(F.max("outage_sum_mw"), F.lit(0.0)), 2).alias("maximumOutageMw"),
         F.array_sort(F.collect_list(F.struct(
             F.date_format("period_date", "yyyy-MM-dd").alias("date"),
             F.col("capacity_mw").alias("capacityMw"), F.col("outage_mw").alias("outageMw"),
-            F.col("available_mw").alias("availableMw")))).alias("days"))).scalar()
-
-    cards = summary_cards(cs, with_coverage=True)
-    fresh = freshness(_respondent_filter(region, respondents))
-
-    doc = (cards.join(prof_items, "respondent")
-           .join(mix_items, "respondent", "left").join(fresh, "respondent", "left"))
-    payload = F.struct(
+            F.col("available_mw").alias("availableMw")))).alias("days")))).scalar()
+    payload = F.to_json(F.struct(
         F.col("respondent"),
         respondent_timezone("respondent").alias("timezone"),
-        utc_iso("freshness").alias("freshness"),
-        F.struct(F.col("hourly_rows").alias("hourlyRows"), utc_iso("start").alias("start"),
-                 utc_iso("end").alias("end")).alias("coverage"),
-        F.struct(F.col("peak_demand_mwh").alias("peakDemandMwh"),
-                 F.col("minimum_net_load_mwh").alias("minimumNetLoadMwh"),
-                 F.col("steepest_hourly_ramp_mwh").alias("steepestHourlyRampMwh"),
-                 F.col("average_nuclear_mwh").alias("averageNuclearMwh")).alias("summary"),
-        F.col("duckCurveProfile"),
-        F.col("generationMixProfile"),
-        outage_ctx.alias("outageContext"))
-    return doc.select("respondent", F.to_json(payload).alias("payload"))
+        utc_iso("fresh").alias("freshness"),
+        F.struct(F.col("rows").alias("hourlyRows"), utc_iso("first").alias("start"), utc_iso("last").alias("end")).alias("coverage"),
+        F.struct(py_round("peak", 2).alias("peakDemandMwh"), py_round("low", 2).alias("minimumNetLoadMwh"),
+                 py_round(F.coalesce("ramp", F.lit(0.0)), 2).alias("steepestHourlyRampMwh"),
+                 F.col("average").alias("averageNuclearMwh")).alias("summary"),
+        F.col("profile").alias("duckCurveProfile"),
+        F.col("mix").alias("generationMixProfile")))
+    # the document's last brace makes room for the fleet's context
+    return docs.select("respondent", F.concat(
+        F.regexp_replace(payload, r"\}$", ""), F.lit(',"outageContext":'), context, F.lit("}")).alias("payload"))

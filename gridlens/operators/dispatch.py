@@ -7,19 +7,12 @@ unit 0) for a target load T with penalty P:
             = x^T Q x + P T^2   with   Q_ii = cost_i + P (cap_i^2 - 2 T cap_i),
                                        Q_ij = P cap_i cap_j.
 
-The reference enumerates all 2^N commitments for one T.  Here the answer is
-computed for every distinct target of an hourly table:
-
-1. ``commitments``: the 2^N subsets from ``spark.range`` with capacity and cost
-   as plain column arithmetic (no join).
-2. ``frontier``: for a fixed capacity, the objective only depends on cost, so
-   only the cheapest commitment per distinct capacity can win (first index on
-   ties) -- a partial aggregation keyed by capacity.
-3. The frontier (one row per distinct capacity) reaches every target row as one
-   scalar-subquery array, and ``aggregate`` scans it per target inside the JVM.
-   Targets are deduplicated before and joined back after, so work grows with
-   the number of distinct targets, and no target x commitment pairs are ever
-   materialized.
+The reference enumerates all 2^N commitments for one T.  Here every distinct target of an hourly
+table is solved over two half fleets (``halves``): targets are deduplicated, dealt over the
+cluster, solved in Arrow batches by tasks that derive the halves from the fleet they are given, and joined
+back.  No row, task or broadcast holds the 2^N commitments or a list of them by capacity, and no target x
+commitment pairs are materialized.  ``topk_commitments`` with a score of the user's own has to
+look at every commitment; it does so in chunks, of which only the k best go on.
 
 Objectives are rounded to 6 decimals before comparing, so mathematically equal
 objectives tie and the smallest index wins, as the reference's ``argmin``.
@@ -27,12 +20,14 @@ objectives tie and the smallest index wins, as the reference's ``argmin``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.functions.rounding import py_round
+from gridlens.operators.halves import OBJECTIVE_DECIMALS, half_fleets
 
 # The default 7-unit fleet (name, capacity in 100-MW blocks, cost $/MWh).
 DEFAULT_UNITS = [
@@ -45,14 +40,15 @@ DEFAULT_UNITS = [
     ("Peaker", 2.0, 55.0),
 ]
 DEFAULT_PENALTY = 10.0
-MAX_UNITS = 62  # a commitment is one long
-OBJECTIVE_DECIMALS = 6
+MAX_UNITS = 40  # a task holds the commitments of half a fleet: 2^20
+#: Commitments that one row looks at for a score of the user's own.
+CHUNK = 1024
 
 
 def fleet(units: Sequence[tuple[str, float, float]] | None = None):
     units = [(str(n), float(c), float(k)) for n, c, k in (units or DEFAULT_UNITS)]
     if not 1 <= len(units) <= MAX_UNITS:
-        raise ValueError(f"fleet must have 1..{MAX_UNITS} units, whose bits fit a long")
+        raise ValueError(f"fleet must have 1..{MAX_UNITS} units")
     return units
 
 
@@ -96,44 +92,38 @@ def objective(cost: Column, capacity: Column, target: Column, penalty: float) ->
     return cost + F.lit(float(penalty)) * (gap * gap)
 
 
-def frontier(spark: SparkSession, units=None) -> DataFrame:
-    """Cheapest commitment per distinct committed capacity (first index on ties)."""
-    best = (commitments(spark, units).groupBy("capacity")
-            .agg(F.min(F.struct("cost", "commitment")).alias("b")))
-    return best.select("capacity", F.col("b.cost").alias("cost"), F.col("b.commitment").alias("commitment"))
+def _solve(units, penalty: float, k: int | None):
+    """Arrow batches of targets -> their best commitment (of the ``k`` nearest in capacity, where given)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        halves = half_fleets(tuple(units), penalty)
+        for batch in batches:
+            targets = batch.column(0).to_pylist()
+            rows = [halves.best(t) if k is None else halves.cheapest_of(t, halves.nearest(t, k)) for t in targets]
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(
+                columns, (pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True))],
+                names=["target_load", "commitment", "capacity", "cost", "objective"])
+    return run
 
 
-def _best_of(arr: Column, target: Column, penalty: float) -> Column:
-    """Scan an array of (capacity, cost, commitment) for the min (rounded objective, id)."""
-    init = F.struct(F.lit(float("inf")).alias("obj"), F.lit(-1).cast("long").alias("commitment"),
-                    F.lit(0.0).alias("capacity"), F.lit(0.0).alias("cost"))
+def _solved(targets: DataFrame, units, penalty: float, k: int | None = None) -> DataFrame:
+    """Distinct targets (nulls left out), dealt over as many tasks as a shuffle has, and solved."""
+    width = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = targets.select(F.col("target_load").cast("double").alias("target_load")).where("target_load is not null").distinct()
+    return distinct.repartition(width, "target_load").mapInArrow(
+        _solve(units, float(penalty), k), "target_load double, commitment long, capacity double, cost double, objective double")
 
-    def step(acc, x):
-        obj = py_round(objective(x["cost"], x["capacity"], target, penalty), OBJECTIVE_DECIMALS)
-        better = (obj < acc["obj"]) | ((obj == acc["obj"]) & (x["commitment"] < acc["commitment"]))
-        cand = F.struct(obj.alias("obj"), x["commitment"].alias("commitment"),
-                        x["capacity"].alias("capacity"), x["cost"].alias("cost"))
-        return F.when(better, cand).otherwise(acc)
 
-    return F.aggregate(arr, init, step)
+def _bits(commitment: str, n: int) -> Column:
+    return F.lpad(F.bin(F.col(commitment)), n, "0")
 
 
 def best_commitment(spark: SparkSession, targets: DataFrame, target_col: str = "target_load",
                     units=None, penalty: float = DEFAULT_PENALTY) -> DataFrame:
     """Optimal commitment per distinct target value in ``targets``."""
     units = fleet(units)
-    n = len(units)
-    arr = frontier(spark, units).select(F.collect_list(F.struct("capacity", "cost", "commitment"))).scalar()
-    distinct = targets.select(F.col(target_col).alias("target_load")).distinct()
-    best = (distinct.withColumn("_frontier", arr)
-            .withColumn("b", _best_of(F.col("_frontier"), F.col("target_load"), penalty)))
-    return best.select(
-        "target_load",
-        F.col("b.commitment").alias("commitment"),
-        F.lpad(F.bin(F.col("b.commitment")), n, "0").alias("bits"),
-        F.col("b.capacity").alias("capacity"),
-        F.col("b.cost").alias("cost"),
-        F.col("b.obj").alias("objective"))
+    solved = _solved(targets.select(F.col(target_col).alias("target_load")), units, penalty)
+    return solved.select("target_load", "commitment", _bits("commitment", len(units)).alias("bits"), "capacity", "cost", "objective")
 
 
 def committed_names(idx: Column, units) -> Column:
@@ -200,25 +190,40 @@ def topk_commitments(spark: SparkSession, targets: DataFrame, score=closeness, k
     """Keep the ``k`` best-scored commitments per target, then the cheapest of them.
 
     ``score(target, subset)`` gives a column from the target and a commitment's struct (capacity,
-    cost, commitment); higher is better, ties go to the smaller index.  Every
-    commitment is a candidate, ranked per distinct target in the JVM."""
+    cost, commitment); higher is better, ties go to the smaller index.  Closeness of capacity needs
+    no look at all commitments (see ``halves``).  For any other score every commitment is a
+    candidate: a row looks at CHUNK of them and passes its ``k`` best on, which are merged per target, partly
+    before the shuffle."""
     units = fleet(units)
     n = len(units)
-    arr = commitments(spark, units).select(
-        F.collect_list(F.struct("capacity", "cost", "commitment"))).scalar()
-    distinct = targets.select("target_load").distinct()
-    t = F.col("target_load")
-    ranked = F.array_sort(F.transform(F.col("_subsets"), lambda s: F.struct(
-        (-score(t, s)).alias("rank"), s["commitment"].alias("commitment"),
-        s["capacity"].alias("capacity"), s["cost"].alias("cost"))))
-    top = F.slice(ranked, 1, k)
-    pick = _best_of(F.transform(top, lambda s: F.struct(
-        s["capacity"].alias("capacity"), s["cost"].alias("cost"),
-        s["commitment"].alias("commitment"))), t, penalty)
-    best = distinct.withColumn("_subsets", arr).withColumn("b", pick)
-    return best.select("target_load", F.col("b.commitment").alias("commitment"),
-                       F.lpad(F.bin(F.col("b.commitment")), n, "0").alias("bits"),
-                       F.col("b.obj").alias("objective"))
+    if score is closeness:
+        best = _solved(targets, units, penalty, k)
+    else:
+        best = _scored(targets.select("target_load").where("target_load is not null").distinct(), score, k, units, penalty)
+    return best.select("target_load", "commitment", _bits("commitment", n).alias("bits"), "objective")
+
+
+def _scored(targets: DataFrame, score, k: int, units, penalty: float) -> DataFrame:
+    n, t = len(units), F.col("target_load")
+    size = min(CHUNK, 2 ** n)
+    first = F.col("chunk") * size
+
+    def judged(i: Column) -> Column:
+        subset = F.struct(_fold(i, units, lambda u: u[1]).alias("capacity"), _fold(i, units, lambda u: u[2]).alias("cost"), i.alias("commitment"))
+        return F.struct((-score(t, subset)).alias("rank"), i.alias("commitment"), subset["capacity"].alias("capacity"), subset["cost"].alias("cost"))
+
+    def k_best(entries: Column) -> Column:
+        return F.slice(F.array_sort(entries), 1, k)
+
+    rows = targets.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2 ** n // size - 1).cast("long"))))
+    best = rows.withColumn("best", k_best(F.transform(F.sequence(first, first + (size - 1)), judged)))
+    width = max(1, round((2 ** n // size) ** 0.5))  # two steps, so that no row gathers the best of all chunks
+    for keys in ([t, (F.col("chunk") % width).alias("chunk")], [t]):
+        best = best.groupBy(*keys).agg(k_best(F.flatten(F.collect_list("best"))).alias("best"))
+    value = F.transform("best", lambda s: F.struct(
+        py_round(objective(s["cost"], s["capacity"], t, penalty), OBJECTIVE_DECIMALS).alias("objective"), s["commitment"].alias("commitment")))
+    least = best.withColumn("least", F.array_min(value))
+    return least.select("target_load", F.col("least.commitment").alias("commitment"), F.col("least.objective").alias("objective"))
 
 
 def qubo_objective(commitment: Column, target: Column, units=None, penalty: float = DEFAULT_PENALTY) -> Column:
@@ -242,7 +247,7 @@ def qubo_objective(commitment: Column, target: Column, units=None, penalty: floa
 def qubo_terms(targets: DataFrame, units=None, penalty: float = DEFAULT_PENALTY) -> DataFrame:
     """Long-form QUBO per distinct target: (target_load, i, j, q) plus const = P T^2.
 
-    The N x N unit pairs are a literal array exploded per target (N is capped)."""
+    The N x N unit pairs are a literal array exploded per target (N is at most MAX_UNITS)."""
     units = fleet(units)
     pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
                                F.lit(ui[1]).alias("cap_i"), F.lit(uj[1]).alias("cap_j"),

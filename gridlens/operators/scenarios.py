@@ -13,11 +13,13 @@ curve and shuffles nothing after the explode but partial sums.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.functions.rounding import py_round
+from gridlens.functions.rounding import REST_SCALE, py_round, rest_units
 from gridlens.operators.windows import hourly_ramp
 
 # The default scenario catalogue (label, renewable multiplier,
@@ -96,9 +98,8 @@ def scenario_curves(curve: DataFrame, scenarios=None, *, with_baseline: bool = T
 
 
 def _parts(c: F.Column) -> tuple[F.Column, F.Column]:
-    """Whole hundredths, and what lies beyond them (exactly 0.0 for values of two decimals)."""
-    units = F.rint(c * F.lit(100.0))
-    return units.cast("long"), c - units / F.lit(100.0)
+    """Whole hundredths, and what lies beyond them as a whole number: sums have the same bits in every order."""
+    return F.rint(c * F.lit(100.0)).cast("long"), rest_units(c)
 
 
 def scenario_summary(curves: DataFrame, keys: Sequence[str] = ("scenario", "scenario_order",
@@ -122,9 +123,11 @@ def _summarise(ramps: DataFrame, keys: Sequence[str]) -> DataFrame:
         py_round(F.coalesce(F.max("ramp_mwh"), F.lit(0.0)), 1).alias("max_hourly_ramp_mwh"),
         py_round(F.max("residual_load_after_nuclear_mwh"), 1).alias("peak_residual_mwh"),
         F.count(F.when(F.col("net_load_mwh") < 0, 1)).alias("curtailment_hours"), *sums)
-    renew = (F.col("_solar_mwh_u") + F.col("_wind_mwh_u")).cast("double") / F.lit(100.0) + (
-        F.col("_solar_mwh_r") + F.col("_wind_mwh_r"))
-    demand = F.col("_demand_mwh_u").cast("double") / F.lit(100.0) + F.col("_demand_mwh_r")
+    def total(*names: str) -> F.Column:
+        units, rest = (reduce(add, (F.col(f"_{c}_{k}") for c in names)).cast("double") for k in "ur")
+        return units / F.lit(100.0) + rest / F.lit(REST_SCALE)
+
+    renew, demand = total("solar_mwh", "wind_mwh"), total("demand_mwh")
     share = F.when(demand != 0, py_round(renew / demand, 4)).otherwise(F.lit(0.0))
     return agg.withColumn("renewable_share", share).drop(*(f"_{c}_{k}" for c in parts for k in "ur"))
 

@@ -277,9 +277,8 @@ _PAYLOAD_CTES = [
 @register("dashboard_payload", O.with_views(_payload_sql(), "ba_duck_curve_hourly", "nuclear_facility_daily", extra=_PAYLOAD_CTES))
 def q_dashboard_payload(spark, sf_dir):
     days = (DASH_START, DASH_END)
-    docs = D.dashboard_payload(curve(spark, sf_dir, *days), X.fuel_hourly(spark, sf_dir, *days),
-                               X.outage_facility_daily(spark, sf_dir, *days, named=False),
-                               X.region_hourly(spark, sf_dir), *days)
+    hours = D.grid_hours(X.region_hourly(spark, sf_dir), X.fuel_hourly(spark, sf_dir, *days))
+    docs = D.dashboard_documents(hours, X.outage_facility_daily(spark, sf_dir, *days, named=False), *days)
     p = F.col("p")
 
     def row(item, value=None, text=None):
@@ -320,8 +319,4 @@ UNION ALL SELECT 'nuclear_facility_daily', count(*) FROM nuclear_facility_daily
 UNION ALL SELECT 'ba_duck_curve_hourly', count(*) FROM ba_duck_curve_hourly""",
     "ba_duck_curve_hourly", "nuclear_facility_daily"))
 def q_table_counts(spark, sf_dir):
-    views = {"grid_region_hourly": X.region_hourly(spark, sf_dir),
-             "grid_fuel_hourly": X.fuel_hourly(spark, sf_dir),
-             "nuclear_facility_daily": X.outage_facility_daily(spark, sf_dir, named=False),
-             "ba_duck_curve_hourly": curve(spark, sf_dir)}
-    return S.table_counts(views).select("view_name", "row_count")
+    return S.counts(X.hourly_keys(spark, sf_dir), X.outage_facility_daily(spark, sf_dir, named=False)).select("view_name", "row_count")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from gridlens.functions.rounding import sql_py_round as R
 from gridlens.functions.timefmt import utc_iso
 from gridlens.plans import oracle as O
+from gridlens.session import checkpoint_dir
 from gridlens.sources import fixtures as X
 from gridlens.sources import normalize as N
 from gridlens.sources import pages as P
@@ -72,6 +74,29 @@ def q_normalize_outage(spark, sf_dir):
                     utc_iso("ingested_at_utc").alias("ingested_at_utc"))
 
 
+@register("read_pages", O.with_views("""
+SELECT p.request, p.page, r.pos, r.event_id, r.event_type, r.value
+FROM landed_pages p JOIN landed_rows r ON p.request = r.request AND p.holds = r.page
+LEFT JOIN page_stops s ON p.request = s.request WHERE s.stop IS NULL OR p.page <= s.stop""", "landed_pages", "page_stops"))
+def q_read_pages(spark, sf_dir):
+    """The records up to the stop of the fetch loop; pages left over from a longer run hold none."""
+    return P.loop_records(X.landed_pages(spark, sf_dir)).select(
+        "request", "page", F.col("pos").cast("long").alias("pos"), "event_id", "event_type", "value")
+
+
+@register("page_completeness", O.with_views("""
+SELECT p.request, CAST(count(*) FILTER (seen) AS BIGINT) AS pages, CAST(count(*) FILTER (NOT seen) AS BIGINT) AS stale_pages,
+       CAST(sum(size) FILTER (seen) AS BIGINT) AS landed, CAST(max(total) AS BIGINT) AS total,
+       CAST(coalesce(sum(page - reach) FILTER (seen AND page > reach), 0) AS BIGINT) AS missing,
+       CAST(coalesce(sum(least(reach, page + size) - page) FILTER (seen AND page < reach), 0) AS BIGINT) AS repeated,
+       bool_or(stop IS NOT NULL) AS loop_stopped,
+       bool_or(stop IS NOT NULL) AND bool_and(page = reach OR NOT seen) AND sum(size) FILTER (seen) >= max(total) AS complete
+FROM (SELECT p.*, stop, stop IS NULL OR page <= stop AS seen FROM page_states p LEFT JOIN page_stops s ON p.request = s.request) p
+GROUP BY p.request""", "page_states", "page_stops"))
+def q_page_completeness(spark, sf_dir):
+    return P.page_completeness(X.landed_pages(spark, sf_dir))
+
+
 _ARRIVALS = ("arr", f"""SELECT period_utc, respondent, 'D' AS metric_type,
         {R('(value * 4.0)', 2)} AS value_mwh, ts AS ingested_at_utc,
         event_id % 2 AS batch, event_id AS seq
@@ -94,6 +119,22 @@ def q_upsert_merge(spark, sf_dir):
                     F.col("winner").alias("seq"))
 
 
+@register("upsert_stored", O.with_views(f"""
+SELECT {O.ts_text('period_utc')} AS period_utc, respondent, metric_type, value_mwh, {O.iso('ingested_at_utc')} AS ingested_at_utc
+FROM (SELECT *, row_number() OVER (PARTITION BY period_utc, respondent, metric_type
+                                   ORDER BY batch DESC, seq DESC) AS rn FROM arr)
+WHERE rn = 1""", "ev", extra=[_ARRIVALS]))
+def q_upsert_stored(spark, sf_dir):
+    """Two landings go through the store one after the other: what the first left is merged with the second."""
+    data = f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}"
+    rows = X.region_arrivals(spark, sf_dir).withColumnRenamed("seq", "pos")
+    for batch in (0, 1):
+        S.upsert(spark, data, "grid_region_hourly", rows.where(F.col("batch") == batch))
+    m = S.scan_table(spark, data, "grid_region_hourly")
+    return m.select(utc_iso("period_utc").alias("period_utc"), "respondent", "metric_type",
+                    "value_mwh", utc_iso("ingested_at_utc").alias("ingested_at_utc"))
+
+
 _FUEL_ARRIVALS = ("farr", """SELECT period_utc, respondent,
         CASE event_type WHEN 'click' THEN 'SUN' WHEN 'error' THEN 'NUC' WHEN 'signup' THEN 'COL'
                         WHEN 'view' THEN 'WND' END AS fuel_type,

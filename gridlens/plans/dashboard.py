@@ -14,12 +14,11 @@ import json
 from pyspark.sql import SparkSession
 
 from gridlens.operators import dashboard as D
-from gridlens.operators.curve import duck_curve
 from gridlens.sources import store as S
 
 
 def _require_store(spark: SparkSession, data_dir: str) -> None:
-    if not S._exists(spark, S.dataset_path(data_dir, "grid_region_hourly")):
+    if not S.snapshot_numbers(spark, data_dir, "grid_region_hourly"):
         raise D.SelectionError(503, "data has not been ingested yet")
 
 
@@ -31,11 +30,10 @@ def dashboard_request(spark: SparkSession, data_dir: str, respondent: str = "CIS
     region = S.scan_table(spark, data_dir, "grid_region_hourly")  # freshness: not date-filtered
     fuel = S.scan_table(spark, data_dir, "grid_fuel_hourly", months=months)
     outage = S.scan_table(spark, data_dir, "nuclear_facility_daily", months=months)
-    demand_side = S.scan_table(spark, data_dir, "grid_region_hourly", months=months)
-    curve = duck_curve(demand_side.where(demand_side.respondent == respondent),
-                       fuel.where(fuel.respondent == respondent))
-    D.require_rows(D.date_range_slice(curve, start, end, [respondent]))
-    doc = D.dashboard_payload(curve, fuel, outage, region, start, end, [respondent]).first()
+    hours = D.grid_hours(region.where(region.respondent == respondent), fuel.where(fuel.respondent == respondent))
+    doc = D.dashboard_documents(hours, outage, start, end, [respondent]).first()
+    if doc is None:
+        raise D.SelectionError(404, "No duck-curve rows for selection")
     return json.loads(doc.payload)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from gridlens.functions.rounding import sql_py_round as R
 from gridlens.functions.timefmt import sql_local_hour, sql_respondent_timezone, sql_utc_iso
 from gridlens.sources.fixtures import (DEMAND_EVENT, DEMAND_SCALE, EVEN_RESPONDENT, FUEL_EVENTS,
-                                       ODD_RESPONDENT, RESPONDENT_NAMES)
+                                       ODD_RESPONDENT, PAGE_RECORDS, RESPONDENT_NAMES)
 
 
 def _case(expr: str, mapping: dict[str, str]) -> str:
@@ -56,6 +56,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    AS percent_outage,
                ingested_at_utc
         FROM outage_agg o LEFT JOIN supplier s ON o.l_suppkey = s.s_suppkey"""),
+    "landed_rows": (("ev",), f"""
+        SELECT *, respondent || '/' || strftime(ts, '%Y-%m-%d') AS request, day(ts) AS d,
+               (row_number() OVER w - 1) // {PAGE_RECORDS} * {PAGE_RECORDS} AS page,
+               (row_number() OVER w - 1) % {PAGE_RECORDS} AS pos, count(*) OVER (PARTITION BY respondent, CAST(ts AS DATE)) AS n
+        FROM ev WINDOW w AS (PARTITION BY respondent, CAST(ts AS DATE) ORDER BY event_id)"""),
+    # every page with the page whose records it holds (-1: none)
+    "landed_pages": (("landed_rows",), f"""
+        SELECT request, d, n, page, page AS holds, count(*) AS size FROM landed_rows
+        WHERE NOT (d % 7 = 2 AND page = 10) GROUP BY ALL
+        UNION ALL SELECT request, d, n, n + {PAGE_RECORDS}, 0, count(*) FROM landed_rows WHERE page = 0 AND d % 3 = 0 GROUP BY ALL
+        UNION ALL SELECT DISTINCT request, d, n, n, -1, 0 FROM landed_rows WHERE d % 4 = 0 OR d % 5 = 0
+        UNION ALL SELECT request, d, n, 3, 0, count(*) FROM landed_rows WHERE page = 0 AND d % 11 = 6 GROUP BY ALL"""),
+    "page_states": (("landed_pages",), """
+        SELECT *, n + CASE WHEN d % 5 = 0 THEN 7 ELSE 0 END AS total,
+               coalesce(max(page + size) OVER (PARTITION BY request ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach
+        FROM landed_pages"""),
+    "page_stops": (("page_states",), """
+        SELECT request, min(page) AS stop FROM page_states WHERE size = 0 OR page + size >= total OR reach >= total GROUP BY request"""),
     "demand": (("grid_region_hourly",), """
         SELECT period_utc, respondent, value_mwh AS demand_mwh
         FROM grid_region_hourly WHERE metric_type = 'D'"""),

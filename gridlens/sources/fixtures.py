@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridlens.functions.rounding import py_round_expr
@@ -112,6 +113,17 @@ def fuel_hourly(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataF
         "generation_mwh", "ingested_at_utc")
 
 
+def hourly_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (hour, respondent): the rows that :func:`region_hourly` and :func:`fuel_hourly` have, from one scan."""
+    kinds = [DEMAND_EVENT, *FUEL_EVENTS]
+    has = {k: F.max((F.col("event_type") == k).cast("long")) for k in kinds}
+    fuels = has[kinds[1]]
+    for k in kinds[2:]:
+        fuels = fuels + has[k]
+    return _events(spark, sf_dir).where(F.col("event_type").isin(kinds)).groupBy("period_utc", "respondent").agg(
+        has[DEMAND_EVENT].alias("region_rows"), has[DEMAND_EVENT].alias("demand_rows"), fuels.alias("fuel_rows"))
+
+
 def _value_text(c: str) -> F.Column:
     return F.col(c).cast("string")
 
@@ -166,6 +178,33 @@ def fuel_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 2).alias("batch"), F.col("event_id").alias("seq"))
 
 
+PAGE_RECORDS = 5
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page envelopes made of the events: a request per respondent and day, PAGE_RECORDS records a page.
+
+    By the day of the month, some requests have also a page left over from a longer run (behind the
+    end), an empty page at the end, a total that is announced too high, a page that is missing, or
+    one that overlaps the first two."""
+    ev = _events(spark, sf_dir)
+    request = W.partitionBy("request")
+    rows = (ev.withColumn("request", F.concat_ws("/", "respondent", F.date_format("ts", "yyyy-MM-dd")))
+            .withColumn("d", F.dayofmonth("ts")).withColumn("n", F.count(F.lit(1)).over(request))
+            .withColumn("page", F.floor((F.row_number().over(request.orderBy("event_id")) - 1) / PAGE_RECORDS) * PAGE_RECORDS))
+    base = rows.groupBy("request", "d", "n", "page").agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("data"))
+    # further pages of a request hang on its first one
+    extra = F.array_compact(F.array(
+        F.when(F.col("d") % 3 == 0, F.struct((F.col("n") + PAGE_RECORDS).alias("page"), F.col("data").alias("data"))),
+        F.when((F.col("d") % 4 == 0) | (F.col("d") % 5 == 0), F.struct(F.col("n").alias("page"), F.slice("data", 1, 0).alias("data"))),
+        F.when(F.col("d") % 11 == 6, F.struct(F.lit(3).cast("long").alias("page"), F.col("data").alias("data")))))
+    first = base.where("page = 0").select("request", "d", "n", F.explode(extra).alias("x")).select("request", "d", "n", "x.page", "x.data")
+    pages = base.where("not (d % 7 = 2 and page = 10)").unionByName(first)
+    total = F.col("n") + F.when(F.col("d") % 5 == 0, 7).otherwise(0)
+    return pages.select("request", F.format_string("%s/offset=%012d.json", "request", "page").alias("file"), F.col("page").cast("long").alias("page"),
+                        total.cast("string").alias("total"), "data")
+
+
 def outage_facility_daily(spark: SparkSession, sf_dir: str, start=None, end=None, *, named: bool = True) -> DataFrame:
     """nuclear_facility_daily from lineitem: one row per (ship day, supplier).
 

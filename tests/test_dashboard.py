@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlens.operators import dashboard as D
+from gridlens.operators.curve import duck_curve
 from gridlens.schemas import CURVE_SCHEMA, FUEL_SCHEMA, OUTAGE_SCHEMA, REGION_SCHEMA
 
 STAMP = dt.datetime(2025, 4, 1, 12)
@@ -108,3 +109,24 @@ def test_digits_beyond_hundredths_are_summed_before_rounding(spark):
     df = spark.createDataFrame(rows, "period_date date, facility string, capacity_mw double, outage_mw double")
     r = D.outage_daily(df).first()
     assert (r.capacity_mw, r.outage_mw, r.available_mw) == (10000.4, 1000.4, 9000.0)
+
+
+def test_documents_of_a_store_equal_those_of_its_curve(spark):
+    """The pass over region and fuel rows gives the documents that the curve gives, hours without one side included."""
+    hour = lambda h: STAMP + dt.timedelta(hours=h)
+    region = [(hour(h), r, "n", m, "x", 100.0 + 7.13 * h, hour(h % 5)) for h in range(60) for r in ("CISO", "ERCO") for m in ("D", "NG") if h % 7]
+    fuel = [(hour(h), r, "n", f, f.title(), 3.21 * h + len(f), STAMP) for h in range(60) for r in ("CISO", "ERCO", "MISO")
+            for f in ("SUN", "WND", "NUC", "COL") if (h + len(r)) % 5]
+    region, fuel = spark.createDataFrame(region, REGION_SCHEMA), spark.createDataFrame(fuel, FUEL_SCHEMA)
+    outage = spark.createDataFrame([(dt.date(2025, 4, 2), "1", "x", 1000.0, 125.0, 12.5, STAMP)], OUTAGE_SCHEMA)
+    days = ("2025-04-01", "2025-04-02")
+    fuels = fuel.where(F.to_date("period_utc") <= "2025-04-02")
+    one = {r.respondent: json.loads(r.payload) for r in D.dashboard_documents(D.grid_hours(region, fuels), outage, *days).collect()}
+    two = {r.respondent: json.loads(r.payload) for r in D.dashboard_payload(duck_curve(region, fuel), fuels, outage, region, *days).collect()}
+    assert one == two and set(one) == {"CISO", "ERCO"}
+    slice_ = D.date_range_slice(duck_curve(region, fuel), *days)
+    for c in D.summary_cards(slice_, with_coverage=True).collect():
+        got = one[c.respondent]["summary"]
+        assert (got["peakDemandMwh"], got["minimumNetLoadMwh"], got["steepestHourlyRampMwh"], got["averageNuclearMwh"]) == (
+            c.peak_demand_mwh, c.minimum_net_load_mwh, c.steepest_hourly_ramp_mwh, c.average_nuclear_mwh)
+        assert one[c.respondent]["coverage"]["hourlyRows"] == c.hourly_rows

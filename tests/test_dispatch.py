@@ -1,5 +1,7 @@
 import itertools
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def test_small_fleet_covers_target(spark):
     assert r.served_capacity >= 6.0
 
 
-def test_frontier_matches_brute_force(spark):
+def test_default_fleet_matches_brute_force(spark):
     targets = [x / 10 for x in range(0, 300, 7)] + [1.0, 15.4, 28.0, 31.5]
     df = spark.createDataFrame([(t,) for t in targets], "target_load double")
     got = {r.target_load: (r.objective, r.commitment, r.bits)
@@ -77,9 +79,53 @@ def test_a_users_score_picks_the_candidates(spark):
     assert cheap.bits == "0000000"  # nothing costs less than nothing
 
 
-def test_a_fleet_of_twenty_units_and_thousands_of_targets(spark):
-    units = [(f"u{i}", 1.0 + i % 4, 10.0 + 3 * i) for i in range(20)]
-    targets = spark.range(3000).selectExpr("id / 64.0 as target_load")
+def every(units):
+    """Capacity and cost of all commitments, each added up in unit order."""
+    index = np.arange(2 ** len(units))
+    cap, cost = np.zeros(len(index)), np.zeros(len(index))
+    for i, (_, c, k) in enumerate(units):
+        on = (index >> (len(units) - 1 - i)) & 1 == 1
+        cap, cost = cap + np.where(on, c, 0.0), cost + np.where(on, k, 0.0)
+    return cap, cost
+
+
+def odd_fleet(n, seed=4):
+    rng = random.Random(seed)
+    return [(f"u{i}", rng.choice([rng.uniform(0.3, 9.0), 2.5, 4.0]), rng.choice([rng.uniform(1.0, 60.0), 20.0])) for i in range(n)]
+
+
+@pytest.mark.parametrize("n,penalty", [(1, 10.0), (2, 10.0), (9, 0.0), (16, 10.0), (16, 0.02)])
+def test_half_fleets_match_brute_force(spark, n, penalty):
+    units = odd_fleet(n)
+    cap, cost = every(units)
+    targets = [float(i * (cap.max() + 3) / 150 - 1) for i in range(150)]
+    df = spark.createDataFrame([(t,) for t in targets], "target_load double")
+    got = {r.target_load: r for r in DP.best_commitment(spark, df, units=units, penalty=penalty).collect()}
+    near = {r.target_load: r for r in DP.topk_commitments(spark, df, k=5, units=units, penalty=penalty).collect()}
+    for t in targets:
+        values = cost + penalty * ((t - cap) * (t - cap))
+        close = np.flatnonzero(values <= values.min() + 1e-5)
+        want = min((round(float(values[i]), 6), int(i)) for i in close)
+        assert (got[t].objective, got[t].commitment) == want
+        first = np.lexsort((np.arange(len(cap)), np.abs(t - cap)))[:5]
+        assert (near[t].objective, near[t].commitment) == min((round(float(values[i]), 6), int(i)) for i in first)
+
+
+def test_a_score_of_ones_own_sees_every_commitment(spark):
+    units = odd_fleet(13)
+    cap, cost = every(units)
+    df = spark.createDataFrame([(t,) for t in (0.0, 11.3, 40.0)], "target_load double")
+    got = {r.target_load: r for r in DP.topk_commitments(
+        spark, df, score=lambda t, x: -F.abs(t - x["capacity"]) - x["cost"] / 50, k=7, units=units).collect()}
+    for t in got:
+        first = np.lexsort((np.arange(len(cap)), np.abs(t - cap) + cost / 50))[:7]
+        values = cost + 10.0 * ((t - cap) * (t - cap))
+        assert (got[t].objective, got[t].commitment) == min((round(float(values[i]), 6), int(i)) for i in first)
+
+
+def test_forty_units_and_thousands_of_targets(spark):
+    units = [(f"u{i}", 1.0 + i % 4, 10.0 + 3 * i) for i in range(40)]
+    targets = spark.range(3000).selectExpr("id / 32.0 as target_load")
     got = {r.target_load: r for r in DP.best_commitment(spark, targets, units=units).collect()}
     assert len(got) == 3000
     # independent optimum: cheapest cost per whole capacity, by dynamic programming
@@ -87,12 +133,20 @@ def test_a_fleet_of_twenty_units_and_thousands_of_targets(spark):
     for _, cap, cost in units:
         for c, k in sorted(least.items(), reverse=True):
             least[c + int(cap)] = min(least.get(c + int(cap), 1e18), k + cost)
-    for t in (0.0, 7.5, 23.03125, 46.859375):
-        best = min(k + 10.0 * (t - c) ** 2 for c, k in least.items())
-        assert abs(got[t].objective - best) < 1e-6
-
-
-def test_fleet_bits_must_fit_a_long():
+    for t, r in got.items():
+        assert abs(r.objective - min(k + 10.0 * (t - c) ** 2 for c, k in least.items())) < 1e-6
+    some = spark.createDataFrame([(17.3,), (61.75,)], "target_load double")
+    mixed = odd_fleet(40)
+    cap, cost = (np.array([u[i] for u in mixed]) for i in (1, 2))
+    for r in DP.best_commitment(spark, some, units=mixed).collect():  # no single change or swap of units is better
+        on = np.array([b == "1" for b in r.bits])
+        for i, j in itertools.product(range(40), repeat=2):
+            other = on.copy()
+            other[[i, j]] = ~other[[i, j]]
+            assert cost[other].sum() + 10.0 * (r.target_load - cap[other].sum()) ** 2 >= r.objective - 1e-5
+
+
+def test_larger_fleets_are_refused():
     with pytest.raises(ValueError):
         DP.fleet([("u", 1.0, 1.0)] * (DP.MAX_UNITS + 1))
 

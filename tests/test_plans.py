@@ -38,9 +38,10 @@ def test_keyed_merge_aggregates_before_the_shuffle(spark):
     assert re.search(r"Aggregate\(keys?=\[period_utc.*functions=\[partial_max_by", plan)
 
 
-def test_dispatch_has_no_pairs(spark):
-    plan = _plan(QUERIES["dispatch_hourly"](spark, SF))
-    assert "Subquery" in plan or "subquery" in plan  # frontier shipped as a scalar subquery
+def test_dispatch_holds_no_list_of_commitments(spark):
+    for name in ("dispatch_hourly", "best_commitment", "topk_commitments", "commitment_gap"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert not re.search(r"[Ss]ubquery|Generate|Range \(|collect_list", plan), name
 
 
 def _scans(plan: str, table: str) -> int:
@@ -66,6 +67,13 @@ def test_outage_totals_read_no_names(spark):
         assert _scans(plan, "lineitem") == 1 and _scans(plan, "supplier") == 0, name
 
 
+def test_documents_and_counts_read_their_tables_once(spark):
+    plan = _plan(QUERIES["dashboard_payload"](spark, SF))
+    assert _scans(plan, "events") <= 2 and _scans(plan, "lineitem") == 1 and "Join" not in plan
+    plan = _plan(QUERIES["table_counts"](spark, SF))
+    assert _scans(plan, "events") == 1 and _scans(plan, "lineitem") == 1 and "Join" not in plan
+
+
 def test_scenarios_window_the_base_curve_only(spark):
     plan = _plan(QUERIES["scenario_compare"](spark, SF))
     assert plan.index("Generate") < plan.index("Window")  # printed from the top: the window lies below the explode

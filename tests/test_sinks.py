@@ -36,3 +36,25 @@ def test_forecast_json_drops_vectors(spark, workdir):
     assert all(os.path.getsize(p) for p in parts)
     (rec,) = [json.loads(line) for p in parts for line in open(p)]
     assert "predictions" not in rec and rec["n_test"] == 4 and rec["skill_score"] == 0.5
+
+
+def test_curve_export_is_one_ordered_file(spark, workdir):
+    """Several tasks write, one file with one header results, and an older export is replaced."""
+    curve = structured_curve(spark, 30).repartition(7)
+    out = os.path.join(workdir, "curve.csv")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plan = sinks.duck_curve_export_rows(curve, "DEMO")._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" in plan and "SinglePartition" not in plan
+        for _ in range(2):
+            assert sinks.export_duck_curve_csv(curve, out, respondent="DEMO") == 720
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    with open(out) as file:
+        rows = list(csv.reader(file))
+    assert rows[0][:2] == ["period_utc", "respondent"] and len(rows) == 721
+    assert [r[0] for r in rows[1:]] == sorted(r[0] for r in rows[1:]) and len({r[0] for r in rows[1:]}) == 720
+    assert os.listdir(workdir) == ["curve.csv"] or set(os.listdir(workdir)) == {"curve.csv", ".curve.csv.crc"}
+    assert sinks.export_duck_curve_csv(curve, out, respondent="NONE") == 0
+    with open(out) as file:
+        assert file.read().count("\n") == 1
