@@ -6,10 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm import cotraining, decontamination, langid, lexical, linededup, sharding, toxicity, urlfilter
+from gridlens.llm import cotraining, decontamination, langid, lexical, linededup, neardup, sharding, toxicity, urlfilter
 from gridlens.llm.alignment import align_tokenizers
 from gridlens.llm.common import LlmQuery, held_out, table
-from gridlens.llm.neardup import near_duplicates
 from gridlens.llm.packing import pack_documents
 from gridlens.llm.substrings import remove_repeats
 from gridlens.llm.topk import exact_top_k, quantised
@@ -54,7 +53,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, percent=80)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, percent=80)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +107,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op5_decontamination": LlmQuery(op5_decontamination),
     "op6_url_filter": LlmQuery(op6_url_filter, urlfilter.sql_twin()),
     "op7_language_id": LlmQuery(op7_language_id),
-    "op8_near_duplicates": LlmQuery(op8_near_duplicates),
+    "op8_near_duplicates": LlmQuery(op8_near_duplicates, neardup.SQL),
     "op9_quality": LlmQuery(op9_quality),
     "op10_toxicity": LlmQuery(op10_toxicity),
     "op11_lexical_search": LlmQuery(op11_lexical_search, lexical.SQL),

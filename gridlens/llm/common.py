@@ -27,16 +27,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of staged intermediates of this driver, oldest first.
+_folders: list[str] = []
+
+
+def staged_folders() -> list[str]:
+    return list(_folders)
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders whose tables nothing will read again."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if folder in _folders:
+            _folders.remove(folder)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate into the shared checkpoint folder and read it back.
 
     Later steps then start from files that every executor can read, so a lost
     executor costs only the tasks that ran on it, and a result used twice is
     computed once.  The shuffle files that led to it are no longer needed and go when
-    the write ends.
+    the write ends (a session setting, held while it lasts: write from one thread at a time).
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}/{name}"
+    folder = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+    path = f"{folder}/{name}"
+    _folders.append(folder)
     before = spark.conf.get(_DROP_SHUFFLES)
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:

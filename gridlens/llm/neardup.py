@@ -11,11 +11,14 @@ A document's set holds the hashes of its distinct shingles.  From it come
   samples differ in, so for whole sets (j = 0) a count above the bound proves
   dissimilarity; for thinned ones the estimate gets six standard deviations.
 
-Texts with equal sets are first collapsed to one class.  Within the buckets that
-hold classes of more than one component, every pair of components is compared by
-sketch, a few best pairs per class are confirmed on the full sets, and components
-are joined; the rounds repeat, with more pairs each, until no bucket offers an
-unconfirmed pair between two components.
+Texts with equal sets are first collapsed to one class.  Each class is confirmed against the
+nearest of its buckets' centres, which already joins most of a group.  Buckets that then
+hold classes of more than one component are looked at twice.  First all their
+pairs are sifted by sketch, and the classes that have a pair left in another component are
+listed, each pair in the first bucket it shares.  Then the full sets of these
+classes alone go to the same buckets, where pairs are confirmed, nearest first, unless links already
+found there join them.  What comes out is the links of a spanning forest, never the pairs, and every pair
+that the sketches allow is either confirmed, refused or known to be joined.
 """
 
 from __future__ import annotations
@@ -170,42 +173,81 @@ def _compare(n_a, n_b, low_a, high_a, low_b, high_b, percent: int):
     return near, differing * 2.0 ** level / np.maximum(n_a + n_b, 1)
 
 
-def _cell_pairs(percent: int, best: int):
-    """In each cell (a pair of blocks of a bucket): every class's best few partners of another component."""
-    def run(table: pa.Table) -> pa.Table:
+class _Cells:
+    """The cells (pairs of blocks of a bucket) of an Arrow table, with its rows sorted by cell."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.percent = percent
         rows = {name: table.column(name).to_numpy() for name in ("id", "label", "n_shingles", "part", "band", "part_a", "part_b")}
-        sketch = {x: np.frombuffer(b"".join(table.column(x).to_pylist()), dtype=np.uint64).reshape(len(rows["id"]), -1)
-                  for x in ("low", "high")}
-        order = np.lexsort((rows["part"], rows["part_b"], rows["part_a"], rows["band"]))
-        rows = {name: x[order] for name, x in rows.items()}
-        sketch = {name: x[order] for name, x in sketch.items()}
-        new = np.zeros(len(order), dtype=bool)
+        self.order = np.lexsort((rows["part"], rows["part_b"], rows["part_a"], rows["band"]))
+        self.rows = {name: x[self.order] for name, x in rows.items()}
+        wide = {x: np.frombuffer(b"".join(table.column(x).to_pylist()), dtype=np.uint64) for x in ("low", "high")}
+        wide["bands"] = table.column("bands").combine_chunks().flatten().to_numpy()
+        self.low, self.high, self.bands = (wide[x].reshape(len(self.order), -1)[self.order] for x in ("low", "high", "bands"))
+        new = np.zeros(len(self.order), dtype=bool)
         for name in ("band", "part_a", "part_b"):
-            new[1:] |= rows[name][1:] != rows[name][:-1]
-        edges = [0, *np.flatnonzero(new), len(order)]
-        found = {"a": [], "b": [], "band": [], "more": []}
-        ids, labels, n = rows["id"], rows["label"], rows["n_shingles"]
-        for low, high in zip(edges[:-1], edges[1:], strict=True):
-            split = low + int(np.searchsorted(rows["part"][low:high], rows["part_a"][low], side="right"))
-            right = slice(low, split) if rows["part_a"][low] == rows["part_b"][low] else slice(split, high)
+            new[1:] |= self.rows[name][1:] != self.rows[name][:-1]
+        self.edges = [0, *np.flatnonzero(new).tolist(), len(self.order)] if len(new) else [0]
+
+    def pairs(self, labels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, row, estimated difference) of pairs that may link classes of different labels, a stretch of a cell at
+        a time; each pair only in the first bucket that its classes share.  ``labels`` may change meanwhile."""
+        n = self.rows["n_shingles"]
+        for begin, end in zip(self.edges[:-1], self.edges[1:], strict=True):
+            inner = self.rows["part_a"][begin] == self.rows["part_b"][begin]
+            split = begin + int(np.searchsorted(self.rows["part"][begin:end], self.rows["part_a"][begin], side="right"))
+            right = slice(begin, split) if inner else slice(split, end)
             step = max(1, PAIRS_AT_ONCE // max(1, right.stop - right.start))
-            for at in range(low, split, step):
+            for at in range(begin, split, step):
                 left = slice(at, min(at + step, split))
-                near, ratio = _compare(n[left, None], n[None, right], sketch["low"][left, None], sketch["high"][left, None],
-                                       sketch["low"][None, right], sketch["high"][None, right], percent)
-                near &= labels[left, None] != labels[None, right]
-                many = near.sum(axis=1)
-                if not many.any():
+                apart = labels[left, None] != labels[None, right]
+                if not apart.any():
+                    continue
+                near, ratio = _compare(n[left, None], n[None, right], self.low[left, None], self.high[left, None],
+                                       self.low[None, right], self.high[None, right], self.percent)
+                i, j = np.nonzero(near & apart)
+                ratio = ratio[i, j]
+                i, j = i + left.start, j + right.start
+                keep = i < j if inner else np.ones(len(i), dtype=bool)
+                same = self.bands[i] == self.bands[j]
+                keep &= self.bands[i, same.argmax(axis=1)] == self.rows["band"][begin]
+                if keep.any():
+                    yield i[keep], j[keep], ratio[keep]
+
+
+_OPEN = "band long, part_a int, part_b int, part int, id long, label long"
+
+
+def _open_rows(percent: int):
+    """The rows of a cell that may link to a row of another component in it."""
+    def run(table: pa.Table) -> pa.Table:
+        cells = _Cells(table, percent)
+        marked = np.zeros(len(cells.order), dtype=bool)
+        for i, j, _ in cells.pairs(cells.rows["label"]):
+            marked[i] = marked[j] = True
+        types = {"part_a": pa.int32(), "part_b": pa.int32(), "part": pa.int32()}
+        return pa.table({c: pa.array(cells.rows[c][marked], types.get(c, pa.int64())) for c in (x.split()[0] for x in _OPEN.split(", "))})
+    return run
+
+
+def _links(percent: int):
+    """Confirmed links between components, as many as join them and no more."""
+    def run(table: pa.Table) -> pa.Table:
+        cells = _Cells(table, percent)
+        packed = table.column("shingles").to_pylist()
+        sets = [np.frombuffer(packed[i], dtype=np.uint64) for i in cells.order]
+        roots, found = cells.rows["label"].copy(), {"a": [], "b": []}
+        for i, j, ratio in cells.pairs(roots):
+            for at in np.argsort(ratio, kind="stable").tolist():
+                x, y = int(i[at]), int(j[at])
+                if roots[x] == roots[y]:
                     continue
-                rank = np.argsort(np.argsort(np.where(near, ratio, np.inf), axis=1, kind="stable"), axis=1)
-                i, j = np.nonzero(near & (rank < best))
-                a, b = ids[left][i], ids[right][j]
-                found["a"].append(np.minimum(a, b))
-                found["b"].append(np.maximum(a, b))
-                found["band"].append(np.full(len(i), rows["band"][low]))
-                found["more"].append(many[i] > best)
-        joined = {x: np.concatenate(v) if v else np.zeros(0, dtype=bool if x == "more" else np.int64) for x, v in found.items()}
-        return pa.table(joined)
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    found["a"].append(int(min(cells.rows["id"][x], cells.rows["id"][y])))
+                    found["b"].append(int(max(cells.rows["id"][x], cells.rows["id"][y])))
+                    roots[roots == roots[y]] = roots[x]
+        return pa.table({c: pa.array(x, pa.int64()) for c, x in found.items()})
     return run
 
 
@@ -236,7 +278,8 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 5, percent: int
     Two documents are linked when 100 * |intersection| >= percent * |union| of their
     shingle sets; ``component_id`` is the smallest doc_id reachable over links and
     ``kept`` marks the rows that carry it.  Null or wordless texts have an empty set
-    and no links.  Rows that share a doc_id are one document.  A row with a null
+    and no links, so each such row is a component.  Rows that share a doc_id are one document: what is linked
+    with one of them is linked with all that have words.  A row with a null
     doc_id is counted but takes no part: its component is null and it is kept.
     Empty tables give empty results; other columns are ignored.
     """
@@ -253,7 +296,7 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 5, percent: int
     members = staged(entries.join(shared.select("band", "centre"), "band"), "members")
     active = members.select("id").distinct()
     sketches = staged(heads.withColumnRenamed("doc_id", "id").join(active, "id", "left_semi")
-                      .select("id", "n_shingles", "low", "high"), "sketches")
+                      .select("id", "n_shingles", "low", "high", "bands"), "sketches")
     sets = staged(docs.withColumnRenamed("doc_id", "id").join(active, "id", "left_semi")
                   .select(F.col("id").alias("doc_id"), "text").dropDuplicates().mapInArrow(
                       _sets(words_per_shingle), "id long, shingles binary"), "sets")
@@ -267,23 +310,13 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 5, percent: int
     nearest = sifted.groupBy("b").agg(F.min_by("a", F.struct("ratio", "a")).alias("a"))
     checked = staged(_confirmed(nearest, sets, percent), "checked")
 
-    labels = staged(connected_components(checked.where("linked")), "labels")
-    best, open_ = 4, members
-    while True:
-        placed = open_.select("band", "id").join(labels, "id", "left").select(
-            "band", "id", F.coalesce("label", "id").alias("label"))
-        pairs = staged(_mixed_pairs(placed, sketches, percent, best), "pairs")
-        fresh = pairs.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-        confirmed = staged(_confirmed(fresh, sets, percent), "confirmed")
-        checked = checked.union(confirmed)
-        if not confirmed.where("linked").isEmpty():
-            labels = staged(connected_components(checked.where("linked")), "labels")
-        # a bucket whose pairs were all given is settled; the others are looked at again, for more pairs
-        unsettled = pairs.where("more").select("band").distinct()
-        if unsettled.isEmpty():
-            break
-        open_ = staged(open_.select("band", "id").join(unsettled, "band", "left_semi"), "open")
-        best *= 4
+    links = checked.where("linked").select("a", "b").union(_same_document(some, classes))
+    labels = staged(connected_components(links), "labels")
+    cells = staged(_cells(members.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))), "cells")
+    open_ = staged(_by_cell(cells, sketches).applyInArrow(_open_rows(percent), _OPEN), "open")
+    more = staged(_by_cell(open_, sketches.join(sets, "id")).applyInArrow(_links(percent), "a long, b long"), "links")
+    if not more.isEmpty():
+        labels = staged(connected_components(links.union(more)), "labels")
     classes = classes.join(labels, "id", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("label", "id").alias("class_label"))
     return digests.select("doc_id", "n_shingles", "f1", "f2").join(classes, ["f1", "f2", "n_shingles"], "left").select(
@@ -292,18 +325,44 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 5, percent: int
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _mixed_pairs(placed: DataFrame, sketches: DataFrame, percent: int, best: int) -> DataFrame:
-    """Pairs between components from the buckets that still hold several.
+def _same_document(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of the rows that share a doc_id."""
+    key = ["f1", "f2", "n_shingles"]
+    several = rows.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).where("x <> y")
+    held = rows.join(several.select("doc_id"), "doc_id", "left_semi").join(classes, key).select("doc_id", "id").distinct()
+    return held.groupBy("doc_id").agg(F.min("id").alias("a")).join(held, "doc_id").select("a", F.col("id").alias("b"))
+
+
+def _cells(placed: DataFrame) -> DataFrame:
+    """The buckets that hold several components, cut into cells.
 
     A bucket is dealt into blocks of BLOCK_ROWS rows on average and every pair of blocks is a
-    cell, so no task's share grows with a bucket; cells are put together to bins of TASK_ROWS.
-    """
+    cell, so no task's share grows with a bucket."""
     mixed = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).where(
         "x < y").select("band", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts"))
     rows = placed.join(mixed, "band").withColumn("part", F.expr("cast(pmod(xxhash64(id, 5), parts) as int)")).withColumn(
         "other", F.explode(F.expr("sequence(0, parts - 1)")))
-    cells = staged(rows.select("band", "id", "label", "part", F.least("part", "other").alias("part_a"),
-                               F.greatest("part", "other").alias("part_b")), "cells")
-    bins = max(1, -(-cells.count() // TASK_ROWS))
-    return cells.join(sketches, "id").withColumn("bin", F.expr(f"pmod(xxhash64(band, part_a, part_b), {bins})")).groupBy(
-        "bin").applyInArrow(_cell_pairs(percent, best), "a long, b long, band long, more boolean")
+    return rows.select("band", "id", "label", "part", F.least("part", "other").alias("part_a"),
+                       F.greatest("part", "other").alias("part_b"))
+
+
+def _by_cell(rows: DataFrame, held: DataFrame):
+    """Rows of cells with what is ``held`` for their ids, grouped to bins of about TASK_ROWS rows that hold whole cells."""
+    bins = max(1, -(-rows.count() // TASK_ROWS))
+    return rows.join(held, "id").withColumn("bin", F.expr(f"pmod(xxhash64(band, part_a, part_b), {bins})")).groupBy("bin")
+
+
+SQL = r"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+sets AS (SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(words) - 3), lambda i: array_to_string(words[i:i + 3], ' '))) END AS held FROM texts),
+entries AS (SELECT r, doc_id, len(held) AS n, unnest(held) AS shingle FROM sets),
+near AS (SELECT x.doc_id AS a, y.doc_id AS b FROM entries x JOIN entries y ON x.shingle = y.shingle AND x.r <> y.r
+  GROUP BY x.r, y.r, x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+walk AS (SELECT DISTINCT doc_id AS id, doc_id AS other FROM documents
+  UNION SELECT walk.id, near.b FROM walk JOIN near ON walk.other = near.a),
+smallest AS (SELECT id, min(other) AS component_id FROM walk GROUP BY id)
+SELECT doc_id, CAST(len(held) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN smallest ON doc_id = id
+"""

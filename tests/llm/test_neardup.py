@@ -68,6 +68,47 @@ def test_small_blocks_equal_brute_force(spark, monkeypatch):
     same(spark, families(4, 120))
 
 
+def test_many_classes_near_the_threshold_equal_brute_force(spark):
+    """Copies that differ from each other by about the allowed difference: most pairs that the sketches allow are refused."""
+    rng = random.Random(9)
+    base = [f"t{i}" for i in range(200)]
+    docs = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(200), 4 + i % 5):
+            words[at] = f"e{rng.randint(0, 99999)}"
+        docs.append((i, " ".join(words)))
+    same(spark, docs)
+
+
+def test_links_never_outnumber_the_rows(spark):
+    docs = families(6, 80)
+    made = []
+    before = neardup.staged
+
+    def watch(df, name):
+        out = before(df, name)
+        if name == "links":
+            made.append(out.count())
+        return out
+
+    neardup.staged = watch
+    try:
+        same(spark, docs)
+    finally:
+        neardup.staged = before
+    assert len(made) == 1 and made[0] <= 32 * len(docs)
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    text = {x: " ".join(f"{x}{i}" for i in range(30)) for x in "XYZ"}
+    rows = [(3, "X"), (5, "X"), (5, "Y"), (9, "Y"), (7, "Z"), (11, "Z"), (7, "Y"), (20, "Z")]
+    got = near_duplicates(spark.createDataFrame([(i, text[x]) for i, x in rows], "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {3}
+    apart = near_duplicates(spark.createDataFrame([(3, text["X"]), (3, text["Y"]), (4, text["Z"])], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in apart) == [(3, 3, True), (3, 3, True), (4, 4, True)]
+
+
 def test_the_sample_equals_brute_force(spark, sample_docs):
     same(spark, [(r.doc_id, r.text) for r in sample_docs.collect()])
 
