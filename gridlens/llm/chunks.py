@@ -159,8 +159,14 @@ class ChunkMemory:
             return
         chunks = [raw[a:b] for a, b in zip(*(x[new].tolist() for x in where), strict=True)]
         fresh = {"text": objects(chunks), **self.encode(chunks)}
-        self.columns = {name: np.concatenate([self.columns[name], x]) if self.columns else x for name, x in fresh.items()}
-        self.slots = np.insert(self.slots, at[new], np.arange(len(self.uses), len(self.uses) + len(chunks)))
+        size, end = len(self.uses), len(self.uses) + len(chunks)
+        for name, x in fresh.items():  # room for as many again, so that columns are seldom copied
+            if name not in self.columns or end > len(self.columns[name]):
+                wider = np.empty(2 * end, dtype=x.dtype)
+                wider[:size] = self.columns[name][:size] if size else x[:0]
+                self.columns[name] = wider
+            self.columns[name][size:end] = x
+        self.slots = np.insert(self.slots, at[new], np.arange(size, end))
         self.keys = np.insert(self.keys, at[new], keys[new])
         self.uses = np.append(self.uses, np.zeros(len(chunks), dtype=np.int64))
 

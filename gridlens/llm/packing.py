@@ -25,6 +25,8 @@ from gridlens.llm.chunks import ChunkMemory, Columns, joined, objects, token_byt
 from gridlens.llm.common import shuffle_width, staged
 
 CAPACITY, END_ID = 2048, 1
+#: Chunks that a worker remembers (about 150 bytes each).
+REMEMBERED = 1_000_000
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -36,7 +38,7 @@ class ChunkTokenizer:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.lengths = np.array([len(b) for b in token_bytes(self.tokenizer)])
-        self.memory = ChunkMemory(self._chunks)
+        self.memory = ChunkMemory(self._chunks, REMEMBERED)
 
     def _ids(self, texts: list[str]) -> list[array]:
         return [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
