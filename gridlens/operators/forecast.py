@@ -6,11 +6,12 @@ hour sin/cos, weekday (Monday = 0), day-of-year sin/cos, the value 1 and 24
 rows earlier and the mean of the 24 rows before.  Samples start at row 24; the
 first ``int(n * (1 - test_frac))`` samples of a series train, the rest test.
 
-``fit_forecast`` trains one gradient-boosted tree model per target series
-(solar, wind) on the training samples of *all* respondents with Spark ML, so a
-fit is one distributed job whatever the number of respondents.  Targets and levels are
-scaled per series, so each is forecast as well as if fitted alone; predictions are
-floored at 0 and scored per (respondent, series).
+A forecast has two parts.  Every series gets its own linear one: its normal equations are sums of
+products, so one grouped aggregate over the training samples makes those of all series at once, and each is
+solved from its own row.  What that leaves is learned by gradient-boosted trees, one model per
+target series (solar, wind), on the residuals of *all* respondents with Spark ML.  Targets and levels
+are scaled per series.  So each respondent keeps its own shape however many there are, and a fit
+is one distributed job.  Predictions are floored at 0 and scored per (respondent, series).
 
 skill = 1 - RMSE_model / RMSE_persistence (NaN when the baseline RMSE is 0).
 """
@@ -19,9 +20,11 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,31 +119,83 @@ MAX_BINS = 255
 MIN_SAMPLES_LEAF = 20
 
 _LEVEL_FEATURES = ["lag_1", "lag_24", "roll_24"]
-_MODEL_FEATURES = [f for f in FEATURES if f not in _LEVEL_FEATURES] + [f"{f}_rel" for f in _LEVEL_FEATURES] + ["series_no"]
+_REL = [f"{f}_rel" for f in _LEVEL_FEATURES]
+_MODEL_FEATURES = [f for f in FEATURES if f not in _LEVEL_FEATURES] + _REL + ["linear_rel"]
+HARMONICS = 3
+#: Added to the diagonal of the normal equations, per sample: terms that never vary stay solvable.
+RIDGE = 1e-6
 
 
-def model_rows(design: DataFrame, minimum: int = MIN_SAMPLES) -> DataFrame:
+def linear_terms() -> dict[str, F.Column]:
+    """The terms of the linear part: 1, the day's first harmonics, and the scaled levels."""
+    angle = F.lit(2.0 * math.pi / 24.0) * F.hour("period_utc").cast("double")
+    waves = {f"{name}_{k}": f(angle * k) for k in range(1, HARMONICS + 1) for name, f in (("sin", F.sin), ("cos", F.cos))}
+    return {"one": F.lit(1.0), **waves, **{c: F.col(c) for c in _REL}}
+
+
+def scaled_rows(design: DataFrame, minimum: int = MIN_SAMPLES) -> DataFrame:
     """Samples of the series long enough to fit, on a common scale.
 
-    Target and level features are divided by the series' mean absolute training value, a
-    number for the respondent lets trees tell series apart, and every series weighs as much as
-    the average one, so neither a small nor a short series is drowned by the others."""
+    Target and level features are divided by the series' mean absolute training value, and every series weighs
+    as much as the average one, so neither a small nor a short series is drowned by the others."""
     train = design.where(F.col("is_train") & (F.col("n_samples") >= minimum))
     levels = train.groupBy(*SERIES_KEYS).agg(F.avg(F.abs("y")).alias("level"), F.count("*").alias("n_fit"))
-    per_series = Window.partitionBy("series")
-    levels = levels.select(
-        *SERIES_KEYS, F.when(F.col("level") > 0, F.col("level")).otherwise(F.lit(1.0)).alias("level"),
-        (F.avg("n_fit").over(per_series) / F.col("n_fit")).alias("weight"),
-        F.row_number().over(per_series.orderBy("respondent")).cast("double").alias("series_no"))
+    mean = F.avg("n_fit").over(Window.partitionBy("series"))
+    levels = levels.select(*SERIES_KEYS, F.when(F.col("level") > 0, F.col("level")).otherwise(F.lit(1.0)).alias("level"),
+                           (mean / F.col("n_fit")).alias("weight"))
     rows = design.join(levels, SERIES_KEYS)
     return rows.select("*", (F.col("y") / F.col("level")).alias("y_rel"),
                        *((F.col(f) / F.col("level")).alias(f"{f}_rel") for f in _LEVEL_FEATURES))
 
 
+def normal_equations(rows: DataFrame) -> DataFrame:
+    """Per series of :func:`scaled_rows`: the sums ``xx`` (upper triangle, row by row) and ``xy`` over its training samples.
+
+    One aggregate with partial sums before the shuffle, whatever the number and length of the series."""
+    terms = linear_terms()
+    train = rows.where("is_train").select(*SERIES_KEYS, "y_rel", *(c.alias(f"_{n}") for n, c in terms.items()))
+    names = [f"_{n}" for n in terms]
+    products = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
+    return train.groupBy(*SERIES_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*products).alias("xx"), F.array(*(F.sum(F.col(a) * F.col("y_rel")) for a in names)).alias("xy"))
+
+
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The coefficients of a batch of series."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        xy = batch.column("xy").flatten().to_numpy().reshape(batch.num_rows, -1)
+        size = xy.shape[1]
+        xx = np.zeros((batch.num_rows, size, size))
+        upper = np.triu_indices(size)
+        xx[:, upper[0], upper[1]] = batch.column("xx").flatten().to_numpy().reshape(batch.num_rows, -1)
+        xx = xx + np.triu(xx, 1).transpose(0, 2, 1)
+        xx += RIDGE * batch.column("n").to_numpy()[:, None, None] * np.eye(size)
+        found = np.linalg.solve(xx, xy[:, :, None])[:, :, 0]
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in SERIES_KEYS] + [pa.array(list(found), pa.list_(pa.float64()))],
+                                         names=[*SERIES_KEYS, "coefficients"])
+
+
+def linear_coefficients(equations: DataFrame) -> DataFrame:
+    """(respondent, series, coefficients): each series' own least-squares solution, a row at a time."""
+    return equations.mapInArrow(_solve, "respondent string, series string, coefficients array<double>")
+
+
+def model_rows(design: DataFrame, minimum: int = MIN_SAMPLES) -> DataFrame:
+    """:func:`scaled_rows` with the series' own linear prediction ``linear_rel`` and what it leaves, ``residual_rel``."""
+    rows = scaled_rows(design, minimum)
+    fitted = rows.join(linear_coefficients(normal_equations(rows)), SERIES_KEYS)
+    linear = F.lit(0.0)
+    for i, term in enumerate(linear_terms().values()):
+        linear = linear + F.col("coefficients")[i] * term
+    return fitted.withColumn("linear_rel", linear).drop("coefficients").withColumn("residual_rel", F.col("y_rel") - F.col("linear_rel"))
+
+
 def fit_forecast(rows: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
                  step_size: float = 0.08, seed: int = 0,
                  series: Sequence[str] | None = None) -> dict:
-    """Fit one boosted-tree regressor per series name on the training samples of :func:`model_rows`."""
+    """Fit one boosted-tree regressor per series name on the residuals of the training samples of :func:`model_rows`."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
@@ -150,7 +205,7 @@ def fit_forecast(rows: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
 
     def fit(name):
         train = assembler.transform(rows.where((F.col("series") == name) & F.col("is_train")))
-        gbt = GBTRegressor(featuresCol="features", labelCol="y_rel", weightCol="weight", maxDepth=max_depth,
+        gbt = GBTRegressor(featuresCol="features", labelCol="residual_rel", weightCol="weight", maxDepth=max_depth,
                            stepSize=step_size, maxIter=max_iter, seed=seed, maxBins=MAX_BINS,
                            minInstancesPerNode=MIN_SAMPLES_LEAF)
         return gbt.fit(train)
@@ -169,7 +224,7 @@ def predict_clip(rows: DataFrame, models: dict) -> DataFrame:
     out = None
     for name, model in models.items():
         test = assembler.transform(rows.where((F.col("series") == name) & ~F.col("is_train")))
-        pred = clipped(model.transform(test).withColumn("prediction", F.col("prediction") * F.col("level")))
+        pred = clipped(model.transform(test).withColumn("prediction", (F.col("linear_rel") + F.col("prediction")) * F.col("level")))
         out = pred if out is None else out.unionByName(pred)
     return out
 

@@ -163,6 +163,27 @@ def q_skill_score(spark, sf_dir):
     return m.select("respondent", "series", F.round("skill_score", 9).alias("skill_score"))
 
 
+_TERMS = {"one": "1.0", **{f"{f}_{k}": f"{f}({2.0 * math.pi / 24.0!r} * CAST(hour(period_utc) AS DOUBLE) * {k})"
+                           for k in range(1, FC.HARMONICS + 1) for f in ("sin", "cos")},
+          **{f"{f}_rel": f"{f} / level" for f in ("lag_1", "lag_24", "roll_24")}}
+_PAIRS = [(a, b) for i, a in enumerate(_TERMS) for b in list(_TERMS)[i:]] + [(a, "y_rel") for a in _TERMS]
+_SCALED = ("scl", f"""SELECT respondent, series, y / level AS y_rel, {', '.join(f'{e} AS "{n}"' for n, e in _TERMS.items())}
+    FROM (SELECT *, avg(abs(y)) OVER (PARTITION BY respondent, series) AS level FROM smp
+          WHERE sample_index < split AND n_samples >= {FC.MIN_SAMPLES})""")
+
+
+@register("normal_equations", O.with_views(f"""
+SELECT respondent, series, x.term, x.other, round(x.value, 6) AS value FROM (SELECT respondent, series, unnest([{', '.join(
+    f"{{'term': '{a}', 'other': '{b}', 'value': sum({a} * {b})}}" for a, b in _PAIRS)}]) AS x FROM scl GROUP BY respondent, series)""",
+    "ba_duck_curve_hourly", extra=[*_FC, _SCALED]))
+def q_normal_equations(spark, sf_dir):
+    """The sums behind every series' linear part, one row per pair of terms."""
+    sums = FC.normal_equations(FC.scaled_rows(_design(spark, sf_dir))).select("respondent", "series", F.concat("xx", "xy").alias("v"))
+    names = F.array(*[F.struct(F.lit(a).alias("term"), F.lit(b).alias("other")) for a, b in _PAIRS])
+    return sums.select("respondent", "series", F.explode(F.arrays_zip(names.alias("p"), "v")).alias("x")).select(
+        "respondent", "series", "x.p.term", "x.p.other", F.round("x.v", 6).alias("value"))
+
+
 @register("forecast_renewables", None)
 def q_forecast_renewables(spark, sf_dir):
     m = FC.forecast_renewables(curve(spark, sf_dir))

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_scenarios import structured_curve
@@ -53,3 +54,36 @@ def test_predictions_have_a_floor(spark):
     d = spark.createDataFrame([("R", "solar", 1, 5, 2.0, -3.0, 1.0)], "respondent string, series string, period_utc int, "
                               "sample_index int, y double, prediction double, persistence double")
     assert FC.clipped(d).first().prediction == 0.0
+
+
+def many_shapes(spark, respondents, days):
+    """Respondents whose days differ: solar by hour, width and size, wind by phase and swing, each with its own noise."""
+    r, h = F.col("r"), F.col("h").cast("double")
+    part = lambda salt, n: (F.xxhash64(r, F.lit(salt)) % n + n) % n
+    noise = lambda salt: (F.xxhash64(r, F.col("h"), F.lit(salt)) % 1000) / 1000.0
+    size = F.pow(F.lit(10.0), part(1, 30) / 10.0)
+    sun = F.pow(F.greatest(F.sin(2 * math.pi * (h - part(2, 24)) / 24), F.lit(0.0)), 1 + part(3, 3))
+    wind = 1.5 + 0.3 * (1 + part(4, 3)) * F.sin(2 * math.pi * (h / 24 + part(5, 24) / 24)) + 0.2 * noise(6)
+    return spark.range(respondents * days * 24).select((F.col("id") % respondents).alias("r"), F.floor(F.col("id") / respondents).alias("h")).select(
+        F.concat(F.lit("R"), r).alias("respondent"), (F.timestamp_seconds(F.lit(1704067200) + F.col("h") * 3600)).alias("period_utc"),
+        (size * sun * (1 + 0.15 * noise(7))).alias("solar_mwh"), (size * wind).alias("wind_mwh"))
+
+
+def test_each_of_400_respondents_keeps_its_own_shape(spark):
+    curve = many_shapes(spark, 400, 12)
+    pooled = {(r.respondent, r.series): r.skill_score for r in FC.forecast_renewables(curve, max_iter=5).collect()}
+    assert len(pooled) == 800 and sum(s > 0 for s in pooled.values()) > 760
+    for own in ("R7", "R250"):
+        for r in FC.forecast_renewables(curve.where(F.col("respondent") == own), max_iter=5).collect():
+            assert pooled[own, r.series] > r.skill_score - 0.05, (r, pooled[own, r.series])
+
+
+def test_linear_part_is_the_least_squares_solution(spark):
+    rows = FC.scaled_rows(FC.design_matrix(FC.long_series(many_shapes(spark, 3, 10))))
+    got = {(r.respondent, r.series): r.coefficients for r in FC.linear_coefficients(FC.normal_equations(rows)).collect()}
+    terms = rows.where("is_train").select("respondent", "series", "y_rel", *(c.alias(f"_{n}") for n, c in FC.linear_terms().items())).toPandas()
+    assert len(got) == 6
+    for key, part in terms.groupby(["respondent", "series"]):
+        x, y = part[[c for c in part if c.startswith("_")]].to_numpy(), part["y_rel"].to_numpy()
+        want = np.linalg.solve(x.T @ x + FC.RIDGE * len(x) * np.eye(x.shape[1]), x.T @ y)
+        assert np.allclose(x @ got[key], x @ want, atol=1e-6)
