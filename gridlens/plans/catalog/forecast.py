@@ -173,7 +173,7 @@ _SCALED = ("scl", f"""SELECT respondent, series, y / level AS y_rel, {', '.join(
 
 
 @register("normal_equations", O.with_views(f"""
-SELECT respondent, series, x.term, x.other, round(x.value, 6) AS value FROM (SELECT respondent, series, unnest([{', '.join(
+SELECT respondent, series, x.term, x.other, round(x.value, 6) + 0.0 AS value FROM (SELECT respondent, series, unnest([{', '.join(
     f"{{'term': '{a}', 'other': '{b}', 'value': sum({a} * {b})}}" for a, b in _PAIRS)}]) AS x FROM scl GROUP BY respondent, series)""",
     "ba_duck_curve_hourly", extra=[*_FC, _SCALED]))
 def q_normal_equations(spark, sf_dir):
@@ -181,7 +181,7 @@ def q_normal_equations(spark, sf_dir):
     sums = FC.normal_equations(FC.scaled_rows(_design(spark, sf_dir))).select("respondent", "series", F.concat("xx", "xy").alias("v"))
     names = F.array(*[F.struct(F.lit(a).alias("term"), F.lit(b).alias("other")) for a, b in _PAIRS])
     return sums.select("respondent", "series", F.explode(F.arrays_zip(names.alias("p"), "v")).alias("x")).select(
-        "respondent", "series", "x.p.term", "x.p.other", F.round("x.v", 6).alias("value"))
+        "respondent", "series", "x.p.term", "x.p.other", (F.round("x.v", 6) + F.lit(0.0)).alias("value"))  # + 0.0: no negative zeros
 
 
 @register("forecast_renewables", None)
