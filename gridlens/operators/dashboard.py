@@ -81,12 +81,6 @@ def date_range_slice(curve: DataFrame, start, end,
         (F.col("period_utc") >= lo) & (F.col("period_utc") < hi))
 
 
-def in_order(rows: DataFrame, *keys: str) -> DataFrame:
-    """The rows in the order in which the reference hands them out (a distributed range sort), for
-    results that are read in order; operators that go on computing leave it out."""
-    return rows.orderBy(*keys)
-
-
 def fuel_slice(fuel: DataFrame, start, end, respondents: Sequence[str] | None = None) -> DataFrame:
     lo, hi = utc_bounds(start, end)
     return (_respondent_filter(fuel, respondents)
