@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.operators.windows import lag_col, row_index, series_window
+from gridlens.functions.rounding import REST_SCALE, rest_units
+from gridlens.operators.windows import CARRIED, CHUNK, carried_part, chunk_window, lag_col, row_count, row_index, with_tails
 from gridlens.session import checkpoint_dir
 
 LAG_SHORT, LAG_DAY = 1, 24
@@ -60,47 +61,55 @@ def calendar_features(df: DataFrame, ts: str = "period_utc") -> DataFrame:
               .withColumn("doy_cos", F.cos(F.lit(two_pi) * doy / F.lit(365.25))))
 
 
-def _units(c: str) -> F.Column:
-    return F.rint(F.col(c) * F.lit(UNITS)).cast("long")
+def _units(c: F.Column) -> F.Column:
+    return F.rint(c * F.lit(UNITS)).cast("long")
 
 
-def _rest(c: str) -> F.Column:
+def _rest(c: F.Column) -> F.Column:
     """What a value has beyond whole units: exactly 0.0 for values of two decimals."""
-    return F.col(c) - F.rint(F.col(c) * F.lit(UNITS)) / F.lit(UNITS)
+    return c - F.rint(c * F.lit(UNITS)) / F.lit(UNITS)
 
 
 def rolling_mean_24(w) -> F.Column:
-    """Mean of the 24 rows before.  Whole hundredths and what lies beyond them are summed
-    apart: for values of two decimals the result does not depend on the order the
-    engine adds the frame in, and further decimals count."""
+    """Mean of the 24 rows before, over rows with tails (null where there is no value).  Whole hundredths and
+    what lies beyond them (as whole 1e-12) are summed apart, so the result has the same bits however the rows
+    are cut into chunks and in whatever order the engine adds."""
     frame = w.rowsBetween(-LAG_DAY, -1)
-    n = F.count("y").over(frame)
-    return F.when(n > 0, F.sum(_units("y")).over(frame).cast("double") / (n.cast("double") * F.lit(UNITS))
-                  + F.sum(_rest("y")).over(frame) / n.cast("double"))
+    carried = F.coalesce(F.filter(carried_part(LAG_DAY), lambda x: x.isNotNull()), F.array().cast("array<double>"))
 
+    def total(part) -> F.Column:
+        tail = F.aggregate(carried, F.lit(0).cast("long"), lambda whole, x: whole + part(x))
+        return (F.coalesce(F.sum(part(F.col("y"))).over(frame), F.lit(0)) + tail).cast("double")
 
-def design_matrix(series_rows: DataFrame, test_frac: float = 0.25) -> DataFrame:
-    """Features, target ``y``, ``persistence`` and ``row_index`` from row 24 on, plus
-    the chronological split (``sample_index``, ``n_samples``, ``split``, ``is_train``).
+    n = (F.count("y").over(frame) + F.size(carried)).cast("double")
+    return F.when(n > 0, total(_units) / (n * F.lit(UNITS)) + total(rest_units) / F.lit(REST_SCALE) / n)
+
+
+def level_features(series_rows: DataFrame, chunk: str = CHUNK) -> DataFrame:
+    """``row_index``, ``n_rows`` (of the series), ``lag_1``, ``lag_24`` and ``roll_24`` of every row.
 
-    One window pass per series (partitioned by respondent and series; a series
-    has one row per hour, so a partition is bounded by the covered hours)."""
-    w = series_window(SERIES_KEYS)
-    feats = (calendar_features(series_rows)
-             .withColumn("row_index", row_index(w))
-             .withColumn("lag_1", lag_col("y", LAG_SHORT, w))
-             .withColumn("lag_24", lag_col("y", LAG_DAY, w))
-             .withColumn("roll_24", rolling_mean_24(w))
-             .withColumn("persistence", F.col("lag_24")))
-    samples = feats.where(F.col("row_index") >= LAG_DAY)
-    return chrono_split(samples, test_frac)
+    The windows are over chunks of a series (``chunk`` is a unit of date_trunc), whose first rows look back into
+    the carried last 24 rows before."""
+    w = chunk_window(SERIES_KEYS)
+    rows = with_tails(series_rows, "y", LAG_DAY, SERIES_KEYS, chunk=chunk)
+    return (rows.withColumn("row_index", row_index()).withColumn("n_rows", row_count())
+            .withColumn("lag_1", lag_col("y", LAG_SHORT, w))
+            .withColumn("lag_24", lag_col("y", LAG_DAY, w))
+            .withColumn("roll_24", rolling_mean_24(w)).drop(*CARRIED))
+
+
+def design_matrix(series_rows: DataFrame, test_frac: float = 0.25, chunk: str = CHUNK) -> DataFrame:
+    """Features, target ``y``, ``persistence`` and ``row_index`` from row 24 on, plus
+    the chronological split (``sample_index``, ``n_samples``, ``split``, ``is_train``)."""
+    feats = calendar_features(level_features(series_rows, chunk)).withColumn("persistence", F.col("lag_24"))
+    return chrono_split(feats.where(F.col("row_index") >= LAG_DAY), test_frac).drop("n_rows")
 
 
 def chrono_split(samples: DataFrame, test_frac: float = 0.25) -> DataFrame:
-    """First ``int(n * (1 - test_frac))`` samples of each series train, the rest test."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*SERIES_KEYS))
+    """First ``int(n * (1 - test_frac))`` samples of each series train, the rest test; ``samples`` are the rows of
+    :func:`level_features` from row 24 on."""
     return (samples.withColumn("sample_index", F.col("row_index") - F.lit(LAG_DAY))
-            .withColumn("n_samples", n)
+            .withColumn("n_samples", F.col("n_rows") - F.lit(LAG_DAY))
             .withColumn("split", F.floor(F.col("n_samples") * F.lit(1.0 - test_frac)).cast("long"))
             .withColumn("is_train", F.col("sample_index") < F.col("split")))
 
@@ -277,7 +286,8 @@ def persistence_metrics(design: DataFrame) -> DataFrame:
 
     Differences are taken in whole hundredths, summed as decimals, with what lies beyond
     them added apart as decimals of twelve places, so the result has the same bits on any partitioning."""
-    whole, rest = _units("y") - _units("persistence"), _rest("y") - _rest("persistence")
+    y, before = F.col("y"), F.col("persistence")
+    whole, rest = _units(y) - _units(before), _rest(y) - _rest(before)
     gap = whole / F.lit(UNITS)
     test = design.where(~F.col("is_train"))
     n = F.count(F.lit(1)).cast("double")

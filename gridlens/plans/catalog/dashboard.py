@@ -207,7 +207,7 @@ _RAMP = ("rp", """SELECT *, abs(net_load_mwh - lag(net_load_mwh, 1) OVER
 SELECT {O.ts_text('period_utc')} AS period_utc, respondent, ramp_mwh FROM rp""",
     "ba_duck_curve_hourly", extra=[WHOLE_CTE, _RAMP]))
 def q_hourly_ramp(spark, sf_dir):
-    r = hourly_ramp(curve(spark, sf_dir))
+    r = hourly_ramp(curve(spark, sf_dir), chunk="month")
     return curve_text(r.select("period_utc", "respondent", "ramp_mwh"))
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from gridlens.functions.rounding import py_round
 from gridlens.functions.rounding import sql_py_round as R
 from gridlens.operators import forecast as FC
-from gridlens.operators.windows import series_window
 from gridlens.plans import oracle as O
 from gridlens.plans.catalog.base import register, curve, curve_text
 
@@ -62,21 +61,16 @@ def q_calendar_features(spark, sf_dir):
 SELECT respondent, series, {O.ts_text('period_utc')} AS period_utc, y, lag_1, lag_24 FROM ft""",
     "ba_duck_curve_hourly", extra=_FC[:2]))
 def q_lag_features(spark, sf_dir):
-    w = series_window(FC.SERIES_KEYS)
-    ls = FC.long_series(curve(spark, sf_dir))
-    return curve_text(ls.select("respondent", "series", "period_utc", "y",
-                                 F.lag("y", 1).over(w).alias("lag_1"),
-                                 F.lag("y", 24).over(w).alias("lag_24")))
+    levels = FC.level_features(FC.long_series(curve(spark, sf_dir)))
+    return curve_text(levels.select("respondent", "series", "period_utc", "y", "lag_1", "lag_24"))
 
 
 @register("rolling_mean_24", O.with_views(f"""
 SELECT respondent, series, {O.ts_text('period_utc')} AS period_utc, roll_24 FROM ft""",
     "ba_duck_curve_hourly", extra=_FC[:2]))
 def q_rolling_mean_24(spark, sf_dir):
-    w = series_window(FC.SERIES_KEYS)
-    ls = FC.long_series(curve(spark, sf_dir))
-    return curve_text(ls.select("respondent", "series", "period_utc",
-                                 FC.rolling_mean_24(w).alias("roll_24")))
+    levels = FC.level_features(FC.long_series(curve(spark, sf_dir)))
+    return curve_text(levels.select("respondent", "series", "period_utc", "roll_24"))
 
 
 @register("persistence", O.with_views(f"""
