@@ -1,12 +1,13 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 The components of a vector are dealt into blocks, and each block is a list of local
-scores whose sum is the whole score.  Phase 1 takes every block's k best candidates of
-a query and scores them in full; the k-th best of those is a safe cutoff.  Phase 2
-sends the cutoff with the queries: a candidate that can reach it must have a local
-score of at least cutoff / blocks somewhere, and all such candidates are taken.  Phase
-3 adds up the remaining local scores of just these and keeps those at the cutoff or
-above.  Scores are whole numbers, so the result is exact.
+scores whose sum is the whole score.  Phase 1 gathers, over one tile of the candidates,
+every block's k best of a query and scores these in full; the k-th best of any candidates
+is a safe cutoff, whichever they are.  Phase 2 hands the cutoff to all tiles: a candidate
+that can reach it must have a local score of at least cutoff / blocks somewhere, and only
+such entries are taken.  Phase 3 adds up the remaining local scores of just these, and
+those at the cutoff or above are ranked.  Scores are whole numbers, so the result is exact;
+the tile of phase 1 decides only how many entries the later phases look at.
 
 Queries and candidates meet in tiles of bounded size; the query set is the stated
 one and no pair is ever written out but a tile's own best.
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from gridlens.llm.common import staged
 
 SCALE, BLOCKS = 1024, 4
-TILE_QUERIES, TILE_ROWS = 1024, 8192
+#: Sizes of a tile, and how many of its queries are scored at once (blocks x 512 x 8,192 local scores of 8 bytes: 134 MB).
+TILE_QUERIES, TILE_ROWS, QUERIES_AT_ONCE = 8192, 8192, 512
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -59,6 +61,25 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _listed(mine: list[np.ndarray], others: np.ndarray, k: int) -> np.ndarray:
+    """Phase 1: the candidates among the k best of a block (any of equal ones: each candidate gives a safe cutoff)."""
+    at = np.flatnonzero(others)
+    if len(at) <= k:
+        return at
+    return np.unique(np.concatenate([at[np.argpartition(block[at], len(at) - k)[-k:]] for block in mine]))
+
+
+def _sufficient(mine: list[np.ndarray], others: np.ndarray, cutoff: int | None) -> np.ndarray:
+    """Phase 2: the candidates with a block at its share of the cutoff; all of them without one."""
+    if cutoff is None:
+        return np.flatnonzero(others)
+    share = -(-cutoff // len(mine))
+    enough = mine[0] >= share
+    for block in mine[1:]:
+        enough |= block >= share
+    return np.flatnonzero(enough & others)
+
+
 def _tile(k: int, blocks: int, phase: int):
     def run(key, queries: pa.Table, rows: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
@@ -71,24 +92,19 @@ def _tile(k: int, blocks: int, phase: int):
                     continue
                 v_at, v = rest[size]
                 ids = v_ids[v_at]
-                local = _local_scores(q, v, blocks)
-                for i, at in enumerate(q_at):
-                    mine = [block[i] for block in local]
-                    others = ids != q_ids[at]
-                    if phase == 1:
-                        some = [others.nonzero()[0][_best(ids[others], block[others], k)] for block in mine]
-                        take = np.unique(np.concatenate(some))
-                    else:
-                        floor = -(-cutoff[at] // len(mine)) if cutoff[at] is not None else None
-                        take = np.flatnonzero(others if floor is None else others & np.logical_or.reduce(
-                            [block >= floor for block in mine]))
-                    total = sum(block[take] for block in mine)
-                    if phase == 2 and cutoff[at] is not None:
-                        take, total = take[total >= cutoff[at]], total[total >= cutoff[at]]
-                    best = _best(ids[take], total, k)
-                    out_q += [int(q_ids[at])] * len(best)
-                    out_v += ids[take][best].tolist()
-                    out_s += [int(x) for x in total[best]]
+                for start in range(0, len(q_at), QUERIES_AT_ONCE):
+                    local = _local_scores(q[start:start + QUERIES_AT_ONCE], v, blocks)
+                    for i, at in enumerate(q_at[start:start + QUERIES_AT_ONCE]):
+                        mine, others, least = [block[i] for block in local], ids != q_ids[at], cutoff[at]
+                        take = _listed(mine, others, k) if phase == 1 else _sufficient(mine, others, least)
+                        # phase 3: what the taken entries have in the other blocks
+                        total = sum(block[take] for block in mine)
+                        if least is not None:
+                            take, total = take[total >= least], total[total >= least]
+                        best = _best(ids[take], total, k)
+                        out_q += [int(q_ids[at])] * len(best)
+                        out_v += ids[take][best].tolist()
+                        out_s += [int(x) for x in total[best]]
         return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()),
                          "score": pa.array(out_s, pa.int64())})
     return run
@@ -108,12 +124,13 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, *, blocks:
     n_rows, n_queries = vectors.count(), queries.count()
     tall, wide = max(1, -(-n_queries // TILE_QUERIES)), max(1, -(-n_rows // TILE_ROWS))
     rows = staged(vectors.withColumn("column", F.expr(f"cast(pmod(xxhash64(monotonically_increasing_id()), {wide}) as int)")), "vectors")
-    rows = rows.withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(tall - 1))))
     asked = queries.select(F.col("vec_id").alias("query_id"), "v", F.expr(f"cast(pmod(xxhash64(vec_id, v), {tall}) as int)").alias("line"))
 
     def meet(with_cutoff: DataFrame, phase: int) -> DataFrame:
-        dealt = with_cutoff.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(wide - 1))))
-        return dealt.groupBy("line", "column").cogroup(rows.groupBy("line", "column")).applyInArrow(
+        columns = 1 if phase == 1 else wide
+        dealt = with_cutoff.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+        copied = rows.where(F.col("column") < columns).withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(tall - 1))))
+        return dealt.groupBy("line", "column").cogroup(copied.groupBy("line", "column")).applyInArrow(
             _tile(k, blocks, phase), "query_id long, vec_id long, score long")
 
     def ranked(found: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +26,26 @@ def test_small_tiles_equal_brute_force(spark, monkeypatch):
     assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
 
 
+def test_cutoffs_are_safe_and_leave_most_entries_out():
+    rng = np.random.default_rng(11)
+    v = rng.integers(-500, 500, size=(3000, 64))
+    v[:40] = v[0] + rng.integers(-60, 60, size=(40, 64))
+    ids, queries, looked = np.arange(3000), range(0, 40, 8), 0
+    for q in queries:
+        mine = [block[0] for block in topk._local_scores(v[q:q + 1], v, topk.BLOCKS)]
+        whole = v @ v[q]
+        assert (sum(mine) == whole).all()
+        some = (ids < 800) & (ids != q)  # the tile of phase 1
+        first = topk._listed(mine, some, 10)
+        cutoff = int(np.sort(whole[first])[-10])
+        taken = topk._sufficient(mine, ids != q, cutoff)
+        best = topk._best(ids[ids != q], whole[ids != q], 10)
+        assert set(ids[ids != q][best]) <= set(taken)
+        looked += len(taken)
+        assert len(topk._sufficient(mine, ids != q, None)) == 2999
+    assert looked < 0.05 * 3000 * len(queries)
+
+
 def test_unsound_vectors_take_no_part_and_few_candidates_are_all_given(spark):
     rows = [(0, [0.5, -0.0001]), (1, [1.0, 2.0]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]),
             (5, [float("inf"), 1.0]), (None, [1.0, 1.0]), (6, [1.0]), (1, [1.0, 2.0]), (7, [])]
