@@ -1,9 +1,10 @@
 """URL filtering by pattern rules that are indexed by their rarest literal token.
 
-Every rule names the literal tokens (runs of letters and digits) that its regular
-expression cannot match without.  Token counts over all URLs pick each rule's rarest
-one; the tokens of a URL fetch the rules filed under them, and only those rules'
-expressions run.  Built-in functions throughout.
+The literal tokens (runs of letters and digits) that a rule's regular expression cannot match
+without are read off the expression itself, which is made of plain text and a few joints that
+no token reaches across.  Token counts over all URLs pick each rule's rarest one; the tokens
+of a URL fetch the rules filed under them, and only those rules' expressions run.  Built-in
+functions throughout.
 """
 
 from __future__ import annotations
@@ -20,31 +21,53 @@ UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_TOKEN = "[^a-z0-9]+"
 
 
+#: What an expression may hold besides plain text: any case, subdomains, and what parts words.
+ANY_CASE, SUBDOMAINS, BEFORE, BETWEEN, AFTER = "(?i)", r"^([^/]*\.)?", "(^|[^a-z0-9])", "[^a-z0-9]+", "([^a-z0-9]|$)"
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is searched in host + path; ``exact`` rules override the others, the longest name first."""
+    """``pattern`` is searched in host + path; ``exact`` rules override the others, the longest name first.
+
+    A pattern of anything but plain text (escaped) and joints, without a token, or whose first or last token
+    could go on in a URL would be missed by the index: ValueError.
+    """
 
     name: str
     verdict: str
     pattern: str
     exact: bool
 
+    def __post_init__(self) -> None:
+        if self.verdict not in ("allow", "block"):
+            raise ValueError(f"rule {self.name!r}: the verdict is allow or block")
+        if not self.literals:
+            raise ValueError(f"rule {self.name!r} has no literal token to be found by")
+
     @property
     def literals(self) -> list[str]:
-        return [t for t in re.split(NOT_TOKEN, self.name.lower()) if t]
+        """The tokens that every URL holds which the pattern fits."""
+        text = self.pattern
+        for joint in (ANY_CASE, SUBDOMAINS, BEFORE, BETWEEN, AFTER):
+            text = text.replace(joint, " ")
+        if re.search(r"\\[A-Za-z0-9]|[][(){}*+?|^$.]", re.sub(r"\\[^A-Za-z0-9]", "", text)):
+            raise ValueError(f"rule {self.name!r}: only plain text and the joints can be indexed")
+        text = re.sub(r"\\(.)", r"\1", text).lower()
+        if re.search(r"^[a-z0-9]|[a-z0-9]$", text):
+            raise ValueError(f"rule {self.name!r}: its first and last token must be whole")
+        return [t for t in re.split(NOT_TOKEN, text) if t]
 
 
 def host_rule(verdict: str, host: str, path: str) -> Rule:
     """A rule for a host, its subdomains and the paths that start with ``path`` (given with its closing slash)."""
     if not path.endswith("/"):
         raise ValueError("a rule's path ends with a slash, so that its last token is whole")
-    return Rule(f"{host}{path}", verdict, r"^([^/]*\.)?" + re.escape(host + path).replace("\\/", "/"), True)
+    return Rule(f"{host}{path}", verdict, SUBDOMAINS + re.escape(host + path), True)
 
 
 def word_rule(words: str) -> Rule:
     """A block rule for words that stand in a row anywhere in host or path, joined by anything but letters and digits."""
-    middle = "[^a-z0-9]+".join(words.split())
-    return Rule(words, "block", f"(?i)(^|[^a-z0-9]){middle}([^a-z0-9]|$)", False)
+    return Rule(words, "block", ANY_CASE + BEFORE + BETWEEN.join(re.escape(w) for w in words.split()) + AFTER, False)
 
 
 HOST_RULES = [host_rule("block", "net", "/"), host_rule("allow", "example.net", "/en/"),

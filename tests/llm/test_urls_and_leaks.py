@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import pytest
 
 from gridlens.llm import urlfilter
 from gridlens.llm.decontamination import contaminated
@@ -31,6 +32,24 @@ def test_rules_agree_with_sql_and_with_known_verdicts(spark):
     assert filter_urls(pages.where("false"), HOST_RULES).count() == 0
 
 
+def test_rules_that_the_index_would_miss_are_refused(spark):
+    for name, pattern in (("--", r"\-\-"), ("poker", "poker"), ("poker", "(^|[^a-z0-9])poker"), ("a or b", "(^|[^a-z0-9])(a|b)([^a-z0-9]|$)"),
+                          ("digits", r"(^|[^a-z0-9])x\d([^a-z0-9]|$)"), ("any", "(^|[^a-z0-9])a.b([^a-z0-9]|$)"),
+                          ("maybe", "(^|[^a-z0-9])ab?([^a-z0-9]|$)"), ("", "")):
+        with pytest.raises(ValueError):
+            urlfilter.Rule(name, "block", pattern, False)
+    with pytest.raises(ValueError):
+        urlfilter.word_rule("-")
+    with pytest.raises(ValueError):
+        urlfilter.Rule("net/", "maybe", r"^([^/]*\.)?net\/", True)
+    # a name that differs from its pattern loses nothing: tokens come from the pattern
+    rule = urlfilter.Rule("games of chance", "block", "(?i)(^|[^a-z0-9])casino[^a-z0-9]+royale([^a-z0-9]|$)", False)
+    assert rule.literals == ["casino", "royale"]
+    pages = spark.createDataFrame([(1, "http://a.com/Casino-Royale/"), (2, "http://a.com/casinoroyale")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in filter_urls(pages, [rule]).collect()}
+    assert got == {1: "block", 2: "allow"}
+
+
 def test_leaks_are_found_and_clean_documents_are_not(spark, odd_docs, no_docs):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
