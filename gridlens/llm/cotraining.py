@@ -2,10 +2,10 @@
 
 The text view is the frequency of hashed byte trigrams; the metadata view is what is
 known of a document without its wording: source, language label, length and layout
-counts.  Each view has a logistic model of its own.  In every round the rows of an
-unlabelled pool of which one model is sure become training rows of the other.  The two are
-then calibrated together on labelled rows that neither was trained on, and one pass
-scores all documents.
+counts.  Each view has a logistic model of its own.  In every round both judge all unlabelled
+documents in one scan, and of those that one model is sure about, up to a fixed number for
+each label becomes training rows of the other.  The two are then calibrated together on labelled
+rows that neither was trained on, and one pass scores all documents.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from gridlens.llm import kernels as K
 from gridlens.llm.common import held_out, staged
 
 TEXT_INPUTS, NAME_INPUTS = 512, 32
-LABELLED_ROWS, POOL_ROWS, ROUNDS, SURE = 8_000, 8_000, 3, 0.95
+#: LENT_ROWS: how many rows a view lends the other in a round, at most, for each label.
+LABELLED_ROWS, LENT_ROWS, ROUNDS, SURE = 8_000, 2_000, 3, 0.95
+_WIDE = 1 << 40
 
 
 def _classes() -> np.ndarray:
@@ -109,32 +111,69 @@ def _margin(model, view: str):
     return F.greatest(F.lit(-20.0), F.least(F.lit(20.0), raw))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS,
+def _judge(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop, text, meta in _views(batch):
+                of_text, of_meta, _ = shared.value.scores(text, meta)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), pa.array(of_text), pa.array(of_meta)],
+                                                 names=["doc_id", "of_text", "of_meta"])
+    return run
+
+
+def _lent(free: DataFrame, weights: dict, lent_rows: int, turn: int) -> DataFrame:
+    """The rows that the views lend each other: doc_id, for_text and for_meta (labels, null: not lent).
+
+    All of ``free`` is judged; of the documents of which a view is sure, about ``lent_rows`` for each label, by a hash of the id.
+    """
+    model = QualityModel(weights["text"], weights["meta"], (np.zeros(2), 0.0))
+    shared = free.sparkSession.sparkContext.broadcast(model)
+    kind = free.schema["doc_id"].dataType.simpleString()
+    sure = {view: F.when(F.col(f"of_{view}") >= SURE, 1).when(F.col(f"of_{view}") <= 1 - SURE, 0) for view in ("text", "meta")}
+    judged = free.mapInArrow(_judge(shared), f"doc_id {kind}, of_text double, of_meta double").select(
+        "doc_id", sure["meta"].alias("for_text"), sure["text"].alias("for_meta")).where("for_text is not null or for_meta is not null")
+    judged = staged(judged.groupBy("doc_id").agg(F.min("for_text").alias("for_text"), F.min("for_meta").alias("for_meta")), "judged")
+    kinds = [(name, label) for name in ("for_text", "for_meta") for label in (0, 1)]
+    counts = judged.agg(*(F.count(F.when(F.col(name) == label, 1)) for name, label in kinds)).first()
+    place = F.expr(f"pmod(xxhash64(doc_id, {100 + turn}), {_WIDE}L)")
+
+    def chosen(name: str):
+        out = F.lit(None).cast("int")
+        for (own, label), n in zip(kinds, counts, strict=True):
+            if own == name:
+                share = _WIDE if n <= lent_rows else _WIDE * lent_rows // n
+                out = F.when((F.col(name) == label) & (place < share), label).otherwise(out)
+        return out.alias(name)
+
+    return judged.select("doc_id", chosen("for_text"), chosen("for_meta")).where("for_text is not null or for_meta is not null")
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS, lent_rows: int = LENT_ROWS,
                 rounds: int = ROUNDS) -> QualityModel:
-    """Co-train on about ``labelled_rows`` labelled and ``pool_rows`` other rows, none held out.
+    """Co-train on about ``labelled_rows`` labelled rows and what the views lend each other of all others, none held out.
 
-    ``docs`` has doc_id, text, source and lang, ``labels`` doc_id and label (0/1).
+    ``docs`` has doc_id, text, source and lang, ``labels`` doc_id and label (0/1).  Rows without a doc_id
+    are scored later but not learned from; of several rows with one doc_id that are lent, one is.
     With one label only, or none, every score is that label's share (0.5 without any).
     """
     known = labels.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("label").cast("double").alias("label"))
-    free = docs.select("doc_id").where(F.col("doc_id").isNotNull()).join(known, "doc_id", "left_anti").distinct().withColumn(
-        "label", F.lit(None).cast("double"))
-
-    def some(rows: DataFrame, limit: int, salt: int) -> DataFrame:
-        rows = rows.where(~held_out(F.col("doc_id")))
-        total = rows.count()
-        share = 1_000_000 if total <= limit else int(1_000_000 * limit / total)
-        return rows.where(F.expr(f"pmod(xxhash64(doc_id, {salt}), 1000000) < {share}"))
-
-    # two bounded samples of ids and labels, so this side is always small
-    sample = staged(some(known, labelled_rows, 17).unionByName(some(free, pool_rows, 19)), "sample").withColumn(
-        "part", F.expr("pmod(xxhash64(doc_id, 23), 5)"))
-    rows = staged(docs.select("doc_id", F.col("text").cast("string").alias("text"), "source", "lang").join(
-        F.broadcast(sample), "doc_id").select("label", "part", "text", "source", "lang").mapInArrow(
-            _sample_views, "label double, part long, text_view array<double>, meta_view array<double>"), "views")
-    rows = rows.select("label", "part", array_to_vector("text_view").alias("text"), array_to_vector("meta_view").alias("meta"))
-    labelled, pool = rows.where("label is not null"), rows.where("label is null").select("text", "meta")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"),
+                        F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    free = texts.join(known, "doc_id", "left_anti")
+    eligible = known.where(~held_out(F.col("doc_id")))
+    total = eligible.count()
+    if total > labelled_rows:
+        eligible = eligible.where(F.expr(f"pmod(xxhash64(doc_id, 17), {_WIDE}L) < {_WIDE * labelled_rows // total}L"))
+
+    def views(rows: DataFrame, name: str) -> DataFrame:
+        seen = rows.select("label", "part", "text", "source", "lang").mapInArrow(
+            _sample_views, "label double, part long, text_view array<double>, meta_view array<double>")
+        return staged(seen, name).select("label", "part", array_to_vector("text_view").alias("text"), array_to_vector("meta_view").alias("meta"))
+
+    # at most about labelled_rows ids and labels, so this side is always small
+    sample = staged(eligible, "sample").withColumn("part", F.expr("pmod(xxhash64(doc_id, 23), 5)"))
+    labelled = views(texts.join(F.broadcast(sample), "doc_id"), "views")
     n, ones, fit_n, fit_ones = labelled.agg(
         F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0)), F.count(F.when(F.col("part") > 0, 1)),
         F.coalesce(F.sum(F.when(F.col("part") > 0, F.col("label"))), F.lit(0.0))).first()
@@ -151,13 +190,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABE
     base = labelled.where("part > 0").select("label", F.lit(1.0).alias("weight"), "text", "meta")
     train = {"text": base, "meta": base}
     models = {view: fit(train[view], view) for view in train}
-    for _ in range(rounds):
-        judged = models["meta"].transform(models["text"].transform(pool))
-        sure = {view: vector_to_array(f"prob_{view}")[1] for view in models}
-        for view, other in (("text", "meta"), ("meta", "text")):
-            lent = judged.where((sure[other] >= SURE) | (sure[other] <= 1 - SURE)).select(
-                F.round(sure[other]).alias("label"), F.lit(0.5).alias("weight"), "text", "meta")
-            train[view] = base.unionByName(lent)
+    for turn in range(rounds):
+        now = {view: (m.coefficients.toArray(), m.intercept) for view, m in models.items()}
+        # at most about 4 x lent_rows ids
+        lent = _lent(free, now, lent_rows, turn)
+        both = F.coalesce("for_text", F.lit(2)) + 3 * F.coalesce("for_meta", F.lit(2))  # 2: not lent to this view
+        rows = texts.join(F.broadcast(lent.select("doc_id", F.lit(0.0).alias("label"), both.cast("long").alias("part"))), "doc_id")
+        given = views(rows.dropDuplicates(["doc_id"]), "lent")
+        own = {"text": F.col("part") % 3, "meta": F.floor(F.col("part") / 3)}
+        for view in models:
+            train[view] = base.unionByName(given.where(own[view] < 2).select(
+                own[view].cast("double").alias("label"), F.lit(0.5).alias("weight"), "text", "meta"))
         models = {view: fit(train[view], view) for view in train}
     check = models["meta"].transform(models["text"].transform(labelled.where("part = 0"))).select(
         "label", F.lit(1.0).alias("weight"), array_to_vector(F.array(_margin(models["text"], "text"), _margin(models["meta"], "meta"))).alias("joint"))

@@ -1,3 +1,6 @@
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +111,22 @@ def test_quality_of_held_out_and_odd_rows(docs, labels, odd_docs, no_docs):
     assert cotraining.score_quality(no_docs, model, carry=["doc_id"]).count() == 0
     untaught = cotraining.fit_quality(odd_docs, labels.select("doc_id", F.lit(None).cast("int").alias("label")))
     assert {r.score for r in cotraining.score_quality(odd_docs, untaught, carry=["doc_id"]).collect()} == {0.5}
+
+
+def test_views_lend_what_they_are_sure_of_among_all_rows(docs):
+    rng = np.random.default_rng(3)
+    weights = {"text": (rng.normal(0, 30, cotraining.TEXT_INPUTS), 0.5), "meta": (rng.normal(0, 3, 2 * cotraining.NAME_INPUTS + 10), -0.5)}
+    model = cotraining.QualityModel(weights["text"], weights["meta"], (np.zeros(2), 0.0))
+    scored = cotraining.score_quality(docs, model, carry=["doc_id"]).collect()
+    sure = lambda p: 1 if p >= cotraining.SURE else 0 if p <= 1 - cotraining.SURE else None
+    want = {r.doc_id: (sure(r.meta_score), sure(r.text_score)) for r in scored}
+    want = {i: labels for i, labels in want.items() if labels != (None, None)}
+    kinds = Counter((at, label) for labels in want.values() for at, label in enumerate(labels))
+    assert sum(n > 10 for (_, label), n in kinds.items() if label is not None) >= 2  # there is something to lend
+    free = docs.select("doc_id", "text", "source", "lang")
+    all_rows = {r.doc_id: (r.for_text, r.for_meta) for r in cotraining._lent(free, weights, 1_000_000, 0).collect()}
+    assert all_rows == want
+    few = {r.doc_id: (r.for_text, r.for_meta) for r in cotraining._lent(free, weights, 5, 0).collect()}
+    assert 0 < len(few) < len(want) and all(x in (None, y) for i, own in few.items() for x, y in zip(own, want[i], strict=True))
+    lent = Counter((at, label) for labels in few.values() for at, label in enumerate(labels) if label is not None)
+    assert all(n <= 20 for n in lent.values())
