@@ -121,18 +121,20 @@ def _judge(shared):
     return run
 
 
-def _lent(free: DataFrame, weights: dict, lent_rows: int, turn: int) -> DataFrame:
+def _lent(texts: DataFrame, known: DataFrame, weights: dict, lent_rows: int, turn: int) -> DataFrame:
     """The rows that the views lend each other: doc_id, for_text and for_meta (labels, null: not lent).
 
-    All of ``free`` is judged; of the documents of which a view is sure, about ``lent_rows`` for each label, by a hash of the id.
+    All of ``texts`` is judged; of the documents that are not ``known`` of which a view is sure, about ``lent_rows`` for
+    each label, by a hash of the id.  Only ids and labels are joined, never texts.
     """
     model = QualityModel(weights["text"], weights["meta"], (np.zeros(2), 0.0))
-    shared = free.sparkSession.sparkContext.broadcast(model)
-    kind = free.schema["doc_id"].dataType.simpleString()
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    kind = texts.schema["doc_id"].dataType.simpleString()
     sure = {view: F.when(F.col(f"of_{view}") >= SURE, 1).when(F.col(f"of_{view}") <= 1 - SURE, 0) for view in ("text", "meta")}
-    judged = free.mapInArrow(_judge(shared), f"doc_id {kind}, of_text double, of_meta double").select(
+    judged = texts.mapInArrow(_judge(shared), f"doc_id {kind}, of_text double, of_meta double").select(
         "doc_id", sure["meta"].alias("for_text"), sure["text"].alias("for_meta")).where("for_text is not null or for_meta is not null")
-    judged = staged(judged.groupBy("doc_id").agg(F.min("for_text").alias("for_text"), F.min("for_meta").alias("for_meta")), "judged")
+    judged = staged(judged.groupBy("doc_id").agg(F.min("for_text").alias("for_text"), F.min("for_meta").alias("for_meta")).join(
+        known.select("doc_id"), "doc_id", "left_anti"), "judged")
     kinds = [(name, label) for name in ("for_text", "for_meta") for label in (0, 1)]
     counts = judged.agg(*(F.count(F.when(F.col(name) == label, 1)) for name, label in kinds)).first()
     place = F.expr(f"pmod(xxhash64(doc_id, {100 + turn}), {_WIDE}L)")
@@ -160,7 +162,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABE
         F.min("label").cast("double").alias("label"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"),
                         F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    free = texts.join(known, "doc_id", "left_anti")
     eligible = known.where(~held_out(F.col("doc_id")))
     total = eligible.count()
     if total > labelled_rows:
@@ -193,7 +194,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABE
     for turn in range(rounds):
         now = {view: (m.coefficients.toArray(), m.intercept) for view, m in models.items()}
         # at most about 4 x lent_rows ids
-        lent = _lent(free, now, lent_rows, turn)
+        lent = _lent(texts, known, now, lent_rows, turn)
         both = F.coalesce("for_text", F.lit(2)) + 3 * F.coalesce("for_meta", F.lit(2))  # 2: not lent to this view
         rows = texts.join(F.broadcast(lent.select("doc_id", F.lit(0.0).alias("label"), both.cast("long").alias("part"))), "doc_id")
         given = views(rows.dropDuplicates(["doc_id"]), "lent")

@@ -124,9 +124,9 @@ def test_views_lend_what_they_are_sure_of_among_all_rows(docs):
     kinds = Counter((at, label) for labels in want.values() for at, label in enumerate(labels))
     assert sum(n > 10 for (_, label), n in kinds.items() if label is not None) >= 2  # there is something to lend
     free = docs.select("doc_id", "text", "source", "lang")
-    all_rows = {r.doc_id: (r.for_text, r.for_meta) for r in cotraining._lent(free, weights, 1_000_000, 0).collect()}
+    all_rows = {r.doc_id: (r.for_text, r.for_meta) for r in cotraining._lent(free, free.where('false'), weights, 1_000_000, 0).collect()}
     assert all_rows == want
-    few = {r.doc_id: (r.for_text, r.for_meta) for r in cotraining._lent(free, weights, 5, 0).collect()}
+    few = {r.doc_id: (r.for_text, r.for_meta) for r in cotraining._lent(free, free.where('false'), weights, 5, 0).collect()}
     assert 0 < len(few) < len(want) and all(x in (None, y) for i, own in few.items() for x, y in zip(own, want[i], strict=True))
     lent = Counter((at, label) for labels in few.values() for at, label in enumerate(labels) if label is not None)
     assert all(n <= 20 for n in lent.values())
