@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.llm import kernels as K
-from gridlens.llm.common import staged
+from gridlens.llm.common import remove_folders, staged, staged_folders
 from gridlens.llm.deepshallow import sort_groups
 
 SEED_BYTES = 64
@@ -89,24 +89,44 @@ def _scan(length: int, seed: int):
     return run
 
 
-def _surroundings(length: int, seed: int):
+def _around(text: bytes, spots: np.ndarray, length: int, seed: int) -> tuple[list[bytes], list[bytes]]:
+    """What stands left and right of each anchor."""
+    return [text[max(0, p - length + seed):p] for p in spots], [text[p:p + length] for p in spots]
+
+
+def _looks(length: int, seed: int):
+    """A hash of each anchor's surroundings, and how long they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             marks = batch.column("marks")
             for i in range(batch.num_rows):
-                text = unpack.decompress(batch.column("blob")[i].as_py())
                 own = marks[i].values
                 spots = own.field("spot").to_numpy()
-                left = [text[max(0, p - length + seed):p] for p in spots]
-                right = [text[p:p + length] for p in spots]
+                left, right = _around(unpack.decompress(batch.column("blob")[i].as_py()), spots, length, seed)
                 look = [xxhash.xxh3_64_intdigest(b, seed=len(a)) ^ xxhash.xxh3_64_intdigest(a, seed=7)
                         for a, b in zip(left, right, strict=True)]
                 uid = pa.array(np.full(len(spots), batch.column("uid")[i].as_py()), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [own.field("hash"), pa.array(np.array(look, dtype=np.uint64).view(np.int64)), uid,
-                     own.field("spot"), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                    names=["hash", "look", "uid", "spot", "left", "right"])
+                    [own.field("hash"), pa.array(np.array(look, dtype=np.uint64).view(np.int64)), uid, own.field("spot"),
+                     *(pa.array([len(x) for x in side], pa.int32()) for side in (left, right))],
+                    names=["hash", "look", "uid", "spot", "n_left", "n_right"])
+    return run
+
+
+def _texts(length: int, seed: int):
+    """The surroundings themselves, for one anchor of each kind."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            heads = batch.column("heads")
+            for i in range(batch.num_rows):
+                own = heads[i].values
+                left, right = _around(unpack.decompress(batch.column("blob")[i].as_py()), own.field("spot").to_numpy(), length, seed)
+                low, high = (pa.array(np.full(len(left), x), pa.int64()) for x in (0, length - seed))
+                yield pa.RecordBatch.from_arrays(
+                    [own.field("hash"), low, high, *(own.field(x) for x in ("hash", "look", "n")),
+                     pa.array(left, pa.binary()), pa.array(right, pa.binary()), own.field("size")], names=[*_NODE_COLUMNS, "size"])
     return run
 
 
@@ -193,23 +213,25 @@ _NODE = "key long, low long, high long, hash long, look long, n long, left binar
 _NODE_COLUMNS = ["key", "low", "high", "hash", "look", "n", "left", "right"]
 
 
-def _whole(nodes: DataFrame, length: int) -> DataFrame:
-    """The reach of rows whose every string in the range repeats."""
-    return nodes.select("hash", "look", (-F.least(F.octet_length("left"), F.col("high"))).cast("long").alias("start"),
-                        F.least(F.octet_length("right"), length - F.col("low")).cast("long").alias("stop")).where(
-                            F.col("stop") - F.col("start") >= length)
+def _whole(rows: DataFrame, length: int) -> DataFrame:
+    """The reach of rows (with the lengths of both sides) whose every string in the range repeats."""
+    return rows.select("hash", "look", (-F.least("n_left", "high")).cast("long").alias("start"),
+                       F.least("n_right", length - F.col("low")).cast("long").alias("stop")).where(
+                           F.col("stop") - F.col("start") >= length)
+
+
+def _sided(nodes: DataFrame) -> DataFrame:
+    return nodes.select("hash", "look", "low", "high", F.octet_length("left").alias("n_left"), F.octet_length("right").alias("n_right"))
 
 
-def _reaches(nodes: DataFrame, length: int) -> DataFrame:
+def _reaches(heads: DataFrame, live: DataFrame, length: int, seed: int) -> DataFrame:
     """(hash, look, start, stop): the stretch around an anchor that repeats, for all surroundings.
 
-    All strings of a row contain its anchor, so the repeated ones make one stretch.
+    All strings of a row contain its anchor, so the repeated ones make one stretch.  ``heads`` lists all
+    surroundings, ``live`` holds the texts of those that share their window with others.
     """
-    found = []
+    found = [_whole(heads.where("n > 1").select("*", F.lit(0).alias("low"), F.lit(length - seed).alias("high")), length)]
     while True:
-        sized = nodes.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("copies"))
-        live = staged(nodes.join(sized.where("copies > 1"), "key"), "groups")
-        found.append(_whole(live.where("n > 1"), length))
         small, large = f"size > 1 and size <= {GROUP_ROWS}", f"size > {GROUP_ROWS}"
         n_small, n_large = live.agg(F.count_if(F.expr(small)), F.count_if(F.expr(large))).first()
         if n_small:
@@ -222,9 +244,12 @@ def _reaches(nodes: DataFrame, length: int) -> DataFrame:
             _halves(length), f"{_NODE}, span long"), "halves")
         spans = halves.groupBy("key", "span").agg(F.sum("n").alias("copies"), F.min(F.struct("hash", "look")).alias("head"))
         met = halves.join(spans, ["key", "span"])
-        found.append(staged(_whole(met.where("copies > 1"), length), "whole"))
+        found.append(staged(_whole(_sided(met.where("copies > 1")), length), "whole"))
         nodes = met.where(F.col("head") == F.struct("hash", "look")).select(
             *(F.col("copies").alias("n") if c == "n" else c for c in _NODE_COLUMNS))
+        sized = nodes.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("copies"))
+        live = staged(nodes.join(sized.where("copies > 1"), "key"), "groups")
+        found.append(_whole(_sided(live.where("n > 1")), length))
     reach = found[0]
     for part in found[1:]:
         reach = reach.union(part)
@@ -274,16 +299,24 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, text: str = "text") ->
         "uid", F.col("x.hashes").alias("hash"), F.col("x.spots").alias("spot"))
     twice = spots.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     marks = spots.join(twice, "hash").groupBy("uid").agg(F.collect_list(F.struct("hash", "spot")).alias("marks"))
+    # numbers are grouped first, so that the texts of surroundings are read again once and not shuffled with them
     around = staged(scan.select("uid", "blob").join(marks, "uid").mapInArrow(
-        _surroundings(length, seed), "hash long, look long, uid long, spot int, left binary, right binary"), "around")
-    nodes = around.groupBy("hash", "look").agg(F.count("*").alias("n"), F.any_value("left").alias("left"),
-                                               F.any_value("right").alias("right")).select(
-        F.col("hash").alias("key"), F.lit(0).cast("long").alias("low"), F.lit(length - seed).cast("long").alias("high"),
-        "hash", "look", "n", "left", "right")
-    reach = _reaches(nodes, length)
-    found = around.select("hash", "look", "uid", "spot").join(reach, ["hash", "look"]).groupBy("uid").agg(
+        _looks(length, seed), "hash long, look long, uid long, spot int, n_left int, n_right int"), "around")
+    kinds = around.groupBy("hash", "look").agg(
+        F.count("*").alias("n"), F.min_by("spot", "uid").alias("spot"), F.min("uid").alias("uid"),
+        F.min("n_left").alias("n_left"), F.min("n_right").alias("n_right"))
+    sizes = kinds.groupBy("hash").agg(F.count("*").alias("size"), F.sum("n").alias("copies"))
+    behind = len(staged_folders())
+    heads = staged(kinds.join(sizes.where("copies > 1").drop("copies"), "hash"), "heads")
+    wanted = heads.where("size > 1").groupBy("uid").agg(F.collect_list(F.struct("hash", "look", "spot", "n", "size")).alias("heads"))
+    live = staged(scan.select("uid", "blob").join(wanted, "uid").mapInArrow(_texts(length, seed), f"{_NODE}, size long"), "groups")
+    reach = _reaches(heads, live, length, seed)
+    done = staged_folders()
+    reach = staged(reach, "reach")
+    remove_folders(docs.sparkSession, done[behind:])  # all read by now
+    found = staged(around.select("hash", "look", "uid", "spot").join(reach, ["hash", "look"]).groupBy("uid").agg(
         F.collect_list(F.struct((F.col("spot") + F.col("start")).alias("start"),
-                                (F.col("spot") + F.col("stop")).alias("stop"))).alias("found"))
+                                (F.col("spot") + F.col("stop")).alias("stop"))).alias("found")), "found")
     return scan.select("uid", "row", "n_bytes", "blob").join(found, "uid", "left").select(
         "row", "n_bytes", "blob", "found").mapInArrow(
             _cut(), f"row {kind}, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -81,3 +82,26 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert remove_repeats(no_docs).count() == 0
     runs = spark.createDataFrame([(1, "a" * 500), (2, "ab" * 300), (3, "b" * 199), (4, "b" * 199 + "c")], "doc_id long, text string")
     same(runs, 200)
+
+
+def test_texts_of_surroundings_are_staged_once_and_removed(spark, sample_docs, monkeypatch):
+    """Only kinds of surroundings that share a window with others have their texts written, and not beside the result."""
+    seen = {}
+
+    def recorded(df, name):
+        out = plain(df, name)
+        seen.setdefault(name, (out.columns, out.count()))
+        return out
+
+    plain = substrings.staged
+    monkeypatch.setattr(substrings, "staged", recorded)
+    before = set(substrings.staged_folders())
+    noise = random.Random(4)
+    copies = ["".join(noise.choice("abcdefgh") for _ in range(2000))] * 5
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(copies)], "doc_id long, text string")
+    assert all(not r.kept for r in remove_repeats(docs).collect())
+    assert seen["around"][1] > 0 and not {"left", "right"} & set(seen["around"][0])
+    assert seen["groups"][1] == 0  # copies alone need no text
+    names = [p.name for f in set(substrings.staged_folders()) - before for p in Path(f.removeprefix("file:")).iterdir()]
+    assert sorted(names) == ["around", "found", "reach", "scan"]
+    same(sample_docs.select("doc_id", "text"), 200)
