@@ -1,14 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval, then word-order checks.
 
-Items are read as passages of 64 words, documents as passages of 64 and of 24 words, each
-starting every half length, weighted by TF-IDF with document frequencies counted over the whole corpus.  A randomised SVD
-(fitted on the items and, from a bounded sample of documents, the passages that
-consist largely of the benchmark's terms; its products with the passage matrix are summed over Spark tasks) gives the latent axes of the
-benchmark's terms.  Passages are projected only where they hold enough of an item's words for the
-word comparison to accept it (``Screen``, which loses no such pair).  The best latent cosine of those passages
-is reported but excludes nothing, as the axes keep less of each item the more items share them.  The words
-around are compared in order: the longest common subsequence, weighted by IDF, must hold most of
-the item, or enough of it together with its answer, the item's last words.
+Items and passages of documents are weighted by TF-IDF with document frequencies counted over the whole corpus.
+A randomised SVD of the items and of all passages of the corpus that consist largely of the benchmark's terms (its
+products with the passage matrix are summed over Spark tasks) gives the latent axes of the benchmark's terms.
+An item's rarest words file it; around such a word, the latent inner product of the passage and the item, plus
+what their parts beyond the axes can add at most, must reach the least that any stretch accepted by the word comparison
+has (``Retrieval``).  Only what is retrieved goes on: first to the exact share of the item's words around
+(``Screen``; neither loses a pair that would be accepted), then to the comparison in order: the longest common subsequence,
+weighted by IDF, must hold most of the item, or enough of it together with its answer, the item's last words.
+The best latent cosine of the passages around is reported with each pair found.
 """
 
 from __future__ import annotations
@@ -24,12 +24,11 @@ from gridlens.llm import kernels as K
 from gridlens.llm.common import staged
 
 RANK, OVERSAMPLE, POWER_ROUNDS, TERM_BITS = 256, 16, 2, 18
-#: Words of a passage and the least share of its length that the benchmark's terms make; none where items are searched:
-#: the axes keep less of each item the more there are, so a latent cosine ranks pairs but must not exclude any.
+#: Words of the passages whose best cosine is reported, and the least share of their length that the benchmark's terms make.
 SCALES = {64: 0.0, 24: 0.0}
 #: The same for passages that the axes are fitted on, and for items.
 FIT_SCALES, ITEM_SCALES = {64: 0.6}, {64: 0.0}
-ITEMS_AT_ONCE, FIT_ROWS, FIT_TASKS, SCAN_BYTES, SCREEN_WORDS = 8192, 20_000, 8, 1 << 18, 1 << 20
+ITEMS_AT_ONCE, FIT_ROWS, PASSAGES_AT_ONCE, SCAN_BYTES, SCREEN_WORDS, PAIRS_AT_ONCE = 8192, 20_000, 256, 1 << 18, 1 << 20, 1 << 14
 MOST_WORDS, PART_WORDS, ANSWER_SHARE, ANSWER_WORDS = 0.8, 0.55, 0.8, 6
 
 
@@ -111,7 +110,7 @@ class Space:
         """Passages (that hold one of the places ``around``, if given) of which the benchmark's terms make at least the scale's share of the TF-IDF length.
 
         With weights sqrt(tf) * idf^2 a squared length is a sum over words, so two running sums
-        give both lengths of every passage.  Returns (row, start, end, least) and, in
+        give both lengths of every passage.  Returns (row, start, end, length) and, in
         passage order, (passage, term, weight relative to the passage's length).
         """
         row, start, end, least = _passages(first, scales)
@@ -133,32 +132,49 @@ class Space:
         wide = np.int64(len(self.term_idf) + 1)
         pairs, count = np.unique(passage * wide + number[at[place]], return_counts=True)
         passage, term = pairs // wide, pairs % wide
-        return (row, start, end, least), (passage, term, np.sqrt(count) * self.term_idf[term] / length[passage])
+        return (row, start, end, length), (passage, term, np.sqrt(count) * self.term_idf[term] / length[passage])
 
     def project(self, passage, term, weight, n: int) -> np.ndarray:
         """Latent vectors: rows of (passage matrix) x axes."""
         out = np.zeros((n, self.axes.shape[1]), dtype=np.float32)
-        if len(passage):
-            heads = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-            out[passage[heads]] = np.add.reduceat(self.axes[term] * weight[:, None].astype(np.float32), heads, axis=0)
+        weight = weight.astype(np.float32)
+        edges = np.append(np.flatnonzero(np.append(True, passage[1:] != passage[:-1])), len(passage)).tolist() if len(passage) else []
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):  # a small product each is faster than one sum by groups
+            out[passage[lo]] = weight[lo:hi] @ self.axes[term[lo:hi]]
         return out
 
 
-def _product(shared):
-    """A task's share of (passage matrix)' (passage matrix) x axes, one row per term."""
+def _fit_passages(shared):
+    """The passages that the axes are fitted on, as sparse rows of the passage matrix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = shared.value
-        total = np.zeros(space.axes.shape)
         for batch in batches:
             for _, _, data, offsets in K.blocks(K.utf8_column(batch.column("text")), SCAN_BYTES):
                 _, _, hashes, first = K.words(data, offsets, K.MARKS)
                 (row, *_), (passage, term, weight) = space.known_passages(hashes, first, FIT_SCALES)
-                rows = space.project(passage, term, weight, len(row))
+                edges = pa.array(np.searchsorted(passage, np.arange(len(row) + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(edges, x) for x in (pa.array(term, pa.int32()), pa.array(weight, pa.float32()))],
+                    names=["terms", "weights"])
+    return run
+
+
+def _product(shared):
+    """A task's share of (passage matrix)' (passage matrix) x axes, one row per term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space = shared.value
+        total = np.zeros(space.axes.shape)
+        for batch in batches:
+            for at in range(0, batch.num_rows, PASSAGES_AT_ONCE):
+                part = batch.slice(at, PASSAGES_AT_ONCE)
+                size = part.column("terms").value_lengths().to_numpy()
+                passage = np.repeat(np.arange(len(size)), size)
+                term, weight = (part.column(c).flatten().to_numpy() for c in ("terms", "weights"))
+                rows = space.project(passage, term, weight, len(size))
                 order = np.argsort(term, kind="stable")
                 if len(order):
                     heads = np.flatnonzero(np.append(True, np.diff(term[order]) > 0))
-                    total[term[order][heads]] += np.add.reduceat(
-                        rows[passage[order]] * weight[order][:, None].astype(np.float32), heads, axis=0)
+                    total[term[order][heads]] += np.add.reduceat(rows[passage[order]] * weight[order][:, None], heads, axis=0)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(list(total[used]), pa.list_(pa.float64()))],
                                          names=["term", "sums"])
@@ -173,19 +189,22 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.table({"term": pa.array(term), "sums": pa.array(list(out), pa.list_(pa.float64()))})
 
 
-def latent_axes(sample: DataFrame, space: Space, rank: int = RANK) -> np.ndarray:
-    """The leading right singular vectors of the sample's TF-IDF passages, terms x rank.
+def latent_axes(texts: DataFrame, space: Space, rank: int = RANK) -> np.ndarray:
+    """The leading right singular vectors of the TF-IDF passages of all ``texts``, terms x rank.
 
-    Each power round multiplies a thin random matrix by the passage matrix and its transpose:
-    tasks do their passages, Spark adds the shares up per term, and the driver
-    only orthogonalises the thin result, whose size the benchmark's vocabulary fixes.
+    One scan of the texts stages the rows of the passage matrix.  Each power round multiplies a thin random matrix
+    by it and its transpose: tasks of ``FIT_ROWS`` passages or more do their share, Spark adds the shares up per term, and
+    the driver only orthogonalises the thin result, whose size the benchmark's vocabulary fixes.
     """
-    spark = sample.sparkSession
+    spark = texts.sparkSession
     size = len(space.term_idf)
+    matrix = staged(texts.mapInArrow(_fit_passages(spark.sparkContext.broadcast(space)),
+                                     "terms array<int>, weights array<float>"), "passages")
+    matrix = matrix.repartition(max(1, matrix.count() // FIT_ROWS))
     width = min(size, rank + OVERSAMPLE)
     space.axes = np.linalg.qr(np.random.default_rng(3).standard_normal((size, width)))[0].astype(np.float32)
     for _ in range(POWER_ROUNDS):
-        sums = sample.mapInArrow(_product(spark.sparkContext.broadcast(space)), "term long, sums array<double>")
+        sums = matrix.mapInArrow(_product(spark.sparkContext.broadcast(space)), "term long, sums array<double>")
         sums = sums.groupBy(F.expr("pmod(term, 16)")).applyInArrow(_add_up, "term long, sums array<double>")
         thin = np.random.default_rng(4).standard_normal((size, width)) * 1e-9
         for batch in sums.toArrow().to_batches():
@@ -195,6 +214,64 @@ def latent_axes(sample: DataFrame, space: Space, rank: int = RANK) -> np.ndarray
     return space.axes[:, :rank]
 
 
+class Retrieval:
+    """Which filed places a passage around may hold the item at, by latent inner products.
+
+    An accepted stretch shares words with the item that weigh ``PART_WORDS`` of it, so its inner product with the item (the
+    square root of both counts times the squared weight, summed over terms) is at least that of the item's lightest
+    words of this weight, ``need``.  It lies whole in a passage of twice ``_reach`` words or more, whose inner product is no
+    smaller.  That is the latent one plus one of the parts beyond the axes, which their lengths bound.  So nothing
+    that would be accepted is left out, whatever the axes; good axes leave out more.
+    """
+
+    #: Share of both lengths by which single precision may err.
+    SLACK = 1e-4
+
+    def __init__(self, space: Space, items: list[np.ndarray]):
+        counted = [np.unique(space.vocabulary.numbers(w), return_counts=True) for w in items]
+        owner = np.repeat(np.arange(len(items)), [len(term) for term, _ in counted])
+        term, count = (np.concatenate(x) for x in zip(*counted, strict=True))
+        weight = np.sqrt(count) * space.term_idf[term].astype(np.float64)
+        self.vectors = space.project(owner, term, weight, len(items))
+        square = np.bincount(owner, weights=weight ** 2, minlength=len(items))
+        self.length = np.sqrt(square)
+        self.rest = np.sqrt(np.maximum(square - (self.vectors.astype(np.float64) ** 2).sum(axis=1), 0.0))
+        self.need = np.array([self._need(space.term_idf[t].astype(np.float64), c) for t, c in counted])
+        self.words = np.array([1 << (_reach(len(w)) - 1).bit_length() for w in items], dtype=np.int64)
+
+    def _need(self, idf: np.ndarray, count: np.ndarray) -> float:
+        light = np.argsort(idf, kind="stable")
+        idf, weight = idf[light], (count * idf)[light]
+        before = np.cumsum(weight) - weight
+        taken = np.clip(PART_WORDS * weight.sum() * (1 - self.SLACK) - before, 0.0, weight)
+        return float((taken * idf).sum())
+
+    def near(self, space: Space, hashes: np.ndarray, first: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether each place is in a passage that may hold the item."""
+        keep = np.zeros(len(place), dtype=bool)
+        for words in np.unique(self.words[item]):
+            mine = np.flatnonzero(self.words[item] == words)
+            (_, start, end, length), (passage, term, weight) = space.known_passages(
+                hashes, first, {2 * int(words): 0.0}, around=np.unique(place[mine]))
+            weight = weight * length[passage]
+            latent = space.project(passage, term, weight, len(start))
+            square = np.bincount(passage, weights=weight ** 2, minlength=len(start))
+            rest = np.sqrt(np.maximum(square - (latent.astype(np.float64) ** 2).sum(axis=1), 0.0))
+            lo, hi = np.searchsorted(end, place[mine], side="right"), np.searchsorted(start, place[mine], side="right")
+            size = hi - lo
+            pair = np.repeat(np.arange(len(mine)), size)
+            around = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
+            codes, which = np.unique(item[mine][pair] * np.int64(len(start)) + around, return_inverse=True)
+            may = np.zeros(len(codes), dtype=bool)
+            for a in range(0, len(codes), PAIRS_AT_ONCE):
+                i, p = np.divmod(codes[a:a + PAIRS_AT_ONCE], len(start))
+                most = (np.einsum("ij,ij->i", self.vectors[i], latent[p]) + self.rest[i] * rest[p]
+                        + self.SLACK * self.length[i] * np.sqrt(square[p]))
+                may[a:a + PAIRS_AT_ONCE] = most >= self.need[i]
+            keep[mine[pair[may[which]]]] = True
+        return keep
+
+
 class Screen:
     """Where a document holds enough of an item's words for the word comparison to accept it.
 
@@ -227,12 +304,17 @@ class Screen:
         self.key_items = item[order]
         self.key_start = np.searchsorted(term[order], np.arange(self.n_terms + 1))
 
-    def places(self, numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, item, place of a filed term) wherever the item may be; numbers: a block's terms, or -1."""
+    def filed(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place of a term that it is filed under); numbers: a block's terms, or -1."""
         at = np.flatnonzero(numbers >= 0)
         size = self.key_start[numbers[at] + 1] - self.key_start[numbers[at]]
         place, start = np.repeat(at, size), np.repeat(self.key_start[numbers[at]], size)
-        item = self.key_items[start + np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)]
+        return self.key_items[start + np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)], place
+
+    def places(self, numbers: np.ndarray, first: np.ndarray, item: np.ndarray, place: np.ndarray) -> tuple[
+            np.ndarray, np.ndarray, np.ndarray]:
+        """(row, item, place) of the filed places around which enough of the item's weight is found."""
+        at = np.flatnonzero(numbers >= 0)
         row = np.searchsorted(first, place, side="right") - 1
         lo = np.searchsorted(at, np.maximum(first[row], place - self.reach[item]))
         hi = np.searchsorted(at, np.minimum(first[row + 1], place + self.reach[item] + 1))
@@ -315,7 +397,7 @@ def _spot(item: np.ndarray, weight: np.ndarray, ours: np.ndarray, hashes: np.nda
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, items, item_vectors, owners, names = shared.value
+        space, retrieval, items, item_vectors, owners, names = shared.value
         weights = [space.term_idf[space.vocabulary.numbers(w)].astype(np.float64) for w in items]
         screen = Screen(space, items)
         vectors_of = np.searchsorted(owners, np.arange(len(items) + 1))
@@ -324,26 +406,22 @@ def _search(shared):
             for first_row, _, data, offsets in K.blocks(K.utf8_column(batch.column("text")), SCAN_BYTES):
                 _, _, hashes, first = K.words(data, offsets, K.MARKS)
                 numbers = space.vocabulary.numbers(hashes)
-                held_row, held_item, place = screen.places(numbers, first)
-                if not len(place):
-                    continue
-                (row, start, end, _), (passage, term, weight) = space.known_passages(
-                    hashes, first, SCALES, around=np.unique(place))
-                latent = space.project(passage, term, weight, len(row))
-                by_row = np.argsort(row, kind="stable")
+                item, place = screen.filed(numbers)
+                near = retrieval.near(space, hashes, first, item, place)
+                held_row, held_item, place = screen.places(numbers, first, item[near], place[near])
                 order = np.lexsort((place, held_item, held_row))
                 heads = np.flatnonzero(np.append(True, (np.diff(held_row[order]) != 0) | (np.diff(held_item[order]) != 0)))
                 out = []
-                for of in np.split(order, heads[1:]):
+                for of in np.split(order, heads[1:]) if len(order) else ():
                     r, item = int(held_row[of[0]]), int(held_item[of[0]])
-                    near = by_row[np.searchsorted(row[by_row], r):np.searchsorted(row[by_row], r, side="right")]
-                    near = near[np.searchsorted(place[of], start[near]) < np.searchsorted(place[of], end[near])]
-                    score = (latent[near] @ item_vectors[vectors_of[item]:vectors_of[item + 1]].T).max(axis=1, initial=0.0)
                     ours = np.isin(numbers[first[r]:first[r + 1]], screen.numbers[item])
                     found = _spot(items[item], weights[item], ours, hashes[first[r]:first[r + 1]], place[of] - first[r],
                                   0, int(first[r + 1] - first[r]))
                     if found:
-                        out.append((first_row + r, names[item], float(score.max()), *found))
+                        (row, *_), known = space.known_passages(
+                            hashes[first[r]:first[r + 1]], first[r:r + 2] - first[r], SCALES, around=place[of] - first[r])
+                        score = (space.project(*known, len(row)) @ item_vectors[vectors_of[item]:vectors_of[item + 1]].T).max(initial=0.0)
+                        out.append((first_row + r, names[item], float(score), *found))
                 if out:
                     r, item, cosine, share, tail, begin, stop = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -364,8 +442,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     start.  ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are not
     read.  Null, empty and wordless texts on either side match nothing; items that repeat
     are all reported; a null doc_id is reported as null.  The benchmark is taken
-    about ``ITEMS_AT_ONCE`` items at a time, each in one pass over the documents, so
-    what is sent to tasks has a fixed bound.
+    about ``ITEMS_AT_ONCE`` items at a time, each in two passes over the documents (one for the axes, one
+    that searches), so what is sent to tasks has a fixed bound.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.where("false").selectExpr("doc_id", "0L item_id", "0D cosine", "0D lcs_share", "0D answer_share",
@@ -393,16 +471,14 @@ def _item_groups(docs: DataFrame, benchmark: DataFrame):
             frequency[bucket] = n
     # squared, so that a few rare shared words outweigh many common ones
     idf = (np.log1p(n_docs / (1.0 + frequency)) ** 2 + 0.01).astype(np.float32)
-    share = min(1_000_000, int(1_000_000 * FIT_ROWS / max(1, n_docs)))
-    sample = docs.where(F.expr(f"pmod(xxhash64(doc_id, text), 1000000) < {share}")).select("text")
-    sample = staged(sample.union(items.select("text")).repartition(FIT_TASKS), "sample")
+    texts = docs.select("text").union(items.select("text"))
     for g in range(groups):
         group = items.where(F.expr(f"pmod(xxhash64(item_id, text), {groups}) = {g}")).collect()
         words = [(r["item_id"], w) for r, w in zip(group, _item_words([r["text"] for r in group]), strict=True) if len(w)]
         if not words:
             continue
         space = Space(np.concatenate([w for _, w in words]), idf)
-        space.axes = latent_axes(sample, space)
+        space.axes = latent_axes(texts, space)
         vectors, owners = [], []
         for i, (_, w) in enumerate(words):
             (row, *_), known = space.known_passages(w, np.array([0, len(w)]), ITEM_SCALES)
@@ -410,7 +486,8 @@ def _item_groups(docs: DataFrame, benchmark: DataFrame):
             owners += [i] * len(row)
         vectors = np.concatenate(vectors)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-        parts = spark.sparkContext.broadcast((space, [w for _, w in words], vectors, owners, [n for n, _ in words]))
+        parts = spark.sparkContext.broadcast(
+            (space, Retrieval(space, [w for _, w in words]), [w for _, w in words], vectors, owners, [n for n, _ in words]))
         yield parts
 
 

@@ -1,9 +1,10 @@
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
-from gridlens.llm import urlfilter
+from gridlens.llm import decontamination, urlfilter
 from gridlens.llm.decontamination import contaminated
 from gridlens.llm.urlfilter import HOST_RULES, WORD_RULES, filter_urls
 
@@ -119,3 +120,31 @@ def test_common_words_among_rare_ones_are_found(spark):
     bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     found = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).where("doc_id = 0").collect()
     assert [(r.first_word, r.end_word) for r in found] == [(100, 115)]
+
+
+def test_axes_are_fitted_on_all_documents(spark, monkeypatch):
+    seen, plain = [], decontamination.latent_axes
+    monkeypatch.setattr(decontamination, "FIT_ROWS", 20)
+    monkeypatch.setattr(decontamination, "latent_axes", lambda texts, *a: seen.append(texts.count()) or plain(texts, *a))
+    docs, bench = _planted(spark, 60, 60)
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == {(i, i) for i in range(60)}
+    assert seen == [120]
+
+
+def test_words_are_compared_only_where_latent_retrieval_leads(spark, sample_docs, monkeypatch):
+    """It leaves out places that later steps would look at, none that they would accept, and nothing passes it by."""
+    docs, bench = sample_docs.select("doc_id", "text"), spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    space, retrieval, items, *_ = next(decontamination._item_groups(docs, bench)).value
+    screen, filed, retrieved = decontamination.Screen(space, items), 0, 0
+    for words in decontamination._item_words([r.text for r in docs.collect()]):
+        item, place = screen.filed(space.vocabulary.numbers(words))
+        near = retrieval.near(space, words, np.array([0, len(words)]), item, place)
+        filed, retrieved = filed + len(near), retrieved + int(near.sum())
+    assert 0 < retrieved < 0.9 * filed
+    pairs = lambda: sorted((r.doc_id, r.item_id, r.first_word, r.end_word) for r in contaminated(docs, bench).collect())
+    with_it, clean = pairs(), decontamination.without_items(docs, bench).count()
+    monkeypatch.setattr(decontamination.Retrieval, "_need", lambda self, idf, count: -np.inf)
+    assert pairs() == with_it and len(with_it) > 0
+    monkeypatch.setattr(decontamination.Retrieval, "_need", lambda self, idf, count: np.inf)
+    assert contaminated(docs, bench).count() == 0
+    assert clean < decontamination.without_items(docs, bench).count() == docs.count()
