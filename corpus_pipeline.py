@@ -78,14 +78,21 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, TOKENIZER, keep_ids=True)
 
 
+#: Rows of whole texts that go to a Python worker and back at once: executors hold such batches beside the heap.
+ARROW_ROWS, _ARROW = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Intermediates of the stage that ran last.
 _behind: list[str] = []
 
 
 def _stage(function):
-    """The stage, which first removes the intermediates of the stage before, unless ``docs`` still reads them."""
+    """The stage, which first removes the intermediates of the stage before, unless ``docs`` still reads them.
+
+    From then on the session passes ``ARROW_ROWS`` rows at once to Python at most."""
     @wraps(function)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not 0 < int(spark.conf.get(_ARROW)) <= ARROW_ROWS:
+            spark.conf.set(_ARROW, str(ARROW_ROWS))
         read = docs.inputFiles()
         if not any(folder.split(":")[-1] in file for folder in _behind for file in read):
             remove_folders(spark, _behind)

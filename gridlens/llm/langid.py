@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gridlens.llm.common import held_out, staged
 
@@ -38,8 +39,7 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _text_blocks(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    column = batch.column("text")
+def _text_blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
     sizes = np.cumsum(np.maximum(1, np.array([len(x.as_buffer()) if x.is_valid else 0 for x in column])))
     at = 0
     while at < len(column):
@@ -62,7 +62,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-        for start, texts in _text_blocks(batch):
+        for start, texts in _text_blocks(batch.column("text")):
             here = langs[start:start + len(texts)]
             for lang in sorted(set(here)):
                 data, _ = _block_text([t for t, x in zip(texts, here, strict=True) if x == lang])
@@ -168,13 +168,13 @@ def fit_filters(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageFilter
     return LanguageFilters(languages, [tuple(r) for r in cells.collect()], [reach.get(x, 0.0) for x in languages])
 
 
-def _predict(shared):
+def _predict(shared, carried: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         letter, model = regex.compile(r"\p{L}"), shared.value
         for batch in batches:
-            for start, texts in _text_blocks(batch):
+            for start, texts in _text_blocks(batch.column("row").field("text") if carried else batch.column("text")):
                 rows = batch.slice(start, len(texts))
                 known = [t is not None and letter.search(t) is not None for t in texts]
                 if model.languages:
@@ -199,5 +199,6 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, *, carry: list
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     source = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), F.col("text").cast("string").alias("text"))
     kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(_predict(shared), f"row {kind}, lang_pred string, score double").select(
+    carried = "text" in carry and docs.schema["text"].dataType == StringType()  # then it need not go to Python twice
+    return source.drop(*["text"] * carried).mapInArrow(_predict(shared, carried), f"row {kind}, lang_pred string, score double").select(
         "row.*", "lang_pred", "score")

@@ -25,8 +25,9 @@ from gridlens.llm.chunks import ChunkMemory, Columns, joined, objects, token_byt
 from gridlens.llm.common import shuffle_width, staged
 
 CAPACITY, END_ID = 2048, 1
-#: Chunks that a worker remembers (about 150 bytes each).
-REMEMBERED = 1_000_000
+#: Bytes of text looked up at once.  Workers outlive a stage, so what they hold (about 150 bytes for each chunk
+#: remembered, tables in proportion to a block) adds to the memory of every later one.
+LOOK_BYTES = 1 << 19
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -38,7 +39,7 @@ class ChunkTokenizer:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.lengths = np.array([len(b) for b in token_bytes(self.tokenizer)])
-        self.memory = ChunkMemory(self._chunks, REMEMBERED)
+        self.memory = ChunkMemory(self._chunks)
 
     def _ids(self, texts: list[str]) -> list[array]:
         return [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -85,7 +86,7 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
         tokenizer, end = _tokenizer(path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             ids = batch.column("doc_id")
-            for at, _, data, offsets in K.blocks(K.utf8_column(batch.column("text"))):
+            for at, _, data, offsets in K.blocks(K.utf8_column(batch.column("text")), LOOK_BYTES):
                 rows = []
                 for i, coded in enumerate(tokenizer.encode_block(data, offsets), at):
                     coded += end

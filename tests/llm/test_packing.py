@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -7,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from gridlens.llm import packing
 from gridlens.llm.packing import ChunkTokenizer, pack_documents, packing_patterns
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,3 +70,19 @@ def test_odd_documents_and_kept_ids(odd_docs, no_docs):
     check(rows, [(r.doc_id, r.text) for r in odd_docs.collect()], 64)
     assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
     assert pack_documents(no_docs, PATH).count() == 0
+
+
+def test_what_a_worker_keeps_between_stages_is_bounded():
+    """Workers outlive stages: many distinct chunks, and texts looked up in blocks, leave less than 100 MB behind."""
+    tokenizer = ChunkTokenizer(PATH)
+    rng = np.random.default_rng(1)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", dtype=np.uint8)
+    for _ in range(18):
+        words = letters[rng.integers(0, 26, (40_000, 6))]
+        text = b" ".join(bytes(w) for w in words)
+        tokenizer.encode([text.decode()])
+    memory = tokenizer.memory
+    objects = sum(sys.getsizeof(x) for c in memory.columns.values() for x in c if x is not None)
+    arrays = sum(c.nbytes for c in memory.columns.values()) + memory.keys.nbytes + memory.slots.nbytes + memory.uses.nbytes
+    assert objects + arrays < 100_000_000
+    assert packing.LOOK_BYTES <= 1 << 19
