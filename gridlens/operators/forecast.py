@@ -133,6 +133,9 @@ _MODEL_FEATURES = [f for f in FEATURES if f not in _LEVEL_FEATURES] + _REL + ["l
 HARMONICS = 3
 #: Added to the diagonal of the normal equations, per sample: terms that never vary stay solvable.
 RIDGE = 1e-6
+#: Samples a task takes in a round.  A round is four short jobs one after the other, so with few samples a
+#: task costs more than its work.
+ROWS_A_TASK = 50_000
 
 
 def linear_terms() -> dict[str, F.Column]:
@@ -201,6 +204,14 @@ def model_rows(design: DataFrame, minimum: int = MIN_SAMPLES) -> DataFrame:
     return fitted.withColumn("linear_rel", linear).drop("coefficients").withColumn("residual_rel", F.col("y_rel") - F.col("linear_rel"))
 
 
+def fit_tasks(rows: DataFrame) -> dict[str, int]:
+    """By series name, into how many tasks the training samples go: more samples more tasks, up to a shuffle's usual
+    number.  The one pass also computes ``rows``, where they are persisted, on all their partitions."""
+    usual = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    return {r["series"]: min(-(-r["n"] // ROWS_A_TASK), usual)
+            for r in rows.where("is_train").groupBy("series").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def fit_forecast(rows: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
                  step_size: float = 0.08, seed: int = 0,
                  series: Sequence[str] | None = None) -> dict:
@@ -211,9 +222,11 @@ def fit_forecast(rows: DataFrame, *, max_iter: int = 300, max_depth: int = 4,
     checkpoint_dir(rows.sparkSession)  # boosting cuts its lineage there every ten rounds
     names = list(series or SERIES)
     assembler = VectorAssembler(inputCols=_MODEL_FEATURES, outputCol="features")
+    tasks = fit_tasks(rows)
 
     def fit(name):
-        train = assembler.transform(rows.where((F.col("series") == name) & F.col("is_train")))
+        train = assembler.transform(rows.where((F.col("series") == name) & F.col("is_train"))).select(
+            "features", "residual_rel", "weight").repartition(tasks.get(name, 1))
         gbt = GBTRegressor(featuresCol="features", labelCol="residual_rel", weightCol="weight", maxDepth=max_depth,
                            stepSize=step_size, maxIter=max_iter, seed=seed, maxBins=MAX_BINS,
                            minInstancesPerNode=MIN_SAMPLES_LEAF)

@@ -87,3 +87,25 @@ def test_linear_part_is_the_least_squares_solution(spark):
         x, y = part[[c for c in part if c.startswith("_")]].to_numpy(), part["y_rel"].to_numpy()
         want = np.linalg.solve(x.T @ x + FC.RIDGE * len(x) * np.eye(x.shape[1]), x.T @ y)
         assert np.allclose(x @ got[key], x @ want, atol=1e-6)
+
+
+def test_a_round_has_as_many_tasks_as_its_samples_need(spark, monkeypatch):
+    rows = FC.model_rows(FC.design_matrix(FC.long_series(many_shapes(spark, 3, 10)))).persist()
+    seen = spark.sparkContext.statusTracker()
+
+    def tasks_of(fit):
+        before = set(seen.getJobIdsForGroup(None))
+        fit()
+        jobs = [seen.getJobInfo(j) for j in set(seen.getJobIdsForGroup(None)) - before]
+        return sum(stage.numCompletedTasks for job in jobs for s in job.stageIds if (stage := seen.getStageInfo(s)))
+
+    try:
+        assert FC.fit_tasks(rows) == {"solar": 1, "wind": 1}
+        # two series, four rounds of four jobs, two stages each; as many again are left for what comes before
+        assert 0 < tasks_of(lambda: FC.fit_forecast(rows, max_iter=4)) < 2 * 4 * 4 * 2 * 2
+        monkeypatch.setattr(FC, "ROWS_A_TASK", 200)
+        assert FC.fit_tasks(rows) == {"solar": 3, "wind": 3}  # 486 samples each
+        monkeypatch.setattr(FC, "ROWS_A_TASK", 1)
+        assert set(FC.fit_tasks(rows).values()) == {8}
+    finally:
+        rows.unpersist()
