@@ -25,7 +25,7 @@ from gridlens.llm.common import held_out, staged
 BUCKET_BITS, FACTORS = 18, 4
 TRAIN_ROWS, LEAST_ROWS, FULL_SQUARE, LEAST_VALUE, ROUNDS = 20_000, 3, 20.0, 0.01, 80
 #: Nats by which a pair must tell more than either of its terms: among 10^8 pairs, chance makes less than one.
-PAIR_NATS, PAIRS_AT_ONCE = 20.0, 4_000_000
+PAIR_NATS, PAIRS_AT_ONCE, PLACES_AT_ONCE = 20.0, 4_000_000, 250_000
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,41 +74,66 @@ def _nats(a: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
         return n * (np.where(p > 0, p * np.log(p / q), 0.0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - q)), 0.0))
 
 
+def _least(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows of 1, or of 0, a pair with a term of this share needs to tell more than that term: of all pairs
+    with as many ones, one without zeros tells most, and the other way round."""
+    q = np.clip(share, 1e-9, 1 - 1e-9)
+    nats = PAIR_NATS * (1 - 1e-9)
+    return nats / -np.log(q), nats / -np.log1p(-q)
+
+
 def _telling_pairs(shared):
-    """Terms of the pairs of a class (first term modulo the classes) that tell more than either term alone."""
+    """Terms of the pairs of a class (first term modulo the classes) that tell more than either term alone.
+
+    Pairs are counted a first term at a time, over the terms behind it in its rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, cuts, labels, share, classes = shared.value
-        size = np.diff(cuts)
-        terms, end, label = terms.astype(np.int64), np.repeat(cuts[1:], size), np.repeat(labels, size)
-        wide = np.int64(len(share))
+        terms, cuts, places, ones, share, least_ones, least_zeros, classes = shared.value
+        terms, wide = terms.astype(np.int64), len(share)
+        size = np.repeat(cuts[1:], np.diff(cuts)) - np.arange(1, len(terms) + 1)
+        heads = np.searchsorted(terms[places], np.arange(wide + 1))
+
+        def counted(at: np.ndarray) -> np.ndarray:
+            """In how many of the rows at these places every term is behind."""
+            found, ends = np.zeros(wide, dtype=np.int64), np.cumsum(size[at])
+            parts = range(0, int(ends[-1]) if len(at) else 0, PLACES_AT_ONCE)
+            for part in np.split(at, np.searchsorted(ends, parts[1:])):
+                n = size[part]
+                behind = np.arange(n.sum()) + np.repeat(part + 1 - (np.cumsum(n) - n), n)
+                found += np.bincount(terms[behind], minlength=wide)
+            return found
+
         for c in (int(x) for batch in batches for x in batch.column("id").to_pylist()):
-            at = np.flatnonzero(terms % classes == c)
-            size = end[at] - at - 1
-            first = np.repeat(at, size)
-            second = np.arange(len(first)) - np.repeat(np.cumsum(size) - size, size) + first + 1
-            pair, n = np.unique((terms[first] * wide + terms[second]) * 2 + label[first], return_counts=True)
-            pair, one = pair >> 1, pair & 1
-            heads = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))[:len(pair)]
-            if not len(heads):
-                continue
-            rows, ones = np.add.reduceat(n, heads), np.add.reduceat(n * one, heads)
-            keep = rows >= LEAST_ROWS
-            pair, rows, ones = pair[heads][keep], rows[keep], ones[keep]
-            a, b = share[pair // wide], share[pair % wide]
-            high, low = np.maximum(a, b), np.minimum(a, b)
-            p = ones / rows
-            told = (p > high) & (_nats(ones, rows, high) >= PAIR_NATS) | (p < low) & (_nats(ones, rows, low) >= PAIR_NATS)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique([pair[told] // wide, pair[told] % wide]).astype(np.int64))], names=["term"])
+            told = np.zeros(wide, dtype=bool)
+            for term in range(c, wide, classes):
+                at = places[heads[term]:heads[term + 1]]
+                one, zero = counted(at[:ones[term]]), counted(at[ones[term]:])
+                other = np.flatnonzero((one + zero >= LEAST_ROWS) & (
+                    (one >= np.maximum(least_ones, least_ones[term])) | (zero >= np.maximum(least_zeros, least_zeros[term]))))
+                one, rows = one[other], one[other] + zero[other]
+                high, low, p = np.maximum(share[other], share[term]), np.minimum(share[other], share[term]), one / rows
+                tells = (p > high) & (_nats(one, rows, high) >= PAIR_NATS) | (p < low) & (_nats(one, rows, low) >= PAIR_NATS)
+                told[other[tells]] = True
+                told[term] |= tells.any()
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(told).astype(np.int64))], names=["term"])
     return run
 
 
-def _paired(rows: DataFrame, buckets: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Which buckets are in a pair that tells more than either of its terms; rows: the bounded training sample."""
+def _paired(rows: DataFrame, buckets: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    """Which buckets are in a pair that tells more than either of its terms; rows: the bounded training sample.
+
+    Left out are buckets that even a pair with all of their ones, or zeros, would not make tell enough."""
     spark, found = rows.sparkSession, rows.toArrow()
-    place = np.full(1 << BUCKET_BITS, -1, dtype=np.int64)
-    place[buckets] = np.arange(len(buckets))
-    lists = found.column("buckets").combine_chunks()
-    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    out = np.zeros(len(buckets), dtype=bool)
+    share = ones / (ones + zeros)
+    least_ones, least_zeros = _least(share)
+    able = np.flatnonzero((ones >= least_ones) | (zeros >= least_zeros))
+    able = able[np.argsort((ones + zeros)[able], kind="stable")]  # the rarest first: no term has many places before many others
+    place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
+    place[buckets[able]] = np.arange(len(able))
+    lists, label = found.column("buckets").combine_chunks(), found.column("label").to_numpy()
+    rank = np.empty(len(lists), dtype=np.int32)
+    rank[np.argsort(label == 0, kind="stable")] = np.arange(len(lists))  # rows of 1 come first, so also in each term's places
+    row = np.repeat(rank, lists.value_lengths().to_numpy())
     terms = place[lists.flatten().to_numpy()]
     row, terms = row[terms >= 0], terms[terms >= 0]
     order = np.lexsort((terms, row))
@@ -116,12 +141,11 @@ def _paired(rows: DataFrame, buckets: np.ndarray, share: np.ndarray) -> np.ndarr
     cuts = np.searchsorted(row, np.arange(len(lists) + 1))
     size = np.diff(cuts)
     classes = max(1, -(-int((size * (size - 1) // 2).sum()) // PAIRS_AT_ONCE))
-    label = found.column("label").to_numpy().astype(np.int64)
-    # every executor keeps this on its disk, so only four bytes a term are sent
-    shared = spark.sparkContext.broadcast((terms.astype(np.int32), cuts, label, share, classes))
-    out = np.zeros(len(buckets), dtype=bool)
+    # every executor keeps this on its disk, so only eight bytes a term are sent
+    shared = spark.sparkContext.broadcast((terms, cuts, np.argsort(terms, kind="stable").astype(np.int32),
+                                           ones[able].astype(np.int64), share[able], least_ones[able], least_zeros[able], classes))
     told = spark.range(0, classes, 1, min(classes, 48)).mapInArrow(_telling_pairs(shared), "term long").distinct().toArrow()
-    out[told.column("term").to_numpy()] = True
+    out[able[told.column("term").to_numpy()]] = True
     return out
 
 
@@ -156,7 +180,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
         return FactorizationMachine([], np.log(ones / zeros), np.zeros(0), np.zeros((0, FACTORS)))
     buckets, squares, ones_, zeros_ = (table.column(c).to_numpy() for c in ("bucket", "square", "a", "b"))
     value = np.clip(squares / FULL_SQUARE, LEAST_VALUE, 1.0)
-    value[_paired(rows, buckets, ones_ / (ones_ + zeros_))] = 1.0
+    value[_paired(rows, buckets, ones_, zeros_)] = 1.0
     chosen = buckets.tolist()
     place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
     place[buckets] = np.arange(len(buckets))

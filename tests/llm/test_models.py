@@ -93,6 +93,36 @@ def test_machine_learns_pairs_whose_terms_say_nothing(spark):
     assert all((score[i] >= 0.5) == (label == 1) for i, _, label in rows)
 
 
+def test_only_terms_that_can_tell_are_paired_and_none_is_missed(spark, monkeypatch):
+    """Against counting every pair, at a bound that chance reaches often; most terms are too rare for any pair of theirs to reach it."""
+    dice, texts = np.random.default_rng(5), []
+    label = (dice.random(1200) < 0.2).astype(float)
+    for one in label:
+        common = dice.choice(60, 12, replace=False, p=(w := 1 / np.arange(3, 63) + one * (np.arange(60) % 7 == 3) / 20) / w.sum())
+        texts.append(sorted({*common.tolist(), *(60 + dice.choice(4000, 40, replace=False)).tolist()}))
+    df = spark.createDataFrame([(float(y), t) for y, t in zip(label, texts)], "label double, buckets array<int>")
+    held = np.zeros((len(texts), 4060))
+    for row, t in enumerate(texts):
+        held[row, t] = 1
+    ones, rows = label @ held, held.sum(0)
+    buckets = np.flatnonzero(rows >= toxicity.LEAST_ROWS)
+    monkeypatch.setattr(toxicity, "PAIR_NATS", 4.0)
+    monkeypatch.setattr(toxicity, "PLACES_AT_ONCE", 300)
+    monkeypatch.setattr(toxicity, "PAIRS_AT_ONCE", 10_000)
+    h, share = held[:, buckets], ones[buckets] / rows[buckets]
+    n, one = h.T @ h, h.T @ (h * label[:, None])
+    high, low, p = np.maximum.outer(share, share), np.minimum.outer(share, share), one / np.maximum(n, 1)
+    with np.errstate(invalid="ignore"):
+        tells = (n >= toxicity.LEAST_ROWS) & ((p > high) & (toxicity._nats(one, n, high) >= 4) | (p < low) & (toxicity._nats(one, n, low) >= 4))
+    np.fill_diagonal(tells, False)
+    sent, run = [], toxicity._telling_pairs
+    monkeypatch.setattr(toxicity, "_telling_pairs", lambda shared: sent.append(len(shared.value[0])) or run(shared))
+    got = toxicity._paired(df, buckets, ones[buckets], (rows - ones)[buckets])
+    assert 5 < tells.any(0).sum() < len(buckets) / 2
+    assert got.tolist() == tells.any(0).tolist()
+    assert sent[0] < 0.7 * rows[buckets].sum()
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, labels):
     known = labels.select("doc_id", F.col("toxic").alias("label"))
     for fitted in (toxicity.fit_machine(odd_docs, known), toxicity.fit_machine(no_docs, known),
